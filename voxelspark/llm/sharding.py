@@ -104,17 +104,24 @@ def _oracle() -> str:
     return inner
 
 
-# CRC-32 by half bytes, low half first; the 16 table entries come from their rule.
-_TABLE = "list_transform(range(16), lambda i: list_reduce([i, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1))))"
+def _crc_table() -> list[int]:
+    """The table of CRC-32 (reflected polynomial 0xEDB88320), for the SQL counterpart."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ 0xEDB88320 * (c & 1)
+        out.append(c)
+    return out
+
+
 ORACLE = f"""
 WITH RECURSIVE bytes AS (
   SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 1 AS size, hex(encode(coalesce(text, ''))) AS x FROM documents),
-tab AS MATERIALIZED (SELECT {_TABLE} AS tab),
 sums AS (
   SELECT doc_id, CAST(size AS BIGINT) AS size, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT,
-    list_transform(range(0, 2 * size - 2), lambda i: ('0x' || substr(x, xor(i, 1) + 1, 1))::BIGINT)),
-    lambda c, b: xor(c >> 4, tab[xor(c & 15, b) + 1]))) AS crc
-  FROM bytes, tab),
+    list_transform(regexp_extract_all(x, '..'), lambda i: ('0x' || i)::BIGINT)),
+    lambda c, b: xor(c >> 8, CAST({_crc_table()} AS BIGINT[])[xor(c & 255, b) + 1]))) AS crc
+  FROM bytes),
 numbered AS (
   SELECT *, row_number() OVER (ORDER BY doc_id NULLS FIRST, crc, size) - 1 AS number, count(*) OVER () AS n FROM sums),
 sized AS (
