@@ -1,10 +1,12 @@
 """The corpus queries by name, and SQL for those that SQL can express."""
 
-from voxelspark.llm import mixing, sharding, topk
+from voxelspark.llm import mixing, neardup, sharding, topk, toxicity
 
 QUERIES = {
+    "op5_toxicity": toxicity.op5_toxicity,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_top_k": topk.op7_top_k,
+    "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_shards": sharding.op9_shards,
 }
 

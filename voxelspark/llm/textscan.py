@@ -34,6 +34,8 @@ _FOLD[65:91] += 32  # A-Z only
 _BYTE = mix(np.arange(1, 257, dtype=_U) * _U(0xD1342543DE82EF95))[_FOLD]  # folded byte -> 64 bits
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(SPACES)] = True
+NOT_LETTERS = np.ones(256, dtype=bool)  # letters: A-Z, a-z and all bytes beyond ASCII
+NOT_LETTERS[65:91] = NOT_LETTERS[97:123] = NOT_LETTERS[128:] = False
 _powers: list[np.ndarray] = [np.ones(1, _U), np.ones(1, _U)]
 
 
@@ -76,8 +78,8 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
 class Words:
     """Words of a block: starts and ends in bytes, row of each, first word of each row, hashes."""
 
-    def __init__(self, raw: np.ndarray, at: np.ndarray):
-        keep = ~_SPACE[raw]
+    def __init__(self, raw: np.ndarray, at: np.ndarray, apart: np.ndarray = _SPACE):
+        keep = ~apart[raw]
         before = np.zeros(len(raw), dtype=bool)
         before[1:] = keep[:-1]
         edge = at[:-1][at[:-1] < len(raw)]
@@ -94,11 +96,20 @@ class Words:
         total = np.zeros(len(raw) + 1, dtype=_U)
         np.cumsum(_BYTE[raw] * power[: len(raw)], out=total[1:])
         h = (total[self.ends] - total[self.starts]) * inverse[self.starts]
+        self._total, self._inverse = total, inverse
         self.hash = mix(h + (self.ends - self.starts).astype(_U) * _U(0xA0761D6478BD642F))
 
 
-def scan(column: pa.Array) -> Words:
-    return Words(*text_bytes(column))
+    def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and hashes of the first ``size`` bytes of the words that have as many."""
+        long = np.flatnonzero(self.ends - self.starts >= size)
+        s = self.starts[long]
+        h = (self._total[s + size] - self._total[s]) * self._inverse[s]
+        return self.row[long], mix(h ^ mix(np.array([size + 1000], dtype=_U)))
+
+
+def scan(column: pa.Array, apart: np.ndarray = _SPACE) -> Words:
+    return Words(*text_bytes(column), apart)
 
 
 _STEP = mix(np.arange(101, 133, dtype=_U)) | _U(1)
@@ -123,7 +134,7 @@ def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
     for m in range(1, size):
         short = np.flatnonzero(counts == m)
         if len(short):
-            value = np.full(len(short), _U(m) * _U(0xE7037ED1A0B428DB), dtype=_U)
+            value = np.full(len(short), (m * 0xE7037ED1A0B428DB) & 0xFFFFFFFFFFFFFFFF, dtype=_U)
             for k in range(m):
                 value += h[words.first[short] + k] * _STEP[k]
             rows.append(short)
