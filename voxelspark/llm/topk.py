@@ -3,8 +3,7 @@
 Each vector becomes integers floor(scale * x).  Candidates are dealt into blocks by a hash of
 their id and queries into blocks by another, so that one task holds one block of each and neither
 side is ever whole in one place.  In a block every dimension has its list of candidates sorted by
-value.  For a query the lists are read from the end that its sign prefers, some entries deeper
-each round; newly seen candidates are scored by random access; the bound is the sum of what the
+value.  For a query the lists are read from the end that its sign prefers, deeper each round; newly seen candidates are scored by random access; the bound is the sum of what the
 lists' next entries would give.  A query stops once the bound is below its k-th score (a tie could
 still have a smaller id, so equality goes on).  The k best of each block meet in one ranking per
 query, which gets k rows from each candidate block.
@@ -33,7 +32,7 @@ K = 10
 SCALE = 1024
 BLOCK = 4096  # candidates in a block
 QUERIES = 512  # queries in a block
-STEP = 64  # entries of each list read in a round
+STEP = 16  # entries of each list read in the first round; each later round reads four times as many
 
 
 def threshold_search(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, step: int = STEP):
@@ -42,35 +41,39 @@ def threshold_search(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray,
     out = []
     order = np.argsort(vectors, axis=0, kind="stable")  # a list for each dimension, ascending
     ranked_values = np.take_along_axis(vectors, order, axis=0)
-    for q, self_id in zip(queries, own, strict=True):
-        up = q >= 0
-        seen = np.zeros(n, dtype=bool)
-        best_scores, best_ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        depth = 0
-        while depth < n or (dims == 0 and depth == 0):
-            stop = min(n, depth + step)
+    largest = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(dims, 1)
+    exact = np.float64 if largest < 1 << 53 else np.int64  # floats add such integers exactly, and faster
+    held, asked, ranked_values = vectors.astype(exact), queries.astype(exact), ranked_values.astype(exact)
+    for q, self_id in zip(asked, own, strict=True):
+        up, down = np.flatnonzero(q >= 0), np.flatnonzero(q < 0)
+        left = ids != self_id  # candidates not yet seen
+        scores, best = np.zeros(0, exact), np.zeros(0, np.int64)
+        depth, more = 0, step
+        while depth < n:
+            stop = min(n, depth + more) if dims else n
+            fresh = np.zeros(n, dtype=bool)
             if dims:
-                tops = order[n - stop : n - depth][:, up].ravel()
-                lows = order[depth:stop][:, ~up].ravel()
-                fresh = np.unique(np.concatenate([tops, lows]))
-                fresh = fresh[~seen[fresh]]
+                fresh[order[n - stop : n - depth][:, up]] = True
+                fresh[order[depth:stop][:, down]] = True
             else:
-                fresh, stop = np.arange(n), max(n, 1)
-            seen[fresh] = True
-            fresh = fresh[ids[fresh] != self_id]
-            if len(fresh):
-                best_scores = np.concatenate([best_scores, vectors[fresh] @ q])
-                best_ids = np.concatenate([best_ids, ids[fresh]])
-                if len(best_ids) > k:
-                    keep = np.lexsort((best_ids, -best_scores))[:k]
-                    best_scores, best_ids = best_scores[keep], best_ids[keep]
-            depth = stop
-            if depth < n and len(best_ids) >= k:
-                bound = int(np.where(up, ranked_values[n - depth - 1], ranked_values[depth]) @ q)
-                if bound < best_scores.min():
+                fresh[:] = True
+            fresh &= left
+            left &= ~fresh
+            at = np.flatnonzero(fresh)
+            if len(at):
+                scores, best = np.concatenate([scores, held[at] @ q]), np.concatenate([best, ids[at]])
+                if len(best) > k:
+                    high = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+                    scores, best = scores[high], best[high]
+                    keep = np.lexsort((best, -scores))[:k]
+                    scores, best = scores[keep], best[keep]
+            depth, more = stop, more * 4
+            if depth < n and len(best) >= k:
+                bound = np.where(q >= 0, ranked_values[n - depth - 1], ranked_values[depth]) @ q
+                if bound < scores.min() or not left.any():
                     break
-        keep = np.lexsort((best_ids, -best_scores))[:k]
-        out.append((best_scores[keep], best_ids[keep]))
+        keep = np.lexsort((best, -scores))[:k]
+        out.append((scores[keep].astype(np.int64), best[keep]))
     return out
 
 
