@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -25,13 +26,22 @@ def space_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(SPACE_WORD)), F.lit(0)).cast("long")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``; only where none is named
+    (tests on one machine) one is made."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints"))
+    elif named and not context.getCheckpointDir():
+        context.setCheckpointDir(named)
+    return context.getCheckpointDir()
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Writes ``df`` to the shared checkpoint folder and reads it back, so that a lost executor
-    costs a read and not a recomputation.  The folder is the one the cluster names in
-    ``spark.checkpoint.dir``; only where none is named (tests on one machine) one is made."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoints"))
+    """Writes ``df`` to the shared folder and reads it back, so that a lost executor costs a read
+    and not a recomputation."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -39,28 +49,32 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+SMALL_ROWS = 100_000
+
+
+def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
+    """Writes ``df`` down, and marks it for broadcast if it has at most ``rows`` rows."""
+    df = cut(df)
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def ranked(df: DataFrame, order: list[str], rank: str, group: list[str] = ()) -> DataFrame:
     """Adds ``rank``: the 0-based place of each row in ``order`` (nulls first), within ``group``.
 
-    Two passes and no task that holds a whole group: the rows are range-partitioned by group
-    and order and written down, rows are counted by part and group, and each row's place in
-    its part is added to the count of the parts before.  Only the counts (one row for each
-    part and each group that the part holds) meet in one place.
+    No task holds a whole group: the rows are range-partitioned and sorted by group and order,
+    numbered within their part, and written down once, so that parts stay what they were.  The
+    rows of each part and group are counted, and a row's place in its part is added to the count
+    of the parts before.  Only the counts (a row for each group that a part holds) meet.
     """
-    spark, group = df.sparkSession, list(group)
+    group = list(group)
     keys = [F.col(c).asc_nulls_first() for c in [*group, *order]]
-    parts = df.repartitionByRange(partitions(spark), *keys).withColumn("__part", F.spark_partition_id())
-    parts = cut(parts)
-    from pyspark.sql import Window as W
-
-    same = [F.col(c) for c in group]
-    size = parts.groupBy("__part", *group).agg(F.count("*").alias("__n"))
-    earlier = W.partitionBy(*same).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
-    start = size.select("__part", *group, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
-    place = W.partitionBy("__part", *same).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    numbered = parts.withColumn("__place", F.row_number().over(place) - 1).alias("l")
+    parts = df.repartitionByRange(partitions(df.sparkSession), *keys).sortWithinPartitions(*keys)
+    parts = cut(parts.withColumns({"__part": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}))
+    size = parts.groupBy("__part", *group).agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    earlier = W.partitionBy(*[F.col(c) for c in group]).orderBy("__part").rowsBetween(W.unboundedPreceding, -1)
+    start = small(size.select("__part", *group, (F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")).alias("__shift")))
     match = F.col("l.__part") == F.col("r.__part")
     for c in group:
         match = match & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
-    out = numbered.join(start.alias("r"), match, "left")
-    return out.select(*[F.col(f"l.`{c}`") for c in df.columns], (F.col("l.__place") + F.col("r.__start")).cast("long").alias(rank))
+    out = parts.alias("l").join(start.alias("r"), match)
+    return out.select(*[F.col(f"l.`{c}`") for c in df.columns], (F.col("l.__at") + F.col("r.__shift")).cast("long").alias(rank))

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voxelspark.llm.common import SPACE_WORD, cut, ranked, space_words, table
+from voxelspark.llm.common import SPACE_WORD, ranked, small, space_words, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -64,10 +64,7 @@ def copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float =
     row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole else []
     rows = docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("tie"), *row)
     place = ranked(rows, ["size", "doc_id", "tie"], "rank", ["source"])
-    if not whole:
-        place = cut(place)
-    sums = rows.groupBy("source").agg(F.sum("size").alias("source_size")) if whole else place.groupBy("source").agg(F.sum("size").alias("source_size"))
-    goal = targets(sums, weights, share, cap)
+    goal = small(targets(place.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap))
     both = place.alias("l").join(goal.alias("r"), F.col("l.source").eqNullSafe(F.col("r.source")))
     both = both.select("l.*", "r.source_size", "r.target")
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from voxelspark.llm import textscan as ts
-from voxelspark.llm.common import cut, table
+from voxelspark.llm.common import cut, small, table
 from voxelspark.llm.components import components
 
 CHUNKS, WIDTH = 10, 4
@@ -252,5 +252,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
 
+def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, with all their columns, but for those of a near-duplicate group other
+    than its smallest doc_id.  Rows that repeat an id leave one row; null ids are all kept."""
+    found = near_duplicates(docs, size, percent)
+    gone = small(found.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct(), BROADCAST_NODES)
+    kept = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
+    twice = small(docs.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__twice")).count().filter("count > 1").select("__twice"), BROADCAST_NODES)
+    if not twice.limit(1).count():
+        return kept
+    again = kept.join(twice, kept["doc_id"] == F.col("__twice"), "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, kept["doc_id"] == F.col("__twice"), "left_anti").union(again)
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4)

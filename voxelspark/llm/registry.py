@@ -1,6 +1,7 @@
 """The corpus queries by name, and SQL for those that SQL can express."""
 
-from voxelspark.llm import mixing, neardup, sharding, topk, toxicity
+import corpus_pipeline
+from voxelspark.llm import decontaminate, mixing, neardup, sharding, topk, toxicity
 
 QUERIES = {
     "op5_toxicity": toxicity.op5_toxicity,
@@ -8,6 +9,8 @@ QUERIES = {
     "op7_top_k": topk.op7_top_k,
     "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_shards": sharding.op9_shards,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {

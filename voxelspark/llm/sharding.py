@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelspark.llm.common import cut, ranked, table
+from voxelspark.llm.common import ranked, table
 
 SHARDS = 8
 SEED = 20_240_607
@@ -80,8 +80,8 @@ def shards(df: DataFrame, count: int = SHARDS, seed: int = SEED, whole: bool = T
     row = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if whole else []
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = df.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), *row)
-    numbered = cut(ranked(rows, ["doc_id", "text_crc32", "size"], "number")) if not whole else ranked(rows, ["doc_id", "text_crc32", "size"], "number")
-    n = df.count() if whole else numbered.count()
+    numbered = ranked(rows, ["doc_id", "text_crc32", "size"], "number")
+    n = numbered.count()
 
     @F.pandas_udf("long")
     def place(number: pd.Series) -> pd.Series:

@@ -204,22 +204,34 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
     return Model(vocabulary, weights, bias)
 
 
+def _values(column: pa.Array, model: Model) -> np.ndarray:
+    if not model.fitted:
+        return np.zeros(len(column))
+    row, at = known(*terms(column), model.vocabulary)
+    z = np.bincount(row, weights=model.weights[at], minlength=len(column)) + model.bias
+    return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, text) -> (doc_id, score)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in ts.blocks(batches, "text"):
-            if model.fitted:
-                row, at = known(*terms(part.column("text")), model.vocabulary)
-                z = np.bincount(row, weights=model.weights[at], minlength=part.num_rows) + model.bias
-                value = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-            else:
-                value = np.zeros(part.num_rows)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(value)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_values(part.column("text"), model))], ["doc_id", "score"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
 
 
+def accepted(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score below the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in ts.blocks(batches, "text"):
+            yield part.filter(pa.array(_values(part.column("text"), model) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = fit(docs, labels.filter(~held_out(F.col("doc_id"))))
