@@ -1,9 +1,11 @@
 """The corpus queries by name, and SQL for those that SQL can express."""
 
 import corpus_pipeline
-from voxelspark.llm import decontaminate, mixing, neardup, sharding, topk, toxicity
+from voxelspark.llm import decontaminate, lmscore, mixing, neardup, sharding, tokencount, topk, toxicity
 
 QUERIES = {
+    "op1_lm_score": lmscore.op1_lm_score,
+    "op4_token_counts": tokencount.op4_token_counts,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_mix_sources": mixing.op6_mix_sources,
     "op7_top_k": topk.op7_top_k,
