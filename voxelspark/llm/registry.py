@@ -1,10 +1,12 @@
 """The corpus queries by name, and SQL for those that SQL can express."""
 
 import corpus_pipeline
-from voxelspark.llm import decontaminate, lmscore, mixing, neardup, sharding, tokencount, topk, toxicity
+from voxelspark.llm import decontaminate, licenses, linededup, lmscore, mixing, neardup, sharding, tokencount, topk, toxicity
 
 QUERIES = {
     "op1_lm_score": lmscore.op1_lm_score,
+    "op2_license_scan": licenses.op2_license_scan,
+    "op3_line_dedup": linededup.op3_line_dedup,
     "op4_token_counts": tokencount.op4_token_counts,
     "op5_toxicity": toxicity.op5_toxicity,
     "op6_mix_sources": mixing.op6_mix_sources,
@@ -16,6 +18,8 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op2_license_scan": licenses.ORACLE,
+    "op3_line_dedup": linededup.ORACLE,
     "op6_mix_sources": mixing.ORACLE,
     "op7_top_k": topk.ORACLE,
     "op9_shards": sharding.ORACLE,
