@@ -1,4 +1,612 @@
 """Registered queries of the imaging operators and their SQL counterparts."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from voxelspark import views
+from voxelspark.functions import scalars as S
+from voxelspark.operators import boxes, camera, components, constraints, density, knn, labels, mesh, overlap, reconcile, resample, select, tiling, workflow
+from voxelspark.plans import greedy_sql
+from voxelspark.streaming import stages
+from voxelspark.views import DECISION, DENSE, FACE, NX, NY, NZ, PATCH, PTS, VERTEX, VOX
+
+QUERIES: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+SHAPE = (NZ, NY, NX)
+WINDOWS = ((1, 1, 1), (1, 2, 2), (2, 2, 2))
+PATCH_SHAPE = (1, 2, 2)
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# Grids -----------------------------------------------------------------------------------------
+
+
+@query("""
+WITH a(ax, n, p, s) AS (VALUES ('z', 7, 2, 1), ('y', 64, 16, 8), ('x', 60, 16, 12)),
+st AS (SELECT ax, n, p, v AS s0 FROM a, range(0, 64) r(v) WHERE (v % s = 0 AND v + p <= n) OR v = n - p),
+g AS (SELECT ax, s0, least(s0 + p, n) AS s1, row_number() OVER (PARTITION BY ax ORDER BY s0) - 1 AS i, count(*) OVER (PARTITION BY ax) AS c FROM st)
+SELECT CAST((z.i * y.c + y.i) * x.c + x.i AS BIGINT) AS patch_id, CAST(z.i AS INT) AS gz, CAST(y.i AS INT) AS gy, CAST(x.i AS INT) AS gx,
+  CAST(z.s0 AS BIGINT) AS z0, CAST(z.s1 AS BIGINT) AS z1, CAST(y.s0 AS BIGINT) AS y0, CAST(y.s1 AS BIGINT) AS y1, CAST(x.s0 AS BIGINT) AS x0, CAST(x.s1 AS BIGINT) AS x1
+FROM g z, g y, g x WHERE z.ax = 'z' AND y.ax = 'y' AND x.ax = 'x'""")
+def patch_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.patch_manifest(spark, (7, 64, 60), (2, 16, 16), (1, 8, 12), "align_end")
+
+
+def _windows(nz: int | str) -> str:
+    return f"""(SELECT row_number() OVER (ORDER BY size_id, gz, gy, gx) - 1 AS ord, * FROM (
+  SELECT w.size_id, CAST(z.v AS INT) AS gz, CAST(y.v AS INT) AS gy, CAST(x.v AS INT) AS gx, w.wz, w.wy, w.wx,
+    z.v AS z0, z.v + w.wz AS z1, y.v * 2 AS y0, (y.v + w.wy) * 2 AS y1, x.v * 2 AS x0, (x.v + w.wx) * 2 AS x1, CAST(w.wz * w.wy * w.wx * 4 AS BIGINT) AS cost
+  FROM (VALUES (0, 1, 1, 1), (1, 1, 2, 2), (2, 2, 2, 2)) w(size_id, wz, wy, wx), range(0, 1000) z(v), range(0, 10) y(v), range(0, 10) x(v)
+  WHERE z.v + w.wz <= {nz} AND y.v + w.wy <= 10 AND x.v + w.wx <= 10) t)"""
+
+
+@query(f"SELECT * FROM {_windows(5)}")
+def candidate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.candidate_windows(spark, (5, 10, 10), WINDOWS, PATCH_SHAPE, PATCH_SHAPE)
+
+
+GUARDS = "(VALUES (1, 2, 0, 20, 0, 20), (3, 5, 4, 9, 0, 7))"
+
+
+@query(f"""SELECT c.size_id, count(*) AS n FROM {_windows(5)} c WHERE NOT EXISTS (
+  SELECT 1 FROM {GUARDS} g(z0, z1, y0, y1, x0, x1) WHERE c.z0 < g.z1 AND g.z0 < c.z1 AND c.y0 < g.y1 AND g.y0 < c.y1 AND c.x0 < g.x1 AND g.x0 < c.x1) GROUP BY 1""")
+def candidate_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    guards = spark.createDataFrame([(1, 2, 0, 20, 0, 20), (3, 5, 4, 9, 0, 7)], "z0 long, z1 long, y0 long, y1 long, x0 long, x1 long")
+    kept = boxes.without(candidate_windows(spark, sf_dir), guards)
+    return kept.groupBy("size_id").agg(F.count("*").alias("n"))
+
+
+@query("""
+WITH t AS (
+  SELECT z.v AS z, y.v AS y, x.v AS x FROM range(0, 25, 12) z(v), range(0, 260, 96) y(v), range(0, 270, 96) x(v)),
+n AS (SELECT *, row_number() OVER (ORDER BY z, y, x) - 1 AS i, least(z + 12, 25) AS ze, least(y + 96, 260) AS ye, least(x + 96, 270) AS xe FROM t)
+SELECT 'tile_' || lpad(i::VARCHAR, 5, '0') AS tile_id, z AS z0, ze AS z1, y AS y0, ye AS y1, x AS x0, xe AS x1,
+  greatest(z - 4, 0) AS rz0, least(ze + 4, 25) AS rz1, greatest(y - 16, 0) AS ry0, least(ye + 16, 260) AS ry1, greatest(x - 16, 0) AS rx0, least(xe + 16, 270) AS rx1 FROM n""")
+def tile_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.tile_plan(spark, (25, 260, 270), (12, 96, 96), (4, 16, 16))
+
+
+@query(f"SELECT CAST(z // 2 AS INT) AS cz, CAST(y // 10 AS INT) AS cy, CAST(x // 12 AS INT) AS cx, count(*) AS n, CAST(sum(pred) AS BIGINT) AS total FROM {VOX} GROUP BY 1, 2, 3")
+def chunk_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.chunk_of(views.vox(spark, sf_dir), (2, 10, 12)).groupBy("cz", "cy", "cx").agg(F.count("*").alias("n"), F.sum("pred").alias("total"))
+
+
+JOBS = [("a", "z", 1000.0, 40.0), ("a", "y", 2080.0, 8.0), ("b", "z", 100.0, 40.0), ("b", "y", 9.0, 32.0), ("c", "z", 220.0, 40.0), ("c", "y", 300.0, 40.0)]
+
+
+@query(f"""WITH j(job, axis, extent, target) AS (VALUES {', '.join(f"('{a}', '{b}', {c}::DOUBLE, {d}::DOUBLE)" for a, b, c, d in JOBS)}),
+c AS (SELECT *, CAST(greatest(1, round_even(extent / target, 0)) AS BIGINT) AS cells FROM j)
+SELECT *, cells * target - extent AS end_error,
+  max(abs(cells * target - extent)) OVER (PARTITION BY job) <= max(target) OVER (PARTITION BY job) * 0.51::DOUBLE AS ok FROM c""")
+def model_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.model_grid(spark.createDataFrame(JOBS, "job string, axis string, extent double, target double"))
+
+
+# Neighbours and selection -----------------------------------------------------------------------
+
+
+def _near(spark: SparkSession, sf_dir: str, metric: str = "euclidean", k: int = 10) -> DataFrame:
+    vectors = views.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return knn.neighbours(vectors, k, metric)
+
+
+def _knn_sql(distance: str) -> str:
+    return f"""(SELECT id, neighbour, place FROM (SELECT q.vec_id AS id, c.vec_id AS neighbour, CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY {distance}, c.vec_id) AS INT) AS place
+  FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings) q, (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings) c) t WHERE place <= 10)"""
+
+
+@query(f"SELECT * FROM {_knn_sql('list_distance(q.e, c.e)')}")
+def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near(spark, sf_dir).select("id", "neighbour", "place")
+
+
+@query(f"SELECT * FROM {_knn_sql('list_cosine_distance(q.e, c.e)')}")
+def knn_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _near(spark, sf_dir, "cosine").select("id", "neighbour", "place")
+
+
+@query(f"""SELECT a.label, count(*) AS pairs, CAST(count(*) FILTER (WHERE a.label = b.label) AS BIGINT) AS agree
+FROM {_knn_sql('list_distance(q.e, c.e)')} k JOIN embeddings a ON a.vec_id = k.id JOIN embeddings b ON b.vec_id = k.neighbour GROUP BY 1""")
+def knn_label_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = views.table(spark, sf_dir, "embeddings")
+    both = _near(spark, sf_dir).join(e.select(F.col("vec_id").alias("id"), "label"), "id").join(e.select(F.col("vec_id").alias("neighbour"), F.col("label").alias("other")), "neighbour")
+    return both.groupBy("label").agg(F.count("*").alias("pairs"), F.count_if(F.col("label") == F.col("other")).alias("agree"))
+
+
+def _coverage_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    grid = (views.table(spark, sf_dir, "embeddings").count() // 100, 10, 10)
+    c = tiling.candidate_windows(spark, grid, WINDOWS, PATCH_SHAPE, PATCH_SHAPE)
+    return c, tiling.membership(c, grid), _near(spark, sf_dir).select("id", "neighbour")
+
+
+@query(greedy_sql.steps(_windows("(SELECT count(*) // 100 FROM embeddings)"), _knn_sql("list_distance(q.e, c.e)"), 100, 0.75, 1))
+def coverage_first_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return select.greedy(*_coverage_inputs(spark, sf_dir), budget=100, most=1, alpha=0.75).select("rank", "ord", "gain", "cost")
+
+
+@query(greedy_sql.steps(_windows("(SELECT count(*) // 100 FROM embeddings)"), _knn_sql("list_distance(q.e, c.e)"), 100, 0.75, 5))
+def coverage_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return select.greedy(*_coverage_inputs(spark, sf_dir), budget=100, most=5, alpha=0.75).select("rank", "ord", "gain", "cost")
+
+
+# Comparing labelings ------------------------------------------------------------------------------
+
+_CONFUSION = """(SELECT count(*) FILTER (WHERE pred > 0 AND {t} > 0) AS tp, count(*) FILTER (WHERE pred > 0 AND {t} = 0) AS fp, count(*) FILTER (WHERE pred = 0 AND {t} > 0) AS fn FROM {v})"""
+_FOREGROUND = """SELECT {lead} tp, fp, fn, CASE WHEN 2 * tp + fp + fn = 0 THEN 1 ELSE 2.0::DOUBLE * tp / (2 * tp + fp + fn) END::DOUBLE AS dice,
+  CASE WHEN tp + fp + fn = 0 THEN 1 ELSE tp::DOUBLE / (tp + fp + fn) END::DOUBLE AS iou,
+  CASE WHEN tp + fp > 0 THEN tp::DOUBLE / (tp + fp) WHEN tp + fn = 0 THEN 1 ELSE 0 END::DOUBLE AS "precision",
+  CASE WHEN tp + fn > 0 THEN tp::DOUBLE / (tp + fn) ELSE 1 END::DOUBLE AS recall FROM {c}"""
+
+
+@query(_FOREGROUND.format(lead="", c=_CONFUSION.format(t="truth", v=VOX)))
+def foreground_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.foreground_metrics(views.vox(spark, sf_dir))
+
+
+@query(_FOREGROUND.format(lead="", c=_CONFUSION.format(t="poor", v=VOX)))
+def profile_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.foreground_metrics(views.vox(spark, sf_dir), "pred", "poor")
+
+
+def _pairs_sql(p: str = "pred", t: str = "truth", v: str = VOX) -> str:
+    return f"""(SELECT a.p AS pred, a.t AS truth, a.n, CAST(b.n AS BIGINT) AS size_pred, CAST(c.n AS BIGINT) AS size_truth, a.n::DOUBLE / (b.n + c.n - a.n) AS iou
+  FROM (SELECT {p} AS p, {t} AS t, count(*) AS n FROM {v} WHERE {p} > 0 AND {t} > 0 GROUP BY 1, 2) a
+  JOIN (SELECT {p} AS p, count(*) AS n FROM {v} WHERE {p} > 0 GROUP BY 1) b ON a.p = b.p JOIN (SELECT {t} AS t, count(*) AS n FROM {v} WHERE {t} > 0 GROUP BY 1) c ON a.t = c.t)"""
+
+
+@query(f"SELECT * FROM {_pairs_sql()}")
+def pair_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.pair_overlap(views.vox(spark, sf_dir))
+
+
+@query(f"SELECT pred, truth, n, iou FROM {_pairs_sql()} WHERE iou >= 0.6")
+def instance_match_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.match_strict(overlap.pair_overlap(views.vox(spark, sf_dir)), 0.6).select("pred", "truth", "n", "iou")
+
+
+@query(greedy_sql.matches(_pairs_sql("pred", "(pred * x) % 4", VOX), 0.05, 5))
+def greedy_match_low_thr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.vox(spark, sf_dir).withColumn("other", F.col("pred") * F.col("x") % 4)
+    return overlap.match_greedy(overlap.pair_overlap(v, "pred", "other"), 0.05)
+
+
+@query(f"""WITH s AS (SELECT 'pred' AS name, {_FOREGROUND.format(lead='', c=_CONFUSION.format(t='truth', v=VOX)).split('SELECT', 1)[1].replace('iou,', 'iou,', 1)}
+  UNION ALL SELECT 'poor' AS name, {_FOREGROUND.format(lead='', c=_CONFUSION.format(t='truth', v='(SELECT poor AS pred, truth FROM ' + VOX + ')')).split('SELECT', 1)[1]})
+SELECT name, dice AS score, CAST(row_number() OVER (ORDER BY dice DESC, name) AS INT) AS rank FROM s""")
+def candidate_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.vox(spark, sf_dir)
+    scores = [overlap.foreground_metrics(v, name).select(F.lit(name).alias("name"), F.col("dice").alias("score")) for name in ("pred", "poor")]
+    return overlap.rank_candidates(scores[0].unionByName(scores[1]))
+
+
+@query(f"""WITH p AS (SELECT pred AS p, truth AS t, count(*)::DOUBLE AS n FROM {VOX} WHERE truth > 0 GROUP BY 1, 2),
+s AS (SELECT *, sum(n) OVER (PARTITION BY p) AS np, sum(n) OVER (PARTITION BY t) AS nt, sum(n) OVER () AS total FROM p)
+SELECT round(sum(-n / total * log2(n / nt)), 9) AS vi_split, round(sum(-n / total * log2(n / np)), 9) AS vi_merge, round(1 - 2 * sum(n * n) / (sum(n * np) + sum(n * nt)), 9) AS arand_error FROM s""")
+def vi_arand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = overlap.information(views.vox(spark, sf_dir))
+    return out.select(*[F.round(c, 9).alias(c) for c in out.columns])
+
+
+@query(f"""WITH h AS (SELECT z, y, x, pred AS a FROM {VOX} WHERE pred > 0), s AS (SELECT z, a, count(*) AS n FROM h GROUP BY 1, 2),
+p AS (SELECT h.z, h.a, g.a AS b, count(*) AS n FROM h JOIN h g ON g.z = h.z + 1 AND g.y = h.y AND g.x = h.x GROUP BY 1, 2, 3)
+SELECT p.z, p.a, p.b, p.n, p.n::DOUBLE / (s.n + t.n - p.n) AS iou, p.n::DOUBLE / least(s.n, t.n) AS ioa FROM p JOIN s ON s.z = p.z AND s.a = p.a JOIN s t ON t.z = p.z + 1 AND t.a = p.b""")
+def slice_match_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.slice_edges(views.vox(spark, sf_dir))
+
+
+@query(f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY pred ORDER BY iou DESC, truth DESC) AS k FROM {_pairs_sql('pred', 'truth')})
+SELECT a.pred, a.truth AS best, b.truth AS second, a.iou AS best_iou, b.iou AS second_iou, coalesce(a.iou - b.iou < 0.05, false) AS ambiguous
+FROM r a LEFT JOIN r b ON b.pred = a.pred AND b.k = 2 WHERE a.k = 1""")
+def ambiguity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.ambiguities(overlap.pair_overlap(views.vox(spark, sf_dir)))
+
+
+# Label statistics -----------------------------------------------------------------------------------
+
+
+@query(f"SELECT pred AS label, count(*) AS n FROM {VOX} GROUP BY 1")
+def label_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.histogram(views.vox(spark, sf_dir))
+
+
+@query(f"SELECT CAST(raw AS BIGINT) AS label, count(*) AS n FROM {VOX} GROUP BY 1 ORDER BY 1 LIMIT 16")
+def value_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.vox(spark, sf_dir).withColumn("value", F.col("raw").cast("long"))
+    return labels.histogram(v, "value", 16)
+
+
+_BORDER = "z IN (0, 6) OR y IN (0, 63) OR x IN (0, 63)"
+_OBJECTS = f"(SELECT pred AS label, count(*) AS n, min(z) AS z0, max(z) AS z1, min(y) AS y0, max(y) AS y1, min(x) AS x0, max(x) AS x1, bool_or({_BORDER}) AS border, CAST(max(z) - min(z) + 1 AS BIGINT) AS z_span FROM {VOX} WHERE pred > 0 GROUP BY 1)"
+
+
+@query(f"SELECT * FROM {_OBJECTS}")
+def object_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.object_metrics(views.vox(spark, sf_dir), SHAPE)
+
+
+@query(f"SELECT count(*) AS objects, coalesce(min(n), 0) AS size_min, coalesce(median(n), 0)::DOUBLE AS size_median, coalesce(max(n), 0) AS size_max FROM {_OBJECTS}")
+def label_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.sizes(object_metrics(spark, sf_dir))
+
+
+@query(f"SELECT pred AS label, CAST(max(z) - min(z) + 1 AS BIGINT) AS z_span FROM {VOX} WHERE pred > 0 GROUP BY 1")
+def label_zspan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return object_metrics(spark, sf_dir).select("label", "z_span")
+
+
+@query(f"SELECT count(DISTINCT pred) AS border_objects FROM {VOX} WHERE pred > 0 AND ({_BORDER})")
+def border_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.vox(spark, sf_dir).filter((F.col("pred") > 0) & labels.on_border(SHAPE))
+    return v.agg(F.count_distinct("pred").alias("border_objects"))
+
+
+@query(f"""SELECT count(*) AS objects, coalesce(sum(n), 0)::DOUBLE / 28672 AS foreground_share, coalesce(min(n), 0) AS size_min, coalesce(median(n), 0)::DOUBLE AS size_median, coalesce(max(n), 0) AS size_max,
+  coalesce(min(z_span), 0) AS span_min, coalesce(median(z_span), 0)::DOUBLE AS span_median, coalesce(max(z_span), 0) AS span_max, count(*) FILTER (WHERE border) AS border_objects,
+  coalesce(sum(n) = 28672, false) AS "full", count(*) = 0 AS "empty" FROM {_OBJECTS}""")
+def descriptive_qc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.quality(views.vox(spark, sf_dir), SHAPE)
+
+
+@query(f"""SELECT z, y, x, pred AS label FROM (SELECT *, lag(pred) OVER (PARTITION BY z, x ORDER BY y) AS up, lag(pred) OVER (PARTITION BY z, y ORDER BY x) AS lft FROM {DENSE}) t
+WHERE pred > 0 AND (coalesce(up <> pred, false) OR coalesce(lft <> pred, false))""")
+def label_boundary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.boundary(views.dense(spark, sf_dir))
+
+
+_PLANES = f"(SELECT z AS plane, count(*) AS n FROM {VOX} WHERE pred > 0 OR truth > 0 GROUP BY 1)"
+
+
+@query(f"SELECT * FROM {_PLANES}")
+def union_foreground(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.union_foreground(views.vox(spark, sf_dir), ["pred", "truth"])
+
+
+@query(f"SELECT plane, n FROM {_PLANES} ORDER BY n DESC, abs(plane - 3), plane LIMIT 1")
+def best_slice_centre(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.best_slice(union_foreground(spark, sf_dir), NZ)
+
+
+@query(f"SELECT plane, n FROM {_PLANES} ORDER BY n DESC, plane LIMIT 1")
+def best_slice_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.best_slice(union_foreground(spark, sf_dir), NZ, centre=False)
+
+
+@query(f"SELECT z, y, x, median(raw) OVER (PARTITION BY y, x ORDER BY z ROWS BETWEEN 1 PRECEDING AND 1 FOLLOWING)::DOUBLE AS median FROM {DENSE}")
+def stack_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.stack_median(views.dense(spark, sf_dir), "raw").select("z", "y", "x", "median")
+
+
+@query(f"SELECT votes, count(*) AS n FROM (SELECT (CAST(pred > 0 AS INT) + CAST(truth > 0 AS INT) + CAST(poor > 1 AS INT)) AS votes FROM {VOX}) t WHERE votes >= 2 GROUP BY 1")
+def plane_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.vox(spark, sf_dir).withColumn("third", (F.col("poor") > 1).cast("int"))
+    return labels.plane_vote(v, ["pred", "truth", "third"]).groupBy("votes").agg(F.count("*").alias("n"))
+
+
+@query(f"SELECT z, y, x, pred FROM {VOX} WHERE pred IN (SELECT pred FROM {VOX} WHERE pred > 0 GROUP BY 1 HAVING count(*) >= 4000 AND max(z) - min(z) + 1 >= 3)")
+def size_span_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return labels.size_span_filter(views.vox(spark, sf_dir), 4000, 3).select("z", "y", "x", "pred")
+
+
+_BLOB = "(SELECT i AS node, CAST(i // 32 AS INT) AS y, CAST(i % 32 AS INT) AS x FROM range(1024) r(i) WHERE (i // 32 // 4 + 2 * (i % 32 // 4)) % 3 = 0 OR i // 32 // 4 = 3)"
+
+
+@query(f"""WITH RECURSIVE b AS MATERIALIZED {_BLOB},
+e AS MATERIALIZED (SELECT p.node AS s, q.node AS t FROM b p JOIN b q ON abs(p.y - q.y) + abs(p.x - q.x) = 1),
+r(root, node) AS (SELECT node, node FROM b UNION SELECT r.root, e.t FROM r JOIN e ON e.s = r.node),
+m AS (SELECT node, min(root) AS component FROM r GROUP BY 1)
+SELECT component, count(*) AS n FROM m GROUP BY 1""")
+def components_blob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("id")
+    a, b = F.floor(F.floor(i / 32) / 4), F.floor(i % 32 / 4)
+    cells = spark.range(1024).filter(((a + 2 * b) % 3 == 0) | (a == 3)).select(i.alias("node"), F.lit(0).alias("z"), F.floor(i / 32).cast("int").alias("y"), (i % 32).cast("int").alias("x"))
+    found = components.connected(cells.select("node"), components.face_edges(cells, "yx"))
+    return found.groupBy("component").agg(F.count("*").alias("n"))
+
+
+# Densities and intensities -----------------------------------------------------------------------------
+
+_BINS = f"""(SELECT by_ // 2 AS "by", bx // 2 AS bx, count(*) FILTER (WHERE valid) AS valid, count(*) FILTER (WHERE valid AND positive) AS positive,
+  CASE WHEN count(*) FILTER (WHERE valid) = 0 THEN 0 ELSE 100.0::DOUBLE * count(*) FILTER (WHERE valid AND positive) / count(*) FILTER (WHERE valid) END::DOUBLE AS percent FROM {PTS} GROUP BY 1, 2)"""
+
+
+@query(f"SELECT * FROM {_BINS}")
+def density_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density.binned(views.pts(spark, sf_dir), "by_", "bx", 2, F.col("valid"), F.col("positive"))
+
+
+@query(f"SELECT greatest(coalesce(quantile_cont(percent, 0.99), 1), 0.01)::DOUBLE AS vmax FROM {_BINS} WHERE percent > 0")
+def density_vmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density.display_limit(density_bins(spark, sf_dir))
+
+
+@query(f"""WITH r(name, z0, z1, y0, y1, x0, x1) AS (VALUES ('core', 1, 4, 10, 50, 10, 50), ('edge', 0, 7, 0, 8, 0, 64), ('none', 0, 1, 64, 70, 0, 4)),
+o AS (SELECT r.name, count(v.z) FILTER (WHERE raw > 5) AS valid, count(v.z) FILTER (WHERE raw > 5 AND pred = 2) AS positive
+  FROM r LEFT JOIN {VOX} v ON v.z >= r.z0 AND v.z < r.z1 AND v.y >= r.y0 AND v.y < r.y1 AND v.x >= r.x0 AND v.x < r.x1 GROUP BY 1)
+SELECT *, CASE WHEN valid = 0 THEN 0 ELSE 100.0::DOUBLE * positive / valid END::DOUBLE AS percent FROM o""")
+def roi_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = [("core", 1, 4, 10, 50, 10, 50), ("edge", 0, 7, 0, 8, 0, 64), ("none", 0, 1, 64, 70, 0, 4)]
+    regions = spark.createDataFrame(rows, "name string, z0 int, z1 int, y0 int, y1 int, x0 int, x1 int")
+    return density.occupancy(views.vox(spark, sf_dir), regions, F.col("pred") == 2, F.col("raw") > 5)
+
+
+@query(f"""SELECT z, y, x, least(greatest((raw - q[1]) / (q[2] - q[1]), 0), 1)::DOUBLE AS scaled FROM {VOX}, (SELECT quantile_cont(raw, [0.01, 0.99]) AS q FROM {VOX}) t""")
+def robust_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density.normalised(views.vox(spark, sf_dir), "raw").select("z", "y", "x", "scaled")
+
+
+@query(f"""WITH r AS (SELECT z, y, x, sum(raw) OVER w AS s, sum(raw * raw) OVER w AS q, count(*) OVER w AS n FROM {DENSE} WINDOW w AS (PARTITION BY z, y ORDER BY x ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
+c AS (SELECT z, y, x, sum(s) OVER w AS s, sum(q) OVER w AS q, sum(n) OVER w AS n FROM r WINDOW w AS (PARTITION BY z, x ORDER BY y ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))
+SELECT z, y, x, round(s / n, 6) AS mean, round(sqrt(greatest(q / n - (s / n) * (s / n), 0)), 6) AS std FROM c""")
+def box_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density.box_mean(views.dense(spark, sf_dir), "raw", 2).select("z", "y", "x", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+_SIGMA = 1.25
+_TAPS = ", ".join(f"({i - 5}, {w!r}::DOUBLE)" for i, w in enumerate(density.gaussian_weights(_SIGMA)))
+
+
+@query(f"""WITH g AS (SELECT y AS by_, x AS bx, sum(raw) AS v FROM {DENSE} WHERE z < 2 GROUP BY 1, 2), k(d, w) AS (VALUES {_TAPS}),
+m AS (SELECT by_ AS at, d, w, CASE WHEN abs(by_ + d) > 63 THEN 126 - abs(by_ + d) ELSE abs(by_ + d) END AS src FROM (SELECT DISTINCT by_ FROM g) a, k),
+r AS (SELECT m.at AS by_, g.bx, sum(m.w * g.v) AS v FROM m JOIN g ON g.by_ = m.src GROUP BY 1, 2),
+c AS (SELECT r.by_, m.at AS bx, sum(m.w * r.v) AS v FROM m JOIN r ON r.bx = m.src GROUP BY 1, 2)
+SELECT by_ AS "by", bx, round(v, 6) AS blurred FROM c""")
+def gaussian_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grid = views.dense(spark, sf_dir).filter("z < 2").groupBy(F.col("y").alias("by"), F.col("x").alias("bx")).agg(F.sum("raw").alias("v"))
+    return density.blur(grid, "v", (NY, NX), _SIGMA).withColumn("blurred", F.round("blurred", 6))
+
+
+@query("""WITH q AS (SELECT quantile_cont(user_id, [0.25, 0.5, 0.75]) AS c FROM (SELECT CAST(user_id AS DOUBLE) AS user_id, value FROM events)),
+b AS (SELECT event_id, CAST(user_id AS DOUBLE) AS user_id, value, CAST(len(list_filter(q.c, lambda v: v < user_id)) AS INT) AS band FROM events, q)
+SELECT band, user_id, value FROM b QUALIFY row_number() OVER (PARTITION BY band ORDER BY value DESC, user_id, event_id) = 1""")
+def quantile_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = views.table(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("double").alias("user_id"), "value")
+    return density.bands(p, "user_id", "value", 4).select("band", "user_id", "value")
+
+
+# Resampling --------------------------------------------------------------------------------------------
+
+
+@query(f"""SELECT CAST(tz.v AS INT) AS z, CAST(ty.v AS INT) AS y, CAST(tx.v AS INT) AS x, s.pred FROM range(5) tz(v), range(48) ty(v), range(96) tx(v), {VOX} s
+WHERE s.z = least(tz.v * 7 // 5, 6) AND s.y = least(ty.v * 64 // 48, 63) AND s.x = least(tx.v * 64 // 96, 63)""")
+def nearest_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.nearest(views.vox(spark, sf_dir), SHAPE, (5, 48, 96), ["pred"])
+
+
+@query(f"""WITH t AS (SELECT v AS "to", CAST(floor(v * (63.0::DOUBLE / 39)) AS INT) AS lo, v * (63.0::DOUBLE / 39) - floor(v * (63.0::DOUBLE / 39)) AS w FROM range(40) r(v)), d AS MATERIALIZED {DENSE}
+SELECT a.z, a.y, CAST(t."to" AS INT) AS x, round(a.raw * (1 - t.w) + b.raw * t.w, 6) AS raw FROM t JOIN d a ON a.x = t.lo JOIN d b ON b.z = a.z AND b.y = a.y AND b.x = least(t.lo + 1, 63)""")
+def linear_zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.linear(views.dense(spark, sf_dir), "raw", "x", NX, 40).select("z", "y", "x", F.round("raw", 6).alias("raw"))
+
+
+@query(f"SELECT z, CAST(y // 4 AS INT) AS y, CAST(x // 4 AS INT) AS x, round(avg(raw), 9) AS raw FROM {DENSE} GROUP BY 1, 2, 3")
+def area_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = resample.block_mean(views.dense(spark, sf_dir), "raw", 4)
+    return out.withColumn("raw", F.round("raw", 9))
+
+
+MIPS = [("raw", 0, 8.0), ("raw", 1, 16.0), ("raw", 2, 32.0), ("mask", 0, 32.0), ("mask", 1, 64.0), ("mask", 3, 256.0)]
+TARGETS = [("raw", 20.0), ("mask", 128.0)]
+
+
+@query(f"""WITH m(name, mip, resolution) AS (VALUES {', '.join(f"('{a}', {b}, {c}::DOUBLE)" for a, b, c in MIPS)}), t(name, target) AS (VALUES {', '.join(f"('{a}', {b}::DOUBLE)" for a, b in TARGETS)})
+SELECT name, target, mip, resolution FROM m JOIN t USING (name) QUALIFY row_number() OVER (PARTITION BY name ORDER BY abs(ln(resolution / target)), mip) = 1""")
+def mip_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.choose_mip(spark.createDataFrame(MIPS, "name string, mip int, resolution double"), spark.createDataFrame(TARGETS, "name string, target double"))
+
+
+@query(f"""SELECT r.z, r.y, r.x, coalesce(l.pred, 0) AS label FROM (SELECT z, y, x, CAST(floor((z + 0.5) * 8 / 8) AS INT) AS lz, CAST(floor((y + 0.5) * 8 / 12) AS INT) AS ly, CAST(floor((x + 0.5) * 8 / 12) AS INT) AS lx FROM {VOX}) r
+LEFT JOIN {VOX} l ON l.z = r.lz AND l.y = r.ly AND l.x = r.lx""")
+def physical_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.vox(spark, sf_dir)
+    return resample.aligned(v.select("z", "y", "x"), v.select("z", "y", "x", F.col("pred").alias("label")), (8.0, 8.0, 8.0), (8.0, 12.0, 12.0))
+
+
+@query(f"SELECT z, y, x, pred FROM {VOX} WHERE z >= 1 AND z < 4 AND y >= 8 AND y < 20 AND x >= 0 AND x < 32")
+def box_crop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boxes.crop(views.vox(spark, sf_dir), {"z": (1, 4), "y": (8, 20), "x": (0, 32)}).select("z", "y", "x", "pred")
+
+
+@query(f"SELECT v.z, v.y, CAST(t.x AS INT) AS x, v.pred FROM {VOX} v JOIN (SELECT v AS x, least(v, 63) AS src FROM range(70) r(v)) t ON t.src = v.x")
+def edge_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boxes.edge_pad(views.vox(spark, sf_dir).select("z", "y", "x", "pred"), "x", NX, 70)
+
+
+# Blocks -------------------------------------------------------------------------------------------------
+
+_BLOCKS = f"(SELECT 0 AS block, z, y, x, pred AS label FROM {VOX} WHERE x < 40 UNION ALL SELECT 1, z, y, x, truth FROM {VOX} WHERE x >= 24)"
+
+
+def _blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.vox(spark, sf_dir)
+    one = v.filter("x < 40").select(F.lit(0).alias("block"), "z", "y", "x", F.col("pred").alias("label"))
+    return one.unionByName(v.filter("x >= 24").select(F.lit(1).alias("block"), "z", "y", "x", F.col("truth").alias("label")))
+
+
+@query(f"""WITH b AS {_BLOCKS}, o AS (SELECT l.block AS block_a, l.label AS a, r.block AS block_b, r.label AS b FROM b l JOIN b r ON l.z = r.z AND l.y = r.y AND l.x = r.x AND l.block < r.block),
+n AS (SELECT block_a, a, block_b, b, count(*) AS n FROM o GROUP BY ALL),
+s AS (SELECT *, sum(n) OVER (PARTITION BY block_a, block_b, a) AS sa, sum(n) OVER (PARTITION BY block_a, block_b, b) AS sb FROM n)
+SELECT block_a, a, block_b, b, n, n::DOUBLE / (sa + sb - n) AS iou, n::DOUBLE / sa AS share_a, n::DOUBLE / sb AS share_b FROM s WHERE a > 0 AND b > 0""")
+def tile_reconcile_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reconcile.block_overlaps(_blocks(spark, sf_dir))
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT l.label AS a, r.label AS b FROM {_BLOCKS} l JOIN {_BLOCKS} r ON l.z = r.z AND l.y = r.y AND l.x = r.x AND l.block < r.block),
+n AS (SELECT a, b, count(*) AS n FROM o GROUP BY ALL), s AS (SELECT *, sum(n) OVER (PARTITION BY a) AS sa, sum(n) OVER (PARTITION BY b) AS sb FROM n),
+e AS MATERIALIZED (SELECT a AS s, b + 4294967296 AS t FROM s WHERE a > 0 AND b > 0 AND n::DOUBLE / (sa + sb - n) >= 0.3),
+d AS MATERIALIZED (SELECT s, t FROM e UNION ALL SELECT t, s FROM e),
+v AS (SELECT DISTINCT block::BIGINT * 4294967296 + label AS node, block, label FROM {_BLOCKS} WHERE label > 0),
+r(root, node) AS (SELECT node, node FROM v UNION SELECT r.root, d.t FROM r JOIN d ON d.s = r.node),
+m AS (SELECT node, min(root) AS component FROM r GROUP BY 1), k AS (SELECT component, row_number() OVER (ORDER BY component) AS id FROM (SELECT DISTINCT component FROM m))
+SELECT v.block, v.label, k.id FROM v JOIN m USING (node) JOIN k USING (component)""")
+def reconcile_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    b = _blocks(spark, sf_dir)
+    edges = reconcile.merge_edges(reconcile.block_overlaps(b), iou=0.3, share=2.0)
+    return reconcile.global_ids(b.filter("label > 0").select("block", "label").distinct(), edges)
+
+
+# Workflow ------------------------------------------------------------------------------------------------
+
+
+@query(f"""WITH p AS (SELECT doc_id AS candidate_id FROM documents WHERE doc_id % 2 = 0), d AS (SELECT * FROM {DECISION} WHERE candidate_id % 3 <> 0)
+SELECT candidate_id, CASE WHEN p.candidate_id IS NULL THEN 'extra' WHEN d.candidate_id IS NULL THEN 'missing' ELSE decision END AS state FROM p FULL JOIN d USING (candidate_id)""")
+def review_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = views.table(spark, sf_dir, "documents").filter("doc_id % 2 = 0").select(F.col("doc_id").alias("candidate_id"))
+    return workflow.review(p, views.decision(spark, sf_dir).filter("candidate_id % 3 <> 0"))
+
+
+@query("""SELECT doc_id, 'missing' AS state FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels WHERE quality = 1) a
+UNION ALL SELECT doc_id, 'extra' FROM (SELECT doc_id FROM labels WHERE quality = 1 EXCEPT SELECT doc_id FROM documents) b""")
+def missing_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return workflow.missing_and_extra(views.table(spark, sf_dir, "documents"), views.table(spark, sf_dir, "labels").filter("quality = 1"), "doc_id")
+
+
+@query("SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
+def stage_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return workflow.latest(views.table(spark, sf_dir, "events"), ["user_id", "event_type"], "ts", "event_id").select("user_id", "event_type", "event_id", "value")
+
+
+NEEDS = [("purchase", "view"), ("purchase", "click"), ("click", "view")]
+
+
+@query(f"""WITH s AS (SELECT user_id AS project, event_type AS stage, CASE WHEN event_id % 3 = 0 THEN 'failed' ELSE 'completed' END AS status
+  FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1), n(stage, requires) AS (VALUES {', '.join(map(str, NEEDS))}),
+p AS (SELECT DISTINCT project FROM s)
+SELECT p.project, n.stage, bool_and(coalesce(s.status = 'completed', false)) AS "open" FROM p CROSS JOIN n LEFT JOIN s ON s.project = p.project AND s.stage = n.requires GROUP BY 1, 2""")
+def stage_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = workflow.latest(views.table(spark, sf_dir, "events"), ["user_id", "event_type"], "ts", "event_id")
+    status = F.when(F.col("event_id") % 3 == 0, "failed").otherwise("completed")
+    return workflow.gate(s.select(F.col("user_id").alias("project"), F.col("event_type").alias("stage"), status.alias("status")), spark.createDataFrame(NEEDS, "stage string, requires string"))
+
+
+RULES = [("plan", "grid.json"), ("plan", "tiles.json"), ("infer", "labels.npy"), ("verify", "report.json")]
+PRESENT = [("plan", "grid.json"), ("infer", "labels.npy"), ("infer", "log.txt")]
+
+
+@query(f"SELECT * FROM (VALUES {', '.join(map(str, RULES))}) r(stage, artifact) EXCEPT SELECT * FROM (VALUES {', '.join(map(str, PRESENT))}) p")
+def required_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return workflow.required(spark.createDataFrame(RULES, "stage string, artifact string"), spark.createDataFrame(PRESENT, "stage string, artifact string"))
+
+
+@query("""SELECT p_partkey AS base, beta, 'instance_' || p_partkey || '_b' || replace(beta, '.', 'p') AS job, 'out/' || p_partkey || '/' || replace(beta, '.', 'p') || '.npy' AS output
+FROM (SELECT p_partkey FROM part WHERE p_partkey < 20) a, (VALUES ('0.1'), ('0.25'), ('0.5')) b(beta)""")
+def sweep_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = views.table(spark, sf_dir, "part").filter("p_partkey < 20").select(F.col("p_partkey").alias("base"))
+    tag = S.beta_tag(F.col("beta"))
+    return workflow.sweep(base, spark.createDataFrame([("0.1",), ("0.25",), ("0.5",)], "beta string"), F.concat(F.lit("instance_"), "base", F.lit("_b"), tag), F.concat(F.lit("out/"), "base", F.lit("/"), tag, F.lit(".npy")))
+
+
+STATES = [(0, "title", 1.65), (1, "raw", 1.7), (2, "mask", 2.1), (3, "density", 1.8), (4, "fields", 2.55)]
+
+
+@query(f"""WITH s(position, name, seconds) AS (VALUES {', '.join(f"({a}, '{b}', {c}::DOUBLE)" for a, b, c in STATES)}),
+h AS (SELECT *, CAST(round_even(seconds * 24, 0) AS BIGINT) AS hold, CASE WHEN position > 0 THEN 8 ELSE 0 END AS gap FROM s),
+e AS (SELECT *, CAST(sum(hold + gap) OVER (ORDER BY position) AS BIGINT) - 1 AS last FROM h)
+SELECT position, name, hold, last - hold + 1 AS first, last, (last - hold + 1 + last) // 2 AS mid FROM e""")
+def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return camera.timeline(spark.createDataFrame(STATES, "position int, name string, seconds double"), 24.0)
+
+
+_U = "((f / 24.0::DOUBLE - a) / n)"
+_EASE = f"({_U} * {_U} * (3 - 2 * {_U}))"
+
+
+@query(f"""WITH s(k, kind, a, n, x0, y0, x1, y1, f0, f1, bump) AS (VALUES
+  (0, 'entry', 0.0::DOUBLE, 4.0::DOUBLE, 300000.0::DOUBLE, 275000.0::DOUBLE, 100000.0::DOUBLE, 200000.0::DOUBLE, 280000.0::DOUBLE, 200000.0::DOUBLE, 0.0::DOUBLE),
+  (1, 'hold', 4.0, 3.0, 100000.0, 200000.0, 100000.0, 200000.0, 200000.0, 200000.0, 0.0), (2, 'move', 7.0, 2.0, 100000.0, 200000.0, 500000.0, 350000.0, 200000.0, 200000.0, 0.35),
+  (3, 'hold', 9.0, 3.0, 500000.0, 350000.0, 500000.0, 350000.0, 200000.0, 200000.0, 0.0)),
+p AS (SELECT f AS frame, kind, x0, y0, x1, y1, f0, f1, bump, {_U} AS u, CASE WHEN kind = 'hold' THEN 0 ELSE {_EASE} END AS e FROM s, range(0, 288) r(f) WHERE f >= ceil(a * 24) AND f < ceil((a + n) * 24))
+SELECT frame, kind, round(x0 + (x1 - x0) * e, 3) AS x, round(y0 + (y1 - y0) * e, 3) AS y, round((f0 + (f1 - f0) * e) * (1 + 4 * u * (1 - u) * bump), 3) AS fov FROM p""")
+def camera_pose(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = camera.segments(spark, [(100000.0, 200000.0), (500000.0, 350000.0)], 200000.0, (300000.0, 275000.0, 1.4, 4.0), 3.0, 2.0, 0.35)
+    return camera.poses(s, 24.0).select("frame", "kind", *[F.round(c, 3).alias(c) for c in ("x", "y", "fov")])
+
+
+@query("""WITH w AS (SELECT p_partkey AS id, p_retailprice AS width FROM part), l(v) AS (VALUES (10.0::DOUBLE), (50.0), (100.0), (250.0), (500.0))
+SELECT w.id, coalesce(max(l.v) FILTER (WHERE l.v <= w.width * 0.28), max(w.width) * 0.2)::DOUBLE AS bar FROM w, l GROUP BY 1""")
+def scale_bar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = views.table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("id"), S.scale_bar(F.col("p_retailprice"), (10, 50, 100, 250, 500)).alias("bar"))
+
+
+@query("""WITH c AS (SELECT p_partkey AS id, CAST(1 + p_size % 12 AS INT) AS downsample, CAST(p_size % 13 AS INT) AS median_kernel, p_size / 40.0::DOUBLE AS threshold, p_size % 2 = 0 AS orthoplane, [40.0::DOUBLE, 8 + p_size, 8] AS voxel FROM part)
+SELECT id, unnest(list_filter([CASE WHEN downsample & (downsample - 1) <> 0 THEN 'downsample_power_of_two' END, CASE WHEN median_kernel NOT IN (1, 3, 5, 7, 9, 11) THEN 'median_kernel_odd' END,
+  CASE WHEN threshold NOT BETWEEN 0 AND 1 THEN 'threshold' END, CASE WHEN list_max(voxel) / list_min(voxel) > 2 AND orthoplane THEN 'anisotropy' END], lambda r: r IS NOT NULL)) AS rule FROM c""")
+def config_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = views.table(spark, sf_dir, "part")
+    size = F.col("p_size")
+    rows = p.select(F.col("p_partkey").alias("id"), (1 + size % 12).alias("downsample"), (size % 13).alias("median_kernel"), (size / 40.0).alias("threshold"), (size % 2 == 0).alias("orthoplane"), F.array(F.lit(40.0), (8 + size).cast("double"), F.lit(8.0)).alias("voxel"))
+    return constraints.violations(rows, constraints.profile_rules(), "id")
+
+
+# Meshes, colours, display -----------------------------------------------------------------------------------
+
+_CORNERS = f"(SELECT f.fid, f.a, f.b, f.c, b.x - a.x AS ux, b.y - a.y AS uy, b.z - a.z AS uz, c.x - a.x AS vx, c.y - a.y AS vy, c.z - a.z AS vz FROM {FACE} f JOIN {VERTEX} a ON a.vid = f.a JOIN {VERTEX} b ON b.vid = f.b JOIN {VERTEX} c ON c.vid = f.c)"
+_CROSS = f"(SELECT *, uy * vz - uz * vy AS nx, uz * vx - ux * vz AS ny, ux * vy - uy * vx AS nz FROM {_CORNERS})"
+
+
+@query(f"SELECT fid, round(sqrt(nx * nx + ny * ny + nz * nz) / 2, 6) AS area FROM {_CROSS}")
+def mesh_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mesh.areas(views.face(spark, sf_dir), views.vertex(spark, sf_dir)).withColumn("area", F.round("area", 6))
+
+
+@query(f"""SELECT (SELECT count(*) FROM {FACE}) AS faces, round((SELECT sum(sqrt(nx * nx + ny * ny + nz * nz) / 2) FROM {_CROSS}), 3) AS area, count(*) AS vertices,
+  max(x) - min(x) AS extent_x, max(y) - min(y) AS extent_y, max(z) - min(z) AS extent_z,
+  count(*) FILTER (WHERE vid NOT IN (SELECT a FROM {FACE} UNION SELECT b FROM {FACE} UNION SELECT c FROM {FACE})) AS orphans,
+  count(*) FILTER (WHERE vid NOT IN (SELECT a FROM {FACE} UNION SELECT b FROM {FACE} UNION SELECT c FROM {FACE})) = 0 AND max(x) > min(x) AND max(y) > min(y) AND max(z) > min(z) AS sound FROM {VERTEX}""")
+def mesh_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mesh.summary(views.face(spark, sf_dir), views.vertex(spark, sf_dir)).withColumn("area", F.round("area", 3))
+
+
+@query(f"""WITH s AS (SELECT vid, sum(nx) AS nx, sum(ny) AS ny, sum(nz) AS nz FROM (SELECT unnest([a, b, c]) AS vid, nx, ny, nz FROM {_CROSS}) GROUP BY 1)
+SELECT vid, round(nx / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-12), 6) + 0 AS nx, round(ny / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-12), 6) + 0 AS ny, round(nz / greatest(sqrt(nx * nx + ny * ny + nz * nz), 1e-12), 6) + 0 AS nz FROM s""")
+def mesh_normals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mesh.normals(views.face(spark, sf_dir), views.vertex(spark, sf_dir))
+    return out.select("vid", *[(F.round(c, 6) + 0).alias(c) for c in ("nx", "ny", "nz")])
+
+
+@query(f"SELECT label, round((label * 0.61803398875::DOUBLE) % 1, 9) AS hue FROM {_OBJECTS}")
+def label_colours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return object_metrics(spark, sf_dir).select("label", F.round(S.hue(F.col("label")), 9).alias("hue"))
+
+
+@query("""SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 6) AS total FROM events GROUP BY 1, 2""")
+def event_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = stages.windowed(views.table(spark, sf_dir, "events"))
+    return out.select("start", "event_type", "n", F.round("total", 6).alias("total"))
+
+
+@query("""WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events),
+s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n FROM s GROUP BY user_id, k""")
+def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stages.sessions(views.table(spark, sf_dir, "events"))
+
+
+@query(f"""WITH RECURSIVE o AS (SELECT event_id AS id, user_id::DOUBLE AS x, value AS y, row_number() OVER (ORDER BY md5('stops-1:' || event_id)) AS k FROM events),
+r(k, xs, ys, ids) AS (SELECT 0::BIGINT, []::DOUBLE[], []::DOUBLE[], []::BIGINT[] UNION ALL
+  SELECT nk, CASE WHEN ok THEN list_append(xs, nx) ELSE xs END, CASE WHEN ok THEN list_append(ys, ny) ELSE ys END, CASE WHEN ok THEN list_append(ids, ni) ELSE ids END
+  FROM (SELECT r.xs, r.ys, r.ids, o.k AS nk, o.x AS nx, o.y AS ny, o.id AS ni,
+    len(list_filter(list_zip(r.xs, r.ys), lambda p: (p[1] - o.x) * (p[1] - o.x) + (p[2] - o.y) * (p[2] - o.y) < 400)) = 0 AS ok FROM r JOIN o ON o.k = r.k + 1 WHERE len(r.ids) < 4) o2)
+SELECT CAST(i AS INT) AS rank, ids[i] AS id, xs[i] AS x, ys[i] AS y FROM (SELECT * FROM r ORDER BY k DESC LIMIT 1), range(1, 5) t(i)""")
+def seeded_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = views.table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.col("user_id").alias("x"), F.col("value").alias("y"))
+    return select.spaced(p, "stops-1", 4, 20.0)
+
+
+@query("SELECT subject, bool_and(ok) AS passed FROM (SELECT o_orderkey AS subject, o_totalprice > 0 AS ok FROM orders UNION ALL SELECT l_orderkey, l_discount <= 0.05 FROM lineitem) GROUP BY 1")
+def verify_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = views.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("subject"), F.lit("price").alias("check"), (F.col("o_totalprice") > 0).alias("ok"))
+    li = views.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("subject"), F.lit("discount").alias("check"), (F.col("l_discount") <= 0.05).alias("ok"))
+    return workflow.checks(o.unionByName(li)).select("subject", "passed")
