@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from voxelspark.llm import textscan as ts
 from voxelspark.llm.common import table
@@ -151,6 +152,7 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataF
     each item found in a document, its least distance, where the first such passage ends in the
     normalised text, and the item's normalised length."""
     ident, item_kind = dict(docs.dtypes)["doc_id"], dict(items.dtypes)["item_id"]
+    item_arrow = to_arrow_type(items.schema["item_id"].dataType)
     schema = f"doc_id {ident}, item_id {item_kind}, distance int, end_at long, chars int"
     parts = []
     for rows in _blocks(items.filter(F.col("text").isNotNull())):
@@ -166,7 +168,7 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataF
                         for i, (distance, end) in matches(normal(text), patterns, machine).items():
                             out.append((doc, patterns[i].ident, distance, end, patterns[i].size))
                 columns = list(zip(*out, strict=True)) if out else [()] * 5
-                kinds = [part.schema.field("doc_id").type, pa.int64() if item_kind == "bigint" else None, pa.int32(), pa.int64(), pa.int32()]
+                kinds = [part.schema.field("doc_id").type, item_arrow, pa.int32(), pa.int64(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "distance", "end_at", "chars"])
 
         parts.append(docs.select("doc_id", "text").mapInArrow(run, schema))

@@ -10,14 +10,15 @@ query, which gets k rows from each candidate block.
 
 Defined cases: vectors that are null or hold a null, NaN or infinity take no part, nor do those
 with a null id; only vectors of equal length are compared, so an empty vector scores 0 against
-empty ones; equal scores go to the smaller id, equal rows of one id all count as candidates, and a
-query's own id is no candidate; a query with fewer than k candidates returns all; an empty table
+empty ones; equal scores go to the smaller id, equal rows of one id all count as candidates but are
+one query (different vectors of one id are queries of their own), a query's own id is no candidate; a query with fewer than k candidates returns all; an empty table
 gives an empty result.  Components must stay below 2^24 after scaling, so that scores are exact
 in 64 bits; larger ones raise an error.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 
 import numpy as np
@@ -89,25 +90,26 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, block: i
     hashed = F.xxhash64("vec_id")
     spread = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     left = whole.select("dims", F.pmod(hashed, F.lit(rows)).cast("int").alias("c"), spread(cols).alias("q"), "vec_id", "v")
-    right = whole.filter("asks").select("dims", spread(rows).alias("c"), F.pmod(F.shiftright(hashed, 20), F.lit(cols)).cast("int").alias("q"), "vec_id", "v")
+    right = whole.filter("asks").select("dims", spread(rows).alias("c"), F.pmod(F.shiftright(hashed, 20), F.lit(cols)).cast("int").alias("q"), "vec_id", "v").distinct()
 
     def search(a: pa.Table, b: pa.Table) -> pa.Table:
-        found = {"query_id": [], "vec_id": [], "score": []}
+        found = {"query_id": [], "vector": [], "vec_id": [], "score": []}
         if a.num_rows and b.num_rows:
             grid = lambda t: np.asarray(t["v"].combine_chunks().flatten(), dtype=np.int64).reshape(t.num_rows, -1)
             cand, asks = grid(a), grid(b)
             if max(np.abs(cand).max(initial=0), np.abs(asks).max(initial=0)) >= 1 << 24:
                 raise ValueError("a scaled component is 2^24 or more")
             ids, own = np.asarray(a["vec_id"], dtype=np.int64), np.asarray(b["vec_id"], dtype=np.int64)
-            for mine, (scores, best) in zip(own, threshold_search(asks, cand, ids, own, k), strict=True):
+            for mine, asked, (scores, best) in zip(own, asks, threshold_search(asks, cand, ids, own, k), strict=True):
                 found["query_id"].append(np.full(len(best), mine))
+                found["vector"].append(np.full(len(best), int.from_bytes(hashlib.blake2b(asked.tobytes(), digest_size=7).digest(), "little")))
                 found["vec_id"].append(best)
                 found["score"].append(scores)
         return pa.table({c: pa.array(np.concatenate(v) if v else np.zeros(0), pa.int64()) for c, v in found.items()})
 
     keys = ["dims", "c", "q"]
-    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score long")
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")).cast("int")
+    near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vector long, vec_id long, score long")
+    rank = F.row_number().over(W.partitionBy("query_id", "vector").orderBy(F.col("score").desc(), "vec_id")).cast("int")
     return near.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
