@@ -6,9 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _late(events: DataFrame, late: str) -> DataFrame:
+    """A stream with its watermark; times without a zone are read in the session's."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
+
+
 def windowed(events: DataFrame, size: str = "1 hour", slide: str | None = None, late: str = "2 hours") -> DataFrame:
     """Events by window and type, with a watermark on ``ts``; works on a batch as well."""
-    e = events.withWatermark("ts", late) if events.isStreaming else events
+    e = _late(events, late)
     window = F.window("ts", size, slide) if slide else F.window("ts", size)
     out = e.groupBy(window.alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     return out.select(F.col("w.start").alias("start"), F.col("w.end").alias("end"), "event_type", "n", "total")
@@ -16,14 +21,14 @@ def windowed(events: DataFrame, size: str = "1 hour", slide: str | None = None,
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:
     """Sessions of each user, ended by a gap."""
-    e = events.withWatermark("ts", late) if events.isStreaming else events
+    e = _late(events, late)
     out = e.groupBy("user_id", F.session_window("ts", gap).alias("s")).agg(F.count("*").alias("n"))
     return out.select("user_id", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "n")
 
 
 def once(records: DataFrame, keys: list[str], late: str = "2 hours") -> DataFrame:
     """Records without repeats of their keys within the watermark."""
-    return records.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys) if records.isStreaming else records.dropDuplicates(keys)
+    return _late(records, late).dropDuplicatesWithinWatermark(keys) if records.isStreaming else records.dropDuplicates(keys)
 
 
 def keep_latest(path: str):
