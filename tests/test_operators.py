@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxelspark.functions import scalars as S
-from voxelspark.operators import boxes, camera, components, constraints, density, knn, labels, mesh, overlap, reconcile, resample, select, tiling, workflow
+from voxelspark.operators import boxes, camera, components, constraints, density, display, knn, labels, mesh, overlap, reconcile, resample, select, tiling, verify, workflow
 from voxelspark.sources import arrays, documents, meshes
 from voxelspark.streaming import stages
 
@@ -294,3 +294,27 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_verify(spark):
+    b = verify.sample_boxes(spark, (3, 4, 5), (3, 2, 5)).orderBy("place").collect()
+    assert [(r.z0, r.y0, r.y1, r.x1) for r in b] == [(0, 0, 2, 5), (0, 1, 3, 5), (0, 2, 4, 5)]
+    assert verify.sample_boxes(spark, (2, 2, 2), (4, 4, 4)).count() == 1
+    rng = np.random.default_rng(0)
+    image = rng.random((16, 24))
+    frames = [image, np.roll(image, (2, -3), (0, 1)), np.roll(image, (2, -3), (0, 1))]
+    df = spark.createDataFrame([(f, y, x, float(a[y, x])) for f, a in enumerate(frames) for y in range(16) for x in range(24)], "frame long, y int, x int, v double")
+    assert sorted(map(tuple, verify.frame_shift(df, 16, 24).collect())) == [(1, 2, -3), (2, 0, 0)]
+    assert {r.frame: r.mae for r in verify.frame_difference(df).collect()}[2] == 0
+    states = spark.createDataFrame([(0, "overlay"), (1, "density"), (2, "move")], "position int, kind string")
+    assert verify.in_order(states, "density", "overlay", "move").first().ok and not verify.in_order(states, "move", "overlay", "density").first().ok
+
+
+def test_display(spark):
+    px = spark.createDataFrame([(0, 100, False), (3, 100, False), (3, 100, True)], "label int, grey int, edge boolean")
+    got = [(r.r, r.g, r.b) for r in display.overlay(px, "label", "grey", "edge").collect()]
+    assert got[0] == (100, 100, 100) and got[2] == (255, 255, 255) and len(set(got[1])) > 1
+    p = [r.c for r in spark.createDataFrame([(0.0,), (50.0,), (500.0,)], "v double").select(display.window(F.col("v"), 0, 100).alias("c")).collect()]
+    assert p == [0, 127, 255]
+    v = display.rotated(cube(spark)[0], 0.0, math.pi / 2).collect()
+    assert all(r.ry == pytest.approx(-r.z) and r.rz == pytest.approx(r.y) for r in v)

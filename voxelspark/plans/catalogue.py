@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxelspark import views
 from voxelspark.functions import scalars as S
-from voxelspark.operators import boxes, camera, components, constraints, density, knn, labels, mesh, overlap, reconcile, resample, select, tiling, workflow
+from voxelspark.operators import boxes, camera, components, constraints, density, display, knn, labels, mesh, overlap, reconcile, resample, select, tiling, verify, workflow
 from voxelspark.plans import greedy_sql
 from voxelspark.streaming import stages
 from voxelspark.views import DECISION, DENSE, FACE, NX, NY, NZ, PATCH, PTS, VERTEX, VOX
@@ -610,3 +609,53 @@ def verify_gates(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = views.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("subject"), F.lit("price").alias("check"), (F.col("o_totalprice") > 0).alias("ok"))
     li = views.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("subject"), F.lit("discount").alias("check"), (F.col("l_discount") <= 0.05).alias("ok"))
     return workflow.checks(o.unionByName(li)).select("subject", "passed")
+
+
+# Verification and display -------------------------------------------------------------------------------------
+
+
+@query(f"""WITH b(place, z0, z1, y0, y1, x0, x1) AS (VALUES (0, 0, 2, 0, 16, 0, 16), (1, 2, 4, 24, 40, 24, 40), (2, 5, 7, 48, 64, 48, 64)),
+s AS (SELECT place, z, y, x, pred FROM {VOX} v JOIN b ON z >= z0 AND z < z1 AND y >= y0 AND y < y1 AND x >= x0 AND x < x1),
+w AS (SELECT place, z, y, x, poor FROM {VOX} v JOIN b ON v.pred > 0 AND z >= z0 AND z < z1 AND y >= y0 AND y < y1 AND x >= x0 AND x < x1)
+SELECT place, count(*) AS voxels, count(*) FILTER (WHERE pred IS DISTINCT FROM poor) AS different, count(*) FILTER (WHERE pred IS DISTINCT FROM poor) = 0 AS same FROM s FULL JOIN w USING (place, z, y, x) GROUP BY 1""")
+def read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.vox(spark, sf_dir)
+    other = v.filter("pred > 0").select("z", "y", "x", F.col("poor").alias("pred"))
+    return verify.read_back(v, other, verify.sample_boxes(spark, SHAPE, (2, 16, 16)), "pred")
+
+
+@query(f"""SELECT a.z AS frame, avg(abs(a.raw - b.raw))::DOUBLE AS mae FROM {DENSE} a JOIN {DENSE} b ON b.z = a.z - 1 AND b.y = a.y AND b.x = a.x GROUP BY 1""")
+def frame_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify.frame_difference(views.dense(spark, sf_dir).select(F.col("z").alias("frame"), "y", "x", F.col("raw").alias("v")))
+
+
+@query(f"""WITH c AS (SELECT ord, cost, md5('base:' || ord) AS t FROM {_windows(5)}), r AS (SELECT ord, cost, CAST(sum(cost) OVER (ORDER BY t, ord ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total FROM c)
+SELECT * FROM r WHERE total <= 400""")
+def random_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify.random_baseline(candidate_windows(spark, sf_dir).select("ord", "cost"), "base", 400)
+
+
+@query(f"""SELECT a.ord AS training, b.ord AS validation FROM {_windows(5)} a JOIN {_windows(5)} b ON a.size_id = 2 AND b.size_id = 2 AND a.gx % 4 = 0 AND b.gx % 4 = 3 AND b.gz = 1 AND b.gy = 2
+  AND a.z0 < b.z1 AND b.z0 < a.z1 AND a.y0 < b.y1 AND b.y0 < a.y1 AND a.x0 < b.x1 AND b.x0 < a.x1""")
+def split_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = candidate_windows(spark, sf_dir).filter("size_id = 2").withColumnRenamed("ord", "id")
+    return verify.disjoint(c.filter("gx % 4 = 0"), c.filter("gx % 4 = 3 AND gz = 1 AND gy = 2"))
+
+
+@query(f"""SELECT "by", bx, CAST(round_even(least(greatest(percent / 40, 0), 1) * 255, 0) AS INT) AS level, CASE WHEN percent > 0 THEN round(0.25 + 0.6 * least(percent / 40, 1), 9) ELSE 0 END::DOUBLE AS opacity FROM {_BINS}""")
+def heat_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return display.heat(density_bins(spark, sf_dir), 40.0).select("by", "bx", "level", F.round("opacity", 9).alias("opacity"))
+
+
+@query("""WITH s AS (SELECT p_partkey AS id, 100 + p_size * 40 AS w, CAST(200 + p_partkey % 700 AS INT) AS h FROM part), f AS (SELECT *, least(1920.0::DOUBLE / w, 1080.0::DOUBLE / h) AS scale FROM s),
+t AS (SELECT id, CAST(greatest(round_even(w * scale, 0), 1) AS INT) AS fit_w, CAST(greatest(round_even(h * scale, 0), 1) AS INT) AS fit_h FROM f)
+SELECT *, CAST(floor((1920 - fit_w) / 2.0) AS INT) AS "left", CAST(floor((1080 - fit_h) / 2.0) AS INT) AS top FROM t""")
+def letterbox(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), (100 + F.col("p_size") * 40).alias("w"), (200 + F.col("p_partkey") % 700).cast("int").alias("h"))
+    return display.letterbox(p, 1920, 1080).select("id", "fit_w", "fit_h", "left", "top")
+
+
+@query(f"""SELECT 'z' AS axis, CAST(z AS INT) AS plane, count(*) AS cells, avg(CAST(raw BETWEEN 1 AND 30 AS INT))::DOUBLE AS tissue FROM {DENSE} GROUP BY 2""")
+def tissue_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = views.dense(spark, sf_dir)
+    return d.groupBy(F.lit("z").alias("axis"), F.col("z").alias("plane")).agg(F.count("*").alias("cells"), F.avg(F.col("raw").between(1, 30).cast("int")).alias("tissue"))
