@@ -1,16 +1,49 @@
-"""Connected components of an edge table, by alternating large-star and small-star steps.
+"""Connected components of an edge table, by local contraction and star steps.
 
-Every step is a grouped minimum and a join, so nothing but tables is ever held; each round is
-written to the checkpoint folder.  The number of rounds grows with the logarithm of the size.
+A partition of at most ``LOCAL`` edges is reduced to the flat stars of its own components by
+union-find.  If all edges fit in one partition, that is the answer.  Otherwise a large-star and a
+small-star step, each a grouped minimum and a join, bring the partitions' parts together, and so on
+until nothing changes; the rounds grow with the logarithm of the size.  Every round is written to
+the checkpoint folder, and nothing but a partition's edges is ever held.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from voxelspark.llm.common import cut
 
+LOCAL = 500_000
+
+
+def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of a partition -> (node, least node of its component) of all but those."""
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        root = x
+        while parent.setdefault(root, root) != root:
+            root = parent[root]
+        while parent[x] != root:
+            parent[x], x = root, parent[x]
+        return root
+
+    for batch in batches:
+        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = find(u), find(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    nodes = np.fromiter((x for x in parent if parent[x] != x), dtype=np.int64)
+    roots = np.fromiter((find(int(x)) for x in nodes), dtype=np.int64, count=len(nodes))
+    for low in range(0, len(nodes), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[low : low + (1 << 16)]), pa.array(roots[low : low + (1 << 16)])], ["u", "v"])
+
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """edges (u, v), u > v.  Large: each node's larger neighbours point to its least one.
@@ -25,16 +58,19 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return near.union(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, local: int = LOCAL) -> DataFrame:
     """edges (a, b) of long -> (node, component): the least node reachable, for each node that has
     an edge.  Loops, repeats, either direction and an empty table are fine."""
-    now = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter(F.col("u") > F.col("v")).distinct())
+    now = cut(edges.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v")).filter(F.col("a") != F.col("b")))
     mark = None
     while True:
+        parts = max(1, math.ceil(now.count() / local))
+        now = cut(now.coalesce(parts).mapInArrow(_flat, "u long, v long"))
+        if parts == 1:
+            break
         now = cut(_star(_star(now, True), False))
-        # Every node but the roots has exactly one edge once all stars are flat, and roots none as u.
-        seen = now.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.count_distinct("u")).first()
-        if tuple(seen) == mark:
+        seen = tuple(now.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.count_distinct("u")).first())
+        if seen == mark:
             break
-        mark = tuple(seen)
+        mark = seen
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

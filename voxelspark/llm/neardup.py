@@ -8,13 +8,16 @@
    under that distance shares a key, and pairs of similarity 0.8 that lie above it nearly always
    do too: a chunk misses with probability 0.18, all ten with 4e-8.
 3. In each bucket the members are compared with one pivot (not with each other), the pivots being
-   drawn by hash so that the 40 buckets of a class have different ones.  Pairs farther apart than
+   drawn so that the chunks of a class have different ones.  Pairs farther apart than
    ``NEAR`` places are left out.  Each class is verified on its whole set against its nearest
    pivot first; after joining what is linked, only pairs across components are verified.
 4. A bucket that still holds several components is gone through pair by pair if it has at most
    ``SMALL`` members.  Members of larger such buckets go through an exact prefix-filter join: two
-   sets of similarity t share one of their n - ceil(t n) + 1 rarest shingles, whatever the order.
-   Common passages are never among a set's rarest, so neither way emits all pairs of a group.
+   sets of similarity t share one of their n - ceil(t n) + 1 rarest shingles, whatever the order,
+   and what stands before the first shared one can't be common, so its place bounds the overlap.
+   Common passages are never among a set's rarest.  Where more than ``LISTED`` sets share a rare
+   shingle (a dense group, with many pairs just under the threshold) no pairs are listed: blocks of
+   the group are compared whole and only links come out.
 5. Components of the confirmed links give each class, and so each document, its smallest doc_id.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing; with fewer words
@@ -40,10 +43,12 @@ from voxelspark.llm.common import cut, small, table
 from voxelspark.llm.components import components
 
 CHUNKS, WIDTH = 10, 4
-NEAR = 24  # of 40 places; a pair of similarity 0.8 is farther apart once in 10^8
+NEAR = 22  # of 40 places; a pair of similarity 0.8 is farther apart twice in 10^6
 SMALL = 24
+LISTED = 48  # nodes that share a rare shingle, up to which they are listed in pairs
 BROADCAST_NODES = 2_000_000  # ids; at most 32 MB
 _PLACES = CHUNKS * WIDTH
+_MASKS = ts.mix(np.arange(1, CHUNKS + 1, dtype=np.uint64)).view(np.int64)
 _FACTORS = ts.mix(np.arange(1, _PLACES + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)) | np.uint64(1)
 
 
@@ -104,7 +109,7 @@ def bucket_keys(nodes: DataFrame) -> DataFrame:
                         for w in range(WIDTH):
                             if w != gone:
                                 packed = (packed << np.uint64(16)) | sig[:, c * WIDTH + w]
-                        keys.append(ts.mix(packed))
+                        keys.append(ts.mix(packed) & ~np.uint64(15) | np.uint64(c))
                 key = np.concatenate(keys).view(np.int64)
                 node = np.tile(np.asarray(part.column("node")), _PLACES)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], ["key", "node"])
@@ -175,19 +180,74 @@ def _shingle_rows(texts: DataFrame, size: int) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node long, h long")
 
 
-def _prefix_pairs(texts: DataFrame, labels: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs of different components that share one of their rarest shingles, exactly those that
-    a similarity of ``percent`` allows."""
-    rows = cut(_shingle_rows(texts, size))
+def _prefixes(texts: DataFrame, labels: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+    """(node, n, at, h, component): the rarest shingles of each node, of which a pair of similarity
+    ``percent`` shares one, with their place in the order of rarity."""
+    rows = _shingle_rows(texts, size)
     often = rows.groupBy("h").agg(F.count("*").alias("df"))
     # Shingles that only one set has can't be shared; they still use up places of its prefix.
     placed = rows.join(often, "h").join(nodes.select("node", "n"), "node")
     keep = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
     listed = placed.groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "h"))).alias("all"))
-    prefix = listed.select("node", F.explode(F.slice("all", F.lit(1), keep.cast("int"))).alias("x")).filter("x.df > 1").select("node", F.col("x.h").alias("h"))
-    prefix = prefix.join(labels, "node")
-    l, r = prefix.alias("l"), prefix.alias("r")
-    return l.join(r, (F.col("l.h") == F.col("r.h")) & (F.col("l.component") < F.col("r.component"))).select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+    prefix = listed.select("node", "n", F.posexplode(F.slice("all", F.lit(1), keep.cast("int"))).alias("at", "x"))
+    return prefix.filter("x.df > 1").select("node", "n", "at", F.col("x.h").alias("h")).join(labels, "node")
+
+
+def _few_pairs(prefix: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a listed shingle and can still reach ``percent``."""
+    l, r = prefix.join(lists, "h", "left_semi").alias("l"), prefix.alias("r")
+    # If this is the first shingle that both have, no more than what follows it can be common.
+    most = F.least(F.col("l.n") - F.col("l.at"), F.col("r.n") - F.col("r.at"))
+    enough = most * (100 + percent) >= (F.col("l.n") + F.col("r.n")) * percent
+    both = l.join(r, (F.col("l.h") == F.col("r.h")) & (F.col("l.component") < F.col("r.component")) & enough)
+    return both.select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
+
+
+def _common(h: np.ndarray, side: np.ndarray, m: int) -> np.ndarray:
+    """Sizes of the intersections of m sets, given as (shingle, set) rows: an m x m table."""
+    order = np.argsort(h, kind="stable")
+    h, side = h[order], side[order]
+    new = np.append(True, h[1:] != h[:-1])
+    code = np.cumsum(new) - 1
+    shared = np.bincount(code)[code] > 1  # those of one set are in no intersection
+    _, code = np.unique(code[shared], return_inverse=True)
+    side, out = side[shared], np.zeros((m, m), dtype=np.float32)
+    at = np.searchsorted(code, np.arange(0, (code.max() + 1 if len(code) else 0) + _COLUMNS, _COLUMNS))
+    for i, (low, high) in enumerate(zip(at, at[1:], strict=False)):
+        part = np.zeros((m, _COLUMNS), dtype=np.float32)
+        part[side[low:high], code[low:high] - i * _COLUMNS] = 1
+        out += part @ part.T
+    return out.astype(np.int64)
+
+
+_COLUMNS = 2048
+GROUP_NODES, GROUP_BYTES = 256, 4 << 20  # of a block of a dense group
+
+
+def _dense_links(texts: DataFrame, groups: DataFrame, labels: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between components within dense groups, whose nodes share rare shingles so widely that
+    lists of pairs would be quadratic.  A group is cut into blocks of nodes; two blocks meet in one
+    task, which compares their whole sets by a product of membership tables and returns links."""
+    held = cut(texts.join(groups, "node").join(labels, "node").select("g", "node", "component", "text"))
+    weight = held.groupBy("g").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    subs = F.ceil(F.greatest(F.col("n") / GROUP_NODES, F.col("bytes") / GROUP_BYTES)).cast("int").alias("subs")
+    split = held.join(weight.select("g", subs), "g").withColumn("sub", F.pmod(F.xxhash64("node"), F.col("subs")).cast("int"))
+    split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
+    split = split.select("g", F.least("sub", "other").alias("lo"), F.greatest("sub", "other").alias("hi"), "sub", "node", "component", "text")
+
+    def compare(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        node, component, sub = (np.asarray(t[c]) for c in ("node", "component", "sub"))
+        row, h, counts = ts.shingles(ts.scan(t["text"].combine_chunks() if t["text"].num_chunks != 1 else t["text"].chunk(0)), size)
+        both = _common(h, row, t.num_rows)
+        linked = 100 * both >= percent * (counts[:, None] + counts[None] - both)
+        linked &= (component[:, None] < component[None]) & (both > 0)
+        if t["lo"][0] != t["hi"][0]:
+            linked &= sub[:, None] != sub[None]
+        a, b = np.nonzero(linked)
+        return pa.table({"a": pa.array(node[a], pa.int64()), "b": pa.array(node[b], pa.int64())})
+
+    return split.groupBy("g", "lo", "hi").applyInArrow(compare, "a long, b long")
 
 
 def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -206,11 +266,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     sketched = cut(sketch(docs, size))
     sets = sketched.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     nodes = cut(sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
-    keys = cut(bucket_keys(nodes))
-    # The least of node XOR key: another order of the nodes for each key, and the node comes back.
-    pivot = F.min(F.col("node").bitwiseXOR(F.col("key"))).alias("least")
-    buckets = keys.groupBy("key").agg(F.count("*").alias("members"), pivot).filter("members > 1")
-    buckets = buckets.select("key", "members", F.col("least").bitwiseXOR(F.col("key")).alias("b"))
+    keys = bucket_keys(nodes)
+    # The least of node XOR the chunk's mask: another order of the nodes for each chunk.
+    mask = F.element_at(F.array(*[F.lit(int(m)) for m in _MASKS]), (F.col("key").bitwiseAND(F.lit(15)) + 1).cast("int"))
+    buckets = keys.groupBy("key").agg(F.count("*").alias("members"), F.min(F.col("node").bitwiseXOR(mask)).alias("least")).filter("members > 1")
+    buckets = buckets.select("key", "members", F.col("least").bitwiseXOR(mask).alias("b"))
     shared = cut(keys.join(buckets, "key").select("key", "node", "b", "members"))
     stars = shared.filter(F.col("node") != F.col("b")).select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
     stars = cut(_near(stars, nodes, percent))
@@ -234,16 +294,22 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     apart = apart.select(F.greatest("l.node", "r.node").alias("a"), F.least("l.node", "r.node").alias("b")).distinct()
     apart = apart.join(stars.select("a", "b"), ["a", "b"], "left_anti")
     many = member.filter(F.col("members") > SMALL).select("node").distinct()
-    found = cut(_near(apart, nodes, percent))
+    found = _near(apart, nodes, percent).select("a", "b")
     if many.limit(1).count():
         more = cut(_texts(plain, many))
-        found = found.select("a", "b").union(_prefix_pairs(more, labels, nodes, size, percent))
-    found = cut(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    if found.limit(1).count():
-        needed = found.select(F.col("a").alias("node")).union(found.select(F.col("b").alias("node")))
-        more = cut(_texts(plain, needed.distinct()))
-        links = links.union(cut(verified(found, more, size, percent)))
+        prefix = cut(_prefixes(more, labels, nodes, size, percent))
+        lists = prefix.groupBy("h").agg(F.count("*").alias("held"), F.min("node").alias("b"), F.min("component").alias("low"), F.max("component").alias("high"))
+        lists = cut(lists.filter("low < high").select("h", "held", "b"))
+        found = found.union(_few_pairs(prefix, lists.filter(F.col("held") <= LISTED), percent))
+        wide = prefix.join(lists.filter(F.col("held") > LISTED), "h").select(F.col("node").alias("a"), "b").distinct()
+        groups = components(wide).withColumnRenamed("component", "g")
+        links = links.union(cut(_dense_links(more, groups, labels, size, percent)))
         labels = cut(_labels(nodes, links))
+    found = _across(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), labels)
+    found = cut(found)
+    needed = found.select(F.col("a").alias("node")).union(found.select(F.col("b").alias("node")))
+    links = links.union(cut(verified(found, cut(_texts(plain, needed)), size, percent)))
+    labels = cut(_labels(nodes, links))
 
     groups = nodes.join(labels, "node").select("s1", "s2", "component")
     out = sketched.drop("sig").join(groups, ["s1", "s2"], "left")
