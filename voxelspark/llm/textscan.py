@@ -62,8 +62,9 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cuts batches into slices whose texts have at most ``limit`` bytes together (or one row)."""
+def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BYTES, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Cuts batches into slices whose texts have at most ``limit`` bytes together (or one row), and
+    of at most ``rows`` rows."""
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -71,6 +72,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
         low = 0
         while low < batch.num_rows:
             high = max(low + 1, int(np.searchsorted(at, at[low] + limit, side="right")) - 1)
+            high = min(high, low + rows) if rows else high
             yield batch.slice(low, high - low)
             low = high
 
