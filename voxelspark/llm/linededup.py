@@ -8,8 +8,8 @@ constant tokens that recur in ``MIN_DOCS`` documents or more are dropped, all th
 
 Only hashes of leaves and templates are shuffled, with the tokens of lines in leaves that recur;
 documents are counted after a first aggregation by (key, document), so a line that a third of all
-documents hold is no hot key.  Nothing is gathered but a leaf's constants, at most ``FAN_OUT`` for
-each of its positions.
+documents hold is no hot key.  Nothing is gathered: a template is a hash over the constants that a
+line has and where, built up token by token.
 
 Defined cases: a null text has no lines, an empty text one empty line; lines of fewer than
 ``MIN_TOKENS`` tokens stay; rows equal in id and text count as one document and get one answer
@@ -58,12 +58,13 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     placed = held.select("leaf", "k", F.posexplode("tokens").alias("pos", "token")).filter("token <> 0")
     often = cut(_documents(placed, "leaf", "pos", "token"))
     narrow = often.groupBy("leaf", "pos").agg(F.count("*").alias("n")).filter(F.col("n") <= FAN_OUT).select("leaf", "pos")
-    constants = often.join(narrow, ["leaf", "pos"]).groupBy("leaf").agg(F.collect_list(F.struct("pos", "token")).alias("constants"))
-    known = held.join(constants, "leaf").withColumn("constants", F.map_from_entries(F.expr("transform(constants, c -> struct(xxhash64(c.pos, c.token) AS at, true AS is))")))
-    kept = F.expr("transform(tokens, (t, i) -> IF(coalesce(constants[xxhash64(i, t)], false), t, 0L))")
-    shaped = known.select("leaf", "k", "line_no", kept.alias("kept"))
-    enough = F.size(F.filter("kept", lambda t: t != 0)) >= F.ceil(F.size("kept") * CONSTANT)
-    shaped = cut(shaped.filter(enough).select("k", "line_no", F.xxhash64("leaf", "kept").alias("template")))
+    constants = small(often.join(narrow, ["leaf", "pos"]), BROADCAST_LEAVES)
+    # A line's template: its leaf and which constants it has where, whatever the order they come in.
+    whole = F.count_if("is_constant").alias("fixed"), F.count("*").alias("n"), F.bit_xor(F.when(F.col("is_constant"), F.xxhash64("pos", "token"))).alias("shape")
+    tokens = held.select("leaf", "k", "line_no", F.posexplode("tokens").alias("pos", "token"))
+    marked = tokens.join(constants.withColumn("is", F.lit(True)), ["leaf", "pos", "token"], "left").withColumn("is_constant", F.coalesce("is", F.lit(False)))
+    lines = marked.groupBy("leaf", "k", "line_no").agg(*whole).filter((F.col("fixed") > 0) & (F.col("fixed") >= F.ceil(F.col("n") * CONSTANT)))
+    shaped = cut(lines.select("k", "line_no", F.xxhash64("leaf", "shape", "fixed").alias("template")))
     recurring = small(_documents(shaped.select("template", "k"), "template"), BROADCAST_LEAVES)
     return shaped.join(recurring, "template", "left_semi").select("k", "line_no").distinct()
 
