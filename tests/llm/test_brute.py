@@ -92,7 +92,7 @@ def test_filter_levels():
     """Counts read back are those entered, but for few errors, all upwards."""
     rng = np.random.default_rng(3)
     assert [int(q) for q in lmscore.level(np.array([1, 2, 3, 4, 5, 6, 8, 16]))] == [1, 3, 4, 5, 5, 6, 7, 9]
-    keys = np.unique(rng.integers(1, 1 << 63, 4000).astype(np.uint64))
+    keys = np.unique(rng.integers(1, (1 << 64) - 1, 4000, dtype=np.uint64))
     q = lmscore.level(rng.integers(1, 200, len(keys)))
     segments, piece = 4, 1 << 16
     bits = np.zeros((segments, piece * 8), dtype=bool)
@@ -105,7 +105,7 @@ def test_filter_levels():
     held = lmscore.Filter(np.packbits(bits.ravel(), bitorder="little"), segments, 0, 0)
     read = held.levels(keys)
     assert (read >= q).all() and (read > q).mean() < 0.05
-    other = rng.integers(1, 1 << 63, 4000).astype(np.uint64)
+    other = rng.integers(1, (1 << 64) - 1, 4000, dtype=np.uint64)
     assert (held.levels(other) > 0).mean() < 0.05
 
 
