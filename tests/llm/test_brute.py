@@ -193,3 +193,14 @@ def test_toxicity_on_held_out_rows(spark):
     seen = [(r.score, labels[r.doc_id], r.held_out) for r in toxicity.op5_toxicity(spark, sf).collect() if r.doc_id in labels]
     pairs = [(a > b) + (a == b) / 2 for a, x, h in seen if x == 1 and h for b, y, g in seen if y == 0 and g]
     assert np.mean(pairs) > 0.75  # some 300 labelled rows to learn from
+
+
+def test_lm_keeps_rare_pairs(spark, monkeypatch):
+    """Pairs seen once stay in the model, however little room a filter of fixed size would have."""
+    monkeypatch.setattr(lmscore, "ENTRY_BITS", 1 << 22)
+    train = [d for d in range(400) if zlib.crc32(str(d).encode()) % 7 != 2]
+    held = [d for d in range(400) if zlib.crc32(str(d).encode()) % 7 == 2][:2]
+    rows = [(d, f"a{d} b{d} c{d} d{d}") for d in train]
+    rows += [(held[0], f"a{train[0]} b{train[0]} c{train[0]} d{train[0]}"), (held[1], "never seen these words")]
+    got = {r.doc_id: r.score for r in lmscore.scored(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert got[held[0]] > got[held[1]] + 0.5

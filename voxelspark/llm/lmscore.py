@@ -1,18 +1,20 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Exact part.  Documents are taken in blocks of about a megabyte.  A block asks for the counts of its
-distinct tokens once, with what its own training documents add; the requests meet by a hash of the
-token, so a segment sees all counts of its tokens and answers every block.  A frequent token thus
-costs one entry a block and not one a document, and no segment or block is held beyond its size.
-
-The model.  Distinct 1- and 2-grams of the training documents are counted the same way.  Each
-segment enters its n-grams into its own piece of a Bloom filter: an n-gram of count c is entered
-once for each level 1 .. 1 + floor(2 log2 c).  A count is read back by probing level after level
-until one is absent, so errors are one-sided and fall off geometrically.  The filter goes to every
-worker, so its size is fixed (``FILTER_BYTES``): it holds all n-grams at or above the least count
-at which they fit at ``ENTRY_BITS`` bits an entry.  All n-grams are counted, at any size.
-
-P(w | v) = l c(v, w) / c(v) + (1 - l) (c(w) + 1) / (N + V + 1), all c from the filter; l depends on
+Documents are taken in blocks of some megabytes.  A block asks once for its distinct tokens and
+its distinct pairs, with what its own training documents add; the requests meet by a hash, so a
+segment sees all counts of its tokens or pairs and answers every block.  A frequent token thus costs
+one entry a block and not one a document, and no segment or block is held beyond its size.
+
+Exact part.  Tokens are answered with their counts.
+
+The model.  Counts are read as levels, 1 + floor(2 log2 c).  Each segment of pairs enters the pairs
+of training documents into its own piece of a Bloom filter: a pair of count c is entered once for
+each level up to its own.  A level is read back by probing level after level until one is absent, so
+errors are one-sided and fall off geometrically.  A piece is as large as its entries need at
+``ENTRY_BITS`` bits each and stays in its segment, so every pair is in the model at any size of the
+input.  Levels of single tokens come from the exact counts.
+
+P(w | v) = l c(v, w) / c(v) + (1 - l) (c(w) + 1) / (N + V + 1), all c by level; l depends on
 the level of c(v) and is fitted by expectation maximisation on a bounded number of training
 documents (``TUNING``), whose own occurrence is taken off the counts.  Ends of documents are tokens
 and the context of the first one.
@@ -37,10 +39,10 @@ from pyspark.sql import functions as F
 from voxelspark.llm import textscan as ts
 from voxelspark.llm.common import cut, table
 
-FILTER_BYTES = 64 << 20
 ENTRY_BITS = 8
 PROBES = 4
 TUNING = 1_000
+BLOCK_BYTES = 4 << 20  # of text in a block
 SEGMENT_BYTES = 48 << 20  # of text whose requests meet in one segment
 _END = ts.mix(np.array([0xE0D], dtype=np.uint64))[0]
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
@@ -57,19 +59,6 @@ def tokens(words: ts.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h, np.repeat(np.arange(n), np.diff(start)), start
 
 
-def pairs(h: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of each token's context and of (context, token)."""
-    before = np.empty_like(h)
-    before[1:] = h[:-1]
-    before[start[:-1]] = _END
-    return before, ts.mix(before * _PAIR + h) & ~np.uint64(1)
-
-
-def lone(h: np.ndarray) -> np.ndarray:
-    """Hashes of 1-grams: odd, while those of pairs are even."""
-    return ts.mix(h) | np.uint64(1)
-
-
 def level(count: np.ndarray) -> np.ndarray:
     """1 + floor(2 log2 c), exactly: whether c^2 reaches a power of two."""
     c = count.astype(np.float64)
@@ -125,16 +114,16 @@ def short(h: np.ndarray) -> np.ndarray:
     return h & np.uint64((1 << 32) - 1)
 
 
-def _packed(h: np.ndarray) -> bytes:
-    """Ascending 32-bit numbers as compressed differences, byte by byte of the same place."""
-    steps = np.diff(h, prepend=np.uint64(0)).astype("<u4")
-    return len(h).to_bytes(4, "little") + pa.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+def _packed(h: np.ndarray, size: int = 4) -> bytes:
+    """Ascending numbers of ``size`` bytes as compressed differences, byte by byte of the same place."""
+    steps = np.diff(h, prepend=np.uint64(0)).astype(f"<u{size}")
+    return len(h).to_bytes(4, "little") + pa.compress(steps.view(np.uint8).reshape(-1, size).T.tobytes(), codec="zstd", asbytes=True)
 
 
-def _unpacked(raw: bytes) -> np.ndarray:
+def _unpacked(raw: bytes, size: int = 4) -> np.ndarray:
     n = int.from_bytes(raw[:4], "little")
-    planes = np.frombuffer(pa.decompress(raw[4:], decompressed_size=4 * n, codec="zstd", asbytes=True), dtype=np.uint8).reshape(4, n)
-    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint64)
+    planes = np.frombuffer(pa.decompress(raw[4:], decompressed_size=size * n, codec="zstd", asbytes=True), dtype=np.uint8).reshape(size, n)
+    return np.cumsum(np.ascontiguousarray(planes.T).view(f"<u{size}").ravel(), dtype=np.uint64)
 
 
 def _narrow(x: np.ndarray) -> bytes:
@@ -150,198 +139,197 @@ def _wide(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(f"<u{size}").ravel().astype(np.int64)
 
 
+def _each(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows one by one, as a row is a whole block."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 def _counted(docs: DataFrame) -> DataFrame:
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
     return docs.select("doc_id", "text", held.alias("held"))
 
 
-def block_table(docs: DataFrame, segments: int, sent, weight: np.ndarray) -> DataFrame:
-    """One row a block: its documents, distinct tokens by segment, and where they stand."""
+def block_table(docs: DataFrame, segments: int) -> DataFrame:
+    """One row a block: its documents, distinct tokens by segment, distinct pairs by context and
+    token, and where the pairs stand."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
-        for turn, part in enumerate(ts.blocks(batches, "text", rows=256)):
+        for turn, part in enumerate(ts.blocks(batches, "text", BLOCK_BYTES)):
             h, row, start = tokens(ts.scan(part.column("text")))
             train = ~np.asarray(part.column("held").to_numpy(zero_copy_only=False), dtype=bool)
-            seg = segment_of(h, segments)
-            order = np.argsort(h, kind="stable")  # rows were in order, and segments are now
-            h, row, seg = h[order], row[order], seg[order]
-            new = np.ones(len(h), dtype=bool)
-            new[1:] = h[1:] != h[:-1]
-            post = new.copy()
-            post[1:] |= row[1:] != row[:-1]
-            first, posted = np.flatnonzero(new), np.flatnonzero(post)
-            often = np.diff(np.append(posted, len(h)))
-            widths = np.diff(np.append(np.searchsorted(posted, first), len(posted)))
-            own = np.add.reduceat(train[row].astype(np.int64), first)
-            cuts = np.searchsorted(seg[first], np.arange(segments + 1))
+            one, w = np.unique(h, return_inverse=True)  # in order of segment
+            v = np.empty_like(w)
+            v[1:] = w[:-1]
+            v[start[:-1]] = np.searchsorted(one, _END)
+            key = v * len(one) + w
+            order = np.argsort(key, kind="stable")  # rows were in order
+            key, row, w = key[order], row[order], w[order]
+            new = np.append(True, key[1:] != key[:-1])
+            first, posted = np.flatnonzero(new), np.flatnonzero(new | np.append(True, row[1:] != row[:-1]))
+            learnt = train[row].astype(np.int64)
+            follow = np.bincount(key[first] // len(one), minlength=len(one))
+            second = w[first].copy()  # steps among those that follow the same token
+            second[1:] -= np.where(np.diff(key[first] // len(one)) > 0, 0, w[first][:-1])
             yield pa.RecordBatch.from_pydict(
                 {
                     "block": pa.array([task << 32 | turn], pa.int64()),
                     "ids": pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())),
                     "held": pa.array([part.column("held").to_pylist()], pa.list_(pa.bool_())),
                     "n_tokens": pa.array([np.diff(start)], pa.list_(pa.int64())),
-                    "score": pa.array([_scores(part, sent.value, weight)], pa.list_(pa.float64())),
-                    "cuts": pa.array([cuts], pa.list_(pa.int64())),
-                    "hashes": pa.array([h[first].tobytes()], pa.binary()),
-                    "own": pa.array([_narrow(own)], pa.binary()),
-                    "widths": pa.array([_narrow(widths)], pa.binary()),
+                    "hashes": pa.array([_packed(one, 8)], pa.binary()),
+                    "own": pa.array([_narrow(np.bincount(w, weights=learnt, minlength=len(one)).astype(np.int64))], pa.binary()),
+                    "follow": pa.array([_narrow(follow)], pa.binary()),
+                    "second": pa.array([_narrow(second)], pa.binary()),
+                    "both": pa.array([_narrow(np.add.reduceat(learnt, first))], pa.binary()),
+                    "widths": pa.array([_narrow(np.diff(np.append(np.searchsorted(posted, first), len(posted))))], pa.binary()),
                     "rows": pa.array([_narrow(row[posted])], pa.binary()),
-                    "often": pa.array([_narrow(often)], pa.binary()),
+                    "often": pa.array([_narrow(np.diff(np.append(posted, len(h))))], pa.binary()),
                 }
             )
 
-    schema = "block long, ids array<long>, held array<boolean>, n_tokens array<long>, score array<double>, cuts array<long>, hashes binary, own binary, widths binary, rows binary, often binary"
+    schema = "block long, ids array<long>, held array<boolean>, n_tokens array<long>, hashes binary, own binary, follow binary, second binary, both binary, widths binary, rows binary, often binary"
     return _counted(docs).mapInArrow(run, schema)
 
 
+def _pairs_of(r: dict, segments: int) -> tuple[np.ndarray, ...]:
+    """First and second token of a block's pairs, and the pairs' hashes, segments and the order in
+    which they are asked for."""
+    one, second, follow = _unpacked(r["hashes"], 8), np.append(0, np.cumsum(_wide(r["second"]))), _wide(r["follow"])
+    v = np.repeat(np.arange(len(one)), follow)
+    second = second[1:] - np.repeat(second[np.cumsum(follow) - follow], follow)
+    h = ts.mix(one[v] * _PAIR + one[second])
+    seg, h = segment_of(h, 2 * segments), short(h)
+    return v, second, h, seg, np.lexsort((h, seg))
+
+
 def _requests(blocks: DataFrame, segments: int) -> DataFrame:
+    """Segments of tokens come before those of pairs, which are twice as many."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.select(["block", "cuts", "hashes", "own"]).to_pylist():
-                h, own, cuts = np.frombuffer(r["hashes"], dtype=np.uint64), _wide(r["own"]), r["cuts"]
-                some = [s for s in range(segments) if cuts[s] < cuts[s + 1]]
+            for r in _each(batch):
+                h, own = _unpacked(r["hashes"], 8), _wide(r["own"])
+                cuts = np.searchsorted(segment_of(h, segments), np.arange(segments + 1))
+                some = np.flatnonzero(np.diff(cuts))
+                _, _, pair, seg, order = _pairs_of(r, segments)
+                pair, both = pair[order], _wide(r["both"])[order]
+                at = np.searchsorted(seg[order], np.arange(2 * segments + 1))
+                more = np.flatnonzero(np.diff(at))
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "seg": pa.array(some, pa.int64()),
-                        "block": pa.array([r["block"]] * len(some), pa.int64()),
-                        "hashes": pa.array([h[cuts[s] : cuts[s + 1]].tobytes() for s in some], pa.binary()),
-                        "own": pa.array([_narrow(own[cuts[s] : cuts[s + 1]]) for s in some], pa.binary()),
+                        "seg": pa.array(np.append(some, more + segments), pa.int64()),
+                        "block": pa.array([r["block"]] * (len(some) + len(more)), pa.int64()),
+                        "hashes": pa.array([*(_packed(h[cuts[s] : cuts[s + 1]], 8) for s in some), *(_packed(pair[at[s] : at[s + 1]]) for s in more)], pa.binary()),
+                        "own": pa.array([*(_narrow(own[cuts[s] : cuts[s + 1]]) for s in some), *(_narrow(both[at[s] : at[s + 1]]) for s in more)], pa.binary()),
                     }
                 )
 
-    return blocks.select("block", "cuts", "hashes", "own").mapInArrow(run, "seg long, block long, hashes binary, own binary")
+    return blocks.select("block", "hashes", "own", "follow", "second", "both").mapInArrow(run, "seg long, block long, hashes binary, own binary")
 
 
-def _answers(requests: DataFrame) -> DataFrame:
-    """(seg, block, counts) for each request, and a row with the segment's distinct tokens and sum."""
+def filled(grams: np.ndarray, counts: np.ndarray) -> Filter:
+    """The piece of one segment: all its n-grams of count 1 or more, with room for all of them."""
+    grams, q = grams[counts > 0], level(counts[counts > 0])
+    bits = np.zeros(8 * max(8, math.ceil(int(q.sum()) * ENTRY_BITS / 8)), dtype=bool)
+    for k in range(1, int(q.max(initial=0)) + 1):
+        for at in Filter.places(grams[q >= k], k, len(bits)):
+            bits[at] = True
+    return Filter(np.packbits(bits, bitorder="little"), 1, 0, 0)
+
+
+def _answers(requests: DataFrame, segments: int) -> DataFrame:
+    """(seg, block, counts) for each request: counts of tokens, levels of pairs.  The first answer of
+    a segment of tokens also has its distinct training tokens and their sum."""
 
     def run(t: pa.Table) -> pa.Table:
-        hashes = [np.frombuffer(x, dtype=np.uint64) for x in t["hashes"].to_pylist()]
+        words = t["seg"][0].as_py() < segments
+        hashes = [_unpacked(x, 8 if words else 4) for x in t["hashes"].to_pylist()]
         own = np.concatenate([_wide(x) for x in t["own"].to_pylist()])
-        _, code = np.unique(np.concatenate(hashes), return_inverse=True)
+        grams, code = np.unique(np.concatenate(hashes), return_inverse=True)
         total = np.bincount(code, weights=own).astype(np.int64)
+        told = total if words else filled(grams, total).levels(grams)
         at = np.cumsum([0, *map(len, hashes)])
-        counts = [_narrow(total[code[a:b]]) for a, b in zip(at, at[1:], strict=False)]
-        n = len(hashes)
+        none = [0] * (len(hashes) - 1)
         return pa.table(
             {
-                "seg": pa.array([*t["seg"].to_pylist(), t["seg"][0].as_py()], pa.int64()),
-                "block": pa.array([*t["block"].to_pylist(), None], pa.int64()),
-                "counts": pa.array([*counts, None], pa.binary()),
-                "types": pa.array([0] * n + [int((total > 0).sum())], pa.int64()),
-                "total": pa.array([0] * n + [int(total.sum())], pa.int64()),
+                "seg": t["seg"].combine_chunks(),
+                "block": t["block"].combine_chunks(),
+                "counts": pa.array([_narrow(told[code[a:b]]) for a, b in zip(at, at[1:], strict=False)], pa.binary()),
+                "types": pa.array([int((total > 0).sum()) if words else 0, *none], pa.int64()),
+                "total": pa.array([int(total.sum()) if words else 0, *none], pa.int64()),
             }
         )
 
     return requests.groupBy("seg").applyInArrow(run, "seg long, block long, counts binary, types long, total long")
 
 
-def _exact(docs: DataFrame, segments: int, sent, weight: np.ndarray) -> DataFrame:
-    blocks = cut(block_table(docs, segments, sent, weight))
-    answers = cut(_answers(_requests(blocks, segments)))
-    v, n = answers.agg(F.coalesce(F.sum("types"), F.lit(0)), F.coalesce(F.sum("total"), F.lit(0))).first()
-    norm = math.log10(n + v + 1)
+def _looked_up(docs: DataFrame, segments: int) -> DataFrame:
+    """One row a block: its documents with their exact sums, and how often each document has each
+    combination of levels of context, token and pair (seven bits each)."""
+    blocks = cut(block_table(docs, segments))
+    answers = _answers(_requests(blocks, segments), segments)
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        order = np.argsort(np.asarray(b["seg"]))
-        counts = np.concatenate([_wide(b["counts"][int(i)].as_py()) for i in order])
+        seg = np.asarray(b["seg"])
+        told = b["counts"].to_pylist()
+        counts, levels = (np.concatenate([_wide(told[i]) for i in np.argsort(seg) if (seg[i] >= segments) == pair]) for pair in (False, True))
         r = a.to_pylist()[0]
-        gain, rows, often, widths = np.log10(counts + 1.0), _wide(r["rows"]), _wide(r["often"]), _wide(r["widths"])
+        v, w, _, _, order = _pairs_of(r, segments)
+        q1, q2 = np.where(counts > 0, level(np.maximum(counts, 1)), 0), np.empty(len(order), dtype=np.int64)
+        q2[order] = levels
+        rows, often, widths = _wide(r["rows"]), _wide(r["often"]), _wide(r["widths"])
         m = len(r["ids"])
-        base = np.bincount(rows, weights=np.repeat(gain, widths) * often, minlength=m)
-        known = np.bincount(rows, weights=np.repeat(counts > 0, widths) * often, minlength=m).astype(np.int64)
-        size = np.asarray(r["n_tokens"], dtype=np.int64)
-        columns = [r["ids"], r["held"], size, known, np.full(m, n), base - size * norm, r["score"]]
-        kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-        return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    asked = blocks.drop("hashes", "own", "cuts")
-    told = answers.filter(F.col("block").isNotNull()).select("block", "seg", "counts")
-    return asked.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(run, schema)
-
-
-def build_filter(docs: DataFrame, segments: int, size: int = FILTER_BYTES) -> Filter:
-    """Counts the 1- and 2-grams of the training rows and enters them, segment by segment."""
-    piece = size // segments
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in ts.blocks(batches, "text", 2 * ts.BLOCK_BYTES):
-            h, _, start = tokens(ts.scan(part.column("text")))
-            grams, counts = np.unique(np.concatenate([lone(h), pairs(h, start)[1]]), return_counts=True)
-            seg, grams = segment_of(grams, segments), short(grams)
-            order = np.lexsort((grams, seg))
-            at = np.searchsorted(seg, np.arange(segments + 1))
-            grams, counts = grams[order], counts[order]
-            some = np.flatnonzero(np.diff(at))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "seg": pa.array(some, pa.int64()),
-                    "grams": pa.array([_packed(grams[at[s] : at[s + 1]]) for s in some], pa.binary()),
-                    "counts": pa.array([_narrow(counts[at[s] : at[s + 1]]) for s in some], pa.binary()),
-                }
-            )
-
-    def enter(t: pa.Table) -> pa.Table:
-        grams = np.concatenate([_unpacked(x) for x in t["grams"].to_pylist()])
-        counts = np.concatenate([_wide(x) for x in t["counts"].to_pylist()])
-        order = np.argsort(grams)
-        grams, counts = grams[order], counts[order]
-        first = np.flatnonzero(np.append(True, grams[1:] != grams[:-1]))
-        grams, counts = grams[first], np.add.reduceat(counts, first)
-        q, odd = level(counts), grams & np.uint64(1) > 0
-        types, total = int(odd.sum()), int(counts[odd].sum())
-        room = piece * 8 // ENTRY_BITS
-        entries = np.cumsum((np.bincount(q) * np.arange(q.max() + 1))[::-1])[::-1]  # at this level or above
-        least = int(np.flatnonzero(np.append(entries, 0) <= room)[0])
-        keep = q >= max(1, least)
-        grams, q = grams[keep], q[keep]
-        bits = np.zeros(piece * 8, dtype=bool)
-        for k in range(1, int(q.max(initial=0)) + 1):
-            for at in Filter.places(grams[q >= k], k, piece * 8):
-                bits[at] = True
-        return pa.table({"seg": pa.array([t["seg"][0].as_py()], pa.int64()), "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()), "types": pa.array([types], pa.int64()), "total": pa.array([total], pa.int64())})
-
-    rows = _counted(docs).filter("NOT held").select("text").mapInArrow(gather, "seg long, grams binary, counts binary")
-    whole, n, v = np.zeros((segments, piece), dtype=np.uint8), 0, 0
-    for r in rows.groupBy("seg").applyInArrow(enter, "seg long, bits binary, types long, total long").collect():
-        whole[r.seg] = np.frombuffer(r.bits, dtype=np.uint8)
-        n, v = n + r.total, v + r.types
-    return Filter(whole.ravel(), segments, n, v)
-
-
-def _looked_up(part: pa.RecordBatch, held: Filter) -> tuple[np.ndarray, ...]:
-    """Row of each token, and the counts of token, context and pair, and the context's level."""
-    h, row, start = tokens(ts.scan(part.column("text")))
-    before, both = pairs(h, start)
-    one, inverse = np.unique(np.concatenate([h, before]), return_inverse=True)
-    q1 = held.levels(lone(one))[inverse]
-    two, inverse = np.unique(both, return_inverse=True)
-    q2 = held.levels(two)[inverse]
-    n = len(h)
-    return row, _MEAN[q1[:n]], _MEAN[q1[n:]], _MEAN[q2], q1[n:], start
-
-
-def _tuned(docs: DataFrame, sent, limit: int = TUNING) -> np.ndarray:
+        base = np.bincount(rows, weights=np.repeat(np.log10(counts + 1.0)[w], widths) * often, minlength=m)
+        known = np.bincount(rows, weights=np.repeat(counts[w] > 0, widths) * often, minlength=m).astype(np.int64)
+        key, inverse = np.unique(rows << 21 | np.repeat(q1[v] << 14 | q1[w] << 7 | q2, widths), return_inverse=True)
+        columns = {
+            "ids": pa.array([r["ids"]], pa.list_(pa.int64())),
+            "held": pa.array([r["held"]], pa.list_(pa.bool_())),
+            "n_tokens": pa.array([r["n_tokens"]], pa.list_(pa.int64())),
+            "known": pa.array([known], pa.list_(pa.int64())),
+            "base": pa.array([base], pa.list_(pa.float64())),
+            "types": pa.array([sum(b["types"].to_pylist())], pa.int64()),
+            "total": pa.array([sum(b["total"].to_pylist())], pa.int64()),
+            "widths": pa.array([_narrow(np.bincount(key >> 21, minlength=m))], pa.binary()),
+            "levels": pa.array([_narrow(key & (1 << 21) - 1)], pa.binary()),
+            "often": pa.array([_narrow(np.bincount(inverse, weights=often).astype(np.int64))], pa.binary()),
+        }
+        return pa.table(columns)
+
+    schema = "ids array<long>, held array<boolean>, n_tokens array<long>, known array<long>, base array<double>, types long, total long, widths binary, levels binary, often binary"
+    asked = blocks.drop("own", "both")
+    return cut(asked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema))
+
+
+def _levels(r: dict) -> tuple[np.ndarray, ...]:
+    """Row, levels of context, token and pair, and how often."""
+    x, widths = _wide(r["levels"]), _wide(r["widths"])
+    return np.repeat(np.arange(len(widths)), widths), x >> 14, x >> 7 & 127, x & 127, _wide(r["often"])
+
+
+def _tuned(docs: DataFrame, looked: DataFrame, n: int, v: int, limit: int = TUNING) -> np.ndarray:
     """The weight of the pair model for each level of the context's count."""
-    chosen = cut(_counted(docs).filter("NOT held").select("doc_id").filter("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).distinct())
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left_semi")
+    ids = _counted(docs).filter("NOT held").select("doc_id").filter("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    chosen = {r.doc_id for r in ids.collect()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grid = np.zeros((_LEVELS + 1, 64))
-        for part in ts.blocks(batches, "text"):
-            _, one, before, both, q, _ = _looked_up(part, sent.value)
-            pair = np.maximum(both - 1, 0) / np.maximum(before - 1, 1)
-            plain = np.maximum(one, 1) / (sent.value.tokens + sent.value.types)
-            odds = np.clip(np.rint(2 * np.log2(np.maximum(pair, 1e-12) / plain)) + 32, 1, 63)
-            odds[pair <= 0] = 0
-            np.add.at(grid, (q, odds.astype(np.int64)), 1)
+        for batch in batches:
+            for r in _each(batch):
+                row, q, one, both, often = _levels(r)
+                learnt = np.array([i in chosen for i in r["ids"]])[row]
+                q, one, both, often = q[learnt], _MEAN[one[learnt]], _MEAN[both[learnt]], often[learnt]
+                pair = np.maximum(both - 1, 0) / np.maximum(_MEAN[q] - 1, 1)
+                odds = np.clip(np.rint(2 * np.log2(np.maximum(pair, 1e-12) / (np.maximum(one, 1) / (n + v)))) + 32, 1, 63)
+                odds[pair <= 0] = 0
+                np.add.at(grid, (q, odds.astype(np.int64)), often)
         at = np.argwhere(grid > 0)
         yield pa.RecordBatch.from_pydict({"q": pa.array(at[:, 0]), "odds": pa.array(at[:, 1]), "n": pa.array(grid[grid > 0])})
 
     grid = np.zeros((_LEVELS + 1, 64))
-    for r in sample.mapInArrow(run, "q long, odds long, n double").groupBy("q", "odds").agg(F.sum("n").alias("n")).collect():
+    for r in looked.select("ids", "held", "widths", "levels", "often").mapInArrow(run, "q long, odds long, n double").groupBy("q", "odds").agg(F.sum("n").alias("n")).collect():
         grid[r.q, r.odds] = r.n
     ratio = np.append(0, 2 ** ((np.arange(1, 64) - 32) / 2))
     weight = np.full(_LEVELS + 1, 0.1)
@@ -352,21 +340,30 @@ def _tuned(docs: DataFrame, sent, limit: int = TUNING) -> np.ndarray:
     return weight
 
 
-def _scores(part: pa.RecordBatch, held: Filter, weight: np.ndarray) -> np.ndarray:
-    """log10 P of each text of the block."""
-    row, one, before, both, q, _ = _looked_up(part, held)
-    pair = np.minimum(both / np.maximum(before, 1), 1)
-    p = weight[q] * pair + (1 - weight[q]) * (one + 1) / (held.tokens + held.types + 1)
-    return np.bincount(row, weights=np.log10(np.minimum(p, 1)), minlength=part.num_rows)
-
-
-def scored(docs: DataFrame, size: int = FILTER_BYTES) -> DataFrame:
+def scored(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    segments = min(16384, max(16, math.ceil(total / SEGMENT_BYTES)))
-    sent = docs.sparkSession.sparkContext.broadcast(build_filter(docs, segments, size))
-    return _exact(docs, segments, sent, _tuned(docs, sent))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    segments = min(16384, max(16, math.ceil(size / SEGMENT_BYTES)))
+    looked = _looked_up(docs, segments)
+    n, v = looked.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
+    weight, norm = _tuned(docs, looked, n, v), math.log10(n + v + 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in _each(batch):
+                row, q, one, both, often = _levels(r)
+                pair = np.minimum(_MEAN[both] / np.maximum(_MEAN[q], 1), 1)
+                p = weight[q] * pair + (1 - weight[q]) * (_MEAN[one] + 1) / (n + v + 1)
+                m = len(r["ids"])
+                score = np.bincount(row, weights=np.log10(np.minimum(p, 1)) * often, minlength=m)
+                size = np.asarray(r["n_tokens"], dtype=np.int64)
+                columns = [r["ids"], r["held"], size, r["known"], np.full(m, n), np.asarray(r["base"]) - size * norm, score]
+                kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return looked.drop("types", "total").mapInArrow(run, schema)
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
