@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from voxelspark.llm import decontaminate, lmscore, neardup, sharding, tokencount, topk, toxicity
 from voxelspark.llm.common import table
@@ -204,3 +205,13 @@ def test_lm_keeps_rare_pairs(spark, monkeypatch):
     rows += [(held[0], f"a{train[0]} b{train[0]} c{train[0]} d{train[0]}"), (held[1], "never seen these words")]
     got = {r.doc_id: r.score for r in lmscore.scored(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
     assert got[held[0]] > got[held[1]] + 0.5
+
+
+def test_lm_weights_use_all_training_rows(spark):
+    """Pairs that stand only in the last training documents, by hash, weigh by how well they predict."""
+    ids = [r.d for r in spark.range(2400).selectExpr("id AS d").orderBy(F.xxhash64("d"), "d").collect()]
+    train = [d for d in ids if zlib.crc32(str(d).encode()) % 7 != 2]
+    late = set(train[-100:])
+    rows = [(d, " ".join(["zig zag"] * 5) if d in late else f"a{d} b{d}") for d in train]
+    got = {r.doc_id: r.score for r in lmscore.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[d] > -8 for d in late)

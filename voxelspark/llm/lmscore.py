@@ -15,8 +15,8 @@ errors are one-sided and fall off geometrically.  A piece is as large as its ent
 input.  Levels of single tokens come from the exact counts.
 
 P(w | v) = l c(v, w) / c(v) + (1 - l) (c(w) + 1) / (N + V + 1), all c by level; l depends on
-the level of c(v) and is fitted by expectation maximisation on a bounded number of training
-documents (``TUNING``), whose own occurrence is taken off the counts.  Ends of documents are tokens
+the level of c(v) and is fitted by expectation maximisation on all training documents, whose
+own occurrence is taken off the counts.  Ends of documents are tokens
 and the context of the first one.
 
 Defined cases: a null text is empty and is its end alone; null ids are training rows (their
@@ -41,7 +41,6 @@ from voxelspark.llm.common import cut, table
 
 ENTRY_BITS = 8
 PROBES = 4
-TUNING = 1_000
 BLOCK_BYTES = 4 << 20  # of text in a block
 SEGMENT_BYTES = 48 << 20  # of text whose requests meet in one segment
 _END = ts.mix(np.array([0xE0D], dtype=np.uint64))[0]
@@ -309,17 +308,15 @@ def _levels(r: dict) -> tuple[np.ndarray, ...]:
     return np.repeat(np.arange(len(widths)), widths), x >> 14, x >> 7 & 127, x & 127, _wide(r["often"])
 
 
-def _tuned(docs: DataFrame, looked: DataFrame, n: int, v: int, limit: int = TUNING) -> np.ndarray:
+def _tuned(looked: DataFrame, n: int, v: int) -> np.ndarray:
     """The weight of the pair model for each level of the context's count."""
-    ids = _counted(docs).filter("NOT held").select("doc_id").filter("doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    chosen = {r.doc_id for r in ids.collect()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grid = np.zeros((_LEVELS + 1, 64))
         for batch in batches:
             for r in _each(batch):
                 row, q, one, both, often = _levels(r)
-                learnt = np.array([i in chosen for i in r["ids"]])[row]
+                learnt = ~np.array(r["held"], dtype=bool)[row]
                 q, one, both, often = q[learnt], _MEAN[one[learnt]], _MEAN[both[learnt]], often[learnt]
                 pair = np.maximum(both - 1, 0) / np.maximum(_MEAN[q] - 1, 1)
                 odds = np.clip(np.rint(2 * np.log2(np.maximum(pair, 1e-12) / (np.maximum(one, 1) / (n + v)))) + 32, 1, 63)
@@ -329,7 +326,7 @@ def _tuned(docs: DataFrame, looked: DataFrame, n: int, v: int, limit: int = TUNI
         yield pa.RecordBatch.from_pydict({"q": pa.array(at[:, 0]), "odds": pa.array(at[:, 1]), "n": pa.array(grid[grid > 0])})
 
     grid = np.zeros((_LEVELS + 1, 64))
-    for r in looked.select("ids", "held", "widths", "levels", "often").mapInArrow(run, "q long, odds long, n double").groupBy("q", "odds").agg(F.sum("n").alias("n")).collect():
+    for r in looked.select("held", "widths", "levels", "often").mapInArrow(run, "q long, odds long, n double").groupBy("q", "odds").agg(F.sum("n").alias("n")).collect():
         grid[r.q, r.odds] = r.n
     ratio = np.append(0, 2 ** ((np.arange(1, 64) - 32) / 2))
     weight = np.full(_LEVELS + 1, 0.1)
@@ -347,7 +344,7 @@ def scored(docs: DataFrame) -> DataFrame:
     segments = min(16384, max(16, math.ceil(size / SEGMENT_BYTES)))
     looked = _looked_up(docs, segments)
     n, v = looked.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
-    weight, norm = _tuned(docs, looked, n, v), math.log10(n + v + 1)
+    weight, norm = _tuned(looked, n, v), math.log10(n + v + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
