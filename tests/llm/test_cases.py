@@ -35,6 +35,16 @@ def test_licenses(awkward, nothing, spark):
     assert (got[3].n_base, got[3].first_word, got[3].last_word) == (2, 2, 4)
 
 
+def test_licenses_of_several_notices(spark):
+    """Every notice that stands word for word is found, however many others stand in the file."""
+    some = [(k, " and\n".join(t[1] for j, t in enumerate(licenses.TEMPLATES) if k >> j & 1)) for k in range(1, 1 << len(licenses.TEMPLATES)) if k.bit_count() in (1, 2, 4, 13)]
+    for r in licenses.scan(spark.createDataFrame(some, "doc_id long, text string")).collect():
+        want = {t[0] for j, t in enumerate(licenses.TEMPLATES) if r.doc_id >> j & 1}
+        assert want <= set(r.labels.split(",")) and r.score == 1
+    cut = spark.createDataFrame([(1, licenses.TEMPLATES[2][1] + " " + "x " * 50 + " ".join(licenses.VOCABULARY))], "doc_id long, text string")
+    assert "apache-2.0" in licenses.scan(cut).first().labels.split(",")
+
+
 def test_line_dedup(awkward, nothing, spark):
     assert linededup.dropped_lines(nothing).count() == 0
     cleaned = linededup.cleaned(awkward)

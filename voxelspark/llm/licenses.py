@@ -1,11 +1,11 @@
 """Licence notices by a positional index of rare words; built-in functions only.
 
-A template is the wording of a notice with a mandatory key phrase in it.  The index holds, for each
-word of the templates, its postings (template, offset).  One pass counts the documents that hold
-each of these words.  A file is then looked up by its rarest licence words, those with the highest
-inverse document frequency: each place of such a word, less the offset of each posting, names a
-template and a start.  Starts that enough words agree on are candidates, and a candidate holds if
-its key phrase stands word for word where the start puts it.
+A template is the wording of a notice with a mandatory key phrase in it.  One pass counts the
+documents that hold each word of the templates.  Each template is looked up by the word of its key
+phrase with the highest inverse document frequency: as the phrase is mandatory, no notice is without
+it.  The index holds, for each of these words, its postings (template, offset).  Each place of such
+a word in a file, less the offset of each posting, names a template and a start.  A start holds if
+the key phrase stands word for word where the start puts it and enough words agree with it.
 
 Everything happens within a row, on arrays: no shuffle but for the word counts (one row for each
 word of the templates), and the candidates of a file are sorted, not compared with each other, so a
@@ -25,7 +25,7 @@ from voxelspark.llm.common import ascii_lower, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same before lower-casing
-ANCHORS = 12  # rarest licence words that a file is looked up by
+ANCHORS = 12  # rarest licence words that the SQL counterpart looks a file up by
 DEEPEST = 16  # agreeing words that a score counts
 #: Base phrases and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -74,9 +74,9 @@ def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> (doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score, hits), hits: the templates found, with their first word's place and agreeing words."""
     often = frequencies(docs)
-    order = sorted(VOCABULARY, key=lambda w: (often[w], w))
-    rank = "map(" + ", ".join(f"'{w}', {i}" for i, w in enumerate(order)) + ")"
-    postings = "array(" + ", ".join(f"struct('{w}' AS w, {t} AS t, {o} AS o)" for t, words in enumerate(_SPLIT) for o, w in enumerate(words)) + ")"
+    rarest = [min(p, key=lambda w: (often[w], w)) for p in _PHRASES]
+    postings = "array(" + ", ".join(f"struct('{w}' AS w, {t} AS t, {_AT[t] + _PHRASES[t].index(w)} AS o)" for t, w in enumerate(rarest)) + ")"
+    templates = "array(" + ", ".join(_list(t) for t in _SPLIT) + ")"
     phrases = "array(" + ", ".join(_list(p) for p in _PHRASES) + ")"
     d = docs.select(
         "doc_id",
@@ -91,21 +91,19 @@ def scan(docs: DataFrame) -> DataFrame:
             WHEN w[i - 1] = 'apache' THEN struct(CAST(i - 1 AS BIGINT) AS at, 'apache' AS label)
             WHEN i > 1 AND w[i - 1] = 'public' AND w[i - 2] = 'general' THEN struct(CAST(i - 2 AS BIGINT) AS at, 'gpl' AS label)
             END), b -> b IS NOT NULL))"""))
-    d = d.withColumn("anchors", F.expr(f"""
-        transform(slice(array_sort(transform(array_intersect(w, {_list(VOCABULARY)}), x -> struct({rank}[x] AS r, x))), 1, {ANCHORS}), y -> y.x)"""))
-    d = d.withColumn("found", F.expr("filter(transform(w, (x, i) -> struct(x AS w, i AS i)), o -> array_contains(anchors, o.w))"))
+    d = d.withColumn("words", F.array_intersect("w", F.expr(_list(VOCABULARY))))
+    d = d.withColumn("found", F.expr(f"filter(transform(w, (x, i) -> struct(x AS w, i AS i)), o -> o.w IN ({', '.join(map(repr, sorted(set(rarest))))}))"))
     d = d.withColumn("places", F.expr(f"""
         array_sort(flatten(transform(found, o -> transform(filter({postings}, p -> p.w = o.w), p -> struct(p.t AS t, o.i - p.o AS s)))))"""))
     d = d.withColumn("hits", F.expr(f"""
-        filter(transform(places, (c, k) -> struct(c.t AS t, c.s AS s, k AS k)), x ->
-            (x.k = 0 OR places[x.k - 1] < struct(x.t, x.s))
-            AND coalesce(get(places, x.k + {_list(NEED, str)}[x.t] - 1) = struct(x.t, x.s), false)
-            AND x.s + {_list(_AT, str)}[x.t] >= 0
+        filter(places, x -> x.s + {_list(_AT, str)}[x.t] >= 0
             AND slice(w, x.s + {_list(_AT, str)}[x.t] + 1, size({phrases}[x.t])) = {phrases}[x.t])"""))
     d = d.withColumn("hits", F.expr(f"""
-        transform(hits, x -> struct({_list([t[0] for t in TEMPLATES])}[x.t] AS label, CAST(x.s AS BIGINT) AS start,
-            size(filter(sequence(0, {DEEPEST - 1}), j -> get(places, x.k + j) = struct(x.t, x.s))) AS agree,
-            least({DEEPEST}, size(filter({postings}, p -> p.t = x.t AND array_contains(anchors, p.w)))) AS most))"""))
+        filter(transform(hits, x -> struct({_list([t[0] for t in TEMPLATES])}[x.t] AS label, CAST(x.s AS BIGINT) AS start,
+            least({DEEPEST}, size(filter({templates}[x.t], (y, o) -> coalesce(get(w, x.s + o) = y, false)))) AS agree,
+            least({DEEPEST}, size(filter({templates}[x.t], y -> array_contains(words, y)))) AS most,
+            {_list(NEED, str)}[x.t] AS need)), h -> h.agree >= h.need)"""))
+    d = d.withColumn("hits", F.expr("transform(hits, h -> struct(h.label, h.start, h.agree, h.most))"))
     base_labels = F.expr("array_sort(array_distinct(transform(base, b -> b.label)))")
     labels = F.expr("array_sort(array_distinct(concat(transform(base, b -> b.label), transform(hits, h -> h.label))))")
     score = F.coalesce(F.array_max(F.expr("transform(hits, h -> CAST(h.agree AS DOUBLE) / h.most)")), F.expr("IF(size(base) > 0, 0.5D, 0D)"))
