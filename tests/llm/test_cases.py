@@ -55,6 +55,14 @@ def test_line_dedup(awkward, nothing, spark):
     assert all("logged in" not in got[i] for i in range(6)) and "own words number3 here" in got[3] and got[9] is None and got[10] == ""
 
 
+def test_line_dedup_of_a_wide_leaf(spark):
+    """Recurring lines that share length and opening go, however many there are."""
+    lines = ["This file is " + " ".join(c * n for n in (1, 2, 3, 4)) for c in "abcdefghijklmnopqrst"]
+    own = {d: "This file is " + " ".join(c * d for c in "uvwx") for d in range(1, 5)}
+    df = spark.createDataFrame([(d, "\n".join([*lines, own[d]])) for d in own], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in linededup.cleaned(df).collect()} == own
+
+
 def test_token_counts(awkward, nothing):
     v = tokencount.Vocabulary({"▁": -1.0, "o": -5.0, "▁one": -2.0, "n": -5.0, "e": -5.0}, False)
     out = tokencount.token_counts(awkward, v)

@@ -3,8 +3,10 @@
 A line's leaf in the tree is its token count and its first ``DEPTH`` tokens, tokens with a digit
 being a field already.  In a leaf that enough documents reach, a token at a position is constant if
 enough documents have it there and the position has few such tokens (the tree's fan-out); all else
-is a field.  The line's template is its tokens with fields as wildcards.  Templates of mostly
-constant tokens that recur in ``MIN_DOCS`` documents or more are dropped, all their lines.
+is a field.  The line's template is its tokens with fields as wildcards.  Where positions fan out, a
+line has a second template, in which every token that enough documents have there is constant.
+Templates of mostly constant tokens that recur in ``MIN_DOCS`` documents or more are dropped, all
+their lines; so a line of mostly digit-free tokens that stands in that many documents always goes.
 
 Only hashes of leaves and templates are shuffled, with the tokens of lines in leaves that recur;
 documents are counted after a first aggregation by (key, document), so a line that a third of all
@@ -57,14 +59,18 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     held = cut(lines.join(leaves, "leaf").select("leaf", "k", "line_no", hashed.alias("tokens")))
     placed = held.select("leaf", "k", F.posexplode("tokens").alias("pos", "token")).filter("token <> 0")
     often = cut(_documents(placed, "leaf", "pos", "token"))
-    narrow = often.groupBy("leaf", "pos").agg(F.count("*").alias("n")).filter(F.col("n") <= FAN_OUT).select("leaf", "pos")
-    constants = small(often.join(narrow, ["leaf", "pos"]), BROADCAST_LEAVES)
-    # A line's template: its leaf and which constants it has where, whatever the order they come in.
-    whole = F.count_if("is_constant").alias("fixed"), F.count("*").alias("n"), F.bit_xor(F.when(F.col("is_constant"), F.xxhash64("pos", "token"))).alias("shape")
+    fan = often.groupBy("leaf", "pos").agg(F.count("*").alias("fan"))
+    constants = small(often.join(fan, ["leaf", "pos"]).select("leaf", "pos", "token", (F.col("fan") <= FAN_OUT).alias("narrow")), BROADCAST_LEAVES)
+    # A line's templates: its leaf and which constants it has where, whatever the order they come in.
+    held_at, narrow, at = F.col("narrow").isNotNull(), F.col("narrow"), F.xxhash64("pos", "token")
+    whole = F.count("*").alias("n"), F.count_if(narrow).alias("fixed"), F.bit_xor(F.when(narrow, at)).alias("shape"), F.count_if(held_at).alias("often"), F.bit_xor(F.when(held_at, at)).alias("full")
     tokens = held.select("leaf", "k", "line_no", F.posexplode("tokens").alias("pos", "token"))
-    marked = tokens.join(constants.withColumn("is", F.lit(True)), ["leaf", "pos", "token"], "left").withColumn("is_constant", F.coalesce("is", F.lit(False)))
-    lines = marked.groupBy("leaf", "k", "line_no").agg(*whole).filter((F.col("fixed") > 0) & (F.col("fixed") >= F.ceil(F.col("n") * CONSTANT)))
-    shaped = cut(lines.select("k", "line_no", F.xxhash64("leaf", "shape", "fixed").alias("template")))
+    lines = tokens.join(constants, ["leaf", "pos", "token"], "left").groupBy("leaf", "k", "line_no").agg(*whole)
+    mostly = lambda c: (F.col(c) > 0) & (F.col(c) >= F.ceil(F.col("n") * CONSTANT))
+    first = F.when(mostly("fixed"), F.xxhash64("leaf", "shape", "fixed"))
+    second = F.when(mostly("often") & (F.col("often") > F.col("fixed")), F.xxhash64("leaf", "full", "often"))
+    lines = lines.filter(mostly("often")).select("k", "line_no", F.explode(F.array_compact(F.array(first, second))).alias("template"))
+    shaped = cut(lines)
     recurring = small(_documents(shaped.select("template", "k"), "template"), BROADCAST_LEAVES)
     return shaped.join(recurring, "template", "left_semi").select("k", "line_no").distinct()
 
