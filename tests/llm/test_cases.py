@@ -105,6 +105,18 @@ def test_top_k(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_top_k_of_large_components(spark):
+    """Products beyond 2^53 and, before they cancel, beyond 64 bits."""
+    big = float(1 << 26)
+    df = spark.createDataFrame([(0, [big, big]), (1, [big, -big]), (2, [16384.0, 0.0]), (3, [-big, big + 1]), (4, [1.0, 1.0])], "vec_id long, embedding array<double>")
+    got = rows(topk.top_k(df, F.col("vec_id") == 0).orderBy("rank"))
+    at = 1024 * 1024 * (1 << 26)
+    assert got == [(0, 1, 2, 16384 * at), (0, 2, 4, 2 * at), (0, 3, 3, at), (0, 4, 1, 0)]
+    e = 1 << 33
+    held = spark.createDataFrame([(0, [float(e), float(e)]), (1, [float(e), -float(e)]), (2, [1.0, -1.0 - 1 / 1024])], "vec_id long, embedding array<double>")
+    assert rows(topk.top_k(held, F.col("vec_id") == 0).orderBy("rank")) == [(0, 1, 1, 0), (0, 2, 2, -e * 1024)]
+
+
 def test_near_duplicates(awkward, nothing):
     out = neardup.near_duplicates(awkward, 4)
     got = {}

@@ -12,8 +12,9 @@ Defined cases: vectors that are null or hold a null, NaN or infinity take no par
 with a null id; only vectors of equal length are compared, so an empty vector scores 0 against
 empty ones; equal scores go to the smaller id, equal rows of one id all count as candidates but are
 one query (different vectors of one id are queries of their own), a query's own id is no candidate; a query with fewer than k candidates returns all; an empty table
-gives an empty result.  Components must stay below 2^24 after scaling, so that scores are exact
-in 64 bits; larger ones raise an error.
+gives an empty result.  Scores are exact at any size of the components: a block whose products may
+leave 64 bits is searched with Python's integers.  A scaled component or a resulting score that
+itself leaves 64 bits raises an error.
 """
 
 from __future__ import annotations
@@ -36,6 +37,12 @@ QUERIES = 512  # queries in a block
 STEP = 16  # entries of each list read in the first round; each later round reads four times as many
 
 
+def _best(scores: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Places by falling score, then by id."""
+    by_id = np.argsort(ids, kind="stable")
+    return by_id[np.argsort(-scores[by_id], kind="stable")]
+
+
 def threshold_search(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int, step: int = STEP):
     """The k best (score, id) of ``vectors`` for each query; ids in ``own`` are left out."""
     n, dims = vectors.shape
@@ -43,7 +50,8 @@ def threshold_search(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray,
     order = np.argsort(vectors, axis=0, kind="stable")  # a list for each dimension, ascending
     ranked_values = np.take_along_axis(vectors, order, axis=0)
     largest = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(dims, 1)
-    exact = np.float64 if largest < 1 << 53 else np.int64  # floats add such integers exactly, and faster
+    # Floats add such integers exactly, and faster; Python's integers have no bound.
+    exact = np.float64 if largest < 1 << 53 else np.int64 if largest < 1 << 62 else object
     held, asked, ranked_values = vectors.astype(exact), queries.astype(exact), ranked_values.astype(exact)
     for q, self_id in zip(asked, own, strict=True):
         up, down = np.flatnonzero(q >= 0), np.flatnonzero(q < 0)
@@ -66,14 +74,14 @@ def threshold_search(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray,
                 if len(best) > k:
                     high = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
                     scores, best = scores[high], best[high]
-                    keep = np.lexsort((best, -scores))[:k]
+                    keep = _best(scores, best)[:k]
                     scores, best = scores[keep], best[keep]
             depth, more = stop, more * 4
             if depth < n and len(best) >= k:
                 bound = np.where(q >= 0, ranked_values[n - depth - 1], ranked_values[depth]) @ q
                 if bound < scores.min() or not left.any():
                     break
-        keep = np.lexsort((best, -scores))[:k]
+        keep = _best(scores, best)[:k]
         out.append((scores[keep].astype(np.int64), best[keep]))
     return out
 
@@ -97,8 +105,9 @@ def top_k(vectors: DataFrame, is_query, k: int = K, scale: int = SCALE, block: i
         if a.num_rows and b.num_rows:
             grid = lambda t: np.asarray(t["v"].combine_chunks().flatten(), dtype=np.int64).reshape(t.num_rows, -1)
             cand, asks = grid(a), grid(b)
-            if max(np.abs(cand).max(initial=0), np.abs(asks).max(initial=0)) >= 1 << 24:
-                raise ValueError("a scaled component is 2^24 or more")
+            ends = np.iinfo(np.int64)
+            if any(((x == ends.min) | (x == ends.max)).any() for x in (cand, asks)):  # where floor() ends
+                raise ValueError("a scaled component leaves 64 bits")
             ids, own = np.asarray(a["vec_id"], dtype=np.int64), np.asarray(b["vec_id"], dtype=np.int64)
             for mine, asked, (scores, best) in zip(own, asks, threshold_search(asks, cand, ids, own, k), strict=True):
                 found["query_id"].append(np.full(len(best), mine))
