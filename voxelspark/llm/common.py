@@ -38,24 +38,41 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back, so that a lost executor costs a read
-    and not a recomputation."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    and not a recomputation.  The shuffle files that made it are removed once it is written."""
+    spark = df.sparkSession
+    shared_folder(spark)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        return df.select("*").checkpoint(eager=True)  # a plan of its own, made under the setting
+    finally:
+        spark.conf.set(_CLEANUP, before)
 
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-SMALL_ROWS = 100_000
+BROADCAST_BYTES = 32 << 20
+
+
+def fits(df: DataFrame, most: int = BROADCAST_BYTES) -> bool:
+    """Whether the rows of a table have at most ``most`` bytes, each with 16 beside its columns."""
+    size = F.lit(16)
+    for name, kind in df.dtypes:
+        size = size + (F.coalesce(F.octet_length(F.col(name)), F.lit(0)) + 16 if kind in ("string", "binary") else F.lit(8))
+    return (df.agg(F.sum(size.cast("long"))).first()[0] or 0) <= most
 
 
-def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """Writes ``df`` down, and marks it for broadcast if it has at most ``rows`` rows."""
+def small(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Writes ``df`` down, and marks it for broadcast if it fits in so many bytes."""
     df = cut(df)
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    return F.broadcast(df) if fits(df, most) else df
 
 
 def ranked(df: DataFrame, order: list[str], rank: str, group: list[str] = ()) -> DataFrame:

@@ -1,10 +1,10 @@
 """Connected components of an edge table, by local contraction and star steps.
 
-A partition of at most ``LOCAL`` edges is reduced to the flat stars of its own components by
-union-find.  If all edges fit in one partition, that is the answer.  Otherwise a large-star and a
-small-star step, each a grouped minimum and a join, bring the partitions' parts together, and so on
-until nothing changes; the rounds grow with the logarithm of the size.  Every round is written to
-the checkpoint folder, and nothing but a partition's edges is ever held.
+A partition of about ``LOCAL`` edges is reduced to the flat stars of its own components.  If all
+edges fit in one partition, that is the answer.  Otherwise a large-star and a small-star step, each
+a grouped minimum and a join, bring the partitions' parts together, and so on until nothing changes;
+the rounds grow with the logarithm of the size.  Every round is written to the checkpoint folder,
+and nothing but a partition's edges is ever held.
 """
 
 from __future__ import annotations
@@ -22,25 +22,29 @@ from voxelspark.llm.common import cut
 LOCAL = 500_000
 
 
-def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (u, v) of a partition -> (node, least node of its component) of all but those."""
-    parent: dict[int, int] = {}
+def local_components(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (u, v) -> their nodes in order, and the least node that each reaches: roots hook onto
+    smaller ones, then every node jumps to its root, until no edge joins two roots."""
+    nodes, at = np.unique(np.concatenate([u, v]), return_inverse=True)
+    a, b = at[: len(u)], at[len(u) :]
+    root = np.arange(len(nodes))
+    while True:
+        low = np.minimum(root[a], root[b])
+        if (root[a] == root[b]).all():
+            return nodes, nodes[root]
+        for end in (root[a], root[b]):
+            np.minimum.at(root, end, low)
+        while (root[root] != root).any():
+            root = root[root]
 
-    def find(x: int) -> int:
-        root = x
-        while parent.setdefault(root, root) != root:
-            root = parent[root]
-        while parent[x] != root:
-            parent[x], x = root, parent[x]
-        return root
 
-    for batch in batches:
-        for u, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            a, b = find(u), find(v)
-            if a != b:
-                parent[max(a, b)] = min(a, b)
-    nodes = np.fromiter((x for x in parent if parent[x] != x), dtype=np.int64)
-    roots = np.fromiter((find(int(x)) for x in nodes), dtype=np.int64, count=len(nodes))
+def _flat(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (u, v) of a partition -> (node, least node of its component) of all but those."""
+    held = [(np.asarray(b.column(0)), np.asarray(b.column(1))) for b in batches]
+    if not held:
+        return
+    nodes, roots = local_components(np.concatenate([u for u, _ in held]), np.concatenate([v for _, v in held]))
+    nodes, roots = nodes[nodes != roots], roots[nodes != roots]
     for low in range(0, len(nodes), 1 << 16):
         yield pa.RecordBatch.from_arrays([pa.array(nodes[low : low + (1 << 16)]), pa.array(roots[low : low + (1 << 16)])], ["u", "v"])
 
@@ -65,7 +69,7 @@ def components(edges: DataFrame, local: int = LOCAL) -> DataFrame:
     mark = None
     while True:
         parts = max(1, math.ceil(now.count() / local))
-        now = cut(now.coalesce(parts).mapInArrow(_flat, "u long, v long"))
+        now = cut(now.repartition(parts).mapInArrow(_flat, "u long, v long"))
         if parts == 1:
             break
         now = cut(_star(_star(now, True), False))

@@ -1,7 +1,7 @@
 """Near-duplicate documents: b-bit MinHash signatures and a multi-index Hamming join.
 
 1. Each text becomes its set of distinct word shingles; texts with equal sets are one class, whose
-   node is its smallest doc_id.  Only classes go on, so copies cost one row each.
+   node is a hash of the set.  Only classes go on, so copies cost one row each.
 2. A class gets a signature of ``CHUNKS * WIDTH`` min-hashes of 16 bits.  By the pigeonhole
    principle two signatures that differ in at most ``2 * CHUNKS - 1`` places have a chunk with at
    most one difference; so for each chunk one key is made for each place left out.  Every pair
@@ -17,39 +17,45 @@
    and what stands before the first shared one can't be common, so its place bounds the overlap.
    Common passages are never among a set's rarest.  Where more than ``LISTED`` sets share a rare
    shingle (a dense group, with many pairs just under the threshold) no pairs are listed: blocks of
-   the group are compared whole and only links come out.
-5. Components of the confirmed links give each class, and so each document, its smallest doc_id.
+   the group are compared whole, and a pair of blocks returns one row for each component that it
+   joins to another, never its links one by one.
+5. Components of the confirmed links, and the smallest doc_id of each.
+
+Texts are read twice: once for signatures, and those of classes with a near one again for their
+sets.  Everything between is built-in expressions over hashes; no text is shuffled or written down.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing; with fewer words
-than a shingle the whole sequence is one; a null doc_id cannot name a component: such a row belongs
-to the component of its class if another row of the class has an id, else it is alone with a null
-component and kept; rows that share a doc_id count as one document; other columns are ignored; an
-empty table gives an empty result.
+than a shingle the whole sequence is one; rows that share a doc_id are documents of their own, each
+with the component of its own text; a null doc_id names no component: such a row has the smallest
+id of its component's other rows, or null where none has one, and is then kept; other columns are
+ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType
 
 from voxelspark.llm import textscan as ts
 from voxelspark.llm.common import cut, small, table
-from voxelspark.llm.components import components
+from voxelspark.llm.components import components, local_components
 
 CHUNKS, WIDTH = 10, 4
 NEAR = 22  # of 40 places; a pair of similarity 0.8 is farther apart twice in 10^6
 SMALL = 24
 LISTED = 48  # nodes that share a rare shingle, up to which they are listed in pairs
-BROADCAST_NODES = 2_000_000  # ids; at most 32 MB
+GROUP_NODES, GROUP_BYTES = 1024, 8 << 20  # of a block of a dense group
+_COLUMNS = 2048
 _PLACES = CHUNKS * WIDTH
+_LAST = (1 << 63) - 1
 _MASKS = ts.mix(np.arange(1, CHUNKS + 1, dtype=np.uint64)).view(np.int64)
 _FACTORS = ts.mix(np.arange(1, _PLACES + 1, dtype=np.uint64) * np.uint64(0x8CB92BA72F3D8DD7)) | np.uint64(1)
+_SIGNATURE = [f"g{c}" for c in range(CHUNKS)]  # a chunk of four 16-bit places each
 
 
 def signatures(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -75,7 +81,8 @@ def _set_sums(row: np.ndarray, h: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
 
 
 def sketch(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, text) -> (doc_id, n_shingles, s1, s2, sig); sets equal if s1 and s2 are."""
+    """Adds to (text, ...) the set's size and its two sums, and the signature, and drops the text."""
+    rest = [c for c in docs.columns if c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in ts.blocks(batches, "text"):
@@ -83,119 +90,107 @@ def sketch(docs: DataFrame, size: int) -> DataFrame:
             s1, s2 = _set_sums(row, h, part.num_rows)
             sig = np.zeros((part.num_rows, _PLACES), dtype=np.uint16)
             sig[counts > 0] = signatures(h, counts)
-            packed = pa.Array.from_buffers(pa.binary(_PLACES * 2), part.num_rows, [None, pa.py_buffer(sig.tobytes())]).cast(pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(counts, pa.int64()), pa.array(s1), pa.array(s2), packed], ["doc_id", "n_shingles", "s1", "s2", "sig"]
-            )
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, sig binary")
-
-
-def _grid(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(len(column), _PLACES)
+            chunks = sig.view(np.int64)
+            columns = [*(part.column(c) for c in rest), pa.array(counts, pa.int64()), pa.array(s1), pa.array(s2), *(pa.array(np.ascontiguousarray(chunks[:, c])) for c in range(CHUNKS))]
+            yield pa.RecordBatch.from_arrays(columns, [*rest, "n_shingles", "s1", "s2", *_SIGNATURE])
+
+    kinds = dict(docs.dtypes)
+    added = ["n_shingles", "s1", "s2", *_SIGNATURE]
+    return docs.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in rest), *(f"{c} long" for c in added)]))
+
+
+def classes(sketched: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with their ``node`` (null without shingles), and one row for each node.  Two sets
+    with one hash would be one node; then another salt is taken."""
+    for salt in itertools.count():
+        node = F.when(F.col("n_shingles") > 0, F.xxhash64(F.lit(salt), "s1", "s2"))
+        rows = sketched.select("doc_id", "row", "whole", "n_shingles", "s1", "s2", *_SIGNATURE, node.alias("node"))
+        first = F.coalesce("doc_id", F.lit(_LAST))
+        nodes = rows.filter(F.col("node").isNotNull()).groupBy("node").agg(
+            F.min("n_shingles").alias("n"), F.min("doc_id").alias("least"), F.min_by("whole", first).alias("pick"), F.min("row").alias("row"),
+            *[F.min(c).alias(c) for c in _SIGNATURE], *[f(c).alias(f"{c}{e}") for c in ("s1", "s2") for f, e in ((F.min, "low"), (F.max, "high"))],
+        )
+        nodes = cut(nodes)
+        if not nodes.filter("s1low <> s1high OR s2low <> s2high").limit(1).count():
+            return rows.drop("s1", "s2", *_SIGNATURE), nodes.drop("s1low", "s1high", "s2low", "s2high")
 
 
 def bucket_keys(nodes: DataFrame) -> DataFrame:
-    """(node, sig) -> (key, node): one key for each chunk and place left out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, 4096):
-                part = batch.slice(low, 4096)
-                sig, keys = _grid(part.column("sig")).astype(np.uint64), []
-                for c in range(CHUNKS):
-                    for gone in range(WIDTH):
-                        packed = np.full(len(sig), c * WIDTH + gone + 1, dtype=np.uint64)
-                        for w in range(WIDTH):
-                            if w != gone:
-                                packed = (packed << np.uint64(16)) | sig[:, c * WIDTH + w]
-                        keys.append(ts.mix(packed) & ~np.uint64(15) | np.uint64(c))
-                key = np.concatenate(keys).view(np.int64)
-                node = np.tile(np.asarray(part.column("node")), _PLACES)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node)], ["key", "node"])
-
-    return nodes.select("node", "sig").mapInArrow(run, "key long, node long")
-
-
-@F.pandas_udf(IntegerType())
-def _distance(a: pd.Series, b: pd.Series) -> pd.Series:
-    if not len(a):
-        return pd.Series([], dtype="int32")
-    return pd.Series((_grid(pa.array(a, pa.binary())) != _grid(pa.array(b, pa.binary()))).sum(axis=1).astype(np.int32))
+    """(node, key): one key for each chunk and place left out; the low four bits are the chunk."""
+    keys = []
+    for c in range(CHUNKS):
+        for gone in range(WIDTH):
+            rest = int(np.uint64(~(0xFFFF << 16 * gone) & 0xFFFFFFFFFFFFFFFF).view(np.int64))
+            key = F.xxhash64(F.lit(c * WIDTH + gone), F.col(f"g{c}").bitwiseAND(F.lit(rest)))
+            keys.append(key.bitwiseAND(F.lit(~15)).bitwiseOR(F.lit(c)))
+    return nodes.select("node", F.explode(F.array(*keys)).alias("key"))
+
+
+def _distance(a: str, b: str) -> Column:
+    """Places in which two signatures differ."""
+    out = F.lit(0)
+    for c in _SIGNATURE:
+        apart = F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))
+        for place in range(WIDTH):
+            lane = int(np.uint64(0xFFFF << 16 * place).view(np.int64))
+            out = out + (apart.bitwiseAND(F.lit(lane)) != 0).cast("int")
+    return out
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, percent: int, most: int = NEAR) -> DataFrame:
     """(a, b) -> (a, b, dist) for those at most ``most`` places apart whose sizes allow a link."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("sig").alias(f"sig_{x}"), F.col("n").alias(f"n_{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = both.filter(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    return both.withColumn("dist", _distance("sig_a", "sig_b")).filter(F.col("dist") <= most).select("a", "b", "dist")
+    side = nodes.select("node", "n", *_SIGNATURE)
+    both = pairs.alias("p").join(side.alias("l"), F.col("p.a") == F.col("l.node")).join(side.alias("r"), F.col("p.b") == F.col("r.node"))
+    both = both.filter(F.least("l.n", "r.n") * 100 >= F.greatest("l.n", "r.n") * percent)
+    return both.select("p.a", "p.b", _distance("l", "r").alias("dist")).filter(F.col("dist") <= most)
 
 
-def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, text) of the wanted nodes; their ids are broadcast if few enough, else joined."""
-    wanted = cut(wanted.distinct())
-    ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted
-    return docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(ids, "node", "left_semi")
+def shingle_sets(texts: DataFrame, size: int) -> DataFrame:
+    """(node, text) -> (node, set)."""
 
-
-def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose whole sets have 100 * intersection >= percent * union."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("text_a"), batch.column("text_b")
-            weight = np.cumsum(np.diff(ts.text_bytes(left)[1]) + np.diff(ts.text_bytes(right)[1]))
-            low = 0
-            while low < batch.num_rows:
-                high = max(low + 1, int(np.searchsorted(weight, (weight[low - 1] if low else 0) + ts.BLOCK_BYTES, side="right")))
-                m = high - low
-                # A text that stands on many rows of the block is cut into shingles once.
-                all_texts = pa.concat_arrays([left.slice(low, m).cast(pa.large_string()), right.slice(low, m).cast(pa.large_string())]).dictionary_encode()
-                row, h, counts = ts.shingles(ts.scan(all_texts.dictionary), size)
-                at = np.concatenate([[0], np.cumsum(counts)])
-                code = np.asarray(all_texts.indices)
-                held = [0] * m
-                for i in range(m):
-                    x, y = code[i], code[m + i]
-                    held[i] = len(np.intersect1d(h[at[x] : at[x + 1]], h[at[y] : at[y + 1]], assume_unique=True))
-                held = np.asarray(held)
-                union = counts[code[:m]] + counts[code[m:]] - held
-                ok = (100 * held >= percent * union) & (held > 0)
-                yield pa.RecordBatch.from_arrays([batch.column("a").slice(low, m).filter(pa.array(ok)), batch.column("b").slice(low, m).filter(pa.array(ok))], ["a", "b"])
-                low = high
-
-    side = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"))
-    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
-
-
-def _shingle_rows(texts: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in ts.blocks(batches, "text"):
-            row, h, _ = ts.shingles(ts.scan(part.column("text")), size)
-            node = np.asarray(part.column("node"))[row]
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(h.view(np.int64))], ["node", "h"])
+            _, h, counts = ts.shingles(ts.scan(part.column("text")), size)
+            at = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(pa.array(at), pa.array(h.view(np.int64)))], ["node", "set"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, set array<long>")
+
+
+def _sets(keyed: DataFrame, wanted: DataFrame, nodes: DataFrame, twice: DataFrame, size: int) -> DataFrame:
+    """(node, set) of the wanted nodes, from one row of each class.  Those rows' names are broadcast
+    if they are few enough, else joined."""
+    names = small(wanted.distinct().join(nodes.select("node", "row"), "node"))
+    texts = keyed.select("row", "text").join(names, "row").select("row", "node", "text")
+    if twice.join(names, "row", "left_semi").limit(1).count():
+        texts = texts.dropDuplicates(["row"])
+    return cut(shingle_sets(texts, size))
 
-    return texts.select("node", "text").mapInArrow(run, "node long, h long")
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) whose whole sets have 100 * intersection >= percent * union."""
+    both = pairs.alias("p").join(sets.alias("l"), F.col("p.a") == F.col("l.node")).join(sets.alias("r"), F.col("p.b") == F.col("r.node"))
+    held = F.size(F.array_intersect("l.set", "r.set")).alias("held")
+    both = both.select("p.a", "p.b", held, (F.size("l.set") + F.size("r.set")).alias("total"))
+    return both.filter((F.col("held") > 0) & (F.col("held") * 100 >= (F.col("total") - F.col("held")) * percent)).select("a", "b")
 
 
-def _prefixes(texts: DataFrame, labels: DataFrame, nodes: DataFrame, size: int, percent: int) -> DataFrame:
+def _prefixes(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """(node, n, at, h, component): the rarest shingles of each node, of which a pair of similarity
-    ``percent`` shares one, with their place in the order of rarity."""
-    rows = _shingle_rows(texts, size)
-    often = rows.groupBy("h").agg(F.count("*").alias("df"))
-    # Shingles that only one set has can't be shared; they still use up places of its prefix.
-    placed = rows.join(often, "h").join(nodes.select("node", "n"), "node")
-    keep = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    listed = placed.groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "h"))).alias("all"))
-    prefix = listed.select("node", "n", F.posexplode(F.slice("all", F.lit(1), keep.cast("int"))).alias("at", "x"))
-    return prefix.filter("x.df > 1").select("node", "n", "at", F.col("x.h").alias("h")).join(labels, "node")
+    ``percent`` shares one, with their place in the order: those in few sets first."""
+    rows = sets.select("node", F.explode("set").alias("h"))
+    often = small(rows.groupBy("h").agg(F.count("*").alias("df")).filter(F.col("df") > SMALL))
+    placed = rows.join(often, "h", "left").groupBy("node").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "h"))).alias("all"))
+    n = F.size("all")
+    keep = n - F.ceil(n * percent / 100) + 1
+    prefix = placed.select("node", n.alias("n"), F.posexplode(F.slice("all", F.lit(1), keep.cast("int"))).alias("at", "x"))
+    return prefix.select("node", "n", "at", F.col("x.h").alias("h")).join(labels, "node")
 
 
 def _few_pairs(prefix: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components that share a listed shingle and can still reach ``percent``."""
-    l, r = prefix.join(lists, "h", "left_semi").alias("l"), prefix.alias("r")
+    some = prefix.join(lists, "h", "left_semi")
+    l, r = some.alias("l"), some.alias("r")
     # If this is the first shingle that both have, no more than what follows it can be common.
     most = F.least(F.col("l.n") - F.col("l.at"), F.col("r.n") - F.col("r.at"))
     enough = most * (100 + percent) >= (F.col("l.n") + F.col("r.n")) * percent
@@ -217,35 +212,34 @@ def _common(h: np.ndarray, side: np.ndarray, m: int) -> np.ndarray:
         part = np.zeros((m, _COLUMNS), dtype=np.float32)
         part[side[low:high], code[low:high] - i * _COLUMNS] = 1
         out += part @ part.T
-    return out.astype(np.int64)
-
-
-_COLUMNS = 2048
-GROUP_NODES, GROUP_BYTES = 256, 4 << 20  # of a block of a dense group
+    return out
 
 
-def _dense_links(texts: DataFrame, groups: DataFrame, labels: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between components within dense groups, whose nodes share rare shingles so widely that
+def _dense_links(sets: DataFrame, groups: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Components to join (a, b) within dense groups, whose nodes share rare shingles so widely that
     lists of pairs would be quadratic.  A group is cut into blocks of nodes; two blocks meet in one
-    task, which compares their whole sets by a product of membership tables and returns links."""
-    held = cut(texts.join(groups, "node").join(labels, "node").select("g", "node", "component", "text"))
-    weight = held.groupBy("g").agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes"))
+    task, which compares their whole sets by a product of membership tables."""
+    held = cut(sets.join(groups, "node").join(labels, "node").select("g", "node", "component", "set"))
+    weight = held.groupBy("g").agg(F.count("*").alias("n"), F.sum(F.size("set").cast("long") * 8).alias("bytes"))
     subs = F.ceil(F.greatest(F.col("n") / GROUP_NODES, F.col("bytes") / GROUP_BYTES)).cast("int").alias("subs")
     split = held.join(weight.select("g", subs), "g").withColumn("sub", F.pmod(F.xxhash64("node"), F.col("subs")).cast("int"))
     split = split.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("subs") - 1)))
-    split = split.select("g", F.least("sub", "other").alias("lo"), F.greatest("sub", "other").alias("hi"), "sub", "node", "component", "text")
+    split = split.select("g", F.least("sub", "other").alias("lo"), F.greatest("sub", "other").alias("hi"), "component", "set")
 
     def compare(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
-        node, component, sub = (np.asarray(t[c]) for c in ("node", "component", "sub"))
-        row, h, counts = ts.shingles(ts.scan(t["text"].combine_chunks() if t["text"].num_chunks != 1 else t["text"].chunk(0)), size)
-        both = _common(h, row, t.num_rows)
-        linked = 100 * both >= percent * (counts[:, None] + counts[None] - both)
-        linked &= (component[:, None] < component[None]) & (both > 0)
-        if t["lo"][0] != t["hi"][0]:
-            linked &= sub[:, None] != sub[None]
-        a, b = np.nonzero(linked)
-        return pa.table({"a": pa.array(node[a], pa.int64()), "b": pa.array(node[b], pa.int64())})
+        listed = t["set"].combine_chunks() if t["set"].num_chunks != 1 else t["set"].chunk(0)
+        component, counts = np.asarray(t["component"]), np.diff(np.asarray(listed.offsets)).astype(np.int64)
+        both = _common(np.asarray(listed.flatten()), np.repeat(np.arange(t.num_rows), counts), t.num_rows)
+        near = [np.zeros((0, 2), np.int64)]
+        for low in range(0, t.num_rows, 256):
+            held = both[low : low + 256].astype(np.int64)
+            linked = 100 * held >= percent * (counts[low : low + 256, None] + counts[None] - held)
+            linked &= (component[low : low + 256, None] < component[None]) & (held > 0)
+            near.append(np.argwhere(linked) + (low, 0))
+        a, b = np.concatenate(near).T
+        nodes, least = local_components(component[a], component[b])
+        return pa.table({"a": pa.array(nodes[nodes != least], pa.int64()), "b": pa.array(least[nodes != least], pa.int64())})
 
     return split.groupBy("g", "lo", "hi").applyInArrow(compare, "a long, b long")
 
@@ -253,7 +247,7 @@ def _dense_links(texts: DataFrame, groups: DataFrame, labels: DataFrame, size: i
 def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(node, component) for all nodes."""
     found = components(links)
-    return nodes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+    return cut(nodes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
 
 
 def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -261,28 +255,31 @@ def _across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b").filter(F.col("c_a") != F.col("c_b")).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, text) -> (doc_id, n_shingles, component_id, kept), one row a row."""
-    sketched = cut(sketch(docs, size))
-    sets = sketched.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
-    nodes = cut(sets.groupBy("s1", "s2").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sig").alias("sig")))
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+
+
+def _linked(keyed: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, row, whole, text) -> the rows without text but with n_shingles and node, and
+    (node, component, least, pick): the component's smallest doc_id and the hash of one of its rows."""
+    rows, nodes = classes(cut(sketch(keyed, size)))
+    twice = rows.groupBy("row").count().filter("count > 1").select("row")
     keys = bucket_keys(nodes)
     # The least of node XOR the chunk's mask: another order of the nodes for each chunk.
     mask = F.element_at(F.array(*[F.lit(int(m)) for m in _MASKS]), (F.col("key").bitwiseAND(F.lit(15)) + 1).cast("int"))
-    buckets = keys.groupBy("key").agg(F.count("*").alias("members"), F.min(F.col("node").bitwiseXOR(mask)).alias("least")).filter("members > 1")
-    buckets = buckets.select("key", "members", F.col("least").bitwiseXOR(mask).alias("b"))
+    buckets = keys.groupBy("key").agg(F.count("*").alias("members"), F.min(F.col("node").bitwiseXOR(mask)).alias("b")).filter("members > 1")
+    buckets = buckets.select("key", "members", F.col("b").bitwiseXOR(mask).alias("b"))
     shared = cut(keys.join(buckets, "key").select("key", "node", "b", "members"))
     stars = shared.filter(F.col("node") != F.col("b")).select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
     stars = cut(_near(stars, nodes, percent))
 
-    plain = docs.select("doc_id", "text")
-    texts = cut(_texts(plain, stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node"))).distinct()))
-    best = stars.groupBy("a").agg(F.min(F.struct("dist", "b"))["b"].alias("b"))
-    links = cut(verified(best, texts, size, percent))
-    labels = cut(_labels(nodes, links))
+    sets = _sets(keyed, _ends(stars), nodes, twice, size)
+    best = cut(stars.groupBy("a").agg(F.min(F.struct("dist", "b"))["b"].alias("b")))
+    links = cut(verified(best, sets, percent))
+    labels = _labels(nodes, links)
     rest = _across(stars.join(best, ["a", "b"], "left_anti"), labels)
-    links = links.union(cut(verified(rest, texts, size, percent)))
-    labels = cut(_labels(nodes, links))
+    links = links.union(cut(verified(rest, sets, percent)))
+    labels = _labels(nodes, links)
 
     # Buckets that still hold several components.
     member = shared.join(labels, "node")
@@ -292,43 +289,51 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     l, r = few.alias("l"), few.alias("r")
     apart = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.component") < F.col("r.component")))
     apart = apart.select(F.greatest("l.node", "r.node").alias("a"), F.least("l.node", "r.node").alias("b")).distinct()
-    apart = apart.join(stars.select("a", "b"), ["a", "b"], "left_anti")
-    many = member.filter(F.col("members") > SMALL).select("node").distinct()
-    found = _near(apart, nodes, percent).select("a", "b")
+    found = _near(apart.join(stars.select("a", "b"), ["a", "b"], "left_anti"), nodes, percent).select("a", "b")
+    many = cut(member.filter(F.col("members") > SMALL).select("node").distinct())
     if many.limit(1).count():
-        more = cut(_texts(plain, many))
-        prefix = cut(_prefixes(more, labels, nodes, size, percent))
+        more = _sets(keyed, many, nodes, twice, size)
+        prefix = cut(_prefixes(more, labels, percent))
         lists = prefix.groupBy("h").agg(F.count("*").alias("held"), F.min("node").alias("b"), F.min("component").alias("low"), F.max("component").alias("high"))
         lists = cut(lists.filter("low < high").select("h", "held", "b"))
-        found = found.union(_few_pairs(prefix, lists.filter(F.col("held") <= LISTED), percent))
-        wide = prefix.join(lists.filter(F.col("held") > LISTED), "h").select(F.col("node").alias("a"), "b").distinct()
+        found = found.union(_few_pairs(prefix, small(lists.filter(F.col("held") <= LISTED).select("h")), percent))
+        wide = prefix.join(small(lists.filter(F.col("held") > LISTED)), "h").select(F.col("node").alias("a"), "b").distinct()
         groups = components(wide).withColumnRenamed("component", "g")
-        links = links.union(cut(_dense_links(more, groups, labels, size, percent)))
-        labels = cut(_labels(nodes, links))
-    found = _across(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), labels)
-    found = cut(found)
-    needed = found.select(F.col("a").alias("node")).union(found.select(F.col("b").alias("node")))
-    links = links.union(cut(verified(found, cut(_texts(plain, needed)), size, percent)))
-    labels = cut(_labels(nodes, links))
-
-    groups = nodes.join(labels, "node").select("s1", "s2", "component")
-    out = sketched.drop("sig").join(groups, ["s1", "s2"], "left")
-    alone = F.col("n_shingles") == 0
-    component = F.when(alone, F.col("doc_id")).otherwise(F.col("component"))
+        links = links.union(cut(_dense_links(more, groups, labels, percent)))
+        labels = _labels(nodes, links)
+    found = cut(_across(found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), labels))
+    if found.limit(1).count():
+        links = links.union(cut(verified(found, _sets(keyed, _ends(found), nodes, twice, size), percent)))
+        labels = _labels(nodes, links)
+
+    named = labels.join(nodes.select("node", "least", "pick"), "node")
+    first = named.groupBy("component").agg(F.min("least").alias("least"), F.min_by("pick", F.coalesce("least", F.lit(_LAST))).alias("pick"))
+    return rows, cut(labels.join(first, "component").select("node", "component", "least", "pick"))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, text) -> (doc_id, n_shingles, component_id, kept), one row a row."""
+    row = F.xxhash64("doc_id", "text")
+    rows, groups = _linked(docs.select(F.col("doc_id").cast("long"), row.alias("row"), row.alias("whole"), "text"), size, percent)
+    out = rows.select("doc_id", "n_shingles", "node").join(groups.select("node", "least"), "node", "left")
+    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, with all their columns, but for those of a near-duplicate group other
-    than its smallest doc_id.  Rows that repeat an id leave one row; null ids are all kept."""
-    found = near_duplicates(docs, size, percent)
-    gone = small(found.filter(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias("__gone")).distinct(), BROADCAST_NODES)
-    kept = docs.join(gone, docs["doc_id"] == F.col("__gone"), "left_anti")
-    twice = small(docs.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("__twice")).count().filter("count > 1").select("__twice"), BROADCAST_NODES)
+    """The rows of ``docs``, with all their columns, but one row for each near-duplicate group: one
+    with its smallest doc_id, or any where no row has an id.  Rows that share an id and not a text
+    are no copies of each other; rows without shingles all stay."""
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+    rows, groups = _linked(docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("row"), whole.alias("whole"), "text"), size, percent)
+    rows = rows.filter(F.col("node").isNotNull()).select("node", "whole").join(groups.select("node", "pick"), "node")
+    gone = small(rows.filter(F.col("whole") != F.col("pick")).select(F.col("whole").alias("__gone")).distinct())
+    kept = docs.join(gone, whole == F.col("__gone"), "left_anti")
+    twice = small(rows.filter(F.col("whole") == F.col("pick")).groupBy(F.col("whole").alias("__twice")).count().filter("count > 1").select("__twice"))
     if not twice.limit(1).count():
         return kept
-    again = kept.join(twice, kept["doc_id"] == F.col("__twice"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(twice, kept["doc_id"] == F.col("__twice"), "left_anti").union(again)
+    again = kept.join(twice, whole == F.col("__twice"), "left_semi").withColumn("__whole", whole).dropDuplicates(["__whole"]).drop("__whole")
+    return kept.join(twice, whole == F.col("__twice"), "left_anti").union(again)
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

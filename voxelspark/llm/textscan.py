@@ -77,6 +77,23 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK_BY
             low = high
 
 
+def _segments(raw: np.ndarray, keep: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Cuts a block into stretches of about ``BLOCK_BYTES`` between words, so that the arrays of
+    eight bytes a byte never cover a whole long text (but for one word that is longer)."""
+    low = 0
+    while low < len(raw):
+        high = min(len(raw), low + BLOCK_BYTES)
+        if high < len(raw):
+            gaps = np.flatnonzero(~keep[low:high])
+            if len(gaps):
+                high = low + int(gaps[-1]) + 1
+            else:
+                rest = np.flatnonzero(~keep[high:])
+                high = high + int(rest[0]) + 1 if len(rest) else len(raw)
+        yield low, high
+        low = high
+
+
 class Words:
     """Words of a block: starts and ends in bytes, row of each, first word of each row, hashes."""
 
@@ -94,19 +111,25 @@ class Words:
         self.first = np.searchsorted(self.starts, at)  # n + 1
         self.counts = np.diff(self.first)
         self.row = np.repeat(np.arange(len(at) - 1), self.counts)
-        power, inverse = _grow(len(raw) + 1)
-        total = np.zeros(len(raw) + 1, dtype=_U)
-        np.cumsum(_BYTE[raw] * power[: len(raw)], out=total[1:])
-        h = (total[self.ends] - total[self.starts]) * inverse[self.starts]
-        self._total, self._inverse = total, inverse
+        self._raw = raw
+        h = np.empty(len(self.starts), dtype=_U)
+        for low, high in _segments(raw, keep):
+            i, j = np.searchsorted(self.starts, (low, high))
+            if i == j:
+                continue
+            starts, ends = self.starts[i:j] - low, self.ends[i:j] - low
+            power, inverse = _grow(high - low + 1)
+            total = np.zeros(high - low + 1, dtype=_U)
+            np.cumsum(_BYTE[raw[low:high]] * power[: high - low], out=total[1:])
+            h[i:j] = (total[ends] - total[starts]) * inverse[starts]
         self.hash = mix(h + (self.ends - self.starts).astype(_U) * _U(0xA0761D6478BD642F))
 
-
     def prefixes(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Rows and hashes of the first ``size`` bytes of the words that have as many."""
         long = np.flatnonzero(self.ends - self.starts >= size)
-        s = self.starts[long]
-        h = (self._total[s + size] - self._total[s]) * self._inverse[s]
+        s, h, power = self.starts[long], np.zeros(len(long), dtype=_U), _grow(size)[0]
+        for i in range(size):
+            h += _BYTE[self._raw[s + i]] * power[i]
         return self.row[long], mix(h ^ mix(np.array([size + 1000], dtype=_U)))
 
 
