@@ -63,6 +63,19 @@ def test_line_dedup_of_a_wide_leaf(spark):
     assert {r.doc_id: r.text for r in linededup.cleaned(df).collect()} == own
 
 
+def test_line_dedup_sieve(awkward, spark, monkeypatch):
+    """Leaves in a bit table of fixed size give what their broadcast gives; rows that repeat are one
+    document; lines of many tokens and of none are fine."""
+    lines = [(i, f"user {i} logged in from host{i} at port {i * 7}\nsome own words of the text number {'abcdefgh'[i % 8] * 3} here\nthe same line stands here\tagain") for i in range(8)]
+    df = awkward.select("doc_id", "text").union(spark.createDataFrame([*lines, lines[0], lines[0], (9, "a b " * 3000)], "doc_id long, text string"))
+    want = sorted(rows(linededup.dropped_lines(df)))
+    assert len({k for k, _ in want}) >= 8
+    monkeypatch.setattr(linededup, "fits", lambda df: False)
+    assert sorted(rows(linededup.dropped_lines(df))) == want
+    alone = spark.createDataFrame([lines[0]] * 5, "doc_id long, text string")
+    assert linededup.dropped_lines(alone).count() == 0
+
+
 def test_token_counts(awkward, nothing):
     v = tokencount.Vocabulary({"▁": -1.0, "o": -5.0, "▁one": -2.0, "n": -5.0, "e": -5.0}, False)
     out = tokencount.token_counts(awkward, v)

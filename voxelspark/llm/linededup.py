@@ -8,10 +8,12 @@ line has a second template, in which every token that enough documents have ther
 Templates of mostly constant tokens that recur in ``MIN_DOCS`` documents or more are dropped, all
 their lines; so a line of mostly digit-free tokens that stands in that many documents always goes.
 
-Only hashes of leaves and templates are shuffled, with the tokens of lines in leaves that recur;
-documents are counted after a first aggregation by (key, document), so a line that a third of all
-documents hold is no hot key.  Nothing is gathered: a template is a hash over the constants that a
-line has and where, built up token by token.
+Only hashes are shuffled: those of leaves, and in leaves that recur those of (leaf, position, token),
+which stand for a constant; documents are counted after a first aggregation by (key, document), so a
+line that a third of all documents hold is no hot key there, and where it is one in a join the other
+side has one row for it and adaptive execution splits it.  Lines of leaves that do not recur are left
+out by a broadcast of the recurring leaves' hashes while they fit, then of a bit table of fixed size.
+Nothing is gathered: a template is the exclusive or of the hashes of the constants that a line has.
 
 Defined cases: a null text has no lines, an empty text one empty line; lines of fewer than
 ``MIN_TOKENS`` tokens stay; rows equal in id and text count as one document and get one answer
@@ -23,55 +25,71 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelspark.llm.common import SPACE_WORD, cut, small, table
+from voxelspark.llm.common import SPACE_WORD, cut, fits, table
 
 DEPTH = 3
 MIN_TOKENS = 5
 MIN_DOCS = 3
 FAN_OUT = 16
 CONSTANT = 0.6  # least share of constant tokens in a template that is dropped
-BROADCAST_LEAVES = 2_000_000
+SIEVE_BITS = 27
 _FIELD = "<*>"
+_WITH_DIGIT = r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"  # no more than one look at each character
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(k, line_no, tokens) of all lines with enough tokens; k names the document."""
-    lines = docs.select(F.xxhash64("doc_id", "text").alias("k"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    tokens = F.regexp_extract_all("line", F.lit(SPACE_WORD), F.lit(0))
-    return lines.select("k", "line_no", tokens.alias("tokens")).filter(F.size("tokens") >= MIN_TOKENS)
-
-
-def _masked(tokens):
-    return F.transform(tokens, lambda t: F.when(t.rlike("[0-9]"), F.lit(_FIELD)).otherwise(t))
-
-
-def _documents(df: DataFrame, *keys: str) -> DataFrame:
-    """Keys that ``MIN_DOCS`` documents or more have."""
-    return df.groupBy(*keys, "k").agg(F.lit(1).alias("one")).groupBy(*keys).agg(F.count("*").alias("docs")).filter(F.col("docs") >= MIN_DOCS).select(*keys)
+    """(k, line_no, tokens) of all lines with enough tokens; k names the document, and tokens with a
+    digit are fields.  White space and digits are dealt with in the text, before lines are cut."""
+    text = F.when(F.col("text").rlike(r"[\x09\x0B-\x0D]"), F.translate("text", "\t\x0b\f\r", "    ")).otherwise(F.col("text"))
+    docs = docs.select(F.xxhash64("doc_id", "text").alias("k"), text.alias("text"))
+    text = F.when(F.col("text").rlike("[0-9]"), F.regexp_replace("text", _WITH_DIGIT, _FIELD)).otherwise(F.col("text"))
+    lines = docs.select("k", F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
+    return lines.select("k", "line_no", F.array_remove(F.split("line", " "), "").alias("tokens")).filter(F.size("tokens") >= MIN_TOKENS)
+
+
+def _documents(df: DataFrame, key: str, *rest: str) -> DataFrame:
+    """Keys that ``MIN_DOCS`` documents or more have, with what else depends on the key."""
+    once = df.groupBy(key, "k").agg(F.lit(1).alias("one"), *[F.min(c).alias(c) for c in rest])
+    return once.groupBy(key).agg(F.count("*").alias("docs"), *[F.min(c).alias(c) for c in rest]).filter(F.col("docs") >= MIN_DOCS).select(key, *rest)
+
+
+def _sieved(lines: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Lines whose leaf may recur, by a bit table of 2^``SIEVE_BITS`` bits (16 MB at any size).  Some
+    that do not recur pass, and no constant is found for them later; none that does is lost."""
+    slot = F.col("leaf").bitwiseAND(F.lit((1 << SIEVE_BITS) - 1))
+    words = leaves.select(F.shiftright(slot, 6).alias("word"), F.expr("shiftleft(1L, CAST(leaf & 63 AS INT))").alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    every = leaves.sparkSession.range(1 << (SIEVE_BITS - 6)).withColumnRenamed("id", "word").join(words, "word", "left")
+    row = F.sort_array(F.collect_list(F.struct((F.col("word") % 512).alias("at"), F.coalesce("bits", F.lit(0)).alias("bits"))))
+    table = cut(every.groupBy(F.shiftright("word", 9).alias("part")).agg(F.transform(row, lambda x: x["bits"]).alias("bits")))
+    both = lines.join(F.broadcast(table), F.shiftright(slot, 15) == F.col("part"))
+    hit = F.getbit(F.element_at("bits", (F.shiftright(slot, 6) % 512 + 1).cast("int")), F.col("leaf").bitwiseAND(F.lit(63)).cast("int"))
+    return both.filter(hit == 1).select(lines.columns)
 
 
 def dropped_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> (k, line_no) of the lines to drop."""
-    leaf = F.xxhash64(F.size("tokens"), _masked(F.slice("tokens", 1, DEPTH))).alias("leaf")
+    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, DEPTH)).alias("leaf")
     lines = _lines(docs).select("k", "line_no", "tokens", leaf)
-    leaves = small(_documents(lines.select("leaf", "k"), "leaf"), BROADCAST_LEAVES)
-    hashed = F.transform(_masked("tokens"), lambda t: F.when(t != _FIELD, F.xxhash64(t)).otherwise(F.lit(0).cast("long")))
-    held = cut(lines.join(leaves, "leaf").select("leaf", "k", "line_no", hashed.alias("tokens")))
-    placed = held.select("leaf", "k", F.posexplode("tokens").alias("pos", "token")).filter("token <> 0")
-    often = cut(_documents(placed, "leaf", "pos", "token"))
-    fan = often.groupBy("leaf", "pos").agg(F.count("*").alias("fan"))
-    constants = small(often.join(fan, ["leaf", "pos"]).select("leaf", "pos", "token", (F.col("fan") <= FAN_OUT).alias("narrow")), BROADCAST_LEAVES)
-    # A line's templates: its leaf and which constants it has where, whatever the order they come in.
-    held_at, narrow, at = F.col("narrow").isNotNull(), F.col("narrow"), F.xxhash64("pos", "token")
-    whole = F.count("*").alias("n"), F.count_if(narrow).alias("fixed"), F.bit_xor(F.when(narrow, at)).alias("shape"), F.count_if(held_at).alias("often"), F.bit_xor(F.when(held_at, at)).alias("full")
-    tokens = held.select("leaf", "k", "line_no", F.posexplode("tokens").alias("pos", "token"))
-    lines = tokens.join(constants, ["leaf", "pos", "token"], "left").groupBy("leaf", "k", "line_no").agg(*whole)
+    leaves = cut(_documents(lines.select("leaf", "k"), "leaf"))
+    hashed = F.transform("tokens", lambda t, i: F.when(t != _FIELD, F.xxhash64("leaf", i, t)))
+    hashed = lines.select("leaf", "k", "line_no", F.size("tokens").alias("n"), hashed.alias("tokens"))
+    held = cut(hashed.join(F.broadcast(leaves), "leaf") if fits(leaves) else _sieved(hashed, leaves))
+    placed = held.select("leaf", "k", F.posexplode("tokens").alias("pos", "token")).filter("token IS NOT NULL")
+    often = cut(_documents(placed.select("token", "k", F.xxhash64("leaf", "pos").alias("place")), "token", "place"))
+    fan = often.groupBy("place").agg(F.count("*").alias("fan"))
+    constants = often.join(fan, "place").select("token", (F.col("fan") <= FAN_OUT).alias("narrow"))
+    # A line's templates: which constants it has where, whatever the order they come in.
+    narrow, token = F.col("narrow"), F.col("token")
+    whole = F.count_if(narrow).alias("fixed"), F.bit_xor(F.when(narrow, token)).alias("shape"), F.count("*").alias("often"), F.bit_xor(token).alias("full")
+    # Rows that are equal in id and text have lines of their own, told apart by ``r``.
+    tokens = held.select(F.monotonically_increasing_id().alias("r"), "k", "line_no", "n", "tokens")
+    tokens = tokens.select("r", "k", "line_no", "n", F.explode("tokens").alias("token")).filter("token IS NOT NULL")
+    lines = tokens.join(constants, "token").groupBy("r", "k", "line_no", "n").agg(*whole)
     mostly = lambda c: (F.col(c) > 0) & (F.col(c) >= F.ceil(F.col("n") * CONSTANT))
-    first = F.when(mostly("fixed"), F.xxhash64("leaf", "shape", "fixed"))
-    second = F.when(mostly("often") & (F.col("often") > F.col("fixed")), F.xxhash64("leaf", "full", "often"))
-    lines = lines.filter(mostly("often")).select("k", "line_no", F.explode(F.array_compact(F.array(first, second))).alias("template"))
-    shaped = cut(lines)
-    recurring = small(_documents(shaped.select("template", "k"), "template"), BROADCAST_LEAVES)
+    first = F.when(mostly("fixed"), F.xxhash64("n", "shape", "fixed"))
+    second = F.when(mostly("often") & (F.col("often") > F.col("fixed")), F.xxhash64("n", "full", "often"))
+    shaped = cut(lines.filter(mostly("often")).select("k", "line_no", F.explode(F.array_compact(F.array(first, second))).alias("template")))
+    recurring = _documents(shaped.select("template", "k"), "template")
     return shaped.join(recurring, "template", "left_semi").select("k", "line_no").distinct()
 
 
@@ -83,7 +101,9 @@ def cleaned(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with their columns, dropped lines taken out of ``text``."""
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.xxhash64("doc_id", "text").alias("k"))
     both = keyed.join(_grouped(docs), "k", "left")
-    left = F.expr("array_join(filter(split(row.text, '\\n'), (x, i) -> NOT array_contains(gone, i)), '\\n')")
+    both = both.withColumn("lines", F.when(F.col("gone").isNotNull(), F.split("row.text", "\n")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone")
+    left = F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n")
     text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(left)
     return both.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])
 
