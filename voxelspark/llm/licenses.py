@@ -5,11 +5,14 @@ documents that hold each word of the templates.  Each template is looked up by t
 phrase with the highest inverse document frequency: as the phrase is mandatory, no notice is without
 it.  The index holds, for each of these words, its postings (template, offset).  Each place of such
 a word in a file, less the offset of each posting, names a template and a start.  A start holds if
-the key phrase stands word for word where the start puts it and enough words agree with it.
+the key phrase stands word for word where the start puts it and enough words agree with it.  So the
+index only finds starts faster, and whichever word it uses the result is that of the definition,
+which the SQL counterpart states.  The score is the share of a template's words that stand in place.
 
-Everything happens within a row, on arrays: no shuffle but for the word counts (one row for each
-word of the templates), and the candidates of a file are sorted, not compared with each other, so a
-long or repetitive text costs n log n.
+Texts are gone through once; what is kept of them is written down.  The rest happens within a row,
+on arrays: no shuffle but for the word counts (one row for each word of the templates), and the
+candidates of a file are sorted, not compared with each other, so a long or repetitive text costs
+n log n.
 
 Defined cases: a null or empty text has no words, no places, no labels and score 0; null ids and
 repeated rows are returned as they are; ties of frequency go to the smaller word; other columns are
@@ -21,12 +24,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxelspark.llm.common import ascii_lower, table
+from voxelspark.llm.common import ascii_lower, cut, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same before lower-casing
-ANCHORS = 12  # rarest licence words that the SQL counterpart looks a file up by
-DEEPEST = 16  # agreeing words that a score counts
 #: Base phrases and their labels.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 #: Label, wording of the notice, mandatory key phrase (a part of the wording).
@@ -44,45 +45,59 @@ TEMPLATES = (
     ("cc-by-nc-4.0", "licensed under cc by nc 4 0", "cc by nc 4 0"),
     ("cc-by-4.0", "licensed under cc by 4 0", "cc by 4 0"),
     ("cc", "this work is licensed under a creative commons attribution license", "creative commons attribution"),
+    ("mit-notice-kept", "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "substantial portions of the software"),
+    ("no-warranty", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement", "without warranty of any kind"),
+    ("apache-header", "you may not use this file except in compliance with the license you may obtain a copy of the license at", "except in compliance with the license"),
+    ("gpl-or-later", "either version 3 of the license or at your option any later version", "at your option any later version"),
+    ("bsd-source", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer", "must retain the above copyright notice"),
+    ("bsd-names", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", "endorse or promote products derived from this software"),
 )
 _SPLIT = [t.split() for _, t, _ in TEMPLATES]
 _PHRASES = [p.split() for _, _, p in TEMPLATES]
 VOCABULARY = sorted({w for t in _SPLIT for w in t})
 NEED = [3 if len(t) >= 8 else 2 for t in _SPLIT]
 _AT = [next(i for i in range(len(t)) if t[i : i + len(p)] == p) for t, p in zip(_SPLIT, _PHRASES, strict=True)]
-#: A file without one of these (in any case) can hold no phrase.
-GATE = "(?i)licen|granted|binary|distribute|unencumbered|creative|(?<![0-9a-z])cc(?![0-9a-z])"
-
-
 def _list(values, quote=repr) -> str:
     return "array(" + ", ".join(map(quote, values)) + ")"
 
 
-def _words(text):
-    return F.regexp_extract_all(ascii_lower(text), F.lit(WORD), F.lit(0))
+def _lower(words, text):
+    """Words in lower case.  Other letters than A-Z change case too, which no template has; in texts
+    with one of the two that would become a letter of ASCII, they are kept from it."""
+    odd = F.coalesce(text.contains("\u0130") | text.contains("\u212a"), F.lit(False))
+    return F.when(odd, F.transform(words, ascii_lower)).otherwise(F.transform(words, F.lower))
+
+
+def read(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) -> (doc_id, n_words, held, w), written down: the number of words, the distinct
+    words of the templates, and all words in lower case where a phrase can stand, else none.  Texts
+    are gone through once."""
+    phrases = [*_PHRASES, *(p.split() for p, _ in BASE)]
+    d = docs.select("doc_id", "text", F.regexp_extract_all("text", F.lit(_RAW_WORD), F.lit(0)).alias("raw"))
+    d = d.withColumn("held", F.array_intersect(_lower(F.array_distinct("raw"), F.col("text")), F.expr(_list(sorted({*VOCABULARY, *(w for p in phrases for w in p)})))))
+    may = F.lit(False)
+    for p in phrases:
+        may = may | F.forall(F.expr(_list(p)), lambda w: F.array_contains("held", w))
+    none = F.expr("CAST(array() AS array<string>)")
+    w = F.when(may, _lower("raw", F.col("text"))).otherwise(none)
+    return cut(d.select("doc_id", F.coalesce(F.size("raw"), F.lit(0)).cast("long").alias("n_words"), F.coalesce("held", none).alias("held"), F.coalesce(w, none).alias("w")))
 
 
-def frequencies(docs: DataFrame) -> dict[str, int]:
+def frequencies(held: DataFrame) -> dict[str, int]:
     """Documents that hold each word of the templates: at most one number for each of them."""
-    vocabulary = F.expr(_list(VOCABULARY))
-    held = docs.select(F.explode(F.array_intersect(_words(F.col("text")), vocabulary)).alias("w"))
-    found = {r.w: r["count"] for r in held.groupBy("w").count().collect()}
+    found = {r.w: r["count"] for r in held.select(F.explode("held").alias("w")).groupBy("w").count().collect()}
     return {w: found.get(w, 0) for w in VOCABULARY}
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, text) -> (doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score, hits), hits: the templates found, with their first word's place and agreeing words."""
-    often = frequencies(docs)
+    d = read(docs)
+    often = frequencies(d)
     rarest = [min(p, key=lambda w: (often[w], w)) for p in _PHRASES]
     postings = "array(" + ", ".join(f"struct('{w}' AS w, {t} AS t, {_AT[t] + _PHRASES[t].index(w)} AS o)" for t, w in enumerate(rarest)) + ")"
     templates = "array(" + ", ".join(_list(t) for t in _SPLIT) + ")"
     phrases = "array(" + ", ".join(_list(p) for p in _PHRASES) + ")"
-    d = docs.select(
-        "doc_id",
-        F.coalesce(F.regexp_count("text", F.lit(_RAW_WORD)), F.lit(0)).cast("long").alias("n_words"),
-        F.when(F.col("text").rlike(GATE), _words(F.col("text"))).otherwise(F.expr("CAST(array() AS array<string>)")).alias("w"),
-    )
     # Places of the base phrases end in "license".
     d = d.withColumn("ends", F.expr("filter(transform(w, (x, i) -> IF(x = 'license', i, -1)), i -> i > 0)"))
     d = d.withColumn("base", F.expr("""
@@ -91,7 +106,6 @@ def scan(docs: DataFrame) -> DataFrame:
             WHEN w[i - 1] = 'apache' THEN struct(CAST(i - 1 AS BIGINT) AS at, 'apache' AS label)
             WHEN i > 1 AND w[i - 1] = 'public' AND w[i - 2] = 'general' THEN struct(CAST(i - 2 AS BIGINT) AS at, 'gpl' AS label)
             END), b -> b IS NOT NULL))"""))
-    d = d.withColumn("words", F.array_intersect("w", F.expr(_list(VOCABULARY))))
     d = d.withColumn("found", F.expr(f"filter(transform(w, (x, i) -> struct(x AS w, i AS i)), o -> o.w IN ({', '.join(map(repr, sorted(set(rarest))))}))"))
     d = d.withColumn("places", F.expr(f"""
         array_sort(flatten(transform(found, o -> transform(filter({postings}, p -> p.w = o.w), p -> struct(p.t AS t, o.i - p.o AS s)))))"""))
@@ -100,8 +114,8 @@ def scan(docs: DataFrame) -> DataFrame:
             AND slice(w, x.s + {_list(_AT, str)}[x.t] + 1, size({phrases}[x.t])) = {phrases}[x.t])"""))
     d = d.withColumn("hits", F.expr(f"""
         filter(transform(hits, x -> struct({_list([t[0] for t in TEMPLATES])}[x.t] AS label, CAST(x.s AS BIGINT) AS start,
-            least({DEEPEST}, size(filter({templates}[x.t], (y, o) -> coalesce(get(w, x.s + o) = y, false)))) AS agree,
-            least({DEEPEST}, size(filter({templates}[x.t], y -> array_contains(words, y)))) AS most,
+            size(filter({templates}[x.t], (y, o) -> coalesce(get(w, x.s + o) = y, false))) AS agree,
+            size({templates}[x.t]) AS most,
             {_list(NEED, str)}[x.t] AS need)), h -> h.agree >= h.need)"""))
     d = d.withColumn("hits", F.expr("transform(hits, h -> struct(h.label, h.start, h.agree, h.most))"))
     base_labels = F.expr("array_sort(array_distinct(transform(base, b -> b.label)))")
@@ -123,23 +137,17 @@ def _values(rows) -> str:
 
 
 ORACLE = rf"""
-WITH post(w, t, o) AS (VALUES {_values((w, t, o) for t, words in enumerate(_SPLIT) for o, w in enumerate(words))}),
-tpl(t, label, phrase, pos, need) AS (VALUES {_values((t, TEMPLATES[t][0], _PHRASES[t], _AT[t], NEED[t]) for t in range(len(TEMPLATES)))}),
-d AS (
+WITH tpl(label, words, phrase, pos, need) AS (VALUES {_values((TEMPLATES[t][0], _SPLIT[t], _PHRASES[t], _AT[t], NEED[t]) for t in range(len(TEMPLATES)))}),
+d AS MATERIALIZED (
   SELECT row_number() OVER () AS k, doc_id,
     coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), []) AS w FROM documents),
-x AS MATERIALIZED (SELECT k, u.w, u.i - 1 AS i FROM (SELECT k, unnest(list_zip(w, range(1, len(w) + 1))) AS z FROM d) q, LATERAL (SELECT z[1] AS w, z[2] AS i) u),
-df AS (SELECT p.w, count(DISTINCT x.k) AS n FROM (SELECT DISTINCT w FROM post) p LEFT JOIN x ON x.w = p.w GROUP BY p.w),
-held AS (SELECT DISTINCT k, w FROM x WHERE w IN (SELECT w FROM post)),
-anchor AS (
-  SELECT k, w FROM held JOIN df USING (w) QUALIFY row_number() OVER (PARTITION BY k ORDER BY n, w) <= {ANCHORS}),
+x AS MATERIALIZED (SELECT k, unnest(w) AS w, unnest(range(len(w))) AS i FROM d),
 place AS (
-  SELECT x.k, post.t, x.i - post.o AS s, count(*) AS agree FROM x JOIN anchor a ON a.k = x.k AND a.w = x.w JOIN post ON post.w = x.w GROUP BY ALL),
-most AS (SELECT a.k, post.t, count(*) AS most FROM anchor a JOIN post ON post.w = a.w GROUP BY ALL),
+  SELECT x.k, tpl.*, x.i - tpl.pos AS s, d.w
+  FROM x JOIN tpl ON x.w = tpl.phrase[1] JOIN d ON d.k = x.k WHERE list_slice(d.w, x.i + 1, x.i + len(tpl.phrase)) = tpl.phrase),
 hit AS (
-  SELECT p.k, tpl.label, least(p.agree, {DEEPEST})::DOUBLE / least(most.most, {DEEPEST}) AS score
-  FROM place p JOIN tpl ON tpl.t = p.t JOIN most ON most.k = p.k AND most.t = p.t JOIN d ON d.k = p.k
-  WHERE p.agree >= tpl.need AND p.s + tpl.pos >= 0 AND list_slice(d.w, p.s + tpl.pos + 1, p.s + tpl.pos + len(tpl.phrase)) = tpl.phrase),
+  SELECT k, label, agree::DOUBLE / len(words) AS score FROM (
+    SELECT *, len(list_filter(range(len(words)), lambda o: s + o >= 0 AND s + o < len(w) AND w[s + o + 1] = words[o + 1])) AS agree FROM place) q WHERE agree >= need),
 base AS (
   SELECT a.k, CASE b.w WHEN 'mit' THEN a.i - 1 WHEN 'apache' THEN a.i - 1 ELSE a.i - 2 END AS pos,
     CASE b.w WHEN 'mit' THEN 'mit' WHEN 'apache' THEN 'apache' ELSE 'gpl' END AS label
