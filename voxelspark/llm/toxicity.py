@@ -15,9 +15,13 @@ model is fitted on; every document is scored, over its whole text.
 4. A linear classifier over the kept terms, trained on the posteriors with a ridge penalty.  Its
    probability is the score.
 
+Parameters that bound the fit, which sees labelled rows only: ``MAX_LABELLED`` rows, ``CANDIDATES``
+terms to choose from (those in most positive rows), ``TERMS`` terms kept.
+
 Defined cases: null and empty texts have no terms and get the score of the bias; without labelled
-rows of both values the score is 0; null labels and labels of null ids are not used; several labels
-of one id count as several rows; extra columns are ignored; an empty table gives an empty result.
+rows of both values the score is 0; null labels and labels of null ids are not used; a null id has
+no checksum and is not held out; several labels of one id count as several rows; extra columns are
+ignored; a text's score depends on nothing but the text; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -35,6 +39,7 @@ from voxelspark.llm.common import cut, table
 
 MAX_LABELLED = 20_000
 MIN_POSITIVE = 4  # rows with the label that a term must stand in
+CANDIDATES = 1_000_000
 TERMS = 768
 LEXICONS = 48
 PREFIXES = (3, 4, 5, 6)
@@ -44,7 +49,7 @@ INSULTS = ("idiot", "moron", "stupid", "loser", "scum", "trash", "worthless", "p
 
 
 def held_out(doc_id: Column) -> Column:
-    return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
 def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -78,15 +83,21 @@ def known(row: np.ndarray, h: np.ndarray, vocabulary: np.ndarray) -> tuple[np.nd
 def patterns(column: pa.Array) -> np.ndarray:
     """Votes of the pattern voters: symbol noise, shouting, exclamation, repetition."""
     raw, at = ts.text_bytes(column)
-    n = np.maximum(np.diff(at), 1)
+    n = np.diff(at)
+    some = np.flatnonzero(n)
 
     def share(mask: np.ndarray) -> np.ndarray:
-        return np.diff(np.concatenate([[0], np.cumsum(mask)])[at]) / n
+        out = np.zeros(len(n))
+        if len(some):
+            out[some] = np.add.reduceat(mask, at[some], dtype=np.int64) / n[some]
+        return out
 
     upper = (raw >= 65) & (raw <= 90)
     noise = np.isin(raw, np.frombuffer(b"#$%&*|~^", dtype=np.uint8))
     same = np.zeros(len(raw), dtype=bool)
     same[4:] = raw[4:] == raw[:-4]
+    for i in range(4):  # what is before a row is another text
+        same[at[some[n[some] > i]] + i] = False
     return np.stack([share(noise) > 0.05, share(upper) > 0.3, share(raw == 33) > 0.01, share(same) > 0.5], axis=1)
 
 
@@ -139,8 +150,9 @@ def linear(x: np.ndarray, target: np.ndarray, ridge: float = 1e-4, rounds: int =
     return w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
-    """docs (doc_id, text), labels (doc_id, toxic): fitted on ``limit`` labelled rows at most."""
+def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, kept: int = TERMS) -> Model:
+    """docs (doc_id, text), labels (doc_id, toxic): fitted on ``limit`` labelled rows at most, with
+    ``kept`` terms at most."""
     none = Model(np.zeros(0, np.uint64), np.zeros(0, np.float32), 0.0, False)
     chosen = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).select("doc_id", (F.col("toxic") > 0).cast("int").alias("y"))
     chosen = cut(chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(limit))
@@ -151,7 +163,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array(distinct(*terms(part.column("text")))[1].view(np.int64))], ["h"])
 
     often = sample.filter("y = 1").select("text").mapInArrow(positive, "h long").groupBy("h").count().filter(F.col("count") >= MIN_POSITIVE)
-    candidates = np.sort(np.array([r.h for r in often.select("h").collect()], dtype=np.int64).view(np.uint64))
+    often = often.orderBy(F.desc("count"), "h").limit(CANDIDATES).select("h")
+    candidates = np.sort(often.toPandas()["h"].to_numpy(dtype=np.int64).view(np.uint64))
     sizes = {r.y: r["count"] for r in sample.groupBy("y").count().collect()}
     if not sizes.get(0) or not sizes.get(1) or not len(candidates):
         return none
@@ -172,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
     error = np.sqrt(1 / (pos + 0.5) + 1 / (neg + 0.5) + 1 / (p - pos + 0.5) + 1 / (n - neg + 0.5))
     sure = odds - 2 * error  # the least that the evidence allows
     best = np.argsort(-sure, kind="stable")
-    best = best[sure[best] > 0.5][:TERMS]
+    best = best[sure[best] > 0.5][:kept]
     if not len(best):
         return none
     order = np.argsort(candidates[found["at"].to_numpy()[best]])
