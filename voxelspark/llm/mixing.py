@@ -5,10 +5,12 @@ times all sizes.  No target exceeds ``cap`` times its source's size; the excess
 the others by weight until none is above.  With sources ordered by size / weight the capped ones
 come first, so that fixed point is one running sum over the sources and not a loop.
 
-Copies: every document of a source expects e = target / source size copies.  Documents stand in
-order of (size, id); the prefix sum of the expected copies is e times the rank.  One offset in
-[0, 1) for each source, drawn by hash from the seed, is added, and a document is emitted once for
-each integer that its interval crosses.  Order by size keeps the words taken close to the target.
+Copies: every document of a source expects e = target / source size copies.  Documents stand so
+that sizes rise and then fall: ranked by (size, id), even ranks come first and odd ones follow in
+reverse; the prefix sum of the expected copies is e times the place.  One offset in [0, 1) for each
+source, drawn by hash from the seed, is added, and a document is emitted once for each integer that
+its interval crosses.  Where sizes rise an offset takes too few words, and where they fall by as much
+too many, so the words taken stay close to the target.
 
 Defined cases: a null source is a source of its own; a null or empty text has size 0 and takes
 part like others; equal ids and sizes are told apart by a hash of the text; rows equal in all of
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voxelspark.llm.common import SPACE_WORD, ranked, small, space_words, table
+from voxelspark.llm.common import SPACE_WORD, cut, ranked, small, space_words, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -32,7 +34,7 @@ SEED = "mix-1"
 
 
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
-    """(source, source_size) -> (source, source_size, target, offset free).  One row a source."""
+    """(source, source_size, rows) -> with target.  One row a source."""
     turn = F.row_number().over(W.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("turn") % len(weights) + 1).cast("int"))
     t = sizes.withColumn("turn", turn).withColumn("w", weight)
@@ -45,7 +47,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     # The first source in this order that its share doesn't overfill sets the level for the rest.
     first = F.min(F.when(F.col("level") <= F.col("fill"), F.struct("fill", "turn", "level"))).over(every)
     t = t.withColumn("level", first["level"])
-    return t.select("source", "source_size", F.least("most", F.col("level") * F.col("w")).alias("target"))
+    return t.select("source", "source_size", "rows", F.least("most", F.col("level") * F.col("w")).alias("target"))
 
 
 def offset(source, seed: str = SEED):
@@ -54,29 +56,42 @@ def offset(source, seed: str = SEED):
     return F.conv(F.substring(F.md5(name), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
 
 
-def copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED, size=None, whole: bool = False) -> DataFrame:
+def copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP, seed: str = SEED, size=None, keep=()) -> DataFrame:
     """(doc_id, source, size, source_size, target, copies) for each document.
 
-    ``size`` is a Column, words of ``text`` if not given.  Texts are read once and not shuffled,
-    unless ``whole`` asks for each row itself, as struct ``row``, beside its numbers.
+    ``size`` is a Column, words of ``text`` if not given; ``keep`` are Columns to carry along.  Texts
+    are read once and not shuffled.
     """
     size = space_words(F.col("text")) if size is None else size
-    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole else []
-    rows = docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("tie"), *row)
+    rows = cut(docs.select("doc_id", "source", size.alias("size"), F.xxhash64("text").alias("tie"), *keep))
     place = ranked(rows, ["size", "doc_id", "tie"], "rank", ["source"])
-    goal = small(targets(place.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, cap))
+    goal = place.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+    goal = small(targets(goal, weights, share, cap))
     both = place.alias("l").join(goal.alias("r"), F.col("l.source").eqNullSafe(F.col("r.source")))
-    both = both.select("l.*", "r.source_size", "r.target")
+    both = both.select("l.*", "r.source_size", "r.rows", "r.target")
     each = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     u = offset(F.col("source"), seed)
-    crossed = F.floor(each * (F.col("rank") + 1) + u) - F.floor(each * F.col("rank") + u)
-    return both.withColumn("copies", F.least(crossed, F.ceil(F.lit(cap))).cast("long")).drop("rank", "tie")
+    half = F.floor(F.col("rank") / 2)
+    at = F.when(F.col("rank") % 2 == 0, half).otherwise(F.col("rows") - 1 - half)
+    crossed = F.floor(each * (at + 1) + u) - F.floor(each * at + u)
+    return both.withColumn("copies", F.least(crossed, F.ceil(F.lit(cap))).cast("long")).drop("rank", "rows", "tie")
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
-    """The mix itself: every row of ``docs``, with its columns, as often as it was drawn."""
-    drawn = copies(docs, whole=True, **options).filter(F.col("copies") > 0)
-    return drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*")
+    """The mix itself: every row of ``docs``, with its columns, as often as it was drawn.
+
+    The draw knows rows by two hashes of all their columns and not by their texts, which are read
+    again; it is broadcast if it is small and else joined.  Rows that are equal in all columns share
+    what was drawn of them.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    name = [F.xxhash64(*columns).alias("__a"), F.xxhash64(F.lit(1), *columns).alias("__b")]
+    drawn = copies(docs, keep=name, **options).groupBy("__a", "__b").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
+    drawn = small(drawn.filter(F.col("__copies") > 0))
+    both = docs.select(*columns, *name).join(drawn, ["__a", "__b"])
+    if drawn.filter(F.col("__rows") > 1).limit(1).count():
+        both = both.filter(F.col("__rows") == 1).union(both.filter(F.col("__rows") > 1).dropDuplicates(["__a", "__b"]))
+    return both.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*columns)
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,11 +102,11 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE = rf"""
 WITH d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '{SPACE_WORD}')), 0) AS BIGINT) AS size FROM documents),
-s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS rows FROM d GROUP BY source),
 w AS (
   SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn FROM s),
 f AS (
-  SELECT source, source_size, turn, CASE turn % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w,
+  SELECT source, source_size, rows, turn, CASE turn % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS w,
     source_size::DOUBLE * 2.0::DOUBLE AS most FROM w),
 g AS (
   SELECT *, most / w AS fill,
@@ -99,14 +114,15 @@ g AS (
       - coalesce(sum(most) OVER (ORDER BY most / w, turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
       / sum(w) OVER (ORDER BY most / w, turn ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS lev FROM f),
 t AS (
-  SELECT source, source_size,
+  SELECT source, source_size, rows,
     least(most, w * (SELECT lev FROM g WHERE lev <= fill ORDER BY fill, turn LIMIT 1)) AS target FROM g),
-r AS (
+k AS (
   SELECT d.doc_id, d.size, d.source, t.source_size, t.target,
-    row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id NULLS FIRST) - 1 AS rank,
+    row_number() OVER (PARTITION BY d.source ORDER BY d.size, d.doc_id NULLS FIRST) - 1 AS k, t.rows,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS e,
     CAST('0x' || substr(md5('{SEED}:' || coalesce('s' || d.source, 'n')), 1, 8) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE AS u
-  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+r AS (SELECT *, CASE WHEN k % 2 = 0 THEN k // 2 ELSE rows - 1 - k // 2 END AS rank FROM k)
 SELECT doc_id, size, source_size, target,
   CAST(least(floor(e * (rank + 1) + u) - floor(e * rank + u), 2) AS BIGINT) * size AS taken, source,
   CAST(least(floor(e * (rank + 1) + u) - floor(e * rank + u), 2) AS BIGINT) AS copies
