@@ -1,8 +1,10 @@
 """Benchmark decontamination: passages of a benchmark in documents, up to a share of edits.
 
 Texts are lower-cased and every run of ASCII characters other than letters and digits becomes one
-space.  An item of m characters may differ from a passage by k = floor(rate * m) edits.  It is cut
-into k + 1 pieces; by the pigeonhole principle an occurrence within k edits holds a piece unchanged.
+space.  An item of m characters may differ from a passage by k = floor(rate * m) edits.  Items and
+texts have a space on either side, and those of an item count: a passage that begins or ends inside a
+word of the text is an edit away for each such end, so a short item (k = 0) is found as whole words
+only.  The item is cut into k + 1 pieces; by the pigeonhole principle an occurrence within k edits holds a piece unchanged.
 One Aho-Corasick automaton finds the pieces of all items in one pass over a document; around each
 hit a count of shared 4-grams (k edits spoil at most 4k of them) turns most chance hits away, and
 Myers' bit-parallel algorithm gives the least edit distance of the item to any passage there.
@@ -11,8 +13,8 @@ Hits on diagonals that a checked window covers are not checked again.
 The benchmark is measured first and taken in blocks of at most ``BLOCK_BYTES`` of text, each of
 which goes to the workers and over the documents once, so what is sent is bounded for any size.
 
-Defined cases: null texts and ids: a null text holds nothing, an item without letters or digits
-matches nothing, null ids are returned as null; repeated items and documents give a row each;
+Defined cases: a null text holds nothing, an item without letters or digits (or null) matches
+nothing, null ids are returned as null; repeated items and documents give a row each;
 documents' other columns are ignored; empty tables give an empty result.
 """
 
@@ -59,9 +61,10 @@ def gram_slots(text: str) -> np.ndarray:
 class Pattern:
     """An item with its bit masks."""
 
-    def __init__(self, ident, text: str, rate: float):
+    def __init__(self, ident, text: str, rate: float, chars: int | None = None):
         self.ident, self.text, self.size = ident, text, len(text)
-        self.budget = min(math.floor(rate * self.size), self.size - 1)
+        self.chars = self.size if chars is None else chars  # what the budget is a share of
+        self.budget = min(math.floor(rate * self.chars), self.chars - 1)
         self.masks: dict[str, int] = {}
         for i, c in enumerate(text):
             self.masks[c] = self.masks.get(c, 0) | 1 << i
@@ -140,6 +143,10 @@ def matches(text: str, patterns: list[Pattern], machine) -> dict[int, tuple[int,
     return best
 
 
+def _patterns(listed: list[tuple], rate: float) -> list[Pattern]:
+    return [Pattern(i, f" {t} ", rate, len(t)) for i, t in listed]
+
+
 def _blocks(items: DataFrame) -> Iterator[list]:
     size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     n = max(1, math.ceil(size / BLOCK_BYTES))
@@ -159,14 +166,14 @@ def contaminated(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataF
         listed = [(r.item_id, t) for r in rows if (t := normal(r.text))]
 
         def run(batches: Iterator[pa.RecordBatch], listed=listed) -> Iterator[pa.RecordBatch]:
-            patterns = [Pattern(i, t, rate) for i, t in listed]
+            patterns = _patterns(listed, rate)
             machine = automaton(patterns) if patterns else None
             for part in ts.blocks(batches, "text"):
                 out = []
                 if machine:
                     for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
-                        for i, (distance, end) in matches(normal(text), patterns, machine).items():
-                            out.append((doc, patterns[i].ident, distance, end, patterns[i].size))
+                        for i, (distance, end) in matches(f" {normal(text)} ", patterns, machine).items():
+                            out.append((doc, patterns[i].ident, distance, max(0, end - 2), patterns[i].chars))
                 columns = list(zip(*out, strict=True)) if out else [()] * 5
                 kinds = [part.schema.field("doc_id").type, item_arrow, pa.int32(), pa.int64(), pa.int32()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "item_id", "distance", "end_at", "chars"])
@@ -184,10 +191,10 @@ def clean(docs: DataFrame, items: DataFrame, rate: float = RATE) -> DataFrame:
         listed = [(r.item_id, t) for r in rows if (t := normal(r.text))]
 
         def run(batches: Iterator[pa.RecordBatch], listed=listed) -> Iterator[pa.RecordBatch]:
-            patterns = [Pattern(i, t, rate) for i, t in listed]
+            patterns = _patterns(listed, rate)
             machine = automaton(patterns)
             for part in ts.blocks(batches, "text"):
-                yield part.filter(pa.array([not matches(normal(text), patterns, machine) for text in part.column("text").to_pylist()], pa.bool_()))
+                yield part.filter(pa.array([not matches(f" {normal(text)} ", patterns, machine) for text in part.column("text").to_pylist()], pa.bool_()))
 
         if listed:
             docs = docs.mapInArrow(run, docs.schema)
