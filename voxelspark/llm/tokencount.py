@@ -19,6 +19,7 @@ strings.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,6 +32,7 @@ from voxelspark.llm import textscan as ts
 from voxelspark.llm.common import table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+SETTING = "spark.voxelspark.tokenizer"  # the path, where it is another one
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
 REMEMBERED = 250_000  # words
@@ -51,6 +53,8 @@ def read_model(path: str = MODEL) -> Vocabulary:
     """Normal and user-defined pieces of a SentencePiece file, with their scores as unigram's."""
     import sentencepiece
 
+    if not os.path.isfile(path):
+        raise FileNotFoundError(f"no vocabulary at {path}; name one in {SETTING}")
     m = sentencepiece.SentencePieceProcessor(model_file=path)
     n = m.get_piece_size()
     plain = {m.id_to_piece(i): m.get_score(i) for i in range(n) if not (m.is_byte(i) or m.is_control(i) or m.is_unknown(i))}
@@ -123,5 +127,5 @@ def token_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, n_tokens long")
 
 
-def op4_token_counts(spark: SparkSession, sf_dir: str, path: str = MODEL) -> DataFrame:
-    return token_counts(table(spark, sf_dir, "documents"), read_model(path))
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), read_model(spark.conf.get(SETTING, MODEL)))
