@@ -215,3 +215,82 @@ def test_lm_weights_use_all_training_rows(spark):
     rows = [(d, " ".join(["zig zag"] * 5) if d in late else f"a{d} b{d}") for d in train]
     got = {r.doc_id: r.score for r in lmscore.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(got[d] > -8 for d in late)
+
+
+def test_lm_score(spark):
+    """The model's score by its definition, with exact levels of pairs in place of the filter's."""
+    rng = random.Random(8)
+    some = [f"w{int(rng.paretovariate(0.9)) % 60}" for _ in range(4000)]
+    rows = [(d, " ".join(some[d * 13 % 3900 : d * 13 % 3900 + rng.randrange(0, 60)])) for d in range(150)]
+    tokens = {d: [*words(t), "\0end"] for d, t in rows}
+    train = [d for d in tokens if zlib.crc32(str(d).encode()) % 7 != 2]
+    one, two = Counter(), Counter()
+    pairs = {d: list(zip(["\0end", *t[:-1]], t, strict=True)) for d, t in tokens.items()}
+    for d in train:
+        one.update(tokens[d])
+        two.update(pairs[d])
+    n, v = sum(one.values()), len(one)
+    level = lambda c: 1 + math.floor(2 * math.log2(c) + 1e-9) if c else 0
+    mean = lambda c: lmscore._MEAN[level(c)]
+    grid = defaultdict(float)
+    for d in train:
+        for a, b in pairs[d]:
+            pair = max(mean(two[a, b]) - 1, 0) / max(mean(one[a]) - 1, 1)
+            odds = min(max(round(2 * math.log2(max(pair, 1e-12) / (max(mean(one[b]), 1) / (n + v)))) + 32, 1), 63) if pair > 0 else 0
+            grid[level(one[a]), odds] += 1
+    weight = dict.fromkeys({q for q, _ in grid}, 0.1)
+    for _ in range(30):
+        top, all_ = defaultdict(float), defaultdict(float)
+        for (q, odds), m in grid.items():
+            ratio = 2 ** ((odds - 32) / 2) if odds else 0
+            top[q] += m * weight[q] * ratio / (weight[q] * ratio + 1 - weight[q])
+            all_[q] += m
+        weight = {q: (top[q] + 0.1) / (all_[q] + 10) for q in weight}
+    want = {}
+    for d in tokens:
+        p = [weight.get(level(one[a]), 0) * min(mean(two[a, b]) / max(mean(one[a]), 1), 1) + (1 - weight.get(level(one[a]), 0)) * (mean(one[b]) + 1) / (n + v + 1) for a, b in pairs[d]]
+        want[d] = sum(math.log10(min(x, 1)) for x in p)
+    got = {r.doc_id: r.score for r in lmscore.scored(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(got.values()) == pytest.approx(sum(want.values()), rel=0.02)
+    assert all(got[d] == pytest.approx(want[d], rel=0.1, abs=0.5) for d in want)
+
+
+def test_token_counts_of_documents(spark, sf, docs):
+    from tokenizers import Tokenizer, models
+
+    v = tokencount.read_model()
+    exact = Tokenizer(models.Unigram([("<unk>", 0.0), *v.pieces.items(), *((f"<0x{i:02X}>", -2e9) for i in range(256))], 0, True))
+    got = {r.doc_id: r.n_tokens for r in tokencount.op4_token_counts(spark, sf).collect()}
+    for d, t in docs:
+        assert got[d] == (len(exact.encode("▁" + t.replace(" ", "▁"), add_special_tokens=False).ids) if t else 0)
+
+
+def test_decontamination_of_documents(spark, sf, docs):
+    """Every item against every document that could hold it, by plain edit distances."""
+    items = [(r.item_id, decontaminate.normal(r.text)) for r in table(spark, sf, "benchmark").collect()]
+    got = {(r.doc_id, r.item_id): r.distance for r in decontaminate.op10_decontaminate(spark, sf).collect()}
+    texts = {d: f" {decontaminate.normal(t)} " for d, t in docs}
+    for (d, i), dist in got.items():
+        assert distance(f" {dict(items)[i]} ", texts[d]) == dist
+    exact = {(d, i) for d, t in texts.items() for i, item in items if item and f" {item} " in t}
+    assert exact == {k for k, dist in got.items() if dist == 0}
+
+
+def test_toxicity_score_is_the_models(spark, sf, docs):
+    """Scores by single words and plain sums."""
+    import pyarrow as pa
+
+    from voxelspark.llm import textscan as ts
+
+    labels = table(spark, sf, "labels")
+    model = toxicity.fit(table(spark, sf, "documents"), labels)
+    assert model.fitted
+    known = dict(zip(model.vocabulary.tolist(), model.weights.tolist(), strict=True))
+    got = {r.doc_id: r.score for r in toxicity.score(table(spark, sf, "documents"), model).collect()}
+    for d, t in docs[:60]:
+        held = set()
+        for w in re.findall(r"[A-Za-z\x80-\U0010ffff]+", t or ""):
+            one = ts.scan(pa.array([w]), ts.NOT_LETTERS)
+            held.add(int(one.hash[0]))
+            held |= {int(h) for size in toxicity.PREFIXES for h in one.prefixes(size)[1]}
+        assert got[d] == pytest.approx(1 / (1 + math.exp(-sum(known.get(h, 0) for h in held) - model.bias)), rel=1e-5)

@@ -1,9 +1,10 @@
 """Every operator over nulls, empty and long texts, ties, repeated rows, clashing names and nothing."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from voxelspark.llm import decontaminate, licenses, linededup, lmscore, mixing, neardup, sharding, tokencount, topk, toxicity
+from voxelspark.llm import decontaminate, licenses, linededup, lmscore, mixing, neardup, sharding, textscan, tokencount, topk, toxicity
 
 
 def rows(df):
@@ -41,6 +42,11 @@ def test_licenses_of_several_notices(spark):
     for r in licenses.scan(spark.createDataFrame(some, "doc_id long, text string")).collect():
         want = {t[0] for j, t in enumerate(licenses.TEMPLATES) if r.doc_id >> j & 1}
         assert want <= set(r.labels.split(",")) and r.score == 1
+    alone = spark.createDataFrame([(j, f"x {t[1]} y") for j, t in enumerate(licenses.TEMPLATES)], "doc_id long, text string")
+    for r in licenses.scan(alone).collect():
+        assert licenses.TEMPLATES[r.doc_id][0] in r.labels.split(",") and r.score == 1
+    odd = spark.createDataFrame([(1, "M\u0130T License, m\u0130t \u212a"), (2, "\u00c9t\u00c9 MIT LICENSE")], "doc_id long, text string")
+    assert [(r.n_words, r.n_base) for r in licenses.scan(odd).orderBy("doc_id").collect()] == [(4, 0), (3, 1)]
     cut = spark.createDataFrame([(1, licenses.TEMPLATES[2][1] + " " + "x " * 50 + " ".join(licenses.VOCABULARY))], "doc_id long, text string")
     assert "apache-2.0" in licenses.scan(cut).first().labels.split(",")
 
@@ -92,6 +98,27 @@ def test_toxicity(awkward, nothing, spark):
     assert toxicity.score(nothing, toxicity.fit(nothing, labels)).count() == 0
     assert not toxicity.fit(awkward, labels.limit(0)).fitted
     assert toxicity.accepted(awkward, model).columns == awkward.columns
+    held = spark.createDataFrame([(None,), (1,)], "doc_id long").select(toxicity.held_out(F.col("doc_id")).alias("h"))
+    assert all(r.h is not None for r in held.collect())
+
+
+def test_toxicity_patterns_of_a_row():
+    """A text votes alike wherever it stands in a batch."""
+    texts = ["xyxy", "xyxy", "", None, "xyxyxyxyxy", "AAAA!", "#$%&", "a"]
+    together = toxicity.patterns(pa.array(texts))
+    assert [list(r) for r in together] == [list(toxicity.patterns(pa.array([t]))[0]) for t in texts]
+
+
+def test_text_stretches(monkeypatch):
+    """Words and their hashes do not depend on where a block is cut into stretches."""
+    texts = ["one two  three", None, "", "é" * 40 + " tail", "x" * 100, " lead and trail ", "a b c d e f g h i j k l m n"]
+    whole = textscan.scan(pa.array(texts))
+    monkeypatch.setattr(textscan, "BLOCK_BYTES", 16)
+    cut = textscan.scan(pa.array(texts))
+    for name in ("starts", "ends", "row", "hash"):
+        assert (getattr(whole, name) == getattr(cut, name)).all()
+    for size in (3, 5):
+        assert all((a == b).all() for a, b in zip(whole.prefixes(size), cut.prefixes(size), strict=True))
 
 
 def test_mixing(awkward, nothing):
@@ -114,7 +141,9 @@ def test_top_k(spark):
     df = spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumn("v", F.lit(1)).withColumn("score", F.lit(2))
     got = rows(topk.top_k(df, F.col("vec_id") % 100 == 0, k=3).orderBy("query_id", "rank"))
     unit = 1024 * 1024
-    assert got == [(0, 1, 1, 5 * unit), (0, 2, 200, -unit), (0, 3, 6, -unit * 3 // 2), (100, 1, 8, 0), (200, 1, 6, -unit // 2), (200, 2, 0, -unit), (200, 3, 0, -unit)]
+    of_0 = [(0, 1, 0, 5 * unit), (0, 2, 1, 5 * unit), (0, 3, 200, -unit)]  # either row of id 0 has the other one
+    assert got == sorted([*of_0, *of_0, (100, 1, 8, 0), (200, 1, 6, -unit // 2), (200, 2, 0, -unit), (200, 3, 0, -unit)])
+    assert rows(topk.top_k(df, F.col("vec_id") % 100 == 0, k=3, blocks=5).orderBy("query_id", "rank")) == got
     assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
@@ -148,6 +177,21 @@ def test_near_duplicates(awkward, nothing):
     assert neardup.deduplicated(nothing).count() == 0
 
 
+def test_near_duplicates_of_shared_ids(spark):
+    """Rows that share an id and not a text are documents of their own; copies are found across them."""
+    a, b, c = ("\n".join(f"{x}{i} {x}{i * i} w" for i in range(30)) for x in "abc")
+    some = [(5, a, 1), (5, b, 2), (6, a, 3), (7, b, 4), (7, b, 4), (None, c, 5), (None, c, 6), (3, "", 7), (3, None, 8), (4, c, 9), (5, a, 1)]
+    df = spark.createDataFrame(some, "doc_id long, text string, n int")
+    got = neardup.near_duplicates(df).collect()
+    assert sorted((r.doc_id or 0, r.component_id, r.kept) for r in got) == sorted(
+        [(5, 5, True), (5, 5, True), (5, 5, True), (6, 5, False), (7, 5, False), (7, 5, False), (0, 4, False), (0, 4, False), (3, 3, True), (3, 3, True), (4, 4, True)]
+    )
+    left = sorted((r.doc_id, r.text or "", r.n) for r in neardup.deduplicated(df).collect())
+    assert left == sorted([(5, a, 1), (5, b, 2), (3, "", 7), (3, "", 8), (4, c, 9)])
+    nameless = spark.createDataFrame([(None, c, 5), (None, c, 6)], "doc_id long, text string, n int")
+    assert neardup.deduplicated(nameless).count() == 1
+
+
 def test_sharding(awkward, nothing):
     out = sharding.shards(awkward, whole=False)
     got = out.collect()
@@ -171,3 +215,12 @@ def test_decontaminate(awkward, nothing, spark):
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id and r.doc_id >= 50) == [52] and kept.count() == docs.count() - 2
     assert decontaminate.contaminated(nothing, items).count() == 0 and decontaminate.contaminated(docs, items.limit(0)).count() == 0
     assert decontaminate.clean(docs, items.limit(0)).count() == docs.count()
+
+
+def test_decontaminate_short_items(spark):
+    """Short items are found as whole words, longer ones lose an edit for each end inside a word."""
+    docs = spark.createDataFrame([(1, "a category of its own"), (2, "the cat"), (3, "Cat! sat"), (4, "xthe quick brown fox jumps overx")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "cat"), (2, "the quick brown fox jumps over")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.distance, r.end_at, r.chars) for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {(2, 1): (0, 7, 3), (3, 1): (0, 3, 3), (4, 2): (2, 30, 30)}
+    assert sorted(r.doc_id for r in decontaminate.clean(docs, items).collect()) == [1]

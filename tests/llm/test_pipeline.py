@@ -43,3 +43,23 @@ def test_stages(spark, sf, tmp_path):
 def test_run(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.columns == [*table(spark, sf, "documents").columns, "shard", "slot"] and out.count() > 0
+
+
+def test_run_on_awkward_tables(spark, awkward, nothing, tmp_path):
+    """Nulls, repeats, long and empty texts, clashing names, and tables without rows."""
+    items = spark.createDataFrame([(1, "juniper0 larch maple oak"), (None, None), (2, "")], "item_id long, text string")
+    labels = spark.createDataFrame([(1, None, 1), (2, 0, None), (None, 1, 1), (8, 1, 0)], "doc_id long, quality int, toxic int")
+    for name, docs, few in (("some", awkward, False), ("none", nothing, True)):
+        folder = tmp_path / name
+        docs.write.parquet(str(folder / "documents.parquet"))
+        (labels.limit(0) if few else labels).write.parquet(str(folder / "labels.parquet"))
+        (items.limit(0) if few else items).write.parquet(str(folder / "benchmark.parquet"))
+        out = corpus_pipeline.run(spark, str(folder))
+        assert sorted(out.columns) == sorted(awkward.columns)
+        got = out.collect()
+        assert few == (not got)
+        assert sorted((r.shard, r.slot) for r in got) == sorted((p % 8, p // 8) for p in range(len(got)))
+        assert max(Counter((r.doc_id, r.text) for r in got).values(), default=0) <= 2
+    stages = dict(corpus_pipeline.STAGES)
+    kept = [(r.doc_id, r.text) for r in stages["near_duplicates"](spark, awkward, str(tmp_path / "some")).collect()]
+    assert sorted(d for d, _ in kept if d) == [1, 4, 5, 6, 7, 9, 10, 11, 12] and sum(d is None for d, _ in kept) == 1

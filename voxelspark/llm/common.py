@@ -54,6 +54,12 @@ def cut(df: DataFrame) -> DataFrame:
         spark.conf.set(_CLEANUP, before)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared store, whichever it is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

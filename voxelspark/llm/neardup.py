@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelspark.llm import textscan as ts
-from voxelspark.llm.common import cut, small, table
+from voxelspark.llm.common import SPACE_WORD, cut, small, table
 from voxelspark.llm.components import components, local_components
 
 CHUNKS, WIDTH = 10, 4
@@ -338,3 +338,22 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), size=4)
+
+
+#: All pairs that share a shingle, counted; for small tables.
+ORACLE = rf"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{SPACE_WORD}') AS w FROM documents),
+s AS MATERIALIZED (
+  SELECT k, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s FROM d),
+x AS MATERIALIZED (SELECT k, unnest(s) AS h FROM s),
+c AS (SELECT a.k AS a, b.k AS b, count(*) AS held FROM x a JOIN x b ON a.h = b.h AND a.k < b.k GROUP BY 1, 2),
+e AS MATERIALIZED (
+  SELECT a, b FROM c JOIN s p ON p.k = a JOIN s q ON q.k = b WHERE 100 * held >= 80 * (len(p.s) + len(q.s) - held)),
+links AS MATERIALIZED (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(k, other) AS (SELECT k, k FROM s UNION SELECT r.k, links.b FROM r JOIN links ON links.a = r.other),
+g AS (SELECT r.k, min(o.doc_id) AS component_id FROM r JOIN s o ON o.k = r.other GROUP BY r.k)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, CASE WHEN len(s.s) = 0 THEN s.doc_id ELSE g.component_id END AS component_id,
+  CASE WHEN len(s.s) = 0 THEN true ELSE coalesce(s.doc_id = g.component_id, g.component_id IS NULL) END AS kept FROM s JOIN g USING (k)
+"""

@@ -22,5 +22,6 @@ ORACLE_SQL = {
     "op3_line_dedup": linededup.ORACLE,
     "op6_mix_sources": mixing.ORACLE,
     "op7_top_k": topk.ORACLE,
+    "op8_near_duplicates": neardup.ORACLE,
     "op9_shards": sharding.ORACLE,
 }
