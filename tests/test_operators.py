@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voxelspark.functions import scalars as S
-from voxelspark.operators import boxes, camera, components, constraints, density, display, knn, labels, mesh, overlap, reconcile, resample, select, tiling, verify, workflow
+from voxelspark.operators import boxes, camera, components, constraints, density, display, knn, labels, mesh, numbering, overlap, reconcile, resample, select, tiling, verify, workflow
 from voxelspark.sources import arrays, documents, meshes
 from voxelspark.streaming import stages
 
@@ -279,10 +279,102 @@ def test_streams(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == spark.read.parquet(str(tmp_path / "in")).select("user_id", "event_type").distinct().count()
 
 
+def test_windows_by_true_starts(spark):
+    """Boxes end where the mode puts the last patch; the recorded counts of windows come out."""
+    c = tiling.candidate_manifest(spark, (11, 4, 4), (4, 4, 4), (3, 4, 4), ((1, 1, 1), (2, 1, 1)), "align_end", (30.0, 6.0, 6.0))
+    got = {r.candidate_id: (r.z0, r.z1, r.cost, r.nm_z1) for r in c.collect()}
+    assert got["sv-s00-1x1x1-0003-0000-0000"] == (7, 11, 64, 330.0) and got["sv-s01-2x1x1-0002-0000-0000"] == (6, 11, 80, 330.0) and len(got) == 7
+    r = tiling.candidate_manifest(spark, (11, 4, 4), (4, 4, 4), (3, 4, 4), ((1, 1, 1),), "reflect").orderBy("ord").collect()
+    assert [(x.z0, x.z1) for x in r] == [(0, 4), (3, 7), (6, 10), (9, 11)]
+    big = tiling.candidate_manifest(spark, (256, 1024, 1024), (32, 128, 128), (16, 64, 64), ((2, 2, 2), (3, 3, 3)), "align_end")
+    assert {x.size_id: x["count"] for x in big.groupBy("size_id").count().collect()} == {0: 14**3, 1: 13**3}
+
+
+def test_boxes_meet_by_cell(spark):
+    rng = np.random.default_rng(4)
+    def some(n, size):
+        low = rng.integers(0, 60, (n, 3))
+        return spark.createDataFrame([tuple(int(v) for a, s in zip(p, rng.integers(1, size, 3), strict=True) for v in (a, a + s)) for p in low], "z0 long, z1 long, y0 long, y1 long, x0 long, x1 long")
+    b, g = some(120, 9), some(40, 30)
+    few, many = (sorted(map(tuple, boxes.without(b, g, n).collect())) for n in (1000, 3))
+    assert few == many and 0 < len(few) < 120
+
+
+def test_long_chains_and_many_picks(spark):
+    """Matching a chain of 400 pairs and choosing 40 windows take no growing plans."""
+    rng = np.random.default_rng(2)
+    rows = [(i // 2 + 1, (i + 1) // 2 + 1, 1, float(v)) for i, v in enumerate(rng.permutation(400) / 500 + 0.1)]
+    pairs, free, want = spark.createDataFrame(rows, "pred long, truth long, n long, iou double"), (set(), set()), []
+    for p, t, _, _ in sorted(rows, key=lambda r: (-r[3], -r[0], -r[1])):
+        if p not in free[0] and t not in free[1]:
+            free[0].add(p)
+            free[1].add(t)
+            want.append((p, t))
+    assert sorted((r.pred, r.truth) for r in overlap.match_greedy(pairs, 0.05).collect()) == sorted(want)
+    short = spark.createDataFrame([r for r in rows if r[0] <= 8 or r[0] > 190], pairs.schema)
+    split = overlap.match_greedy(short, 0.05, most=18)
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, overlap.match_greedy(short, 0.05).collect()))
+    c = tiling.candidate_windows(spark, (1, 8, 8), ((1, 1, 1),), PATCH, PATCH)
+    near = spark.range(64).select("id", F.col("id").alias("neighbour"))
+    picks = select.greedy(c, tiling.membership(c, (1, 8, 8)), near, budget=10_000, most=40)
+    assert [r.ord for r in picks.orderBy("rank").collect()] == list(range(40))
+
+
+def test_order_over_parts(spark):
+    rng = np.random.default_rng(3)
+    v = np.round(rng.normal(size=500), 2)
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,), (float("nan"),), (float("inf"),)], "v double")
+    assert numbering.quantiles(df, "v", [0, 0.01, 0.37, 0.5, 1]) == pytest.approx(np.quantile(v, [0, 0.01, 0.37, 0.5, 1]))
+    assert numbering.quantiles(df.limit(0), "v", [0.5]) == [None]
+    n = numbering.numbered(spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("k")), ["k"], "place", first=1).collect()
+    assert all(r.place == r.k + 1 for r in n) and len(n) == 1000
+    assert numbering.numbered(spark.range(0), ["id"], "place").count() == 0
+
+
+def test_box_borders(spark):
+    a = np.arange(20.0).reshape(4, 5)
+    d = spark.createDataFrame([(0, y, x, float(a[y, x])) for y in range(4) for x in range(5)], "z int, y int, x int, v double")
+    for border, mode in (("zero", "constant"), ("reflect", "symmetric")):
+        p = np.pad(a, 1, mode=mode)
+        for r in density.box_mean(d, "v", 1, border, (4, 5)).collect():
+            w = p[r.y : r.y + 3, r.x : r.x + 3]
+            assert r["mean"] == pytest.approx(w.mean()) and r["std"] == pytest.approx(w.std())
+
+
+def test_files_and_commands(spark, tmp_path):
+    import sys
+
+    df = spark.createDataFrame([(2, 2.5), (0, 1.0), (1, -1.0)], "i int, v double")
+    arrays.write_npy(df, str(tmp_path / "v.npy"), ["i", "v"], "i")
+    assert np.load(tmp_path / "v.npy").tolist() == [[0, 1], [1, -1], [2, 2.5]]
+    with pytest.raises(FileExistsError):
+        arrays.write_npy(df, str(tmp_path / "v.npy"), ["v"], "i")
+    with pytest.raises((ImportError, FileNotFoundError)):
+        arrays.read(spark, str(tmp_path / "x.tif"))
+    (tmp_path / "s.json").write_text('{"a": 1}')
+    assert documents.read_settings(str(tmp_path / "s.json")) == {"a": 1}
+    out = tmp_path / "made.txt"
+    argv = [sys.executable, "-c", f"open({str(out)!r}, 'w').write('x'); print('said')"]
+    assert workflow.executed(argv, [str(out)], str(tmp_path / "run"))["status"] == "completed"
+    assert (tmp_path / "run" / "stdout.txt").read_text().strip() == "said"
+    with pytest.raises(FileExistsError):
+        workflow.executed(argv, [str(out)], str(tmp_path / "run"))
+    with pytest.raises(RuntimeError):
+        workflow.executed([sys.executable, "-c", "raise SystemExit(3)"], [], str(tmp_path / "run2"))
+    with pytest.raises(ValueError):
+        labels.selected(df, "i", [7])
+    with pytest.raises(ValueError):
+        labels.plane_slice(df, "xy", (3, 1, 1), 5)
+    many = "\n".join(["ply", "format ascii 1.0", *[f"comment {i}" for i in range(90)], "element vertex 3", "property float x", "element face 1", "end_header", "0 0 0", "1 0 0", "0 1 0", "3 0 1 2", ""])
+    (tmp_path / "m.ply").write_text(many)
+    v, f = meshes.read(spark, str(tmp_path / "m.ply"))
+    assert v.count() == 3 and f.first().asDict() == {"fid": 0, "a": 0, "b": 1, "c": 2}
+
+
 def test_scalars(spark):
     one_row = spark.range(1)
     at = lambda c: one_row.select(c.alias("c")).first().c
-    for kind in ("linear", "smoothstep", "cosine"):
+    for kind in ("linear", "smoothstep", "smootherstep", "cosine"):
         v = [at(S.ease(F.lit(u), kind)) for u in (-1.0, 0.0, 0.25, 0.5, 0.75, 1.0, 2.0)]
         assert v[:2] == [0, 0] and v[-2:] == pytest.approx([1, 1]) and v == sorted(v) and v[3] == pytest.approx(0.5)
     assert at(S.ladder_125(F.lit(1000.0))) == 200 and at(S.ceil_div(F.lit(7), 3)) == 3 and at(S.short_number(F.lit(2.5))) == "2.5" and at(S.short_number(F.lit(10.0))) == "10"

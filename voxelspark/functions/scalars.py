@@ -17,12 +17,17 @@ def smoothstep(u: Column) -> Column:
     return u * u * (3 - 2 * u)
 
 
+def smootherstep(u: Column) -> Column:
+    u = clamp(u)
+    return u * u * u * (10 + u * (6 * u - 15))
+
+
 def cosine_ease(u: Column) -> Column:
     return (1 - F.cos(clamp(u) * F.pi())) / 2
 
 
 def ease(u: Column, kind: str) -> Column:
-    kinds = {"linear": clamp, "smoothstep": smoothstep, "cosine": cosine_ease}
+    kinds = {"linear": clamp, "smoothstep": smoothstep, "smootherstep": smootherstep, "cosine": cosine_ease}
     if kind not in kinds:
         raise ValueError(f"unknown easing {kind}")
     return kinds[kind](u)
@@ -51,7 +56,8 @@ def ladder_125(width: Column, share: float = 0.22) -> Column:
 
 
 def beta_tag(beta: Column) -> Column:
-    return F.replace(beta.cast("string"), F.lit("."), F.lit("p"))
+    """A number in twelve significant digits as a part of a name: p for the point, m for minus."""
+    return F.translate(significant(beta.cast("double"), 12), ".-", "pm")
 
 
 def truth(text: Column) -> Column:
@@ -72,12 +78,12 @@ def is_remote(path: Column) -> Column:
 
 def plain_url(url: Column) -> Column:
     """An http or https URL without credentials and query."""
-    return url.rlike(r"^https?://[^/?#@\s]+(/[^?#\s]*)?$")
+    return url.rlike(r"^https?://[^/?#@\s]+(/[^?#\s]*)?(#\S*)?$")
 
 
 def secret_key(name: Column) -> Column:
     """Names of settings that look like secrets."""
-    return name.rlike("(?i)(secret|token|passw|credential|api_?key|private_?key)")
+    return name.rlike("(?i)(secret|token|passw|credential|api_?key|private_?key|access_?key)")
 
 
 def shape_product(shape: Column) -> Column:
@@ -94,6 +100,53 @@ def whole(a: Column) -> Column:
     return F.coalesce(F.forall(a, lambda x: x == F.floor(x)), F.lit(False))
 
 
+def significant(x: Column, digits: int = 7) -> Column:
+    """A number in so many significant digits, trailing zeros cut; with an exponent of at least two
+    digits where it is below -4 or does not fit the digits."""
+    raw = F.format_string(f"%.{digits - 1}e", x.cast("double"))
+    power = F.split_part(raw, F.lit("e"), F.lit(2)).cast("int")
+    trim = lambda t: F.when(t.contains("."), F.regexp_replace(F.regexp_replace(t, "0+$", ""), r"\.$", "")).otherwise(t)
+    plain = F.call_function("format_string", F.concat(F.lit("%."), F.greatest(F.lit(0), digits - 1 - power).cast("string"), F.lit("f")), x.cast("double"))
+    far = F.concat(trim(F.split_part(raw, F.lit("e"), F.lit(1))), F.lit("e"), F.split_part(raw, F.lit("e"), F.lit(2)))
+    return F.when(x == 0, "0").when((power < -4) | (power >= digits), far).otherwise(trim(plain))
+
+
 def short_number(x: Column, digits: int = 7) -> Column:
-    """A number with so many digits after the point, trailing zeros cut."""
-    return F.regexp_replace(F.regexp_replace(F.format_string(f"%.{digits}f", x.cast("double")), r"(\.\d*?)0+$", "$1"), r"\.$", "")
+    return significant(x, digits)
+
+
+def filled_in(template: Column, values: dict[str, Column]) -> Column:
+    """A template with each {name} replaced; null where a name in braces is left, as none is known."""
+    out = template
+    for name, value in values.items():
+        out = F.replace(out, F.lit("{" + name + "}"), value)
+    return F.when(~out.rlike(r"\{[^{}]*\}"), out)
+
+
+def missing_keys(given: Column, needed: Sequence[str]) -> Column:
+    """Needed keys that a map does not have, in order."""
+    return F.array_except(F.array(*map(F.lit, needed)), F.map_keys(given))
+
+
+def overlaid(defaults: Column, given: Column) -> Column:
+    """A map of defaults with what is given on top."""
+    return F.map_from_entries(F.concat(F.filter(F.map_entries(defaults), lambda e: ~F.map_contains_key(given, e["key"])), F.map_entries(given)))
+
+
+def run_id(at: Column) -> Column:
+    return F.date_format(at, "yyyyMMdd'T'HHmmss")
+
+
+def inside_folder(path: Column) -> Column:
+    """A relative path that stays below its folder: not empty, not absolute, no step upwards."""
+    return F.coalesce((F.length(path) > 0) & ~path.rlike(r"^([/\\]|[A-Za-z]:)") & ~path.rlike(r"(^|/)\.\.(/|$)"), F.lit(False))
+
+
+def overlaps_source(output: Column, source: Column) -> Column:
+    """Whether an output path is the source or lies below it."""
+    plain = lambda p: F.rtrim(p, F.lit("/"))
+    return (plain(output) == plain(source)) | F.startswith(output, F.concat(plain(source), F.lit("/")))
+
+
+def hex_colour(r: Column, g: Column, b: Column) -> Column:
+    return F.format_string("#%02x%02x%02x", r, g, b)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 AXES = "zyx"
-BROADCAST_BOXES = 100_000
+BROADCAST_BOXES = 10_000
 
 
 def volume(prefix: str = "") -> Column:
@@ -32,11 +32,42 @@ def contains(left: str, right: str) -> Column:
     return out
 
 
-def without(boxes: DataFrame, guards: DataFrame) -> DataFrame:
-    """Boxes that meet no guard.  Few guards are sent to all tasks; many are met by grid cell."""
-    few = guards.limit(BROADCAST_BOXES + 1).count() <= BROADCAST_BOXES
-    g = F.broadcast(guards) if few else guards
-    return boxes.alias("b").join(g.alias("g"), intersects("b", "g"), "left_anti")
+def _cells(boxes: DataFrame, edge: dict[str, int]) -> DataFrame:
+    """Each box once for every cell of a grid that it touches: cz, cy, cx."""
+    for a in AXES:
+        low, high = F.floor(F.col(f"{a}0") / edge[a]), F.floor((F.col(f"{a}1") - 1) / edge[a])
+        boxes = boxes.withColumn(f"c{a}", F.explode(F.sequence(low, F.greatest(low, high))))
+    return boxes
+
+
+_SIDES = [f"{a}{e}" for a in AXES for e in "01"]
+
+
+def meeting(left: DataFrame, right: DataFrame, few: int = BROADCAST_BOXES) -> DataFrame:
+    """The distinct boxes of the left table that share a voxel with one of the right.  At most ``few``
+    right boxes are sent to all tasks; beyond, both sides meet by grid cell, the cells being as long
+    as the longest left box, so that such a box is in eight cells at most."""
+    l = left.select(*_SIDES).distinct()
+    if right.limit(few + 1).count() <= few:
+        return l.alias("b").join(F.broadcast(right.select(*_SIDES)).alias("g"), intersects("b", "g"), "left_semi")
+    longest = l.agg(*[F.max(F.col(f"{a}1") - F.col(f"{a}0")).alias(a) for a in AXES]).first()
+    edge = {a: max(1, int(longest[a] or 1)) for a in AXES}
+    b, g = _cells(l, edge).alias("b"), _cells(right.select(*_SIDES), edge).alias("g")
+    same = [F.col(f"b.c{a}") == F.col(f"g.c{a}") for a in AXES]
+    return b.join(g, [*same, intersects("b", "g")], "left_semi").select(*_SIDES).distinct()
+
+
+def without(boxes: DataFrame, guards: DataFrame, few: int = BROADCAST_BOXES) -> DataFrame:
+    """Boxes that meet no guard."""
+    return boxes.join(meeting(boxes, guards, few), _SIDES, "left_anti")
+
+
+def guarded(candidates: DataFrame, guards: DataFrame) -> DataFrame:
+    """(size_id, kept, rejected): candidates by size that meet no guard and that meet one; sizes
+    without any left are there."""
+    hit = meeting(candidates, guards).withColumn("hit", F.lit(True))
+    both = candidates.join(hit, _SIDES, "left")
+    return both.groupBy("size_id").agg(F.count_if(F.col("hit").isNull()).alias("kept"), F.count("hit").alias("rejected"))
 
 
 def valid(start: Column, end: Column, most: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voxelspark.functions.scalars import ease
+from voxelspark.functions.scalars import ease, smoothstep
 
 
 def timeline(states: DataFrame, fps: float, transition: float = 0.32) -> DataFrame:
@@ -61,3 +61,34 @@ def montage(items: DataFrame, order: str, columns: int) -> DataFrame:
     """Row and column of each item of a contact sheet."""
     i = F.row_number().over(W.orderBy(order)) - 1
     return items.withColumn("row", F.floor(i / columns).cast("int")).withColumn("column", (i % columns).cast("int"))
+
+
+def crossfade(segments: DataFrame, fade: int) -> DataFrame:
+    """(segment, frames) -> (segment, j, weight) of every frame: over the first ``fade`` frames of a
+    segment but the first one its picture comes in by a smooth step, then stands alone."""
+    j = F.explode(F.sequence(F.lit(0), F.col("frames") - 1)).alias("j")
+    out = segments.filter("frames > 0").select("segment", j)
+    mixed = (F.col("segment") > 0) & (F.col("j") < fade)
+    return out.withColumn("weight", F.when(mixed, smoothstep(F.col("j") / float(max(1, fade - 1)))).otherwise(1.0))
+
+
+def dissolve(poses: DataFrame) -> DataFrame:
+    """Poses (kind, progress) with the weight of the local view against the overview: the progress
+    within the entry, else 1."""
+    return poses.withColumn("weight", F.when(F.col("kind") == "entry", F.col("progress")).otherwise(1.0))
+
+
+def duration(tours: DataFrame, fps: float) -> DataFrame:
+    """(layers, metadata, isolated, density, together, zoom, stops, hold, move) -> seconds, frames."""
+    before = F.col("metadata") + F.col("layers") * (F.col("isolated") + F.col("density")) + F.col("together") + F.col("zoom")
+    seconds = before + F.col("stops") * F.col("hold") + F.greatest(F.col("stops") - 1, F.lit(0)) * F.col("move")
+    return tours.withColumn("seconds", seconds).withColumn("frames", F.rint(F.col("seconds") * fps).cast("long"))
+
+
+def video_lines(states: DataFrame, key: str) -> DataFrame:
+    """(key, t, url) -> (key, line, text): for each state its URL and then the seconds until the next
+    one, 0 for the last."""
+    w = W.partitionBy(key).orderBy("t")
+    rows = states.withColumn("at", F.row_number().over(w) - 1).withColumn("seconds", F.coalesce(F.lead("t").over(w) - F.col("t"), F.lit(0.0)))
+    pair = F.posexplode(F.array("url", F.col("seconds").cast("string")))
+    return rows.select(key, "at", pair.alias("i", "text")).select(key, (F.col("at") * 2 + F.col("i")).cast("int").alias("line"), "text")

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def _checkpointed(df: DataFrame) -> DataFrame:
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The table, written to the folder that ``spark.checkpoint.dir`` names (its own where none is)."""
     context = df.sparkSession.sparkContext
     if not context.getCheckpointDir():
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
@@ -24,13 +25,13 @@ def connected(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     Every round each node takes the least label among its neighbours and then the label of its
     label (pointer jumping), so the rounds grow with the logarithm of the longest path.
     """
-    both = _checkpointed(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    now = _checkpointed(nodes.select("node", F.col("node").alias("component")))
+    both = checkpointed(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    now = checkpointed(nodes.select("node", F.col("node").alias("component")))
     while True:
         near = both.join(now.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         step = now.join(near, "node", "left").select("node", F.col("component").alias("old"), F.least("component", "near").alias("to"))
         jump = now.select(F.col("node").alias("to"), F.col("component").alias("far"))
-        step = _checkpointed(step.join(jump, "to", "left").select("node", "old", F.least("to", "far").alias("component")))
+        step = checkpointed(step.join(jump, "to", "left").select("node", "old", F.least("to", "far").alias("component")))
         changed = step.filter(F.col("old") != F.col("component")).limit(1).count()
         now = step.select("node", "component")
         if not changed:

@@ -31,10 +31,11 @@ def overlay(pixels: DataFrame, label: str, grey: str, boundary: str, alpha: floa
     return pixels
 
 
-def heat(bins: DataFrame, vmax: float) -> DataFrame:
-    """Adds ``level`` (0..255) and ``opacity`` of a density for a colour map."""
+def heat(bins: DataFrame, vmax: float, valid: str = "valid") -> DataFrame:
+    """Adds ``level`` (0..255, cut down) of a density for a colour map, and ``opacity``: 0.76 where the
+    bin has valid cells, else 0."""
     share = clamp(F.col("percent") / vmax)
-    return bins.withColumn("level", F.rint(share * 255).cast("int")).withColumn("opacity", F.when(share > 0, 0.25 + 0.6 * share).otherwise(0.0))
+    return bins.withColumn("level", F.floor(share * 255).cast("int")).withColumn("opacity", F.when(F.col(valid) > 0, 0.76).otherwise(0.0))
 
 
 def letterbox(sizes: DataFrame, width: int, height: int) -> DataFrame:
@@ -68,3 +69,26 @@ def rotated(vertex: DataFrame, yaw: float, pitch: float) -> DataFrame:
 def shade(nx: Column, ny: Column, nz: Column, light=(0.3, 0.4, 0.866), ambient: float = 0.25) -> Column:
     """Lambert's light on a unit normal, either side."""
     return ambient + (1 - ambient) * F.abs(nx * light[0] + ny * light[1] + nz * light[2])
+
+
+def camera_crop(views: DataFrame, bounds: tuple[float, float, float, float], width: int, height: int, ratio: float) -> DataFrame:
+    """(x, y, fov) -> the pixels (px0, px1, py0, py1) of an image of ``bounds`` (x0, x1, y0, y1) that a
+    view shows: the field no larger than the image, the centre drawn in so that the view stays
+    within; starts rounded down, ends up."""
+    x0, x1, y0, y1 = bounds
+    v = views.withColumn("fov_x", F.least(F.col("fov"), F.lit(x1 - x0)))
+    v = v.withColumn("fov_y", F.least(F.col("fov_x") * ratio, F.lit(y1 - y0)))
+    for a, low, high, n in (("x", x0, x1, width), ("y", y0, y1, height)):
+        half = F.col(f"fov_{a}") / 2
+        v = v.withColumn(f"c{a}", F.least(F.greatest(F.col(a), F.lit(low) + half), F.lit(high) - half))
+        start, end = ((F.col(f"c{a}") + s * half - low) / (high - low) * n for s in (-1, 1))
+        v = v.withColumn(f"p{a}0", F.greatest(F.floor(start), F.lit(0)).cast("int")).withColumn(f"p{a}1", F.least(F.ceil(end), F.lit(n)).cast("int"))
+    return v
+
+
+def occupancy_bars(values: DataFrame, left: int, right: int, room: float = 1.12) -> DataFrame:
+    """(region, layer, percent) -> with ``bar``: where its bar ends between two pixels, the largest
+    value (1 at least) leaving some room."""
+    top = values.agg((F.greatest(F.max("percent"), F.lit(1.0)) * room).alias("top"))
+    end = left + F.rint((right - left) * F.col("percent") / F.col("top"))
+    return values.join(F.broadcast(top)).withColumn("bar", end.cast("int")).drop("top")

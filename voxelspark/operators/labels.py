@@ -100,3 +100,71 @@ def invalid_labels(values: DataFrame, column: str, capacity: int) -> DataFrame:
     v = F.col(column).cast("double")
     bad = v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")) | (v < 0) | (v != F.floor(v)) | (v > capacity)
     return values.filter(bad)
+
+
+PLANES = {"xy": "z", "xz": "y", "yz": "x"}
+
+
+def plane_slice(voxels: DataFrame, plane: str, shape: Sequence[int], index: int | None = None) -> DataFrame:
+    """The voxels of one plane, the middle one unless an index is given; its own axis goes.  An index
+    outside the volume is an error."""
+    axis = PLANES[plane]
+    size = shape["zyx".index(axis)]
+    at = size // 2 if index is None else index
+    if not 0 <= at < size:
+        raise ValueError(f"plane {at} is outside 0 .. {size - 1}")
+    return voxels.filter(F.col(axis) == at).drop(axis)
+
+
+def with_label(voxels: DataFrame, value, label: str = "pred") -> DataFrame:
+    """Voxels whose label is meant by ``value``: any but 0 (null), one of a list, or the one."""
+    c = F.col(label)
+    return voxels.filter(c != 0 if value is None else c.isin(list(value)) if isinstance(value, (list, tuple, set)) else c == value)
+
+
+def unique_in_planes(voxels: DataFrame, label: str = "pred", axis: str = "z") -> DataFrame:
+    """(plane, labels): distinct labels, background included where it has voxels."""
+    return voxels.groupBy(F.col(axis).alias("plane")).agg(F.count_distinct(label).alias("labels"))
+
+
+def tissue(value: Column, low: int = 1, high: int = 249) -> Column:
+    """Intensities of tissue: neither empty nor saturated."""
+    return value.between(low, high)
+
+
+def selected(rows: DataFrame, key: str, wanted: Sequence) -> DataFrame:
+    """The rows with these ids; an id that no row has is an error.  Without ids, all rows."""
+    if not wanted:
+        return rows
+    ids = rows.sparkSession.createDataFrame([(w,) for w in dict.fromkeys(wanted)], f"{key} {dict(rows.dtypes)[key]}")
+    unknown = ids.join(rows.select(key).distinct(), key, "left_anti").orderBy(key).limit(5).collect()
+    if unknown:
+        raise ValueError("unknown ids: " + ", ".join(str(r[0]) for r in unknown))
+    return rows.join(F.broadcast(ids), key, "left_semi")
+
+
+def relabelled_axes(rows: DataFrame, axes: str) -> DataFrame:
+    """Rows of an array with axes in any order (columns a0, a1, ...) as z, y, x: a channel axis is
+    dropped, a missing z is plane 0."""
+    if len(set(axes)) != len(axes) or not set("yx") <= set(axes) <= set("czyx"):
+        raise ValueError(f"axes {axes} are not of czyx, each once, with y and x")
+    at = {a: F.col(f"a{i}") for i, a in enumerate(axes)}
+    rest = [c for c in rows.columns if c not in {f"a{i}" for i in range(len(axes))}]
+    return rows.select(at.get("z", F.lit(0)).cast("int").alias("z"), at["y"].alias("y"), at["x"].alias("x"), *rest)
+
+
+def affinity_planes(voxels: DataFrame, channels: int = 3) -> DataFrame:
+    """Voxels (c, y, x, value) of a plane -> (y, x, c0, c1, ...): the first channels side by side."""
+    pick = [F.max(F.when(F.col("c") == i, F.col("value"))).alias(f"c{i}") for i in range(channels)]
+    return voxels.filter(F.col("c") < channels).groupBy("y", "x").agg(*pick)
+
+
+def boundary_faces(voxels: DataFrame, label: str = "pred") -> DataFrame:
+    """The surface of each object as unit faces: (label, z, y, x, axis, side) for every face of a voxel
+    whose neighbour there is not of the object; outside the table is background."""
+    cells = voxels.filter(F.col(label) > 0).select("z", "y", "x", F.col(label).alias("label"))
+    sides = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.lit(s).alias("side")) for a in "zyx" for s in (-1, 1)]))
+    asked = cells.withColumn("f", sides).select("*", "f.axis", "f.side")
+    there = [(F.col(a) + F.when(F.col("axis") == a, F.col("side")).otherwise(0)).alias(f"n{a}") for a in "zyx"]
+    other = cells.select(*[F.col(a).alias(f"n{a}") for a in "zyx"], "label")
+    return asked.select("*", *there).join(other, ["nz", "ny", "nx", "label"], "left_anti").select("label", "z", "y", "x", "axis", "side")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from voxelspark.operators.components import checkpointed, connected
+
 
 def ratio(num: Column, den: Column, empty: Column | float) -> Column:
     return F.when(den == 0, F.lit(empty) if isinstance(empty, (int, float)) else empty).otherwise(num.cast("double") / F.when(den == 0, F.lit(1)).otherwise(den))
@@ -42,26 +46,55 @@ def match_strict(pairs: DataFrame, threshold: float) -> DataFrame:
     return pairs.filter(F.col("iou") >= threshold)
 
 
-def match_greedy(pairs: DataFrame, threshold: float) -> DataFrame:
-    """One-to-one matches in order of (iou, pred, truth), all descending.
+GROUP_PAIRS = 1_000_000  # of a component that one task matches in order
 
-    Rounds of mutually best pairs: a pair that is first for both its objects is taken, and pairs
-    of taken objects leave.  That gives the sequential result without a driver loop over pairs.
-    """
-    if not 0 < threshold <= 1:
-        raise ValueError("the threshold must be in (0, 1]")
-    left = pairs.filter(F.col("iou") >= threshold).select("pred", "truth", "n", "iou")
-    taken = None
+
+def _in_order(t: pa.Table) -> pa.Table:
+    """The pairs of a component that the order takes, one after another."""
+    iou, pred, truth = (np.asarray(t[c]) for c in ("iou", "pred", "truth"))
+    order = np.lexsort((-truth, -pred, -iou))
+    left, right, taken = set(), set(), []
+    for i, p, q in zip(order.tolist(), pred[order].tolist(), truth[order].tolist(), strict=True):
+        if p not in left and q not in right:
+            left.add(p)
+            right.add(q)
+            taken.append(i)
+    return t.select(["pred", "truth", "n", "iou"]).take(pa.array(taken, pa.int64()))
+
+
+def _in_rounds(pairs: DataFrame) -> DataFrame:
+    """The same by rounds of mutually best pairs: a pair that is first for both its objects is taken,
+    and pairs of taken objects leave.  Each round is written down, so plans do not grow."""
     order = [F.col("iou").desc(), F.col("pred").desc(), F.col("truth").desc()]
-    left = left.cache()
+    left, taken = checkpointed(pairs), None
     while left.limit(1).count():
         best = left.withColumn("a", F.row_number().over(W.partitionBy("pred").orderBy(*order))).withColumn("b", F.row_number().over(W.partitionBy("truth").orderBy(*order)))
-        now = best.filter((F.col("a") == 1) & (F.col("b") == 1)).select("pred", "truth", "n", "iou").cache()
+        now = checkpointed(best.filter((F.col("a") == 1) & (F.col("b") == 1)).select("pred", "truth", "n", "iou"))
         taken = now if taken is None else taken.unionByName(now)
-        left = left.join(now.select("pred"), "pred", "left_anti").join(now.select("truth"), "truth", "left_anti").cache()
+        left = checkpointed(left.join(now.select("pred"), "pred", "left_anti").join(now.select("truth"), "truth", "left_anti").select("pred", "truth", "n", "iou"))
     return left if taken is None else taken
 
 
+def match_greedy(pairs: DataFrame, threshold: float, most: int = GROUP_PAIRS) -> DataFrame:
+    """One-to-one matches in order of (iou, pred, truth), all descending.
+
+    Pairs of different connected components never compete, so each component is matched in order by
+    one task; one of more than ``most`` pairs is matched in rounds over the cluster instead.
+    """
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold must be in (0, 1]")
+    left = checkpointed(pairs.filter(F.col("iou") >= threshold).select("pred", "truth", "n", "iou"))
+    if left.limit(most + 1).count() <= most:
+        return left.withColumn("component", F.lit(0)).groupBy("component").applyInArrow(_in_order, left.schema)
+    ends = left.select((F.col("pred") * 2).alias("a"), (F.col("truth") * 2 + 1).alias("b"))
+    nodes = ends.select(F.col("a").alias("node")).union(ends.select(F.col("b").alias("node"))).distinct()
+    found = connected(nodes, ends)
+    named = checkpointed(left.join(found.withColumnRenamed("node", "a"), F.col("pred") * 2 == F.col("a")).drop("a"))
+    large = named.groupBy("component").count().filter(F.col("count") > most).select("component")
+    out = named.join(large, "component", "left_anti").groupBy("component").applyInArrow(_in_order, left.schema)
+    return out.unionByName(_in_rounds(named.join(large, "component", "left_semi").drop("component")))
+
+
 def match_scores(matches: DataFrame, objects: DataFrame) -> DataFrame:
     """``objects`` (n_pred, n_truth) -> tp, fp, fn, precision, recall, f1, mean_iou."""
     m = matches.agg(F.count("*").alias("tp"), F.avg("iou").alias("mean_iou"))
@@ -87,11 +120,11 @@ def information(voxels: DataFrame, pred: str = "pred", truth: str = "truth") ->
     """One row over truth foreground: variation of information (split, merge) and adapted Rand
     error, from the table of pairs."""
     pairs = voxels.filter(F.col(truth) > 0).groupBy(F.col(pred).alias("p"), F.col(truth).alias("t")).agg(F.count("*").cast("double").alias("n"))
-    s = pairs.withColumn("np", F.sum("n").over(W.partitionBy("p"))).withColumn("nt", F.sum("n").over(W.partitionBy("t"))).withColumn("total", F.sum("n").over(W.partitionBy()))
-    pair = F.sum(F.col("n") * F.col("n"))
+    s = pairs.withColumn("np", F.sum("n").over(W.partitionBy("p"))).withColumn("nt", F.sum("n").over(W.partitionBy("t")))
+    pair, total = F.sum(F.col("n") * F.col("n")), F.sum("n")
     rows = s.agg(
-        F.sum(-F.col("n") / F.col("total") * F.log2(F.col("n") / F.col("nt"))).alias("vi_split"),
-        F.sum(-F.col("n") / F.col("total") * F.log2(F.col("n") / F.col("np"))).alias("vi_merge"),
+        (F.sum(-F.col("n") * F.log2(F.col("n") / F.col("nt"))) / total).alias("vi_split"),
+        (F.sum(-F.col("n") * F.log2(F.col("n") / F.col("np"))) / total).alias("vi_merge"),
         pair.alias("both"), F.sum(F.col("n") * F.col("np")).alias("same_p"), F.sum(F.col("n") * F.col("nt")).alias("same_t"),
     )
     return rows.select("vi_split", "vi_merge", (1 - 2 * F.col("both") / (F.col("same_p") + F.col("same_t"))).alias("arand_error"))
@@ -116,3 +149,37 @@ def ambiguities(pairs: DataFrame, close: float = 0.05) -> DataFrame:
     pick = lambda i, c: F.max(F.when(F.col("place") == i, F.col(c)))
     out = top.groupBy("pred").agg(pick(1, "truth").alias("best"), pick(2, "truth").alias("second"), pick(1, "iou").alias("best_iou"), pick(2, "iou").alias("second_iou"))
     return out.withColumn("ambiguous", F.coalesce(F.col("best_iou") - F.col("second_iou") < close, F.lit(False)))
+
+
+def doubtful(pairs: DataFrame, strong: float = 0.3, close: float = 0.05, largest: int = 1 << 40) -> DataFrame:
+    """(pred, kind) for each reason to look again: several strong partners (by share of the object),
+    a close second, or an object that joined with its best partner would be too large."""
+    w = W.partitionBy("pred").orderBy(F.col("iou").desc(), F.col("truth").desc())
+    top = pairs.withColumn("place", F.row_number().over(w))
+    pick = lambda i, c: F.max(F.when(F.col("place") == i, F.col(c)))
+    share = F.col("n").cast("double") / F.col("size_pred")
+    per = top.groupBy("pred").agg(
+        F.count_if(share >= strong).alias("partners"), (pick(1, "iou") - pick(2, "iou")).alias("gap"), (F.max("size_pred") + pick(1, "size_truth") - pick(1, "n")).alias("joined")
+    )
+    kinds = F.array(F.when(F.col("partners") > 1, "several"), F.when(F.col("gap") < close, "close"), F.when(F.col("joined") > largest, "large"))
+    return per.select("pred", F.explode(F.array_compact(kinds)).alias("kind"))
+
+
+def chained(edges: DataFrame, objects: DataFrame, ioa: float) -> DataFrame:
+    """Objects (z, label) of planes and edges (z, a, b, ioa) of adjacent ones -> (z, label, id): the
+    least code (z, label) of each chain of objects that overlap enough."""
+    code = lambda z, c: z.cast("long") * (1 << 32) + F.col(c)
+    nodes = objects.select("z", "label", code(F.col("z"), "label").alias("node"))
+    strong = edges.filter(F.col("ioa") >= ioa).select(code(F.col("z"), "a").alias("a"), code(F.col("z") + 1, "b").alias("b"))
+    return nodes.join(connected(nodes.select("node"), strong), "node").select("z", "label", F.col("component").alias("id"))
+
+
+def consensus(voxels: DataFrame, views: list[str], iou: float) -> DataFrame:
+    """(view_a, a, view_b, b, n, iou) of objects of two views that overlap enough to be one."""
+    out = None
+    for i, a in enumerate(views):
+        for b in views[i + 1 :]:
+            p = pair_overlap(voxels, a, b).filter(F.col("iou") >= iou)
+            p = p.select(F.lit(a).alias("view_a"), F.col("pred").alias("a"), F.lit(b).alias("view_b"), F.col("truth").alias("b"), "n", "iou")
+            out = p if out is None else out.unionByName(p)
+    return out

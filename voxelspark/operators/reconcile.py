@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxelspark.operators.components import connected
+from voxelspark.operators.numbering import numbered
 
 
 def block_overlaps(voxels: DataFrame) -> DataFrame:
@@ -34,6 +35,6 @@ def global_ids(objects: DataFrame, edges: DataFrame) -> DataFrame:
     in order of each component's first (block, label)."""
     code = lambda b, l: F.col(b).cast("long") * (1 << 32) + F.col(l)
     found = connected(objects.select(code("block", "label").alias("node")).distinct(), edges.select(code("block_a", "a").alias("a"), code("block_b", "b").alias("b")))
-    roots = found.select("component").distinct().withColumn("id", F.row_number().over(W.orderBy("component")).cast("long"))
+    roots = numbered(found.select("component").distinct(), ["component"], "id", first=1)
     named = found.join(roots, "component")
     return objects.withColumn("node", code("block", "label")).join(named, "node").select("block", "label", "id")

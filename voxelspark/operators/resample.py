@@ -19,9 +19,10 @@ def nearest(voxels: DataFrame, source: Sequence[int], target: Sequence[int], kee
     of targets that read it, so absent voxels cost nothing."""
     out = voxels
     for a, s, t in zip("zyx", source, target, strict=True):
-        wanted = [[j for j in range(t) if min(j * s // t, s - 1) == i] for i in range(s)]
-        pairs = F.array(*[F.array(*map(F.lit, w)) if w else F.expr("CAST(array() AS array<int>)") for w in wanted])
-        out = out.withColumn(a, F.explode(F.element_at(pairs, F.col(a) + 1)))
+        up = lambda i, s=s, t=t: F.floor((i.cast("long") * t + (s - 1)) / s)
+        low, high = up(F.col(a)), up(F.col(a) + 1) - 1
+        out = out.withColumn("__low", low.cast("int")).withColumn("__high", high.cast("int")).filter("__low <= __high")
+        out = out.withColumn(a, F.explode(F.sequence("__low", "__high"))).drop("__low", "__high")
     return out.select("z", "y", "x", *keep)
 
 
@@ -72,3 +73,34 @@ def patch_scaled(pixels: DataFrame, value: str = "v") -> DataFrame:
     unit = F.when(top > 1.5, F.col(value) / 255.0).otherwise(F.col(value).cast("double"))
     out = pixels.withColumn("ok", top <= 255).withColumn("unit", unit)
     return out.withColumn("scaled", (F.col("unit") - F.avg("unit").over(w)) / F.greatest(F.stddev_pop("unit").over(w), F.lit(1e-6))).drop("unit")
+
+
+def area(dense: DataFrame, value: str, axis: str, source: int, target: int) -> DataFrame:
+    """Area reduction of one axis to any smaller length: each target cell is the mean of what it
+    covers, cells in part by their share."""
+    others = [a for a in "zyx" if a != axis]
+    scale = source / target
+    at = F.col(axis)
+    cells = dense.withColumn("__to", F.explode(F.sequence(F.floor(at / scale).cast("int"), F.least(F.ceil((at + 1) / scale).cast("int") - 1, F.lit(target - 1)))))
+    held = F.greatest(F.least(at + 1.0, (F.col("__to") + 1) * F.lit(scale)) - F.greatest(at.cast("double"), F.col("__to") * F.lit(scale)), F.lit(0.0))
+    out = cells.groupBy(*others, F.col("__to").alias(axis)).agg((F.sum(held * F.col(value)) / F.lit(scale)).alias(value))
+    return out.select("z", "y", "x", value)
+
+
+def restored(voxels: DataFrame, model: Sequence[int], source: Sequence[int], label: str = "pred") -> DataFrame:
+    """(label, state): ids that a way back to the source grid loses or adds; none if it is whole."""
+    back = nearest(voxels, model, source, [label])
+    ids = lambda d: d.filter(F.col(label) > 0).select(F.col(label).alias("label")).distinct()
+    lost, added = ids(voxels).subtract(ids(back)), ids(back).subtract(ids(voxels))
+    return lost.withColumn("state", F.lit("lost")).unionByName(added.withColumn("state", F.lit("added")))
+
+
+def tiles_equal_bulk(voxels: DataFrame, tiles: DataFrame, value: str) -> DataFrame:
+    """(tile_id, voxels, bulk, same): cells read tile by tile against the same cells counted from the
+    whole, by the core boxes."""
+    inside = [c for a in "zyx" for c in (F.col(a) >= F.col(f"{a}0"), F.col(a) < F.col(f"{a}1"))]
+    part = voxels.join(F.broadcast(tiles), inside).groupBy("tile_id").agg(F.count("*").alias("voxels"), F.sum(value).alias("total"))
+    whole = voxels.agg(F.count("*").alias("all_voxels"), F.sum(value).alias("all_total"))
+    sums = part.agg(F.sum("voxels").alias("sum_voxels"), F.sum("total").alias("sum_total"))
+    checked = sums.join(F.broadcast(whole)).select(((F.col("sum_voxels") == F.col("all_voxels")) & (F.col("sum_total") == F.col("all_total"))).alias("same"))
+    return part.join(F.broadcast(checked))

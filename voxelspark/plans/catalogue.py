@@ -9,26 +9,15 @@ from voxelspark import views
 from voxelspark.functions import scalars as S
 from voxelspark.operators import boxes, camera, components, constraints, density, display, knn, labels, mesh, overlap, reconcile, resample, select, tiling, verify, workflow
 from voxelspark.plans import greedy_sql
+from voxelspark.plans.registry import ORACLE_SQL, QUERIES, query
 from voxelspark.streaming import stages
 from voxelspark.views import DECISION, DENSE, FACE, NX, NY, NZ, PATCH, PTS, VERTEX, VOX
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
 SHAPE = (NZ, NY, NX)
 WINDOWS = ((1, 1, 1), (1, 2, 2), (2, 2, 2))
 PATCH_SHAPE = (1, 2, 2)
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
 # Grids -----------------------------------------------------------------------------------------
 
 
@@ -345,24 +334,36 @@ def robust_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return density.normalised(views.vox(spark, sf_dir), "raw").select("z", "y", "x", "scaled")
 
 
-@query(f"""WITH r AS (SELECT z, y, x, sum(raw) OVER w AS s, sum(raw * raw) OVER w AS q, count(*) OVER w AS n FROM {DENSE} WINDOW w AS (PARTITION BY z, y ORDER BY x ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING)),
-c AS (SELECT z, y, x, sum(s) OVER w AS s, sum(q) OVER w AS q, sum(n) OVER w AS n FROM r WINDOW w AS (PARTITION BY z, x ORDER BY y ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING))
-SELECT z, y, x, round(s / n, 6) AS mean, round(sqrt(greatest(q / n - (s / n) * (s / n), 0)), 6) AS std FROM c""")
+_MIRROR = "CASE WHEN {c} < 0 THEN -{c} - 1 WHEN {c} > 63 THEN 127 - {c} ELSE {c} END"
+
+
+@query(f"""WITH d AS MATERIALIZED {DENSE}, o AS (SELECT v AS i FROM range(-2, 3) r(v)),
+r AS (SELECT c.z, c.y, c.x, sum(d.raw) AS s, sum(d.raw * d.raw) AS q FROM d c, o JOIN d ON d.z = c.z AND d.y = c.y AND d.x = {_MIRROR.format(c='(c.x + o.i)')} GROUP BY 1, 2, 3),
+t AS (SELECT c.z, c.y, c.x, sum(r.s) AS s, sum(r.q) AS q FROM r c, o JOIN r ON r.z = c.z AND r.x = c.x AND r.y = {_MIRROR.format(c='(c.y + o.i)')} GROUP BY 1, 2, 3)
+SELECT z, y, x, round(s / 25, 6) AS mean, round(sqrt(greatest(q / 25 - (s / 25) * (s / 25), 0)), 6) AS std FROM t""")
 def box_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return density.box_mean(views.dense(spark, sf_dir), "raw", 2).select("z", "y", "x", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+    out = density.box_mean(views.dense(spark, sf_dir), "raw", 2, "reflect", (NY, NX))
+    return out.select("z", "y", "x", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
+
+
+@query(f"""WITH r AS (SELECT z, y, x, sum(CAST(raw BETWEEN 1 AND 30 AS INT)) OVER (PARTITION BY z, y ORDER BY x ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) AS s FROM {DENSE})
+SELECT z, y, x, round(sum(s) OVER (PARTITION BY z, x ORDER BY y ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING) / 81.0, 6)::DOUBLE AS coverage FROM r""")
+def box_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = views.dense(spark, sf_dir).withColumn("t", labels.tissue(F.col("raw"), 1, 30).cast("double"))
+    return density.box_mean(d, "t", 4, "zero").select("z", "y", "x", F.round("mean", 6).alias("coverage"))
 
 
 _SIGMA = 1.25
 _TAPS = ", ".join(f"({i - 5}, {w!r}::DOUBLE)" for i, w in enumerate(density.gaussian_weights(_SIGMA)))
 
 
-@query(f"""WITH g AS (SELECT y AS by_, x AS bx, sum(raw) AS v FROM {DENSE} WHERE z < 2 GROUP BY 1, 2), k(d, w) AS (VALUES {_TAPS}),
+@query(f"""WITH g AS (SELECT y AS by_, x AS bx, sum(raw) AS v FROM {DENSE} GROUP BY 1, 2), k(d, w) AS (VALUES {_TAPS}),
 m AS (SELECT by_ AS at, d, w, CASE WHEN abs(by_ + d) > 63 THEN 126 - abs(by_ + d) ELSE abs(by_ + d) END AS src FROM (SELECT DISTINCT by_ FROM g) a, k),
 r AS (SELECT m.at AS by_, g.bx, sum(m.w * g.v) AS v FROM m JOIN g ON g.by_ = m.src GROUP BY 1, 2),
 c AS (SELECT r.by_, m.at AS bx, sum(m.w * r.v) AS v FROM m JOIN r ON r.bx = m.src GROUP BY 1, 2)
 SELECT by_ AS "by", bx, round(v, 6) AS blurred FROM c""")
 def gaussian_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = views.dense(spark, sf_dir).filter("z < 2").groupBy(F.col("y").alias("by"), F.col("x").alias("bx")).agg(F.sum("raw").alias("v"))
+    grid = views.dense(spark, sf_dir).groupBy(F.col("y").alias("by"), F.col("x").alias("bx")).agg(F.sum("raw").alias("v"))
     return density.blur(grid, "v", (NY, NX), _SIGMA).withColumn("blurred", F.round("blurred", 6))
 
 
@@ -458,17 +459,17 @@ def reconcile_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Workflow ------------------------------------------------------------------------------------------------
 
 
-@query(f"""WITH p AS (SELECT doc_id AS candidate_id FROM documents WHERE doc_id % 2 = 0), d AS (SELECT * FROM {DECISION} WHERE candidate_id % 3 <> 0)
+@query(f"""WITH p AS (SELECT doc_id AS candidate_id FROM documents), d AS (SELECT * FROM {DECISION})
 SELECT candidate_id, CASE WHEN p.candidate_id IS NULL THEN 'extra' WHEN d.candidate_id IS NULL THEN 'missing' ELSE decision END AS state FROM p FULL JOIN d USING (candidate_id)""")
 def review_finalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = views.table(spark, sf_dir, "documents").filter("doc_id % 2 = 0").select(F.col("doc_id").alias("candidate_id"))
-    return workflow.review(p, views.decision(spark, sf_dir).filter("candidate_id % 3 <> 0"))
+    p = views.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("candidate_id"))
+    return workflow.review(p, views.decision(spark, sf_dir))
 
 
-@query("""SELECT doc_id, 'missing' AS state FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels WHERE quality = 1) a
-UNION ALL SELECT doc_id, 'extra' FROM (SELECT doc_id FROM labels WHERE quality = 1 EXCEPT SELECT doc_id FROM documents) b""")
+@query("""SELECT doc_id, 'missing' AS state FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels) a
+UNION ALL SELECT doc_id, 'extra' FROM (SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM documents) b""")
 def missing_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return workflow.missing_and_extra(views.table(spark, sf_dir, "documents"), views.table(spark, sf_dir, "labels").filter("quality = 1"), "doc_id")
+    return workflow.missing_and_extra(views.table(spark, sf_dir, "documents"), views.table(spark, sf_dir, "labels"), "doc_id")
 
 
 @query("SELECT user_id, event_type, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1")
@@ -499,9 +500,9 @@ def required_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""SELECT p_partkey AS base, beta, 'instance_' || p_partkey || '_b' || replace(beta, '.', 'p') AS job, 'out/' || p_partkey || '/' || replace(beta, '.', 'p') || '.npy' AS output
-FROM (SELECT p_partkey FROM part WHERE p_partkey < 20) a, (VALUES ('0.1'), ('0.25'), ('0.5')) b(beta)""")
+FROM part a, (VALUES ('0.1'), ('0.25'), ('0.5')) b(beta)""")
 def sweep_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    base = views.table(spark, sf_dir, "part").filter("p_partkey < 20").select(F.col("p_partkey").alias("base"))
+    base = views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("base"))
     tag = S.beta_tag(F.col("beta"))
     return workflow.sweep(base, spark.createDataFrame([("0.1",), ("0.25",), ("0.5",)], "beta string"), F.concat(F.lit("instance_"), "base", F.lit("_b"), tag), F.concat(F.lit("out/"), "base", F.lit("/"), tag, F.lit(".npy")))
 
@@ -642,9 +643,9 @@ def split_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.disjoint(c.filter("gx % 4 = 0"), c.filter("gx % 4 = 3 AND gz = 1 AND gy = 2"))
 
 
-@query(f"""SELECT "by", bx, CAST(round_even(least(greatest(percent / 40, 0), 1) * 255, 0) AS INT) AS level, CASE WHEN percent > 0 THEN round(0.25 + 0.6 * least(percent / 40, 1), 9) ELSE 0 END::DOUBLE AS opacity FROM {_BINS}""")
+@query(f"""SELECT "by", bx, CAST(floor(least(greatest(percent / 40, 0), 1) * 255) AS INT) AS level, CASE WHEN valid > 0 THEN 0.76 ELSE 0 END::DOUBLE AS opacity FROM {_BINS}""")
 def heat_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return display.heat(density_bins(spark, sf_dir), 40.0).select("by", "bx", "level", F.round("opacity", 9).alias("opacity"))
+    return display.heat(density_bins(spark, sf_dir), 40.0).select("by", "bx", "level", "opacity")
 
 
 @query("""WITH s AS (SELECT p_partkey AS id, 100 + p_size * 40 AS w, CAST(200 + p_partkey % 700 AS INT) AS h FROM part), f AS (SELECT *, least(1920.0::DOUBLE / w, 1080.0::DOUBLE / h) AS scale FROM s),
@@ -655,7 +656,10 @@ def letterbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return display.letterbox(p, 1920, 1080).select("id", "fit_w", "fit_h", "left", "top")
 
 
-@query(f"""SELECT 'z' AS axis, CAST(z AS INT) AS plane, count(*) AS cells, avg(CAST(raw BETWEEN 1 AND 30 AS INT))::DOUBLE AS tissue FROM {DENSE} GROUP BY 2""")
+@query(f"""SELECT 'z' AS axis, CAST(z AS INT) AS plane, count(*) AS cells, avg(CAST(raw >= 1 AND raw <= 249 AS INT))::DOUBLE AS tissue FROM {DENSE} GROUP BY 2""")
 def tissue_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = views.dense(spark, sf_dir)
-    return d.groupBy(F.lit("z").alias("axis"), F.col("z").alias("plane")).agg(F.count("*").alias("cells"), F.avg(F.col("raw").between(1, 30).cast("int")).alias("tissue"))
+    return d.groupBy(F.lit("z").alias("axis"), F.col("z").alias("plane")).agg(F.count("*").alias("cells"), F.avg(labels.tissue(F.col("raw")).cast("int")).alias("tissue"))
+
+
+from voxelspark.plans import fields, records  # noqa: E402, F401  their queries register themselves

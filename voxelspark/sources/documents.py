@@ -56,3 +56,33 @@ def segment_properties(ids: DataFrame) -> DataFrame:
 def viewer_url(states: DataFrame, base: str) -> DataFrame:
     """(state) JSON text -> with ``url``: the state percent-encoded after ``#!``."""
     return states.withColumn("url", F.concat(F.lit(f"{base}#!"), F.replace(F.url_encode("state"), F.lit("+"), F.lit("%20"))))
+
+
+def read_settings(path: str) -> dict:
+    """Settings from a JSON or YAML file; YAML needs its library."""
+    with open(path, encoding="utf-8") as f:
+        if path.lower().endswith((".yaml", ".yml")):
+            try:
+                import yaml
+            except ImportError as missing:
+                raise ImportError("YAML settings need the yaml package; JSON does not") from missing
+            out = yaml.safe_load(f)
+        else:
+            out = json.load(f)
+    if not isinstance(out, dict):
+        raise ValueError(f"{path} holds no mapping")
+    return out
+
+
+def checksum_lines(files: DataFrame) -> DataFrame:
+    """(path, sha256) -> (path, value): the lines of a checksum file, to be written in order of path."""
+    return files.select("path", F.concat("sha256", F.lit("  "), "path").alias("value"))
+
+
+def viewer_states(layers: DataFrame, key: str, scale: float) -> DataFrame:
+    """(key, position, name, kind, source, x, y, z) -> (key, state): the JSON state of a viewer with the
+    layers in order, at the mean of their centres."""
+    one = F.struct(F.col("position"), F.struct(F.col("kind").alias("type"), "source", "name").alias("layer"))
+    per = layers.groupBy(key).agg(F.sort_array(F.collect_list(one)).alias("l"), *[F.avg(a).alias(a) for a in "xyz"])
+    state = F.struct(F.array("x", "y", "z").alias("position"), F.lit(scale).alias("crossSectionScale"), F.transform("l", lambda r: r["layer"]).alias("layers"), F.lit("xy").alias("layout"))
+    return per.select(key, F.to_json(state).alias("state"))

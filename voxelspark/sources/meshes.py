@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxelspark.functions.scalars import short_number
+from voxelspark.operators.numbering import numbered
 
 
 def _numbered(spark: SparkSession, path: str) -> DataFrame:
     """Lines with their 0-based number; a mesh file is one file in order."""
     lines = spark.read.text(path).withColumn("at", F.monotonically_increasing_id())
-    return lines.select("value", (F.row_number().over(W.orderBy("at")) - 1).alias("line"))
+    return numbered(lines, ["at"], "line").select("value", "line")
 
 
 def read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -22,9 +22,10 @@ def read(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 def _ply(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     lines = _numbered(spark, path)
-    header = [r.value.strip() for r in lines.orderBy("line").limit(64).collect()]
-    if header[:1] != ["ply"] or "format ascii 1.0" not in header or "end_header" not in header:
-        raise ValueError("not an ASCII PLY file with a short header")
+    last = lines.filter(F.trim("value") == "end_header").agg(F.min("line")).first()[0]
+    header = [] if last is None else [r.value.strip() for r in lines.filter(F.col("line") <= last).orderBy("line").collect()]
+    if header[:1] != ["ply"] or "format ascii 1.0" not in header:
+        raise ValueError("not an ASCII PLY file")
     counts = {h.split()[1]: int(h.split()[2]) for h in header if h.startswith("element ")}
     body = header.index("end_header") + 1
     part = F.split(F.trim("value"), r"\s+")
@@ -38,10 +39,9 @@ def _ply(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 def _obj(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     lines = _numbered(spark, path)
     part = F.split(F.trim("value"), r"\s+")
-    order = W.orderBy("line")
-    v = lines.filter(F.col("value").startswith("v ")).select((F.row_number().over(order) - 1).cast("long").alias("vid"), *[part[i + 1].cast("double").alias(a) for i, a in enumerate("xyz")])
+    v = numbered(lines.filter(F.col("value").startswith("v ")), ["line"], "vid").select("vid", *[part[i + 1].cast("double").alias(a) for i, a in enumerate("xyz")])
     corner = lambda i: (F.split(part[i + 1], "/")[0].cast("long") - 1)
-    f = lines.filter(F.col("value").startswith("f ")).select((F.row_number().over(order) - 1).cast("long").alias("fid"), *[corner(i).alias(a) for i, a in enumerate("abc")])
+    f = numbered(lines.filter(F.col("value").startswith("f ")), ["line"], "fid").select("fid", *[corner(i).alias(a) for i, a in enumerate("abc")])
     return v, f
 
 
@@ -52,6 +52,6 @@ def ply_lines(vertex: DataFrame, face: DataFrame) -> DataFrame:
     head = ["ply", "format ascii 1.0", f"element vertex {nv}", *[f"property float {a}" for a in "xyz"], f"element face {nf}", "property list uchar int vertex_indices", "end_header"]
     h = spark.createDataFrame(list(enumerate(head)), "line long, value string")
     n = len(head)
-    v = vertex.select((F.row_number().over(W.orderBy("vid")) - 1 + n).cast("long").alias("line"), F.concat_ws(" ", *[short_number(F.col(a)) for a in "xyz"]).alias("value"))
-    f = face.select((F.row_number().over(W.orderBy("fid")) - 1 + n + nv).cast("long").alias("line"), F.concat_ws(" ", F.lit("3"), "a", "b", "c").alias("value"))
+    v = numbered(vertex, ["vid"], "line", first=n).select("line", F.concat_ws(" ", *[short_number(F.col(a)) for a in "xyz"]).alias("value"))
+    f = numbered(face, ["fid"], "line", first=n + nv).select("line", F.concat_ws(" ", F.lit("3"), "a", "b", "c").alias("value"))
     return h.unionByName(v).unionByName(f)
