@@ -130,10 +130,14 @@ p AS MATERIALIZED (SELECT leaf, k, line_no, unnest(w) AS token, unnest(range(1,
 o AS (SELECT leaf, pos, token FROM p WHERE token <> '{_FIELD}' GROUP BY ALL HAVING count(DISTINCT k) >= {MIN_DOCS}),
 c AS (SELECT * FROM o QUALIFY count(*) OVER (PARTITION BY leaf, pos) <= {FAN_OUT}),
 s AS (
-  SELECT p.leaf, p.k, p.line_no, count(*) AS n, count(c.token) AS fixed, string_agg(coalesce(c.token, chr(2)), chr(1) ORDER BY p.pos) AS shape
-  FROM p LEFT JOIN c ON c.leaf = p.leaf AND c.pos = p.pos AND c.token = p.token GROUP BY p.leaf, p.k, p.line_no),
-e AS (SELECT * FROM s WHERE fixed > 0 AND fixed >= ceil(n * {CONSTANT})),
-g AS (SELECT k, line_no FROM e WHERE (leaf, shape) IN (SELECT (leaf, shape) FROM e GROUP BY leaf, shape HAVING count(DISTINCT k) >= {MIN_DOCS})),
+  SELECT p.leaf, p.k, p.line_no, count(*) AS n, count(c.token) AS fixed, string_agg(coalesce(c.token, chr(2)), chr(1) ORDER BY p.pos) AS shape,
+    count(o.token) AS often, string_agg(coalesce(o.token, chr(2)), chr(1) ORDER BY p.pos) AS whole
+  FROM p LEFT JOIN o ON o.leaf = p.leaf AND o.pos = p.pos AND o.token = p.token
+  LEFT JOIN c ON c.leaf = p.leaf AND c.pos = p.pos AND c.token = p.token GROUP BY p.leaf, p.k, p.line_no),
+e AS (
+  SELECT leaf, k, line_no, shape FROM s WHERE fixed > 0 AND fixed >= ceil(n * {CONSTANT})
+  UNION ALL SELECT leaf, k, line_no, whole FROM s WHERE often > fixed AND often >= ceil(n * {CONSTANT})),
+g AS (SELECT DISTINCT k, line_no FROM e WHERE (leaf, shape) IN (SELECT (leaf, shape) FROM e GROUP BY leaf, shape HAVING count(DISTINCT k) >= {MIN_DOCS})),
 a AS (SELECT k, count(*) AS n, string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS gone FROM g GROUP BY k)
 SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS BIGINT) AS n_lines,
   CAST(coalesce(a.n, 0) AS BIGINT) AS n_dropped, coalesce(a.gone, '') AS dropped_lines
