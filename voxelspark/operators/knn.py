@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BLOCK = 2048
+BLOCK = 8192  # candidates in a block at most
+LEAST = 256  # and at least, where the table has as many
+QUERIES = 512  # compared at once
 _SPARE = 8  # candidates beyond k that the fast distances hand to the exact ones
 
 
@@ -37,33 +40,48 @@ def neighbours(vectors: DataFrame, k: int, metric: str = "euclidean", block: int
     """(id, embedding) -> (id, place, neighbour, distance): the k nearest rows of each, itself
     included, in order of (distance, id); the distance is squared for ``euclidean``.
 
-    Both sides are dealt into blocks by id, so a task holds two blocks; each query then gets k
-    rows from each block.  ``k`` beyond the number of rows is an error.
+    Every row is a candidate in one block, dealt by its id, and a query in all of them.  A task reads
+    the candidates of a block first and then meets the queries batch by batch, so it holds one block
+    and one batch; each query gets k rows from each block.  ``k`` beyond the number of rows is an error.
     """
     if metric not in ("euclidean", "cosine"):
         raise ValueError(f"unknown metric {metric}")
     n = vectors.count()
     if k > n:
         raise ValueError("k is larger than the number of rows")
-    parts = max(1, math.ceil(n / block))
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, math.ceil(n / block), min(tasks, n // LEAST))
     own = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
-    v = F.transform("embedding", lambda x: x.cast("double")).alias("v")
-    left = vectors.select(own.alias("c"), every.alias("q"), F.col("id").cast("long"), v)
-    right = vectors.select(every.alias("c"), own.alias("q"), F.col("id").cast("long"), v)
+    places = F.array(F.struct(own.alias("block"), F.lit(0).alias("kind")))
+    every = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda b: F.struct(b.alias("block"), F.lit(1).alias("kind")))
+    dealt = vectors.select(F.explode(F.concat(places, every)).alias("at"), F.col("id").cast("long"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    dealt = dealt.select("at.block", "at.kind", "id", "v").repartition(parts, "block").sortWithinPartitions("block", "kind")
 
-    def search(a: pa.Table, b: pa.Table) -> pa.Table:
-        out = [[], [], []]
-        if a.num_rows and b.num_rows:
-            grid = lambda t: np.asarray(t["v"].combine_chunks().flatten(), dtype=np.float64).reshape(t.num_rows, -1)
-            ids, asked = np.asarray(a["id"]), np.asarray(b["id"])
-            for q, near, far in _nearest(grid(b), grid(a), ids, k, metric):
-                for column, value in zip(out, (np.full(len(near), asked[q]), near, far), strict=True):
-                    column.append(value)
-        kinds = (pa.int64(), pa.int64(), pa.float64())
-        return pa.table([pa.array(np.concatenate(c) if c else [], t) for c, t in zip(out, kinds, strict=True)], ["id", "neighbour", "distance"])
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, cand, ids = None, [], None, None
+        for batch in batches:
+            keys = np.stack([np.asarray(batch.column(c)) for c in ("block", "kind")], axis=1)
+            cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                if low == high:
+                    continue
+                part = batch.slice(low, high - low)
+                grid = np.asarray(part.column("v").flatten(), dtype=np.float64).reshape(part.num_rows, -1)
+                asked = np.asarray(part.column("id"))
+                if now != keys[low][0]:
+                    now, held, cand = keys[low][0], [], None
+                if not keys[low][1]:
+                    held.append((grid, asked))
+                elif held:
+                    if cand is None:
+                        cand, ids = (np.concatenate(c) for c in zip(*held, strict=True))
+                    for at in range(0, len(grid), QUERIES):
+                        found = list(_nearest(grid[at : at + QUERIES], cand, ids, k, metric))
+                        columns = np.concatenate([np.full(len(near), asked[at + q]) for q, near, _ in found]), np.concatenate([x for _, x, _ in found]), np.concatenate([x for _, _, x in found])
+                        kinds = (pa.int64(), pa.int64(), pa.float64())
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["id", "neighbour", "distance"])
 
-    near = left.groupBy("c", "q").cogroup(right.groupBy("c", "q")).applyInArrow(search, "id long, neighbour long, distance double")
+    near = dealt.mapInArrow(search, "id long, neighbour long, distance double")
     place = F.row_number().over(W.partitionBy("id").orderBy("distance", "neighbour"))
     return near.withColumn("place", place).filter(F.col("place") <= k)
 
