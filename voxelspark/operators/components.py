@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The table, written to the folder that ``spark.checkpoint.dir`` names (its own where none is)."""
-    context = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: what ``spark.checkpoint.dir`` names (its own where none is)."""
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named:
             import tempfile
 
             named = tempfile.mkdtemp(prefix="checkpoints")
         context.setCheckpointDir(named)
+    return context.getCheckpointDir()
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The table, written to the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 

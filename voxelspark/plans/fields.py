@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelspark import views
-from voxelspark.operators import boxes, camera, density, display, labels, mesh, numbering, overlap, resample, select, tiling, verify
+from voxelspark.operators import boxes, camera, components, density, display, labels, mesh, numbering, overlap, resample, select, tiling, verify
 from voxelspark.plans.registry import query
+from voxelspark.sources import volumes
 from voxelspark.views import DENSE, FACE, NX, NY, NZ, PTS, VERTEX, VOX
 
 SHAPE = (NZ, NY, NX)
@@ -434,3 +437,33 @@ def mesh_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
 def context_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = views.pts(spark, sf_dir).select("event_id", F.col("bx").cast("double").alias("x0"), (F.col("bx") + 1.0).alias("x1"), F.col("by_").cast("double").alias("y0"), (F.col("by_") + 1.0).alias("y1"))
     return display.context(p, 3.0).select("event_id", F.col("px0").alias("column_"), F.col("py0").alias("row_"))
+
+
+# Files ---------------------------------------------------------------------------------------------
+
+
+def _written(spark: SparkSession) -> str:
+    return f"{components.shared_folder(spark)}/volume-{uuid.uuid4().hex}"
+
+
+@query(f"SELECT z, y, x, pred AS value FROM {DENSE} WHERE z BETWEEN 1 AND 4 AND y BETWEEN 10 AND 39 AND x >= 20")
+def precomputed_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A box of a volume of raw chunks: only files that meet it are opened; cells of absent chunks are 0."""
+    path = _written(spark)
+    volumes.write_precomputed(views.vox(spark, sf_dir).withColumnRenamed("pred", "value"), path, SHAPE, (2, 16, 24), (40.0, 8.0, 8.0))
+    return volumes.scan(spark, path, "precomputed", [(1, 5), (10, 40), (20, NX)])
+
+
+@query(f"SELECT z, y, x, pred AS value FROM {VOX} WHERE pred <> 0")
+def precomputed_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sparse form of a stored label volume."""
+    path = _written(spark)
+    volumes.write_precomputed(views.vox(spark, sf_dir).withColumnRenamed("pred", "value"), path, SHAPE, (4, 32, 32), (40.0, 8.0, 8.0))
+    return volumes.scan(spark, path, "precomputed", drop_zero=True)
+
+
+@query(f"SELECT z, y, x, raw AS value FROM {DENSE}")
+def tiff_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _written(spark) + ".tif"
+    volumes.write_tiff(views.vox(spark, sf_dir).withColumnRenamed("raw", "value"), path, SHAPE, "float64")
+    return volumes.scan_tiff(spark, path, slab=2)

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
+from voxelspark.sources import volumes
+
 AXES = {1: "x", 2: "yx", 3: "zyx", 4: "czyx"}
 
 
@@ -105,56 +107,14 @@ def read(spark: SparkSession, path: str, stated: str | None = None, **options: s
         return spark.read.format(kind).options(**options).load(path)
     if kind in ("ply", "obj"):
         raise ValueError("meshes have two tables: use sources.meshes.read")
-    if kind in OPTIONAL:
-        return _by_library(spark, path, kind, **options)
+    sparse = options.get("dropZero", "false").lower() == "true"
+    if kind == "tiff":
+        return volumes.scan_tiff(spark, path, int(options.get("slab", "16")), sparse)
+    if kind in ("zarr", "n5", "precomputed"):
+        return volumes.scan(spark, path, kind, inner=options.get("arrayPath"), mip=int(options.get("mip", "0")), drop_zero=sparse)
     raise ValueError(f"nothing reads {kind}")
 
 
-OPTIONAL = {"tiff": "tifffile", "zarr": "zarr", "n5": "zarr", "precomputed": "cloudvolume"}
-
-
-def _by_library(spark: SparkSession, path: str, kind: str, **options: str) -> DataFrame:
-    """Formats behind a library of their own.  The array's shape is read on the driver; planes are read
-    where they are needed, one task a slab, as rows of indices and value."""
-    import importlib
-    import importlib.util
-
-    if importlib.util.find_spec(OPTIONAL[kind]) is None:
-        raise ImportError(f"{kind} is read by {OPTIONAL[kind]}, which is not installed; convert to npy or parquet chunks")
-    inner, mip = options.get("arrayPath"), int(options.get("mip", "0"))
-
-    def opened():
-        library = importlib.import_module(OPTIONAL[kind])
-        if kind == "tiff":
-            try:
-                return library.memmap(path, mode="r")
-            except ValueError:
-                return library.imread(path)
-        if kind == "precomputed":
-            return np.asarray(library.CloudVolume(path, mip=mip)[:])[..., 0].transpose(2, 1, 0)
-        found = library.open(path, mode="r")
-        if not hasattr(found, "shape") and not inner:
-            raise ValueError(f"{path} is a group; name an array with arrayPath")
-        return found[inner] if inner else found
-
-    shape = tuple(opened().shape)
-    if len(shape) not in AXES:
-        raise ValueError("arrays of one to four dimensions can be read")
-    names = AXES[len(shape)]
-
-    def slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        array = opened()
-        for batch in batches:
-            for plane in batch.column(0).to_pylist():
-                values = np.asarray(array[plane : plane + 1])
-                at = np.unravel_index(np.arange(values.size), values.shape)
-                columns = [pa.array((a + (plane if i == 0 else 0)).astype(np.int32)) for i, a in enumerate(at)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(values.ravel().astype(np.float64))], [*names, "value"])
-
-    planes = spark.range(0, shape[0], numPartitions=max(1, shape[0] // int(options.get("slab", "16"))))
-    return planes.mapInArrow(slabs, ", ".join([*(f"{a} int" for a in names), "value double"]))
-
-
 def write_npy(rows: DataFrame, path: str, columns: list[str], order: str) -> None:
     """A table as one NumPy file, rows in order; for results that one machine is to read.  Refuses a
     path that exists, and streams so that the driver holds a row at a time beside the mapped file."""
