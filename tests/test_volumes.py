@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 import zstandard
 
-from voxelspark.sources import arrays, volumes
+from voxelspark.sources import arrays, meshes, volumes
 
 A = np.arange(4 * 5 * 7, dtype=np.uint16).reshape(4, 5, 7) + 1
 CHUNK = (2, 3, 4)
@@ -182,3 +182,35 @@ def test_no_tiff(spark, tmp_path):
     put(tmp_path / "x.tif", b"plain text, sixteen")
     with pytest.raises(ValueError, match="no TIFF"):
         volumes.scan_tiff(spark, str(tmp_path / "x.tif"))
+
+
+def fragment(vertices, corners):
+    return struct.pack("<I", len(vertices)) + np.array(vertices, "<f4").tobytes() + np.array(corners, "<u4").tobytes()
+
+
+def test_precomputed_meshes(spark, tmp_path):
+    p = tmp_path / "p"
+    put(p / "info", json.dumps({"mesh": "m"}).encode())
+    put(p / "m" / "5:0", json.dumps({"fragments": ["5:0:a", "5:0:b"]}).encode())
+    put(p / "m" / "6:0", json.dumps({"fragments": ["6:0:a"]}).encode())
+    put(p / "m" / "7:0", json.dumps({"fragments": []}).encode())
+    put(p / "m" / "5:0:a", fragment([(0, 0, 0), (1, 0, 0), (0, 1, 0)], [(0, 1, 2)]))
+    put(p / "m" / "5:0:b", fragment([(0, 0, 1), (1, 0, 1), (0, 1, 1), (1, 1, 1)], [(0, 1, 2), (1, 3, 2)]))
+    put(p / "m" / "6:0:a", fragment([(9, 9, 9), (8, 9, 9), (9, 8, 9)], [(2, 1, 0)]))
+    v, f = meshes.scan_precomputed(spark, f"precomputed://{p}", [5, 6, 7, 5])
+    assert v.filter("segment = 5").count() == 7 and v.filter("segment = 6 AND vid = 1").first().x == 8
+    assert got(f) == [(5, 0, 0, 1, 2), (5, 1, 3, 4, 5), (5, 2, 4, 6, 5), (6, 0, 2, 1, 0)]
+    assert [d.count() for d in meshes.scan_precomputed(spark, str(p), [7])] == [0, 0]
+    with pytest.raises(FileNotFoundError):
+        meshes.scan_precomputed(spark, str(p), [8])
+    with pytest.raises(ValueError):
+        meshes.scan_precomputed(spark, str(p), [])
+    put(p / "m" / "info", json.dumps({"@type": "neuroglancer_multilod_draco"}).encode())
+    with pytest.raises(ValueError, match="single resolution"):
+        meshes.scan_precomputed(spark, str(p), [5])
+
+
+def test_npz_mesh(spark, tmp_path):
+    np.savez(tmp_path / "m.npz", vertices=np.array([[0, 1, 2], [3, 4, 5.5]]), faces=np.array([[0, 1, 0]]))
+    v, f = meshes.read(spark, str(tmp_path / "m.npz"))
+    assert got(v) == [(0, 0.0, 1.0, 2.0), (1, 3.0, 4.0, 5.5)] and got(f) == [(0, 0, 1, 0)]

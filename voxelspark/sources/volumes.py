@@ -70,6 +70,9 @@ def _bytes(spark: SparkSession, path: str) -> bytes | None:
     store = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not store.exists(at):
         return None
+    if store.getUri().getScheme() == "file":  # its checksum files cannot have colons in their names
+        with open(at.toUri().getPath(), "rb") as f:
+            return f.read()
     stream = store.open(at)
     try:
         return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
@@ -77,7 +80,24 @@ def _bytes(spark: SparkSession, path: str) -> bytes | None:
         stream.close()
 
 
-def _json(spark: SparkSession, path: str) -> dict | None:
+def contents(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, content) of named files.  Those of a mounted folder are opened by the tasks, as their
+    names may have colons, which Spark's local file system rejects."""
+    if "://" in paths[0] and not paths[0].startswith("file:"):
+        return spark.read.format("binaryFile").load(paths).select("path", "content")
+
+    def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                with open(path, "rb") as f:
+                    yield pa.RecordBatch.from_arrays([pa.array([path]), pa.array([f.read()])], ["path", "content"])
+
+    names = spark.createDataFrame([(_local(p),) for p in paths], "path string")
+    return names.repartition(min(len(paths), 4 * spark.sparkContext.defaultParallelism)).mapInArrow(opened, "path string, content binary")
+
+
+def load_json(spark: SparkSession, path: str) -> dict | None:
+    """A JSON document of the store, or None."""
     found = _bytes(spark, path)
     return None if found is None else json.loads(found)
 
@@ -92,7 +112,7 @@ def pyramid(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _info(spark: SparkSession, path: str) -> dict:
-    info = _json(spark, f"{path}/info")
+    info = load_json(spark, f"{path}/info")
     if info is None:
         raise FileNotFoundError(f"{path}/info")
     return info
@@ -104,7 +124,7 @@ def describe(spark: SparkSession, path: str, kind: str, inner: str | None = None
     folder = f"{path}/{inner.strip('/')}" if inner and kind != "precomputed" else path
     if kind == "precomputed":
         return _precomputed(_info(spark, path), path, mip)
-    old, new, n5 = (_json(spark, f"{folder}/{name}") for name in (".zarray", "zarr.json", "attributes.json"))
+    old, new, n5 = (load_json(spark, f"{folder}/{name}") for name in (".zarray", "zarr.json", "attributes.json"))
     if kind == "n5" and n5 and "dimensions" in n5:
         return _n5(n5, folder)
     if kind == "zarr" and old:
@@ -297,7 +317,7 @@ def write_precomputed(voxels: DataFrame, path: str, shape, chunk, voxel_nm, dtyp
     key = "_".join(f"{v:g}" for v in voxel_nm[::-1])
     scale = {"chunk_sizes": [list(chunk[::-1])], "encoding": "raw", "key": key, "resolution": list(voxel_nm[::-1]), "size": list(shape[::-1]), "voxel_offset": list(offset[::-1])}
     info = {"data_type": dtype, "num_channels": 1, "scales": [scale], "type": "segmentation" if dtype in ("uint32", "uint64") else "image"}
-    before = _json(voxels.sparkSession, f"{path}/info")
+    before = load_json(voxels.sparkSession, f"{path}/info")
     if before is not None and (not force or before != info):
         raise FileExistsError(f"{path} holds a volume" + (" of another grid" if force else ""))
     folder = os.path.join(_local(path), key)
