@@ -42,10 +42,11 @@ def greedy(candidates: DataFrame, members: DataFrame, near: DataFrame, budget: i
     if not 0 <= alpha <= 1:
         raise ValueError("alpha must be in 0 .. 1")
     spark = candidates.sparkSession
-    cover, members = checkpointed(coverage(members, near)), checkpointed(members.select("ord", "patch_id"))
+    candidates, members = checkpointed(candidates.select("ord", "cost")), checkpointed(members.select("ord", "patch_id"))
+    cover = checkpointed(coverage(members, near))
     chosen, spent, done, picks = [], 0, 0, []
     for rank in range(1, most + 1):
-        open_, free = candidates.select("ord", "cost"), cover
+        open_, free = candidates, cover
         if chosen:
             # What is chosen is a list in the plan, so each step's plan is as small as the first one's.
             taken = cover.filter(F.col("ord").isin(chosen)).select("covered").distinct()
