@@ -1,7 +1,7 @@
 """The corpus queries by name, and SQL for those that SQL can express."""
 
 import corpus_pipeline
-from voxelspark.llm import decontaminate, licenses, linededup, lmscore, mixing, neardup, prefixtrie, sharding, tokencount, topk, toxicity
+from voxelspark.llm import decontaminate, divergence, licenses, linededup, lmscore, mixing, neardup, prefixtrie, sharding, tokencount, topk, toxicity
 
 QUERIES = {
     "op1_lm_score": lmscore.op1_lm_score,
@@ -15,6 +15,7 @@ QUERIES = {
     "op9_shards": sharding.op9_shards,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op12_prefix_trie": prefixtrie.op12_prefix_trie,
+    "op13_source_divergence": divergence.op13_source_divergence,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -26,4 +27,5 @@ ORACLE_SQL = {
     "op8_near_duplicates": neardup.ORACLE,
     "op9_shards": sharding.ORACLE,
     "op12_prefix_trie": prefixtrie.oracle(sharding._crc_table()),
+    "op13_source_divergence": divergence.ORACLE,
 }
