@@ -1,7 +1,7 @@
 """The corpus queries by name, and SQL for those that SQL can express."""
 
 import corpus_pipeline
-from voxelspark.llm import decontaminate, divergence, licenses, linededup, lmscore, mixing, neardup, prefixtrie, sharding, tokencount, topk, toxicity
+from voxelspark.llm import decontaminate, divergence, htmltext, licenses, linededup, lmscore, mixing, neardup, prefixtrie, sharding, tokencount, topk, toxicity
 
 QUERIES = {
     "op1_lm_score": lmscore.op1_lm_score,
@@ -14,6 +14,7 @@ QUERIES = {
     "op8_near_duplicates": neardup.op8_near_duplicates,
     "op9_shards": sharding.op9_shards,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_html_text": htmltext.op11_html_text,
     "op12_prefix_trie": prefixtrie.op12_prefix_trie,
     "op13_source_divergence": divergence.op13_source_divergence,
     "pipeline": corpus_pipeline.run,
