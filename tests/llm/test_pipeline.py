@@ -6,7 +6,7 @@ from collections import Counter
 import corpus_pipeline
 from test_brute import distance, groups
 
-from voxelspark.llm import decontaminate
+from voxelspark.llm import decontaminate, mixing
 from voxelspark.llm.common import table
 
 
@@ -63,3 +63,27 @@ def test_run_on_awkward_tables(spark, awkward, nothing, tmp_path):
     stages = dict(corpus_pipeline.STAGES)
     kept = [(r.doc_id, r.text) for r in stages["near_duplicates"](spark, awkward, str(tmp_path / "some")).collect()]
     assert sorted(d for d, _ in kept if d) == [1, 4, 5, 6, 7, 9, 10, 11, 12] and sum(d is None for d, _ in kept) == 1
+
+
+def test_rows_that_only_a_number_tells_apart(spark, sf, tmp_path):
+    """Values that move between columns where the other is null, maps, and names used inside."""
+    text = " ".join(f"{w}{i}" for i in range(40) for w in ("ash", "birch"))
+    names = ["__a", "__b", "__rows", "__copies", "__copy", "__gone", "__whole", "__twice", "at", "row", "path", "copies", "file", "_metadata", "i"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, m map<string, int>, " + ", ".join(f"`{n}` int" for n in names)
+    rest = (1, {"x": 1, "y": None}, *range(len(names)))
+    rows = [(7, "a b c", "en", None), (7, "a b c", None, "en"), (5, text, None, "s"), (5, None, text, "s"), (1, text, None, "s"), (9, text, None, None), (9, None, text, None)]
+    docs = spark.createDataFrame([(*r, *rest) for r in rows], schema)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    stages = dict(corpus_pipeline.STAGES)
+    for name, stage in corpus_pipeline.STAGES:
+        for source in (docs, spark.read.parquet(str(tmp_path / "documents.parquet"))):
+            out = stage(spark, source, sf)
+            assert [c for c in out.columns if c not in ("shard", "slot")] == docs.columns
+            got = out.collect()
+            assert got and all(tuple(r)[5:21] == rest[1:] for r in got), name
+    left = sorted((r.doc_id, r.text, r.lang, r.source) for r in stages["near_duplicates"](spark, docs, sf).collect() if r.doc_id != 7)
+    assert left == [(1, text, None, "s"), (5, None, text, "s"), (9, None, text, None)]
+    assert stages["near_duplicates"](spark, docs, sf).filter("doc_id = 7").count() == 1
+    drawn = Counter((r.lang, r.source) for r in stages["mixing"](spark, docs, sf).collect() if r.doc_id == 7)
+    want = {(r.source,): r.copies for r in mixing.copies(docs).collect() if r.doc_id == 7}
+    assert drawn == Counter({("en", None): want[(None,)], (None, "en"): want[("en",)]})

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -101,3 +103,23 @@ def ranked(df: DataFrame, order: list[str], rank: str, group: list[str] = ()) ->
         match = match & F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))
     out = parts.alias("l").join(start.alias("r"), match)
     return out.select(*[F.col(f"l.`{c}`") for c in df.columns], (F.col("l.__at") + F.col("r.__shift")).cast("long").alias(rank))
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """(row, at): each row as a struct of its columns, and a number of its own that stays the same
+    however often this is computed.
+
+    Rows of Parquet files are known by file and place in it; other rows are written to the shared
+    folder first.  Only the files are numbered, so no row is moved and equal rows differ."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.row_index").alias("i")]
+    try:
+        placed = None if "_metadata" in map(str.lower, df.columns) else df.select(whole, *place)
+    except AnalysisException:  # no files
+        placed = None
+    if placed is None:
+        folder = f"{shared_folder(df.sparkSession)}/rows-{uuid.uuid4().hex}"
+        df.select(whole).write.parquet(folder)
+        placed = df.sparkSession.read.parquet(folder).select("row", *place)
+    files = small(ranked(placed.select("path").distinct(), ["path"], "file"))
+    return placed.join(files, "path").select("row", (F.shiftleft("file", 40) + F.col("i")).alias("at"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voxelspark.llm.common import SPACE_WORD, cut, ranked, small, space_words, table
+from voxelspark.llm.common import SPACE_WORD, cut, numbered, ranked, small, space_words, table
 
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
@@ -80,18 +80,14 @@ def copies(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float =
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every row of ``docs``, with its columns, as often as it was drawn.
 
-    The draw knows rows by two hashes of all their columns and not by their texts, which are read
-    again; it is broadcast if it is small and else joined.  Rows that are equal in all columns share
-    what was drawn of them.
+    The draw knows rows by their numbers and not by their texts, which are read again; it is broadcast
+    if it is small and else joined.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    name = [F.xxhash64(*columns).alias("__a"), F.xxhash64(F.lit(1), *columns).alias("__b")]
-    drawn = copies(docs, keep=name, **options).groupBy("__a", "__b").agg(F.sum("copies").alias("__copies"), F.count("*").alias("__rows"))
-    drawn = small(drawn.filter(F.col("__copies") > 0))
-    both = docs.select(*columns, *name).join(drawn, ["__a", "__b"])
-    if drawn.filter(F.col("__rows") > 1).limit(1).count():
-        both = both.filter(F.col("__rows") == 1).union(both.filter(F.col("__rows") > 1).dropDuplicates(["__a", "__b"]))
-    return both.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))).select(*columns)
+    rows = numbered(docs)
+    drawn = copies(rows.select("row.doc_id", "row.source", "row.text", "at"), keep=[F.col("at")], **options)
+    drawn = small(drawn.filter(F.col("copies") > 0).select("at", "copies"))
+    each = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
+    return rows.join(drawn, "at").select("row", each).select("row.*")
 
 
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

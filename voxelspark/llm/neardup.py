@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelspark.llm import textscan as ts
-from voxelspark.llm.common import SPACE_WORD, cut, small, table
+from voxelspark.llm.common import SPACE_WORD, cut, numbered, small, table
 from voxelspark.llm.components import components, local_components
 
 CHUNKS, WIDTH = 10, 4
@@ -261,7 +261,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 def _linked(keyed: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Rows (doc_id, row, whole, text) -> the rows without text but with n_shingles and node, and
-    (node, component, least, pick): the component's smallest doc_id and the hash of one of its rows."""
+    (node, component, least, pick): the component's smallest doc_id and the name of one of its rows."""
     rows, nodes = classes(cut(sketch(keyed, size)))
     twice = rows.groupBy("row").count().filter("count > 1").select("row")
     keys = bucket_keys(nodes)
@@ -324,16 +324,12 @@ def deduplicated(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame
     """The rows of ``docs``, with all their columns, but one row for each near-duplicate group: one
     with its smallest doc_id, or any where no row has an id.  Rows that share an id and not a text
     are no copies of each other; rows without shingles all stay."""
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    rows, groups = _linked(docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("row"), whole.alias("whole"), "text"), size, percent)
+    whole = numbered(docs)
+    keyed = whole.select(F.col("row.doc_id").cast("long").alias("doc_id"), F.col("at").alias("row"), F.col("at").alias("whole"), F.col("row.text").alias("text"))
+    rows, groups = _linked(keyed, size, percent)
     rows = rows.filter(F.col("node").isNotNull()).select("node", "whole").join(groups.select("node", "pick"), "node")
-    gone = small(rows.filter(F.col("whole") != F.col("pick")).select(F.col("whole").alias("__gone")).distinct())
-    kept = docs.join(gone, whole == F.col("__gone"), "left_anti")
-    twice = small(rows.filter(F.col("whole") == F.col("pick")).groupBy(F.col("whole").alias("__twice")).count().filter("count > 1").select("__twice"))
-    if not twice.limit(1).count():
-        return kept
-    again = kept.join(twice, whole == F.col("__twice"), "left_semi").withColumn("__whole", whole).dropDuplicates(["__whole"]).drop("__whole")
-    return kept.join(twice, whole == F.col("__twice"), "left_anti").union(again)
+    gone = small(rows.filter(F.col("whole") != F.col("pick")).select(F.col("whole").alias("at")))
+    return whole.join(gone, "at", "left_anti").select("row.*")
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
