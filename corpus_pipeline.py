@@ -63,8 +63,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written to the shared folder, where those of
-    the last stage before the result stay until the caller has read it."""
+    """All stages over ``documents``; each one's rows are written to the shared folder and removed once
+    the next one's are.  The last stage has written its own rows down when it returns."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     before = None
@@ -74,4 +74,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if before:
             remove(spark, before)
         before = f"{folder}/{name}"
-    return STAGES[-1][1](spark, docs, sf_dir)
+    out = STAGES[-1][1](spark, docs, sf_dir)
+    remove(spark, folder)
+    return out
