@@ -662,4 +662,4 @@ def tissue_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.groupBy(F.lit("z").alias("axis"), F.col("z").alias("plane")).agg(F.count("*").alias("cells"), F.avg(labels.tissue(F.col("raw")).cast("int")).alias("tissue"))
 
 
-from voxelspark.plans import fields, records  # noqa: E402, F401  their queries register themselves
+from voxelspark.plans import fields, records, shapes  # noqa: E402, F401  their queries register themselves

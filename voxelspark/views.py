@@ -69,3 +69,19 @@ PTS = "(SELECT event_id, CAST(floor(value / 10) AS INT) AS by_, CAST(floor(user_
 DECISION = "(SELECT doc_id AS candidate_id, CASE WHEN quality = 1 THEN 'accept' ELSE 'reject' END AS decision FROM labels)"
 VERTEX = "(SELECT p_partkey AS vid, CAST(p_size AS DOUBLE) AS x, p_retailprice AS y, CAST(p_partkey % 13 AS DOUBLE) AS z FROM part)"
 FACE = "(SELECT p_partkey AS fid, p_partkey AS a, p_partkey + 1 AS b, p_partkey + 2 AS c FROM part WHERE p_partkey % 3 = 0 AND p_partkey + 2 <= (SELECT max(p_partkey) FROM part))"
+
+
+def volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Voxels (z, y, x, label, raw) of planes of 32 x 32, one for each order, so that planes grow with
+    the table: blocks of labels 1 .. 3 and background with holes; missing orders are missing voxels."""
+    k = F.col("l_orderkey")
+    at = [F.floor(k / 1024).cast("int").alias("z"), (F.floor(k / 32) % 32).cast("int").alias("y"), (k % 32).cast("int").alias("x")]
+    v = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg((F.min("l_suppkey") % 5 == 0).alias("hole"), F.max("l_quantity").alias("raw"))
+    v = v.select(*at, "hole", "raw")
+    block = (F.floor(F.col("z") / 3) + F.floor(F.col("y") / 6) + F.floor(F.col("x") / 7)) % 4
+    return v.select("z", "y", "x", F.when(F.col("hole"), F.lit(0)).otherwise(block).cast("long").alias("label"), "raw")
+
+
+VOLUME = """(SELECT z, y, x, CASE WHEN hole THEN 0 ELSE (z // 3 + y // 6 + x // 7) % 4 END::BIGINT AS label, raw
+  FROM (SELECT CAST(l_orderkey // 1024 AS INT) AS z, CAST(l_orderkey // 32 % 32 AS INT) AS y, CAST(l_orderkey % 32 AS INT) AS x, min(l_suppkey) % 5 = 0 AS hole, max(l_quantity) AS raw
+    FROM lineitem GROUP BY l_orderkey) t)"""
