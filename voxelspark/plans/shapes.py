@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import uuid
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,9 @@ from pyspark.sql import functions as F
 
 from voxelspark import views
 from voxelspark.operators import surface
+from voxelspark.operators.components import checkpointed, shared_folder
 from voxelspark.plans.registry import query
+from voxelspark.sources import precomputed
 from voxelspark.views import VOLUME
 
 NM = (30.0, 6.5, 6.5)
@@ -81,3 +84,45 @@ def surface_of_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two labels as one object: what lies between them is no surface."""
     v = surface.vertices(surface.surface(surface.merged(views.volume(spark, sf_dir), [1, 3])))
     return v.agg(F.count("*").alias("vertices"), F.min("z").alias("z0"), F.max("z").alias("z1"), F.min("x").alias("x0"), F.max("x").alias("x1"))
+
+
+# Stored volumes ---------------------------------------------------------------------------------------
+
+
+def _through_store(spark: SparkSession, voxels: DataFrame, chunk: tuple, box: list | None, **how) -> DataFrame:
+    """What is read back of a volume written to the shared folder; the volume is removed."""
+    folder = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    planes = voxels.agg(F.max("z")).first()[0] + 1
+    precomputed.write(voxels, folder, (planes, 32, 32), chunk, NM, offset=(0, 0, 0), **how)
+    out = checkpointed(precomputed.scan(spark, folder, box=box, drop_zero=box is None))
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    return out
+
+
+#: A label for each voxel's block and order, beyond 32 bits.
+_WIDE = f"(SELECT z, y, x, label * 10000000000 + CASE WHEN label > 0 THEN CAST(raw AS BIGINT) ELSE 0 END AS value FROM {VOLUME})"
+
+
+def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    v = views.volume(spark, sf_dir)
+    return v.select("z", "y", "x", (F.col("label") * 10_000_000_000 + F.when(F.col("label") > 0, F.col("raw").cast("long")).otherwise(0)).alias("value"))
+
+
+@query(f"SELECT z, y, x, value FROM {_WIDE} WHERE value <> 0")
+def segmentation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels through compressed segmentation in packed shards of hashed chunks."""
+    return _through_store(spark, _wide(spark, sf_dir), (4, 16, 12), None, block=(2, 8, 8), sharding=precomputed.sharded_by(2, 2, preshift=1, scrambled=True))
+
+
+@query(f"""SELECT g.z, g.y, g.x, coalesce(value, 0)::BIGINT AS value FROM (SELECT CAST(a.i AS INT) AS z, CAST(b.i AS INT) AS y, CAST(c.i AS INT) AS x
+  FROM range((SELECT max(z) + 1 FROM {_WIDE})) a(i), range(5, 29) b(i), range(32) c(i)) g LEFT JOIN {_WIDE} v USING (z, y, x)""")
+def segmentation_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All planes of a box out of plain shards: chunks that don't meet it are not read."""
+    return _through_store(spark, _wide(spark, sf_dir), (3, 10, 32), [(-5, 10**6), (5, 29), (0, 32)], sharding=precomputed.sharded_by(1, 1, packed=False))
+
+
+@query(f"SELECT z, y, x, value FROM {_WIDE} WHERE value <> 0")
+def segmentation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels through compressed segmentation in a file for each chunk."""
+    return _through_store(spark, _wide(spark, sf_dir), (8, 32, 32), None, block=(8, 8, 8))
