@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelspark import views
-from voxelspark.operators import surface
+from voxelspark.operators import agglomerate, components, fuzzy, halo, knn, surface
 from voxelspark.operators.components import checkpointed, shared_folder
 from voxelspark.plans.registry import query
 from voxelspark.sources import precomputed
+from voxelspark.streaming import runs
 from voxelspark.views import VOLUME
 
 NM = (30.0, 6.5, 6.5)
@@ -89,14 +90,18 @@ def surface_of_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Stored volumes ---------------------------------------------------------------------------------------
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def _through_store(spark: SparkSession, voxels: DataFrame, chunk: tuple, box: list | None, **how) -> DataFrame:
     """What is read back of a volume written to the shared folder; the volume is removed."""
     folder = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
     planes = voxels.agg(F.max("z")).first()[0] + 1
     precomputed.write(voxels, folder, (planes, 32, 32), chunk, NM, offset=(0, 0, 0), **how)
     out = checkpointed(precomputed.scan(spark, folder, box=box, drop_zero=box is None))
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    _remove(spark, folder)
     return out
 
 
@@ -126,3 +131,123 @@ def segmentation_box(spark: SparkSession, sf_dir: str) -> DataFrame:
 def segmentation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels through compressed segmentation in a file for each chunk."""
     return _through_store(spark, _wide(spark, sf_dir), (8, 32, 32), None, block=(8, 8, 8))
+
+
+# Keyed state ------------------------------------------------------------------------------------------
+
+_KEEP, _LATE_HOURS = 24 * 60, 2
+_RUNS = f"""e AS (SELECT user_id AS key, event_id AS id, ts, event_type AS status, epoch_us(ts) AS us FROM events),
+g AS (SELECT *, CASE WHEN coalesce(us - lag(us) OVER w > {_KEEP * 60_000_000}, true) THEN 1 ELSE 0 END AS new, lag(status) OVER w AS before FROM e WINDOW w AS (PARTITION BY key ORDER BY us, id)),
+r AS (SELECT *, sum(new) OVER (PARTITION BY key ORDER BY us, id) AS run FROM g),
+runs AS (SELECT key, min(ts) AS start, max(ts) AS "end", count(*) AS records, CAST(sum(CASE WHEN new = 0 AND status <> before THEN 1 ELSE 0 END) AS BIGINT) AS changes,
+  arg_max(status, (us, id)) AS last, max(us) AS b FROM r GROUP BY key, run)"""
+
+
+def _stage_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("status"))
+
+
+@query(f"""WITH {_RUNS} SELECT key, start, "end", records, changes, last FROM runs""")
+def stage_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of each user's records, split where a day passes without one."""
+    return runs.batch_runs(_stage_log(spark, sf_dir), _KEEP)
+
+
+@query(f"""WITH {_RUNS} SELECT key, start, "end", records, changes, last FROM runs
+WHERE CAST(ceil(b / 1000.0) AS BIGINT) + {_KEEP * 60_000} < (SELECT max(us) // 1000 FROM e) - {_LATE_HOURS * 3_600_000}""")
+def stage_runs_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The runs that are over at the end of a stream of the same records, in six parts, some repeated and
+    up to 90 minutes out of order."""
+    folder = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    log = _stage_log(spark, sf_dir)
+    low, high = log.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    arrives = F.unix_micros("ts") + F.pmod(F.xxhash64("id"), F.lit(90 * 60_000_000))
+    part = F.least(F.floor((arrives - low) * 6 / (high - low + 1)), F.lit(5))
+    log = log.withColumn("times", F.explode(F.when(F.col("id") % 7 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))).drop("times")
+    for i in range(6):  # one after the other, as a stream takes files by age
+        log.filter(part == i).coalesce(1).write.mode("append").parquet(f"{folder}/log")
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/log")
+        found = runs.stream_runs(stream, _KEEP, f"{_LATE_HOURS} hours")
+        found.writeStream.format("parquet").option("checkpointLocation", f"{folder}/state").option("path", f"{folder}/runs").trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    out = checkpointed(spark.read.schema(found.schema).parquet(f"{folder}/runs"))
+    _remove(spark, folder)
+    return out
+
+
+# Tiles, objects and graphs ----------------------------------------------------------------------------
+
+_REACHED = f"""WITH RECURSIVE c AS MATERIALIZED (SELECT z, y, x, label, z * 4398046511104 + y * 2097152 + x AS n FROM {VOLUME} WHERE label <> 0),
+s AS MATERIALIZED (SELECT a.n AS a, b.n AS b FROM c a JOIN c b ON a.label = b.label AND abs(a.z - b.z) + abs(a.y - b.y) + abs(a.x - b.x) = 1
+  AND b.z BETWEEN a.z - 1 AND a.z + 1 AND b.y BETWEEN a.y - 1 AND a.y + 1 AND b.x BETWEEN a.x - 1 AND a.x + 1),
+r(n, o) AS (SELECT n, n FROM c UNION SELECT r.n, s.b FROM r JOIN s ON s.a = r.o),
+p AS MATERIALIZED (SELECT n, min(o) AS component FROM r GROUP BY n)"""
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return components.voxel_components(views.volume(spark, sf_dir), block=(4, 8, 10))
+
+
+@query(f"{_REACHED} SELECT CAST(z AS BIGINT) AS z, CAST(y AS BIGINT) AS y, CAST(x AS BIGINT) AS x, label, CAST(component AS BIGINT) AS component FROM c JOIN p USING (n)")
+def voxel_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connected components of the labels, found in blocks and joined over their faces."""
+    return _parts(spark, sf_dir)
+
+
+@query(f"""WITH v AS (SELECT z, y, x, raw FROM {VOLUME}), n AS (SELECT CAST(max(z) + 1 AS INT) AS planes FROM v),
+m AS (SELECT a.z + dz AS z, a.y + dy AS y, a.x + dx AS x, raw FROM v a, (VALUES (-1), (0), (1)) i(dz), (VALUES (-1), (0), (1)) j(dy), (VALUES (-1), (0), (1)) k(dx))
+SELECT z, y, x, sum(raw)::DOUBLE AS value FROM m, n WHERE z >= 0 AND z < planes AND y >= 0 AND y < 32 AND x >= 0 AND x < 32 GROUP BY 1, 2, 3 HAVING sum(raw) <> 0""")
+def tiled_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A function of 3 x 3 x 3 neighbourhoods, run on tiles with a halo of one voxel."""
+    v = views.volume(spark, sf_dir)
+    shape = (v.agg(F.max("z")).first()[0] + 1, 32, 32)
+    return halo.apply_tiled(v, shape, (5, 12, 32), (1, 1, 1), halo.neighbourhood(sum, (1, 1, 1)), "raw")
+
+
+_CONTACTS = f"""SELECT least(a.r, b.r) AS a, greatest(a.r, b.r) AS b, CAST(sum(least(a.v, b.v)) AS BIGINT) AS total, count(*) AS n
+FROM u a JOIN u b ON a.r <> b.r AND ((b.z = a.z + 1 AND b.y = a.y AND b.x = a.x) OR (b.z = a.z AND b.y = a.y + 1 AND b.x = a.x) OR (b.z = a.z AND b.y = a.y AND b.x = a.x + 1)) GROUP BY 1, 2"""
+_FRAGMENTS = f"u AS MATERIALIZED (SELECT z, y, x, CAST(raw AS BIGINT) AS v, 1 + (z // 2) * 1000000 + (y // 4) * 1000 + x // 4 AS r FROM {VOLUME})"
+
+
+def _fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small boxes as regions, the intensity as affinity."""
+    region = 1 + F.floor(F.col("z") / 2) * 1_000_000 + F.floor(F.col("y") / 4) * 1000 + F.floor(F.col("x") / 4)
+    return views.volume(spark, sf_dir).select("z", "y", "x", region.cast("long").alias("r"), F.col("raw").cast("long").alias("v"))
+
+
+@query(f"WITH {_FRAGMENTS} {_CONTACTS}")
+def region_adjacency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contacts of regions and the affinity across them."""
+    return agglomerate.adjacency(_fragments(spark, sf_dir), "r", "v")
+
+
+@query()
+def affinity_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regions contracted from the strongest contact on, down to a mean affinity of 33."""
+    return agglomerate.contract(agglomerate.adjacency(_fragments(spark, sf_dir), "r", "v"), 33.0)
+
+
+_NEAR = """n AS (SELECT q.vec_id AS id, c.vec_id AS neighbour, sqrt(list_sum(list_transform(list_zip(q.embedding, c.embedding), lambda p: (p[1]::DOUBLE - p[2]::DOUBLE) ** 2))) AS distance
+  FROM embeddings q, embeddings c),
+t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, neighbour) AS place FROM n) WHERE place <= 15 AND id <> neighbour)"""
+
+
+@query(f"""WITH RECURSIVE {_NEAR}, l AS (SELECT id, list(distance ORDER BY distance) AS d, min(distance) FILTER (WHERE distance > 0) AS rho, count(*) AS k FROM t GROUP BY id),
+b AS (SELECT id, d, coalesce(rho, 0) AS rho, k, 0.0::DOUBLE AS lo, 'inf'::DOUBLE AS hi, 1.0::DOUBLE AS s, false AS found, 0 AS step FROM l
+  UNION ALL
+  SELECT id, d, rho, k, CASE WHEN NOT hit AND psum <= log2(k + 1) THEN s ELSE lo END, CASE WHEN NOT hit AND psum > log2(k + 1) THEN s ELSE hi END,
+    CASE WHEN hit THEN s WHEN psum > log2(k + 1) THEN (lo + s) / 2 WHEN isinf(hi) THEN s * 2 ELSE (s + hi) / 2 END, hit, step + 1
+  FROM (SELECT *, found OR abs(psum - log2(k + 1)) < 1e-5 AS hit FROM (SELECT *, list_sum(list_transform(d, lambda x: exp(-greatest(x - rho, 0) / s))) AS psum FROM b WHERE step < 64))),
+w AS (SELECT t.id, t.neighbour, exp(-greatest(distance - rho, 0) / greatest(s, 0.001 * list_sum(d) / (k + 1))) AS weight FROM t JOIN b ON b.id = t.id AND step = 64),
+u AS (SELECT least(id, neighbour) AS a, greatest(id, neighbour) AS b, max(CASE WHEN id < neighbour THEN weight ELSE 0 END) AS p, max(CASE WHEN id > neighbour THEN weight ELSE 0 END) AS q FROM w GROUP BY 1, 2)
+SELECT a, b, round(p + q - p * q, 4) AS weight FROM u""")
+def fuzzy_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Neighbour graph of the embeddings with a bandwidth for each point, both directions united."""
+    near = knn.neighbours(views.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding"), 15).withColumn("distance", F.sqrt("distance"))
+    graph = fuzzy.fuzzy_union(fuzzy.memberships(near))
+    return graph.withColumn("weight", F.round("weight", 4))
