@@ -1,5 +1,8 @@
 """Every operator over nulls, empty and long texts, ties, repeated rows, clashing names and nothing."""
 
+import itertools
+import random
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -36,9 +39,26 @@ def test_licenses(awkward, nothing, spark):
     assert (got[3].n_base, got[3].first_word, got[3].last_word) == (2, 2, 4)
 
 
+def test_a_phrase_alone_is_no_notice(spark):
+    """And a notice with some words changed is one, as long as its key phrase stands."""
+    bodies = {t[0]: t for t in licenses.TEMPLATES}
+    mit, bsd = bodies["mit-body"][1], bodies["bsd-disclaimer"][1]
+    texts = [
+        "it was hereby granted free of charge to none", "to deal in the software without restriction", mit, mit.replace("any person", "each man").replace("sublicense", "rent").replace("merge", "join"),
+        mit.replace("without restriction", "with restriction"), " ".join(mit.split()[:-40]), bsd.replace("copyright", "patent").replace("damages", "harm"), "even if advised of the possibility of such damage",
+        " ".join(reversed(mit.split())) + " to deal in the software without restriction", ("x " * 5000 + mit + " y") * 3,
+    ]
+    got = {r.doc_id: (set(r.labels.split(",")), r.score) for r in licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for k, label, there in ((0, "mit-grant", False), (1, "mit-body", False), (2, "mit-body", True), (3, "mit-body", True), (4, "mit-body", False), (5, "mit-body", False), (6, "bsd-disclaimer", True), (7, "bsd-disclaimer", False), (8, "mit-body", False), (9, "mit-body", True)):
+        assert (label in got[k][0]) == there, k
+    assert got[2][1] == got[9][1] == 1 and 0.7 <= got[3][1] < 1 and got[0][1] == got[1][1] == 0
+
+
 def test_licenses_of_several_notices(spark):
     """Every notice that stands word for word is found, however many others stand in the file."""
-    some = [(k, " and\n".join(t[1] for j, t in enumerate(licenses.TEMPLATES) if k >> j & 1)) for k in range(1, 1 << len(licenses.TEMPLATES)) if k.bit_count() in (1, 2, 4, 13)]
+    n, pick = len(licenses.TEMPLATES), random.Random(1)
+    sets = [*itertools.combinations(range(n), 1), *itertools.combinations(range(n), 2), *(pick.sample(range(n), k) for k in (4, 4, 4, 13, 13)), range(n)]
+    some = [(sum(1 << j for j in js), " and\n".join(licenses.TEMPLATES[j][1] for j in sorted(js))) for js in sets]
     for r in licenses.scan(spark.createDataFrame(some, "doc_id long, text string")).collect():
         want = {t[0] for j, t in enumerate(licenses.TEMPLATES) if r.doc_id >> j & 1}
         assert want <= set(r.labels.split(",")) and r.score == 1
