@@ -81,6 +81,15 @@ def test_line_dedup(awkward, nothing, spark):
     assert all("logged in" not in got[i] for i in range(6)) and "own words number3 here" in got[3] and got[9] is None and got[10] == ""
 
 
+def test_short_lines_that_recur(spark):
+    """They go if every token is constant, and stay if one is a field."""
+    own = [" ".join("abcd"[i] * k for k in range(2, 8)) for i in range(4)]
+    docs = spark.createDataFrame([(i, f"{own[i]}\nAll rights reserved.\nPage {i}\nMenu\n\nonly {'abcd'[i % 2]} here") for i in range(4)], "doc_id long, text string")
+    for r in linededup.cleaned(docs).collect():
+        i = r.doc_id
+        assert r.text == f"{own[i]}\nPage {i}\n\nonly {'abcd'[i % 2]} here"
+
+
 def test_line_dedup_of_a_wide_leaf(spark):
     """Recurring lines that share length and opening go, however many there are."""
     lines = ["This file is " + " ".join(c * n for n in (1, 2, 3, 4)) for c in "abcdefghijklmnopqrst"]

@@ -15,8 +15,8 @@ side has one row for it and adaptive execution splits it.  Lines of leaves that
 out by a broadcast of the recurring leaves' hashes while they fit, then of a bit table of fixed size.
 Nothing is gathered: a template is the exclusive or of the hashes of the constants that a line has.
 
-Defined cases: a null text has no lines, an empty text one empty line; lines of fewer than
-``MIN_TOKENS`` tokens stay; rows equal in id and text count as one document and get one answer
+Defined cases: a null text has no lines, an empty text one empty line; lines without
+tokens stay, and lines of fewer than ``SHORT`` go only if all their tokens are constant; rows equal in id and text count as one document and get one answer
 each; null ids are ids; other columns are ignored; an empty table gives an empty result.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from voxelspark.llm.common import SPACE_WORD, cut, fits, table
 
 DEPTH = 3
-MIN_TOKENS = 5
+SHORT = 5  # lines with fewer tokens are dropped only if all of them are constant
 MIN_DOCS = 3
 FAN_OUT = 16
 CONSTANT = 0.6  # least share of constant tokens in a template that is dropped
@@ -38,13 +38,13 @@ _WITH_DIGIT = r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"  # no more than one look at
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """(k, line_no, tokens) of all lines with enough tokens; k names the document, and tokens with a
+    """(k, line_no, tokens) of all lines with a token; k names the document, and tokens with a
     digit are fields.  White space and digits are dealt with in the text, before lines are cut."""
     text = F.when(F.col("text").rlike(r"[\x09\x0B-\x0D]"), F.translate("text", "\t\x0b\f\r", "    ")).otherwise(F.col("text"))
     docs = docs.select(F.xxhash64("doc_id", "text").alias("k"), text.alias("text"))
     text = F.when(F.col("text").rlike("[0-9]"), F.regexp_replace("text", _WITH_DIGIT, _FIELD)).otherwise(F.col("text"))
     lines = docs.select("k", F.posexplode(F.split(text, "\n")).alias("line_no", "line"))
-    return lines.select("k", "line_no", F.array_remove(F.split("line", " "), "").alias("tokens")).filter(F.size("tokens") >= MIN_TOKENS)
+    return lines.select("k", "line_no", F.array_remove(F.split("line", " "), "").alias("tokens")).filter(F.size("tokens") > 0)
 
 
 def _documents(df: DataFrame, key: str, *rest: str) -> DataFrame:
@@ -85,7 +85,8 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     tokens = held.select(F.monotonically_increasing_id().alias("r"), "k", "line_no", "n", "tokens")
     tokens = tokens.select("r", "k", "line_no", "n", F.explode("tokens").alias("token")).filter("token IS NOT NULL")
     lines = tokens.join(constants, "token").groupBy("r", "k", "line_no", "n").agg(*whole)
-    mostly = lambda c: (F.col(c) > 0) & (F.col(c) >= F.ceil(F.col("n") * CONSTANT))
+    enough = F.when(F.col("n") < SHORT, F.col("n")).otherwise(F.ceil(F.col("n") * CONSTANT))
+    mostly = lambda c: (F.col(c) > 0) & (F.col(c) >= enough)
     first = F.when(mostly("fixed"), F.xxhash64("n", "shape", "fixed"))
     second = F.when(mostly("often") & (F.col("often") > F.col("fixed")), F.xxhash64("n", "full", "often"))
     shaped = cut(lines.filter(mostly("often")).select("k", "line_no", F.explode(F.array_compact(F.array(first, second))).alias("template")))
@@ -122,7 +123,7 @@ u AS (SELECT DISTINCT k, text FROM d WHERE text IS NOT NULL),
 l AS (SELECT k, unnest(list_zip(string_split(text, chr(10)), range(0, len(string_split(text, chr(10)))))) AS z FROM u),
 t AS MATERIALIZED (
   SELECT k, line_no, list_transform(w, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{_FIELD}' ELSE x END) AS w
-  FROM (SELECT k, z[2] AS line_no, regexp_extract_all(z[1], '{SPACE_WORD}') AS w FROM l) WHERE len(w) >= {MIN_TOKENS}),
+  FROM (SELECT k, z[2] AS line_no, regexp_extract_all(z[1], '{SPACE_WORD}') AS w FROM l) WHERE len(w) > 0),
 v AS (SELECT *, len(w)::VARCHAR || chr(1) || array_to_string(list_slice(w, 1, {DEPTH}), chr(1)) AS leaf FROM t),
 ok AS (SELECT leaf FROM v GROUP BY leaf HAVING count(DISTINCT k) >= {MIN_DOCS}),
 h AS MATERIALIZED (SELECT * FROM v WHERE leaf IN (SELECT leaf FROM ok)),
@@ -135,8 +136,8 @@ s AS (
   FROM p LEFT JOIN o ON o.leaf = p.leaf AND o.pos = p.pos AND o.token = p.token
   LEFT JOIN c ON c.leaf = p.leaf AND c.pos = p.pos AND c.token = p.token GROUP BY p.leaf, p.k, p.line_no),
 e AS (
-  SELECT leaf, k, line_no, shape FROM s WHERE fixed > 0 AND fixed >= ceil(n * {CONSTANT})
-  UNION ALL SELECT leaf, k, line_no, whole FROM s WHERE often > fixed AND often >= ceil(n * {CONSTANT})),
+  SELECT leaf, k, line_no, shape FROM s WHERE fixed > 0 AND fixed >= CASE WHEN n < {SHORT} THEN n ELSE ceil(n * {CONSTANT}) END
+  UNION ALL SELECT leaf, k, line_no, whole FROM s WHERE often > fixed AND often >= CASE WHEN n < {SHORT} THEN n ELSE ceil(n * {CONSTANT}) END),
 g AS (SELECT DISTINCT k, line_no FROM e WHERE (leaf, shape) IN (SELECT (leaf, shape) FROM e GROUP BY leaf, shape HAVING count(DISTINCT k) >= {MIN_DOCS})),
 a AS (SELECT k, count(*) AS n, string_agg(line_no::VARCHAR, ',' ORDER BY line_no) AS gone FROM g GROUP BY k)
 SELECT doc_id, CAST(CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END AS BIGINT) AS n_lines,
