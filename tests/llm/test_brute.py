@@ -276,6 +276,39 @@ def test_decontamination_of_documents(spark, sf, docs):
     assert exact == {k for k, dist in got.items() if dist == 0}
 
 
+def least_distance(item, text):
+    """The least edit distance of the item to any passage of the text; rows of the table at a time."""
+    a, b = (np.frombuffer(t.encode("utf-32-le"), dtype=np.uint32) for t in (item, text))
+    row, step = np.zeros(len(b) + 1, np.int32), np.arange(len(b) + 1, dtype=np.int32)
+    for c in a:
+        below = np.append(row[0] + 1, np.minimum(row[:-1] + (b != c), row[1:] + 1))
+        row = np.minimum.accumulate(below - step) + step
+    return int(row.min())
+
+
+def test_decontamination_misses_nothing(spark, sf, docs):
+    """All pairs of an item and a document, some of which hold items with more and more edits."""
+    rng = random.Random(11)
+    items = [(r.item_id, decontaminate.normal(r.text)) for r in table(spark, sf, "benchmark").collect()]
+    edited = []
+    for i, item in items:
+        s = list(item)
+        for _ in range(rng.randrange(len(s) // 6 + 2)):
+            j = rng.randrange(len(s))
+            kind = rng.randrange(3)
+            s[j : j + 1] = [[rng.choice("abc ")], [], [s[j], rng.choice("abc ")]][kind]
+        edited.append((10_000 + i, f"some words before {''.join(s)} and some after"))
+    every = [*docs, *edited]
+    found = decontaminate.contaminated(spark.createDataFrame(every, "doc_id long, text string"), table(spark, sf, "benchmark"))
+    got = {(r.doc_id, r.item_id): r.distance for r in found.collect()}
+    texts, want = [(d, f" {decontaminate.normal(t)} ") for d, t in every], {}
+    for i, item in items:
+        for d, text in texts:
+            if item and (least := least_distance(f" {item} ", text)) <= min(len(item) // 10, len(item) - 1):
+                want[d, i] = least
+    assert want == got and len([d for d in got.values() if d]) > 10
+
+
 def test_toxicity_score_is_the_models(spark, sf, docs):
     """Scores by single words and plain sums."""
     import pyarrow as pa

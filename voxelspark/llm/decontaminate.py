@@ -33,7 +33,8 @@ from voxelspark.llm import textscan as ts
 from voxelspark.llm.common import table
 
 RATE = 0.1
-BLOCK_BYTES = 4 << 20
+#: Memory of a block of items in a task: its patterns and automaton, counted per item and per byte of text.
+BLOCK_BYTES, ITEM_BYTES, TEXT_BYTES = 192 << 20, 2500, 100
 _SLOTS = 1 << 14
 _FOLD = bytes(c if chr(c).isalnum() or c > 127 else 32 for c in range(256))
 
@@ -53,9 +54,9 @@ def gram_slots(text: str) -> np.ndarray:
     """A slot of ``_SLOTS`` for each 4-gram of the text, equal for equal ones."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     if len(c) < 4:
-        return np.zeros(0, dtype=np.int64)
+        return np.zeros(0, dtype=np.uint16)
     code = ((c[:-3] * np.uint64(0x9E3779B1) + c[1:-2]) * np.uint64(0x85EBCA77) + c[2:-1]) * np.uint64(0xC2B2AE3D) + c[3:]
-    return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(50)).astype(np.int64)
+    return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(50)).astype(np.uint16)
 
 
 class Pattern:
@@ -68,13 +69,15 @@ class Pattern:
         self.masks: dict[str, int] = {}
         for i, c in enumerate(text):
             self.masks[c] = self.masks.get(c, 0) | 1 << i
-        self.grams = np.zeros(_SLOTS, dtype=bool)
-        self.grams[gram_slots(text)] = True
         self.shared = self.size - 3 - 4 * self.budget
+        self.grams = np.unique(gram_slots(text)).astype(np.uint16) if self.shared > 0 else None
 
     def may_hold(self, slots: np.ndarray) -> bool:
         """False only if no passage of the text with these 4-grams is within budget."""
-        return self.shared <= 0 or np.count_nonzero(self.grams[slots]) >= self.shared
+        if self.shared <= 0:
+            return True
+        at = np.minimum(np.searchsorted(self.grams, slots), len(self.grams) - 1)
+        return np.count_nonzero(self.grams[at] == slots) >= self.shared
 
     def best(self, text: str) -> tuple[int, int] | None:
         """(distance, end) of the nearest passage in ``text`` if within budget; first end on ties."""
@@ -148,7 +151,7 @@ def _patterns(listed: list[tuple], rate: float) -> list[Pattern]:
 
 
 def _blocks(items: DataFrame) -> Iterator[list]:
-    size = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    size = items.agg(F.sum(F.octet_length("text").cast("long") * TEXT_BYTES + ITEM_BYTES)).first()[0] or 0
     n = max(1, math.ceil(size / BLOCK_BYTES))
     for b in range(n):
         yield items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == b).select("item_id", "text").collect()
