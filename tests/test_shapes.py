@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxelspark.operators import agglomerate, components, fuzzy, halo, surface
+from voxelspark.operators import agglomerate, camera, components, fuzzy, halo, surface
 from voxelspark.sources import precomputed
 from voxelspark.streaming import runs
 
@@ -326,3 +326,16 @@ def test_fuzzy_graph(spark):
     assert w[1, 2] == w[2, 1] == w[2, 3] == w[3, 2] == 1 and 0 < w[1, 3] < 1
     graph = {(r.a, r.b): r.weight for r in fuzzy.fuzzy_union(directed).collect()}
     assert graph == {(1, 2): 1, (2, 3): 1, (1, 3): pytest.approx(w[1, 3] + w[3, 1] - w[1, 3] * w[3, 1])}
+
+
+# Tours ------------------------------------------------------------------------------------------------
+
+
+def test_tour_of_a_table_is_that_of_a_list(spark):
+    stops = [(1.0, 2.0), (5.0, 3.0), (4.0, 9.0)]
+    table = spark.createDataFrame([(i, *s) for i, s in enumerate(stops)], "position long, x double, y double")
+    for entry in (None, (0.0, 1.0, 1.4, 2.5)):
+        a = camera.segments(spark, stops, 10.0, entry, 3.0, 2.0, 0.35)
+        b = camera.tour(table, 10.0, entry, 3.0, 2.0, 0.35)
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))
+    assert camera.tour(table.limit(0), 10.0, None, 3.0, 2.0, 0.35).count() == 0

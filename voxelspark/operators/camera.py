@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -39,6 +39,22 @@ def segments(spark: SparkSession, stops: list[tuple[float, float]], fov: float,
     return spark.createDataFrame(rows, "start double, length double, kind string, x0 double, y0 double, x1 double, y1 double, f0 double, f1 double, bump double")
 
 
+def tour(stops: DataFrame, fov: float, entry: tuple[float, float, float, float] | None, hold: float, move: float, zoom_out: float) -> DataFrame:
+    """The same segments of stops in a table (position from 0 without gaps, x, y): a stop meets the next
+    one by its position, and when a segment starts follows from it."""
+    p, after = F.col("position"), float(entry[3]) if entry else 0.0
+    names = ["start", "length", "kind", "x0", "y0", "x1", "y1", "f0", "f1", "bump"]
+    row = lambda *values: [(F.lit(v) if not isinstance(v, Column) else v).alias(n) for v, n in zip(values, names, strict=True)]
+    x, y, wide, each = F.col("x"), F.col("y"), float(fov), float(hold + move)
+    out = stops.select(*row(after + p * each, float(hold), "hold", x, y, x, y, wide, wide, 0.0))
+    ahead = stops.select((p - 1).alias("position"), x.alias("nx"), y.alias("ny"))
+    moves = stops.join(ahead, "position").select(*row(after + p * each + float(hold), float(move), "move", x, y, F.col("nx"), F.col("ny"), wide, wide, float(zoom_out)))
+    out = out.union(moves)
+    if entry:
+        out = out.union(stops.filter(p == 0).select(*row(0.0, after, "entry", float(entry[0]), float(entry[1]), x, y, wide * entry[2], wide, 0.0)))
+    return out
+
+
 def poses(segments: DataFrame, fps: float, easing: str = "smoothstep") -> DataFrame:
     """(frame, kind, x, y, fov) of every frame: each segment opens to its own frames, so there is
     no join by time.  Moves widen the field by a parabola that peaks half way."""

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from voxelspark import views
 from voxelspark.functions import scalars as S
-from voxelspark.operators import boxes, camera, components, constraints, density, display, knn, labels, mesh, overlap, reconcile, resample, select, tiling, verify, workflow
+from voxelspark.operators import boxes, camera, components, constraints, density, display, knn, labels, mesh, numbering, overlap, reconcile, resample, select, tiling, verify, workflow
 from voxelspark.plans import greedy_sql
 from voxelspark.plans.registry import ORACLE_SQL, QUERIES, query
 from voxelspark.streaming import stages
-from voxelspark.views import DECISION, DENSE, FACE, NX, NY, NZ, PATCH, PTS, VERTEX, VOX
+from voxelspark.views import DECISION, DENSE, FACE, NX, NY, NZ, PATCH, PATCH_PLANES, PLANES, PTS, VERTEX, VOLUME, VOX
 
 SHAPE = (NZ, NY, NX)
 WINDOWS = ((1, 1, 1), (1, 2, 2), (2, 2, 2))
@@ -21,15 +21,15 @@ PATCH_SHAPE = (1, 2, 2)
 # Grids -----------------------------------------------------------------------------------------
 
 
-@query("""
-WITH a(ax, n, p, s) AS (VALUES ('z', 7, 2, 1), ('y', 64, 16, 8), ('x', 60, 16, 12)),
-st AS (SELECT ax, n, p, v AS s0 FROM a, range(0, 64) r(v) WHERE (v % s = 0 AND v + p <= n) OR v = n - p),
+@query(f"""
+WITH a(ax, n, p, s) AS (VALUES ('z', {PLANES}, 2, 1), ('y', 64, 16, 8), ('x', 60, 16, 12)),
+st AS (SELECT ax, n, p, v AS s0 FROM a, range(0, 100000) r(v) WHERE (v % s = 0 AND v + p <= n) OR v = n - p),
 g AS (SELECT ax, s0, least(s0 + p, n) AS s1, row_number() OVER (PARTITION BY ax ORDER BY s0) - 1 AS i, count(*) OVER (PARTITION BY ax) AS c FROM st)
 SELECT CAST((z.i * y.c + y.i) * x.c + x.i AS BIGINT) AS patch_id, CAST(z.i AS INT) AS gz, CAST(y.i AS INT) AS gy, CAST(x.i AS INT) AS gx,
   CAST(z.s0 AS BIGINT) AS z0, CAST(z.s1 AS BIGINT) AS z1, CAST(y.s0 AS BIGINT) AS y0, CAST(y.s1 AS BIGINT) AS y1, CAST(x.s0 AS BIGINT) AS x0, CAST(x.s1 AS BIGINT) AS x1
 FROM g z, g y, g x WHERE z.ax = 'z' AND y.ax = 'y' AND x.ax = 'x'""")
 def patch_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tiling.patch_manifest(spark, (7, 64, 60), (2, 16, 16), (1, 8, 12), "align_end")
+    return tiling.patch_manifest(spark, (views.planes(spark, sf_dir), 64, 60), (2, 16, 16), (1, 8, 12), "align_end")
 
 
 def _windows(nz: int | str) -> str:
@@ -40,15 +40,15 @@ def _windows(nz: int | str) -> str:
   WHERE z.v + w.wz <= {nz} AND y.v + w.wy <= 10 AND x.v + w.wx <= 10) t)"""
 
 
-@query(f"SELECT * FROM {_windows(5)}")
+@query(f"SELECT * FROM {_windows(PATCH_PLANES)}")
 def candidate_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tiling.candidate_windows(spark, (5, 10, 10), WINDOWS, PATCH_SHAPE, PATCH_SHAPE)
+    return tiling.candidate_windows(spark, (views.patch_planes(spark, sf_dir), 10, 10), WINDOWS, PATCH_SHAPE, PATCH_SHAPE)
 
 
 GUARDS = "(VALUES (1, 2, 0, 20, 0, 20), (3, 5, 4, 9, 0, 7))"
 
 
-@query(f"""SELECT c.size_id, count(*) AS n FROM {_windows(5)} c WHERE NOT EXISTS (
+@query(f"""SELECT c.size_id, count(*) AS n FROM {_windows(PATCH_PLANES)} c WHERE NOT EXISTS (
   SELECT 1 FROM {GUARDS} g(z0, z1, y0, y1, x0, x1) WHERE c.z0 < g.z1 AND g.z0 < c.z1 AND c.y0 < g.y1 AND g.y0 < c.y1 AND c.x0 < g.x1 AND g.x0 < c.x1) GROUP BY 1""")
 def candidate_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     guards = spark.createDataFrame([(1, 2, 0, 20, 0, 20), (3, 5, 4, 9, 0, 7)], "z0 long, z1 long, y0 long, y1 long, x0 long, x1 long")
@@ -56,14 +56,14 @@ def candidate_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.groupBy("size_id").agg(F.count("*").alias("n"))
 
 
-@query("""
-WITH t AS (
-  SELECT z.v AS z, y.v AS y, x.v AS x FROM range(0, 25, 12) z(v), range(0, 260, 96) y(v), range(0, 270, 96) x(v)),
-n AS (SELECT *, row_number() OVER (ORDER BY z, y, x) - 1 AS i, least(z + 12, 25) AS ze, least(y + 96, 260) AS ye, least(x + 96, 270) AS xe FROM t)
+@query(f"""
+WITH d AS (SELECT {PLANES} * 3 + 1 AS d), t AS (
+  SELECT z.v AS z, y.v AS y, x.v AS x, d FROM d, range(0, 100000, 12) z(v), range(0, 260, 96) y(v), range(0, 270, 96) x(v) WHERE z.v < d),
+n AS (SELECT *, row_number() OVER (ORDER BY z, y, x) - 1 AS i, least(z + 12, d) AS ze, least(y + 96, 260) AS ye, least(x + 96, 270) AS xe FROM t)
 SELECT 'tile_' || lpad(i::VARCHAR, 5, '0') AS tile_id, z AS z0, ze AS z1, y AS y0, ye AS y1, x AS x0, xe AS x1,
-  greatest(z - 4, 0) AS rz0, least(ze + 4, 25) AS rz1, greatest(y - 16, 0) AS ry0, least(ye + 16, 260) AS ry1, greatest(x - 16, 0) AS rx0, least(xe + 16, 270) AS rx1 FROM n""")
+  greatest(z - 4, 0) AS rz0, least(ze + 4, d) AS rz1, greatest(y - 16, 0) AS ry0, least(ye + 16, 260) AS ry1, greatest(x - 16, 0) AS rx0, least(xe + 16, 270) AS rx1 FROM n""")
 def tile_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tiling.tile_plan(spark, (25, 260, 270), (12, 96, 96), (4, 16, 16))
+    return tiling.tile_plan(spark, (views.planes(spark, sf_dir) * 3 + 1, 260, 270), (12, 96, 96), (4, 16, 16))
 
 
 @query(f"SELECT CAST(z // 2 AS INT) AS cz, CAST(y // 10 AS INT) AS cy, CAST(x // 12 AS INT) AS cx, count(*) AS n, CAST(sum(pred) AS BIGINT) AS total FROM {VOX} GROUP BY 1, 2, 3")
@@ -71,15 +71,15 @@ def chunk_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.chunk_of(views.vox(spark, sf_dir), (2, 10, 12)).groupBy("cz", "cy", "cx").agg(F.count("*").alias("n"), F.sum("pred").alias("total"))
 
 
-JOBS = [("a", "z", 1000.0, 40.0), ("a", "y", 2080.0, 8.0), ("b", "z", 100.0, 40.0), ("b", "y", 9.0, 32.0), ("c", "z", 220.0, 40.0), ("c", "y", 300.0, 40.0)]
-
-
-@query(f"""WITH j(job, axis, extent, target) AS (VALUES {', '.join(f"('{a}', '{b}', {c}::DOUBLE, {d}::DOUBLE)" for a, b, c, d in JOBS)}),
+@query("""WITH j AS (SELECT p_partkey::VARCHAR AS job, 'z' AS axis, p_size * 25.0::DOUBLE AS extent, 40.0::DOUBLE AS target FROM part
+  UNION ALL SELECT p_partkey::VARCHAR, 'y', p_retailprice, 32.0::DOUBLE FROM part),
 c AS (SELECT *, CAST(greatest(1, round_even(extent / target, 0)) AS BIGINT) AS cells FROM j)
 SELECT *, cells * target - extent AS end_error,
   max(abs(cells * target - extent)) OVER (PARTITION BY job) <= max(target) OVER (PARTITION BY job) * 0.51::DOUBLE AS ok FROM c""")
 def model_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tiling.model_grid(spark.createDataFrame(JOBS, "job string, axis string, extent double, target double"))
+    p, job = views.table(spark, sf_dir, "part"), F.col("p_partkey").cast("string").alias("job")
+    z = p.select(job, F.lit("z").alias("axis"), (F.col("p_size") * 25.0).alias("extent"), F.lit(40.0).alias("target"))
+    return tiling.model_grid(z.union(p.select(job, F.lit("y"), "p_retailprice", F.lit(32.0))))
 
 
 # Neighbours and selection -----------------------------------------------------------------------
@@ -119,12 +119,12 @@ def _coverage_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     return c, tiling.membership(c, grid), _near(spark, sf_dir).select("id", "neighbour")
 
 
-@query(greedy_sql.steps(_windows("(SELECT count(*) // 100 FROM embeddings)"), _knn_sql("list_distance(q.e, c.e)"), 100, 0.75, 1))
+@query(greedy_sql.steps(_windows(PATCH_PLANES), _knn_sql("list_distance(q.e, c.e)"), 100, 0.75, 1))
 def coverage_first_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.greedy(*_coverage_inputs(spark, sf_dir), budget=100, most=1, alpha=0.75).select("rank", "ord", "gain", "cost")
 
 
-@query(greedy_sql.steps(_windows("(SELECT count(*) // 100 FROM embeddings)"), _knn_sql("list_distance(q.e, c.e)"), 100, 0.75, 5))
+@query(greedy_sql.steps(_windows(PATCH_PLANES), _knn_sql("list_distance(q.e, c.e)"), 100, 0.75, 5))
 def coverage_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.greedy(*_coverage_inputs(spark, sf_dir), budget=100, most=5, alpha=0.75).select("rank", "ord", "gain", "cost")
 
@@ -287,19 +287,18 @@ def size_span_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.size_span_filter(views.vox(spark, sf_dir), 4000, 3).select("z", "y", "x", "pred")
 
 
-_BLOB = "(SELECT i AS node, CAST(i // 32 AS INT) AS y, CAST(i % 32 AS INT) AS x FROM range(1024) r(i) WHERE (i // 32 // 4 + 2 * (i % 32 // 4)) % 3 = 0 OR i // 32 // 4 = 3)"
+_BLOB = f"(SELECT z * 1024 + y * 32 + x AS node, z, y, x FROM {VOLUME} WHERE label = 1)"
 
 
 @query(f"""WITH RECURSIVE b AS MATERIALIZED {_BLOB},
-e AS MATERIALIZED (SELECT p.node AS s, q.node AS t FROM b p JOIN b q ON abs(p.y - q.y) + abs(p.x - q.x) = 1),
+e AS MATERIALIZED (SELECT p.node AS s, q.node AS t FROM b p JOIN b q ON abs(p.node - q.node) <= 1024 AND abs(p.z - q.z) + abs(p.y - q.y) + abs(p.x - q.x) = 1),
 r(root, node) AS (SELECT node, node FROM b UNION SELECT r.root, e.t FROM r JOIN e ON e.s = r.node),
 m AS (SELECT node, min(root) AS component FROM r GROUP BY 1)
 SELECT component, count(*) AS n FROM m GROUP BY 1""")
 def components_blob(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i = F.col("id")
-    a, b = F.floor(F.floor(i / 32) / 4), F.floor(i % 32 / 4)
-    cells = spark.range(1024).filter(((a + 2 * b) % 3 == 0) | (a == 3)).select(i.alias("node"), F.lit(0).alias("z"), F.floor(i / 32).cast("int").alias("y"), (i % 32).cast("int").alias("x"))
-    found = components.connected(cells.select("node"), components.face_edges(cells, "yx"))
+    node = (F.col("z").cast("long") * 1024 + F.col("y") * 32 + F.col("x")).alias("node")
+    cells = views.volume(spark, sf_dir).filter("label = 1").select(node, "z", "y", "x")
+    found = components.connected(cells.select("node"), components.face_edges(cells))
     return found.groupBy("component").agg(F.count("*").alias("n"))
 
 
@@ -396,14 +395,12 @@ def area_reduce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("raw", F.round("raw", 9))
 
 
-MIPS = [("raw", 0, 8.0), ("raw", 1, 16.0), ("raw", 2, 32.0), ("mask", 0, 32.0), ("mask", 1, 64.0), ("mask", 3, 256.0)]
-TARGETS = [("raw", 20.0), ("mask", 128.0)]
-
-
-@query(f"""WITH m(name, mip, resolution) AS (VALUES {', '.join(f"('{a}', {b}, {c}::DOUBLE)" for a, b, c in MIPS)}), t(name, target) AS (VALUES {', '.join(f"('{a}', {b}::DOUBLE)" for a, b in TARGETS)})
-SELECT name, target, mip, resolution FROM m JOIN t USING (name) QUALIFY row_number() OVER (PARTITION BY name ORDER BY abs(ln(resolution / target)), mip) = 1""")
+@query("""WITH m AS (SELECT p_partkey AS name, CAST(i AS INT) AS mip, ((2 + p_size % 9) * (1 << i))::DOUBLE AS resolution, p_retailprice / 40 AS target FROM part, range(5) r(i))
+SELECT name, target, mip, resolution FROM m QUALIFY row_number() OVER (PARTITION BY name ORDER BY abs(ln(resolution / target)), mip) = 1""")
 def mip_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resample.choose_mip(spark.createDataFrame(MIPS, "name string, mip int, resolution double"), spark.createDataFrame(TARGETS, "name string, target double"))
+    p = views.table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "name")
+    scales = p.select("name", F.posexplode(F.array(*[F.lit(1 << i) for i in range(5)])).alias("mip", "by"), (2 + F.col("p_size") % 9).alias("finest"))
+    return resample.choose_mip(scales.select("name", "mip", (F.col("finest") * F.col("by")).cast("double").alias("resolution")), p.select("name", (F.col("p_retailprice") / 40).alias("target")))
 
 
 @query(f"""SELECT r.z, r.y, r.x, coalesce(l.pred, 0) AS label FROM (SELECT z, y, x, CAST(floor((z + 0.5) * 8 / 8) AS INT) AS lz, CAST(floor((y + 0.5) * 8 / 12) AS INT) AS ly, CAST(floor((x + 0.5) * 8 / 12) AS INT) AS lx FROM {VOX}) r
@@ -490,13 +487,11 @@ def stage_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workflow.gate(s.select(F.col("user_id").alias("project"), F.col("event_type").alias("stage"), status.alias("status")), spark.createDataFrame(NEEDS, "stage string, requires string"))
 
 
-RULES = [("plan", "grid.json"), ("plan", "tiles.json"), ("infer", "labels.npy"), ("verify", "report.json")]
-PRESENT = [("plan", "grid.json"), ("infer", "labels.npy"), ("infer", "log.txt")]
-
-
-@query(f"SELECT * FROM (VALUES {', '.join(map(str, RULES))}) r(stage, artifact) EXCEPT SELECT * FROM (VALUES {', '.join(map(str, PRESENT))}) p")
+@query("""SELECT event_type AS stage, 'user-' || user_id AS artifact FROM events EXCEPT SELECT event_type, 'user-' || user_id FROM events WHERE value > 30""")
 def required_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return workflow.required(spark.createDataFrame(RULES, "stage string, artifact string"), spark.createDataFrame(PRESENT, "stage string, artifact string"))
+    e = views.table(spark, sf_dir, "events")
+    named = F.col("event_type").alias("stage"), F.concat(F.lit("user-"), F.col("user_id")).alias("artifact")
+    return workflow.required(e.select(*named).distinct(), e.filter("value > 30").select(*named).distinct())
 
 
 @query("""SELECT p_partkey AS base, beta, 'instance_' || p_partkey || '_b' || replace(beta, '.', 'p') AS job, 'out/' || p_partkey || '/' || replace(beta, '.', 'p') || '.npy' AS output
@@ -507,29 +502,31 @@ def sweep_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return workflow.sweep(base, spark.createDataFrame([("0.1",), ("0.25",), ("0.5",)], "beta string"), F.concat(F.lit("instance_"), "base", F.lit("_b"), tag), F.concat(F.lit("out/"), "base", F.lit("/"), tag, F.lit(".npy")))
 
 
-STATES = [(0, "title", 1.65), (1, "raw", 1.7), (2, "mask", 2.1), (3, "density", 1.8), (4, "fields", 2.55)]
-
-
-@query(f"""WITH s(position, name, seconds) AS (VALUES {', '.join(f"({a}, '{b}', {c}::DOUBLE)" for a, b, c in STATES)}),
-h AS (SELECT *, CAST(round_even(seconds * 24, 0) AS BIGINT) AS hold, CASE WHEN position > 0 THEN 8 ELSE 0 END AS gap FROM s),
+@query("""WITH s AS (SELECT CAST(p_partkey AS INT) AS position, p_name AS name, 1 + p_size / 20.0::DOUBLE AS seconds FROM part),
+h AS (SELECT *, CAST(round_even(seconds * 24, 0) AS BIGINT) AS hold, CASE WHEN row_number() OVER (ORDER BY position) > 1 THEN 8 ELSE 0 END AS gap FROM s),
 e AS (SELECT *, CAST(sum(hold + gap) OVER (ORDER BY position) AS BIGINT) - 1 AS last FROM h)
 SELECT position, name, hold, last - hold + 1 AS first, last, (last - hold + 1 + last) // 2 AS mid FROM e""")
 def timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return camera.timeline(spark.createDataFrame(STATES, "position int, name string, seconds double"), 24.0)
+    p = views.table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("position"), F.col("p_name").alias("name"), (1 + F.col("p_size") / 20.0).alias("seconds"))
+    return camera.timeline(p, 24.0)
 
 
 _U = "((f / 24.0::DOUBLE - a) / n)"
 _EASE = f"({_U} * {_U} * (3 - 2 * {_U}))"
 
 
-@query(f"""WITH s(k, kind, a, n, x0, y0, x1, y1, f0, f1, bump) AS (VALUES
-  (0, 'entry', 0.0::DOUBLE, 4.0::DOUBLE, 300000.0::DOUBLE, 275000.0::DOUBLE, 100000.0::DOUBLE, 200000.0::DOUBLE, 280000.0::DOUBLE, 200000.0::DOUBLE, 0.0::DOUBLE),
-  (1, 'hold', 4.0, 3.0, 100000.0, 200000.0, 100000.0, 200000.0, 200000.0, 200000.0, 0.0), (2, 'move', 7.0, 2.0, 100000.0, 200000.0, 500000.0, 350000.0, 200000.0, 200000.0, 0.35),
-  (3, 'hold', 9.0, 3.0, 500000.0, 350000.0, 500000.0, 350000.0, 200000.0, 200000.0, 0.0)),
-p AS (SELECT f AS frame, kind, x0, y0, x1, y1, f0, f1, bump, {_U} AS u, CASE WHEN kind = 'hold' THEN 0 ELSE {_EASE} END AS e FROM s, range(0, 288) r(f) WHERE f >= ceil(a * 24) AND f < ceil((a + n) * 24))
+@query(f"""WITH o AS (SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS k, 100000 + s_nationkey * 1000.0::DOUBLE AS x, 200000 + s_acctbal AS y FROM supplier),
+l AS (SELECT *, lead(x) OVER (ORDER BY k) AS nx, lead(y) OVER (ORDER BY k) AS ny FROM o),
+s AS (
+  SELECT 'entry' AS kind, 0.0::DOUBLE AS a, 4.0::DOUBLE AS n, 300000.0::DOUBLE AS x0, 275000.0::DOUBLE AS y0, x AS x1, y AS y1, 280000.0::DOUBLE AS f0, 200000.0::DOUBLE AS f1, 0.0::DOUBLE AS bump FROM l WHERE k = 0
+  UNION ALL SELECT 'hold', 4.0::DOUBLE + k * 5, 3.0, x, y, x, y, 200000.0, 200000.0, 0.0 FROM l
+  UNION ALL SELECT 'move', 7.0::DOUBLE + k * 5, 2.0, x, y, nx, ny, 200000.0, 200000.0, 0.35 FROM l WHERE nx IS NOT NULL),
+g AS (SELECT *, unnest(range(CAST(ceil(a * 24) AS BIGINT), CAST(ceil((a + n) * 24) AS BIGINT))) AS f FROM s),
+p AS (SELECT f AS frame, kind, x0, y0, x1, y1, f0, f1, bump, {_U} AS u, CASE WHEN kind = 'hold' THEN 0 ELSE {_EASE} END AS e FROM g)
 SELECT frame, kind, round(x0 + (x1 - x0) * e, 3) AS x, round(y0 + (y1 - y0) * e, 3) AS y, round((f0 + (f1 - f0) * e) * (1 + 4 * u * (1 - u) * bump), 3) AS fov FROM p""")
 def camera_pose(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = camera.segments(spark, [(100000.0, 200000.0), (500000.0, 350000.0)], 200000.0, (300000.0, 275000.0, 1.4, 4.0), 3.0, 2.0, 0.35)
+    stops = views.table(spark, sf_dir, "supplier").select("s_suppkey", (100_000.0 + F.col("s_nationkey") * 1000.0).alias("x"), (200_000.0 + F.col("s_acctbal")).alias("y"))
+    s = camera.tour(numbering.numbered(stops, ["s_suppkey"], "position"), 200000.0, (300000.0, 275000.0, 1.4, 4.0), 3.0, 2.0, 0.35)
     return camera.poses(s, 24.0).select("frame", "kind", *[F.round(c, 3).alias(c) for c in ("x", "y", "fov")])
 
 
@@ -630,13 +627,13 @@ def frame_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.frame_difference(views.dense(spark, sf_dir).select(F.col("z").alias("frame"), "y", "x", F.col("raw").alias("v")))
 
 
-@query(f"""WITH c AS (SELECT ord, cost, md5('base:' || ord) AS t FROM {_windows(5)}), r AS (SELECT ord, cost, CAST(sum(cost) OVER (ORDER BY t, ord ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total FROM c)
+@query(f"""WITH c AS (SELECT ord, cost, md5('base:' || ord) AS t FROM {_windows(PATCH_PLANES)}), r AS (SELECT ord, cost, CAST(sum(cost) OVER (ORDER BY t, ord ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total FROM c)
 SELECT * FROM r WHERE total <= 400""")
 def random_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.random_baseline(candidate_windows(spark, sf_dir).select("ord", "cost"), "base", 400)
 
 
-@query(f"""SELECT a.ord AS training, b.ord AS validation FROM {_windows(5)} a JOIN {_windows(5)} b ON a.size_id = 2 AND b.size_id = 2 AND a.gx % 4 = 0 AND b.gx % 4 = 3 AND b.gz = 1 AND b.gy = 2
+@query(f"""SELECT a.ord AS training, b.ord AS validation FROM {_windows(PATCH_PLANES)} a JOIN {_windows(PATCH_PLANES)} b ON a.size_id = 2 AND b.size_id = 2 AND a.gx % 4 = 0 AND b.gx % 4 = 3 AND b.gz = 1 AND b.gy = 2
   AND a.z0 < b.z1 AND b.z0 < a.z1 AND a.y0 < b.y1 AND b.y0 < a.y1 AND a.x0 < b.x1 AND b.x0 < a.x1""")
 def split_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = candidate_windows(spark, sf_dir).filter("size_id = 2").withColumnRenamed("ord", "id")

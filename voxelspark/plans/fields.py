@@ -11,47 +11,47 @@ from voxelspark import views
 from voxelspark.operators import boxes, camera, components, density, display, labels, mesh, numbering, overlap, resample, select, tiling, verify
 from voxelspark.plans.registry import query
 from voxelspark.sources import volumes
-from voxelspark.views import DENSE, FACE, NX, NY, NZ, PTS, VERTEX, VOX
+from voxelspark.views import DENSE, FACE, NX, NY, NZ, PLANES, PTS, VERTEX, VOX
 
 SHAPE = (NZ, NY, NX)
 WINDOWS = ((1, 1, 1), (1, 2, 2), (2, 2, 2))
 PATCH, STRIDE = (2, 16, 16), (1, 8, 12)
 
 
-def _manifest(ends: dict[str, int], clipped: str = "") -> str:
-    """Candidates over starts given by hand; ``ends`` are the axis lengths."""
-    starts = ", ".join(f"('{a}', {i}, {v})" for a in "zyx" for i, v in enumerate(_STARTS[clipped or "align_end"][a]))
+def _manifest(ends: dict[str, int | str], clipped: str = "") -> str:
+    """Candidates over starts, those of y and x given by hand; ``ends`` are the axis lengths."""
+    starts = ", ".join(f"('{a}', {i}, {v})" for a in "yx" for i, v in enumerate(_STARTS[clipped or "align_end"][a]))
     sizes = ", ".join(f"({i}, {', '.join(map(str, w))})" for i, w in enumerate(WINDOWS))
     lo = ", ".join(f"{a}.v AS {a}0" for a in "zyx")
     hi = ", ".join(f"least({a}l.v + {p}, {ends[a]}) AS {a}1" for a, p in zip("zyx", PATCH, strict=True))
     joins = " ".join(f"JOIN s {a} ON {a}.ax = '{a}' JOIN s {a}l ON {a}l.ax = '{a}' AND {a}l.i = {a}.i + w.w{a} - 1" for a in "zyx")
-    return f"""(WITH s(ax, i, v) AS (VALUES {starts}), w(size_id, wz, wy, wx) AS (VALUES {sizes})
+    return f"""(WITH s(ax, i, v) AS (VALUES {starts} UNION ALL SELECT 'z', i, i FROM range({PLANES} - 1) r(i)), w(size_id, wz, wy, wx) AS (VALUES {sizes})
 SELECT printf('sv-s%02d-%dx%dx%d-%04d-%04d-%04d', w.size_id, wz, wy, wx, z.i, y.i, x.i) AS candidate_id, w.size_id, {lo}, {hi} FROM w {joins})"""
 
 
-#: First coordinates of the patches, written out: 7 planes of 2 by 1, 67 rows of 16 by 8, 60 columns of 16 by 12.
+#: First coordinates of the patches, written out (planes of 2 by 1 are every one but the last): 67 rows of 16 by 8, 60 columns of 16 by 12.
 _STARTS = {
-    "align_end": {"z": [0, 1, 2, 3, 4, 5], "y": [0, 8, 16, 24, 32, 40, 48, 51], "x": [0, 12, 24, 36, 44]},
-    "reflect": {"z": [0, 1, 2, 3, 4, 5], "y": [0, 8, 16, 24, 32, 40, 48, 56], "x": [0, 12, 24, 36, 48]},
+    "align_end": {"y": [0, 8, 16, 24, 32, 40, 48, 51], "x": [0, 12, 24, 36, 44]},
+    "reflect": {"y": [0, 8, 16, 24, 32, 40, 48, 56], "x": [0, 12, 24, 36, 48]},
 }
-_ENDS = {"z": 7, "y": 67, "x": 60}
+_ENDS = {"z": PLANES, "y": 67, "x": 60}
 _NM = {"z": 30.0, "y": 6.5, "x": 6.5}
 _COST = "CAST((z1 - z0) * (y1 - y0) * (x1 - x0) AS BIGINT) AS cost"
 
 
-def _candidates(spark: SparkSession, mode: str) -> DataFrame:
-    return tiling.candidate_manifest(spark, tuple(_ENDS.values()), PATCH, STRIDE, WINDOWS, mode, tuple(_NM.values()))
+def _candidates(spark: SparkSession, sf_dir: str, mode: str) -> DataFrame:
+    return tiling.candidate_manifest(spark, (views.planes(spark, sf_dir), _ENDS["y"], _ENDS["x"]), PATCH, STRIDE, WINDOWS, mode, tuple(_NM.values()))
 
 
 @query(f"""SELECT candidate_id, size_id, z0, z1, y0, y1, x0, x1, {_COST}, {', '.join(f'round({a}{e} * {_NM[a]}::DOUBLE, 6) AS nm_{a}{e}' for a in 'zyx' for e in '01')} FROM {_manifest(_ENDS)}""")
 def candidate_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     sides = [f"{n}{a}{e}" for n in ("", "nm_") for a in "zyx" for e in "01"]
-    return _candidates(spark, "align_end").select("candidate_id", "size_id", "cost", *sides)
+    return _candidates(spark, sf_dir, "align_end").select("candidate_id", "size_id", "cost", *sides)
 
 
 @query(f"SELECT candidate_id, size_id, z0, z1, y0, y1, x0, x1, {_COST} FROM {_manifest(_ENDS, 'reflect')}")
 def candidate_manifest_reflect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _candidates(spark, "reflect").select("candidate_id", "size_id", "cost", *[f"{a}{e}" for a in "zyx" for e in "01"])
+    return _candidates(spark, sf_dir, "reflect").select("candidate_id", "size_id", "cost", *[f"{a}{e}" for a in "zyx" for e in "01"])
 
 
 @query(f"""WITH c AS {_manifest(_ENDS)}, g AS (SELECT n_nationkey % 7 AS z0, n_nationkey % 7 + 1 AS z1, n_nationkey * 11 % 60 AS y0, n_nationkey * 11 % 60 + 5 AS y1, n_nationkey * 7 % 55 AS x0, n_nationkey * 7 % 55 + 4 AS x1 FROM nation)
@@ -61,7 +61,7 @@ def guard_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("n_nationkey")
     z, y, x = k % 7, k * 11 % 60, k * 7 % 55
     guards = views.table(spark, sf_dir, "nation").select(z.alias("z0"), (z + 1).alias("z1"), y.alias("y0"), (y + 5).alias("y1"), x.alias("x0"), (x + 4).alias("x1"))
-    return boxes.guarded(_candidates(spark, "align_end"), guards)
+    return boxes.guarded(_candidates(spark, sf_dir, "align_end"), guards)
 
 
 @query("""WITH m AS (SELECT i AS patch_id, i // 100 AS gz, i // 10 % 10 AS gy, i % 10 AS gx FROM range((SELECT count(*) FROM embeddings) + 5) r(i)),
@@ -74,13 +74,16 @@ def positions_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiling.positions_differ(m, p)
 
 
-_VOLUMES = [(1, "zyx", [7, 64, 60], 8), (2, "yx", [64, 60], 2), (3, "czyx", [1, 3, 4, 5], 4), (4, "czyx", [2, 3, 4, 5], 4), (5, "zyx", [3, 4], 1), (6, "xyz", [5, 4, 3], 1)]
+_SHAPES = [("zyx", ["n", 64, 60], 8), ("yx", ["n", 60], 2), ("czyx", [1, 3, 4, "n"], 4), ("czyx", [2, 3, 4, "n"], 4), ("zyx", [3, "n"], 1), ("xyz", ["n", 4, 3], 1)]
 
 
-@query("""SELECT * FROM (VALUES (1, 60, 64, 7, true, 26880, 215040), (2, 60, 64, 1, true, 3840, 7680), (3, 5, 4, 3, true, 60, 240), (4, 5, 4, 3, false, 120, 480),
-  (5, CAST(NULL AS INT), 4, 3, false, 12, 12), (6, 5, 4, 3, true, 60, 60)) v(id, x, y, z, ok, voxels, bytes)""")
+@query("""WITH p AS (SELECT p_partkey AS id, p_partkey % 6 AS k, p_size AS n FROM part)
+SELECT id, CASE k WHEN 0 THEN 60 WHEN 1 THEN 60 WHEN 4 THEN NULL ELSE n END AS x, CASE k WHEN 0 THEN 64 WHEN 1 THEN n WHEN 4 THEN n ELSE 4 END AS y, CASE k WHEN 0 THEN n WHEN 1 THEN 1 ELSE 3 END AS z,
+  k NOT IN (3, 4) AS ok, n * CASE k WHEN 0 THEN 3840 WHEN 1 THEN 60 WHEN 3 THEN 24 WHEN 4 THEN 3 ELSE 12 END AS voxels,
+  n * CASE k WHEN 0 THEN 30720 WHEN 1 THEN 120 WHEN 2 THEN 48 WHEN 3 THEN 96 WHEN 4 THEN 3 ELSE 12 END AS bytes FROM p""")
 def volume_axes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = spark.createDataFrame(_VOLUMES, "id int, axes string, shape array<int>, itemsize int")
+    kinds = F.array(*[F.struct(F.lit(a).alias("axes"), F.array(*[F.col("p_size") if n == "n" else F.lit(n) for n in shape]).alias("shape"), F.lit(size).alias("itemsize")) for a, shape, size in _SHAPES])
+    v = views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.get(kinds, (F.col("p_partkey") % 6).cast("int")).alias("v")).select("id", "v.axes", "v.shape", "v.itemsize")
     return tiling.storage(tiling.shape_xyz(v)).select("id", "x", "y", "z", F.coalesce("ok", F.lit(False)).alias("ok"), "voxels", "bytes")
 
 
@@ -311,9 +314,10 @@ _UNIT = "(CAST('0x' || substr(md5('draw-1:{a}:' || i), 1, 8) AS BIGINT)::DOUBLE
 
 
 @query(_TAKEN.format(points=f"""SELECT i AS id, 10.0::DOUBLE + {_UNIT.format(a='x')} * 80.0::DOUBLE AS x, 5.0::DOUBLE + {_UNIT.format(a='y')} * 90.0::DOUBLE AS y, lpad(i::VARCHAR, 10, '0') AS turn FROM range(1, 2001) r(i)
-  WHERE CAST(floor(10.0::DOUBLE + {_UNIT.format(a='x')} * 80.0::DOUBLE) AS BIGINT) % 4 <> 1""", far=900, n=4))
+  WHERE CAST(floor(10.0::DOUBLE + {_UNIT.format(a='x')} * 80.0::DOUBLE) AS BIGINT) % 15 IN (SELECT user_id FROM events GROUP BY 1 HAVING count(*) % 3 <> 0)""", far=900, n=4))
 def rejection_stops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = select.draws(spark, "draw-1", (10.0, 90.0, 5.0, 95.0)).filter(F.floor("x") % 4 != 1)
+    d = select.draws(spark, "draw-1", (10.0, 90.0, 5.0, 95.0)).withColumn("user_id", F.floor("x") % 15)
+    d = d.join(views.table(spark, sf_dir, "events").groupBy("user_id").count().filter("count % 3 <> 0"), "user_id", "left_semi")
     return select.first_apart(d, 4, 30.0)
 
 
@@ -332,13 +336,13 @@ def numeric_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH c AS (SELECT *, {_COST}, row_number() OVER (ORDER BY candidate_id) - 1 AS place, count(*) OVER () AS total FROM {_manifest(_ENDS)})
 SELECT candidate_id, cost FROM c WHERE place IN (SELECT i * (total - 1) // 11 FROM range(12) r(i))""")
 def equispaced_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select.equispaced(_candidates(spark, "align_end").select("candidate_id", "cost"), "candidate_id", 12).select("candidate_id", "cost")
+    return select.equispaced(_candidates(spark, sf_dir, "align_end").select("candidate_id", "cost"), "candidate_id", 12).select("candidate_id", "cost")
 
 
 @query(f"""WITH c AS (SELECT s.seed, m.candidate_id, {_COST}, md5(s.seed || ':' || candidate_id) AS t FROM {_manifest(_ENDS)} m, (VALUES ('a'), ('b'), ('c'), ('d'), ('e')) s(seed) WHERE size_id = 1),
 r AS (SELECT *, CAST(sum(cost) OVER (PARTITION BY seed ORDER BY t, candidate_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total FROM c) SELECT seed, candidate_id, total FROM r WHERE total <= 9000""")
 def multi_seed_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = _candidates(spark, "align_end").filter("size_id = 1").select(F.col("candidate_id").alias("ord"), "cost")
+    c = _candidates(spark, sf_dir, "align_end").filter("size_id = 1").select(F.col("candidate_id").alias("ord"), "cost")
     out = None
     for seed in "abcde":
         part = verify.random_baseline(c, seed, 9000).select(F.lit(seed).alias("seed"), F.col("ord").alias("candidate_id"), "total")
@@ -346,17 +350,17 @@ def multi_seed_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-@query(f"""WITH k AS (SELECT c, CAST('0x' || substr(md5('split-1:' || c), 1, 8) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE < 0.4 AS v FROM range(4) r(c)),
+@query(f"""WITH k AS (SELECT c, CAST('0x' || substr(md5('split-1:' || c), 1, 8) AS BIGINT)::DOUBLE / 4294967296.0::DOUBLE < 0.4 AS v FROM range({PLANES} // 2 + 1) r(c)),
 t AS (SELECT m.candidate_id, bool_and(k.v) AS a, bool_or(k.v) AS b FROM {_manifest(_ENDS)} m JOIN k ON k.c >= m.z0 // 2 AND k.c <= (m.z1 - 1) // 2 GROUP BY 1)
 SELECT candidate_id, CASE WHEN a THEN 'validation' ELSE 'training' END AS part FROM t WHERE a OR NOT b""")
 def disjoint_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return select.split_by_cell(_candidates(spark, "align_end"), 2, 0.4, "split-1").select("candidate_id", "part")
+    return select.split_by_cell(_candidates(spark, sf_dir, "align_end"), 2, 0.4, "split-1").select("candidate_id", "part")
 
 
 @query(f"""WITH c AS (SELECT size_id, candidate_id, {_COST}, row_number() OVER (ORDER BY candidate_id) AS rank FROM {_manifest(_ENDS)}), r AS (SELECT *, CAST(sum(cost) OVER (ORDER BY rank) AS BIGINT) AS total_cost FROM c)
 SELECT rank, cost, total_cost, 5000000 - total_cost AS rest, rank::DOUBLE / 1000 AS rate FROM r""")
 def coverage_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = numbering.numbered(_candidates(spark, "align_end").select("candidate_id", "cost"), ["candidate_id"], "rank", first=1)
+    c = numbering.numbered(_candidates(spark, sf_dir, "align_end").select("candidate_id", "cost"), ["candidate_id"], "rank", first=1)
     return select.running(c.withColumn("gain", F.lit(1)), 5_000_000, 1000).select("rank", "cost", "total_cost", "rest", "rate")
 
 

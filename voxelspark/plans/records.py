@@ -165,15 +165,14 @@ def easing_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), *[F.round(S.ease(u, k), 9).alias(k) for k in ("linear", "smoothstep", "smootherstep", "cosine")], S.ceil_div(F.col("p_partkey"), 7).alias("parts"))
 
 
-_NUMBERS = [("1e-9", 1e-9), ("123456.789", 123456.789), ("2.5", 2.5), ("10", 10.0), ("-0.25", -0.25), ("0", 0.0), ("1234567.8", 1234567.8), ("12345678", 12345678.0), ("0.0001", 0.0001), ("0.00001", 0.00001), ("100", 100.0), ("-3e20", -3e20)]
-_SHORT = ["1e-09", "123456.8", "2.5", "10", "-0.25", "0", "1234568", "1.234568e+07", "0.0001", "1e-05", "100", "-3e+20"]
-_TAGS = ["1e-09", "123456p789", "2p5", "10", "m0p25", "0", "1234567p8", "12345678", "0p0001", "1e-05", "100", "m3e+20"]
+_VALUES = ["p_retailprice / 1000", "(p_size - 25) / 8.0", "p_retailprice * 1000000", "(p_size - 20) / 80000.0", "p_partkey * 1.0"]
 
 
-@query("SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{a}', '{b.replace('e-', 'em')}')" for (n, _), a, b in zip(_NUMBERS, _SHORT, _TAGS, strict=True)) + ") v(name, short, tag)")
+@query(f"""WITH x AS ({" UNION ALL ".join(f"SELECT p_partkey AS id, {i} AS kind, CAST({v.replace('.0', '.0::DOUBLE')} AS DOUBLE) AS x FROM part" for i, v in enumerate(_VALUES))})
+SELECT id, kind, format('{{:.7g}}', x) AS short, replace(replace(format('{{:.12g}}', x), '.', 'p'), '-', 'm') AS tag FROM x""")
 def number_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = spark.createDataFrame(_NUMBERS, "name string, x double")
-    return n.select("name", S.short_number(F.col("x")).alias("short"), S.beta_tag(F.col("x")).alias("tag"))
+    n = views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), F.posexplode(F.array(*[F.expr(v.replace(".0", ".0D")).cast("double") for v in _VALUES])).alias("kind", "x"))
+    return n.select("id", "kind", S.short_number(F.col("x")).alias("short"), S.beta_tag(F.col("x")).alias("tag"))
 
 
 @query("""WITH p AS (SELECT page_id, CASE page_id % 5 WHEN 0 THEN url || '?k=1' WHEN 1 THEN replace(url, '://', '://me:pw@') WHEN 2 THEN replace(url, 'http', 'ftp') ELSE url END AS url FROM pages)

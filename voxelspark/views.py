@@ -85,3 +85,19 @@ def volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 VOLUME = """(SELECT z, y, x, CASE WHEN hole THEN 0 ELSE (z // 3 + y // 6 + x // 7) % 4 END::BIGINT AS label, raw
   FROM (SELECT CAST(l_orderkey // 1024 AS INT) AS z, CAST(l_orderkey // 32 % 32 AS INT) AS y, CAST(l_orderkey % 32 AS INT) AS x, min(l_suppkey) % 5 = 0 AS hole, max(l_quantity) AS raw
     FROM lineitem GROUP BY l_orderkey) t)"""
+
+
+def planes(spark: SparkSession, sf_dir: str) -> int:
+    """Planes of a stack that grows with the orders."""
+    return 7 + table(spark, sf_dir, "lineitem").agg(F.max("l_orderkey")).first()[0] // 1024
+
+
+PLANES = "(SELECT 7 + max(l_orderkey) // 1024 FROM lineitem)"
+
+
+def patch_planes(spark: SparkSession, sf_dir: str) -> int:
+    """Planes of the grid of 10 x 10 patches that the embeddings fill."""
+    return table(spark, sf_dir, "embeddings").count() // 100
+
+
+PATCH_PLANES = "(SELECT count(*) // 100 FROM embeddings)"
