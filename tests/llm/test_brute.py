@@ -196,9 +196,23 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean(pairs) > 0.75  # some 300 labelled rows to learn from
 
 
-def test_lm_keeps_rare_pairs(spark, monkeypatch):
-    """Pairs seen once stay in the model, however little room a filter of fixed size would have."""
-    monkeypatch.setattr(lmscore, "ENTRY_BITS", 1 << 22)
+def test_lm_filter_errors_move_no_score(spark):
+    """Per token within 0.01 of a filter that practically never errs, for two sizes; the way that the
+    filter's answers come makes no difference."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    exact = {r.doc_id: r for r in lmscore.scored(docs, entry_bits=256).collect()}
+    for bits, most in ((lmscore.ENTRY_BITS, lmscore.BROADCAST_BYTES), (lmscore.ENTRY_BITS, 0), (12, lmscore.BROADCAST_BYTES)):
+        got = lmscore.scored(docs, entry_bits=bits, most=most).collect()
+        apart = {held: sum(r.score - exact[r.doc_id].score for r in got if r.held_out == held) / sum(r.n_tokens for r in got if r.held_out == held) for held in (True, False)}
+        assert max(map(abs, apart.values())) < 0.01, (bits, apart)
+        if bits == lmscore.ENTRY_BITS:
+            assert all(r.base_score == exact[r.doc_id].base_score for r in got)
+            before = {r.doc_id: r.score for r in got} if most else before
+            assert most or before == {r.doc_id: r.score for r in got}
+
+
+def test_lm_keeps_rare_pairs(spark):
+    """Pairs seen once stay in the model, however many there are."""
     train = [d for d in range(400) if zlib.crc32(str(d).encode()) % 7 != 2]
     held = [d for d in range(400) if zlib.crc32(str(d).encode()) % 7 == 2][:2]
     rows = [(d, f"a{d} b{d} c{d} d{d}") for d in train]

@@ -5,18 +5,21 @@ its distinct pairs, with what its own training documents add; the requests meet
 segment sees all counts of its tokens or pairs and answers every block.  A frequent token thus costs
 one entry a block and not one a document, and no segment or block is held beyond its size.
 
-Exact part.  Tokens are answered with their counts.
-
-The model.  Counts are read as levels, 1 + floor(2 log2 c).  Each segment of pairs enters the pairs
-of training documents into its own piece of a Bloom filter: a pair of count c is entered once for
-each level up to its own.  A level is read back by probing level after level until one is absent, so
-errors are one-sided and fall off geometrically.  A piece is as large as its entries need at
-``ENTRY_BITS`` bits each and stays in its segment, so every pair is in the model at any size of the
-input.  Levels of single tokens come from the exact counts.
+Exact part.  Tokens are answered with their counts, for the base score.
+
+The model.  Counts are read as levels, 1 + floor(2 log2 c).  Tokens and pairs of training documents are
+entered into one log-frequency Bloom filter, cut into pieces by ranges of the hash: an n-gram of count c
+is entered once for each level up to its own.  The pieces, each as large as its entries need at
+``ENTRY_BITS`` bits, are written down; so every n-gram is in the model at any size of the input.  A pass
+of its own then reads all levels by probing level after level until one is absent.  While the filter is
+within the bound of a broadcast it goes to all workers, and each block is probed where it lies; beyond it
+the pieces stay and the blocks' requests go to them.  Either way the answers are the same.  Errors are
+one-sided: an absent level is read as present once in ``(1 - exp(-PROBES / ENTRY_BITS)) ** -PROBES``
+times, some thousand, so the probabilities of a context sum to one within about a thousandth.
 
 P(w | v) = l c(v, w) / c(v) + (1 - l) (c(w) + 1) / (N + V + 1), all c by level; l depends on
 the level of c(v) and is fitted by expectation maximisation on all training documents, whose
-own occurrence is taken off the counts.  Ends of documents are tokens
+own occurrence is taken off the counts; only this fit uses the pairs' exact levels.  Ends of documents are tokens
 and the context of the first one.
 
 Defined cases: a null text is empty and is its end alone; null ids are training rows (their
@@ -37,12 +40,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelspark.llm import textscan as ts
-from voxelspark.llm.common import cut, table
+from voxelspark.llm.common import BROADCAST_BYTES, cut, table
 
-ENTRY_BITS = 8
-PROBES = 4
+ENTRY_BITS = 16
+PROBES = 6
 BLOCK_BYTES = 4 << 20  # of text in a block
-SEGMENT_BYTES = 48 << 20  # of text whose requests meet in one segment
+SEGMENT_BYTES = 24 << 20  # of text whose requests meet in one segment
 _END = ts.mix(np.array([0xE0D], dtype=np.uint64))[0]
 _PAIR = np.uint64(0xD6E8FEB86659FD93)
 _LEVELS = 80
@@ -228,94 +231,129 @@ def _requests(blocks: DataFrame, segments: int) -> DataFrame:
     return blocks.select("block", "hashes", "own", "follow", "second", "both").mapInArrow(run, "seg long, block long, hashes binary, own binary")
 
 
-def filled(grams: np.ndarray, counts: np.ndarray) -> Filter:
+def filled(grams: np.ndarray, counts: np.ndarray, entry_bits: int = ENTRY_BITS) -> Filter:
     """The piece of one segment: all its n-grams of count 1 or more, with room for all of them."""
-    grams, q = grams[counts > 0], level(counts[counts > 0])
-    bits = np.zeros(8 * max(8, math.ceil(int(q.sum()) * ENTRY_BITS / 8)), dtype=bool)
+    grams, q = short(grams[counts > 0]), level(counts[counts > 0])
+    bits = np.zeros(8 * max(8, math.ceil(int(q.sum()) * entry_bits / 8)), dtype=bool)
     for k in range(1, int(q.max(initial=0)) + 1):
         for at in Filter.places(grams[q >= k], k, len(bits)):
             bits[at] = True
     return Filter(np.packbits(bits, bitorder="little"), 1, 0, 0)
 
 
-def _answers(requests: DataFrame, segments: int) -> DataFrame:
-    """(seg, block, counts) for each request: counts of tokens, levels of pairs.  The first answer of
-    a segment of tokens also has its distinct training tokens and their sum."""
+def _read(bits: bytes, grams: np.ndarray) -> np.ndarray:
+    """Levels of n-grams by probing the piece that would hold them."""
+    return Filter(np.frombuffer(bits, dtype=np.uint8), 1, 0, 0).levels(grams)
+
+
+def _stored(requests: DataFrame, segments: int, entry_bits: int) -> DataFrame:
+    """(seg, block, counts, bits, types, total): the filter's piece of each segment, with its distinct
+    training tokens and their sum, and for each request the exact counts of tokens or levels of pairs."""
 
     def run(t: pa.Table) -> pa.Table:
-        words = t["seg"][0].as_py() < segments
+        seg = t["seg"][0].as_py()
+        words = seg < segments
         hashes = [_unpacked(x, 8 if words else 4) for x in t["hashes"].to_pylist()]
         own = np.concatenate([_wide(x) for x in t["own"].to_pylist()])
         grams, code = np.unique(np.concatenate(hashes), return_inverse=True)
         total = np.bincount(code, weights=own).astype(np.int64)
-        told = total if words else filled(grams, total).levels(grams)
         at = np.cumsum([0, *map(len, hashes)])
-        none = [0] * (len(hashes) - 1)
+        told, exact = list(zip(t["block"].to_pylist(), at, at[1:], strict=False)), total if words else np.where(total > 0, level(np.maximum(total, 1)), 0)
         return pa.table(
             {
-                "seg": t["seg"].combine_chunks(),
-                "block": t["block"].combine_chunks(),
-                "counts": pa.array([_narrow(told[code[a:b]]) for a, b in zip(at, at[1:], strict=False)], pa.binary()),
-                "types": pa.array([int((total > 0).sum()) if words else 0, *none], pa.int64()),
-                "total": pa.array([int(total.sum()) if words else 0, *none], pa.int64()),
+                "seg": pa.array([seg] * (len(told) + 1), pa.int64()),
+                "block": pa.array([None, *(b for b, _, _ in told)], pa.int64()),
+                "counts": pa.array([None, *(_narrow(exact[code[a:b]]) for _, a, b in told)], pa.binary()),
+                "bits": pa.array([filled(grams, total, entry_bits).bits.tobytes(), *[None] * len(told)], pa.binary()),
+                "types": pa.array([int((total > 0).sum()) if words else 0, *[0] * len(told)], pa.int64()),
+                "total": pa.array([int(total.sum()) if words else 0, *[0] * len(told)], pa.int64()),
             }
         )
 
-    return requests.groupBy("seg").applyInArrow(run, "seg long, block long, counts binary, types long, total long")
+    return cut(requests.groupBy("seg").applyInArrow(run, "seg long, block long, counts binary, bits binary, types long, total long"))
+
+
+def _probed(requests: DataFrame, pieces: DataFrame, segments: int) -> DataFrame:
+    """(seg, block, levels) for each request, where the pieces are."""
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        size, bits = (8 if a["seg"][0].as_py() < segments else 4) if a.num_rows else 8, b["bits"][0].as_py()
+        told = [_narrow(_read(bits, _unpacked(x, size))) for x in a["hashes"].to_pylist()]
+        return pa.table({"seg": a["seg"].combine_chunks(), "block": a["block"].combine_chunks(), "levels": pa.array(told, pa.binary())})
+
+    return requests.groupBy("seg").cogroup(pieces.groupBy("seg")).applyInArrow(run, "seg long, block long, levels binary")
 
 
-def _looked_up(docs: DataFrame, segments: int) -> DataFrame:
+def _looked_up(docs: DataFrame, segments: int, entry_bits: int, most: int) -> tuple[DataFrame, DataFrame]:
     """One row a block: its documents with their exact sums, and how often each document has each
-    combination of levels of context, token and pair (seven bits each)."""
+    combination of levels of context, token and pair, and of the pair's exact level (seven bits each).
+    And the stored filter."""
     blocks = cut(block_table(docs, segments))
-    answers = _answers(_requests(blocks, segments), segments)
+    stored = _stored(_requests(blocks, segments), segments, entry_bits)
+    pieces, counts = stored.filter("block IS NULL").select("seg", "bits"), stored.filter("block IS NOT NULL").select("seg", "block", "counts")
+    sent = None
+    if (pieces.agg(F.sum(F.octet_length("bits"))).first()[0] or 0) <= most:
+        sent = docs.sparkSession.sparkContext.broadcast({r.seg: r.bits for r in pieces.collect()})
+        answers = counts.withColumn("levels", F.lit(None).cast("binary"))
+    else:
+        answers = counts.unionByName(_probed(_requests(blocks, segments).drop("own"), pieces, segments), allowMissingColumns=True)
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         seg = np.asarray(b["seg"])
-        told = b["counts"].to_pylist()
-        counts, levels = (np.concatenate([_wide(told[i]) for i in np.argsort(seg) if (seg[i] >= segments) == pair]) for pair in (False, True))
+        order = np.argsort(seg, kind="stable")
+        exact, probed = b["counts"].to_pylist(), b["levels"].to_pylist()
         r = a.to_pylist()[0]
-        v, w, _, _, order = _pairs_of(r, segments)
-        q1, q2 = np.where(counts > 0, level(np.maximum(counts, 1)), 0), np.empty(len(order), dtype=np.int64)
-        q2[order] = levels
+        v, w, pair, pair_seg, asked = _pairs_of(r, segments)
+        counts = np.concatenate([_wide(exact[i]) for i in order if exact[i] is not None and seg[i] < segments])
+        q2, true = np.empty(len(asked), dtype=np.int64), np.empty(len(asked), dtype=np.int64)
+        true[asked] = np.concatenate([_wide(exact[i]) for i in order if exact[i] is not None and seg[i] >= segments])
+        if sent is None:
+            q1 = np.concatenate([_wide(probed[i]) for i in order if probed[i] is not None and seg[i] < segments])
+            q2[asked] = np.concatenate([_wide(probed[i]) for i in order if probed[i] is not None and seg[i] >= segments])
+        else:
+            one = _unpacked(r["hashes"], 8)
+            q1 = np.empty(len(one), dtype=np.int64)
+            for grams, at, first, out in ((one, segment_of(one, segments), 0, q1), (pair[asked], pair_seg[asked], segments, q2)):
+                cuts = np.append(np.flatnonzero(np.append(True, at[1:] != at[:-1])), len(at))
+                levels = [_read(sent.value[first + int(at[low])], grams[low:high]) for low, high in zip(cuts, cuts[1:], strict=False)]
+                out[slice(None) if out is q1 else asked] = np.concatenate(levels)
         rows, often, widths = _wide(r["rows"]), _wide(r["often"]), _wide(r["widths"])
         m = len(r["ids"])
         base = np.bincount(rows, weights=np.repeat(np.log10(counts + 1.0)[w], widths) * often, minlength=m)
         known = np.bincount(rows, weights=np.repeat(counts[w] > 0, widths) * often, minlength=m).astype(np.int64)
-        key, inverse = np.unique(rows << 21 | np.repeat(q1[v] << 14 | q1[w] << 7 | q2, widths), return_inverse=True)
+        key, inverse = np.unique(rows << 28 | np.repeat(q1[v] << 21 | q1[w] << 14 | q2 << 7 | true, widths), return_inverse=True)
         columns = {
             "ids": pa.array([r["ids"]], pa.list_(pa.int64())),
             "held": pa.array([r["held"]], pa.list_(pa.bool_())),
             "n_tokens": pa.array([r["n_tokens"]], pa.list_(pa.int64())),
             "known": pa.array([known], pa.list_(pa.int64())),
             "base": pa.array([base], pa.list_(pa.float64())),
-            "types": pa.array([sum(b["types"].to_pylist())], pa.int64()),
-            "total": pa.array([sum(b["total"].to_pylist())], pa.int64()),
-            "widths": pa.array([_narrow(np.bincount(key >> 21, minlength=m))], pa.binary()),
-            "levels": pa.array([_narrow(key & (1 << 21) - 1)], pa.binary()),
+            "widths": pa.array([_narrow(np.bincount(key >> 28, minlength=m))], pa.binary()),
+            "levels": pa.array([_narrow(key & (1 << 28) - 1)], pa.binary()),
             "often": pa.array([_narrow(np.bincount(inverse, weights=often).astype(np.int64))], pa.binary()),
         }
         return pa.table(columns)
 
-    schema = "ids array<long>, held array<boolean>, n_tokens array<long>, known array<long>, base array<double>, types long, total long, widths binary, levels binary, often binary"
+    schema = "ids array<long>, held array<boolean>, n_tokens array<long>, known array<long>, base array<double>, widths binary, levels binary, often binary"
     asked = blocks.drop("own", "both")
-    return cut(asked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema))
+    return cut(asked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)), stored
 
 
 def _levels(r: dict) -> tuple[np.ndarray, ...]:
-    """Row, levels of context, token and pair, and how often."""
+    """Row, levels of context, token and pair, the pair's exact level, and how often."""
     x, widths = _wide(r["levels"]), _wide(r["widths"])
-    return np.repeat(np.arange(len(widths)), widths), x >> 14, x >> 7 & 127, x & 127, _wide(r["often"])
+    return np.repeat(np.arange(len(widths)), widths), x >> 21, x >> 14 & 127, x >> 7 & 127, x & 127, _wide(r["often"])
 
 
 def _tuned(looked: DataFrame, n: int, v: int) -> np.ndarray:
-    """The weight of the pair model for each level of the context's count."""
+    """The weight of the pair model for each level of the context's count, fitted on exact levels: what
+    follows a token that was seen once was never seen with it before, so any error would be its weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grid = np.zeros((_LEVELS + 1, 64))
         for batch in batches:
             for r in _each(batch):
-                row, q, one, both, often = _levels(r)
+                row, q, one, _, both, often = _levels(r)
                 learnt = ~np.array(r["held"], dtype=bool)[row]
                 q, one, both, often = q[learnt], _MEAN[one[learnt]], _MEAN[both[learnt]], often[learnt]
                 pair = np.maximum(both - 1, 0) / np.maximum(_MEAN[q] - 1, 1)
@@ -337,19 +375,20 @@ def _tuned(looked: DataFrame, n: int, v: int) -> np.ndarray:
     return weight
 
 
-def scored(docs: DataFrame) -> DataFrame:
-    """(doc_id, text) -> (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
+def scored(docs: DataFrame, entry_bits: int = ENTRY_BITS, most: int = BROADCAST_BYTES) -> DataFrame:
+    """(doc_id, text) -> (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score); a filter
+    of up to ``most`` bytes is broadcast."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    segments = min(16384, max(16, math.ceil(size / SEGMENT_BYTES)))
-    looked = _looked_up(docs, segments)
-    n, v = looked.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
+    segments = max(16, math.ceil(size / SEGMENT_BYTES))
+    looked, stored = _looked_up(docs, segments, entry_bits, most)
+    n, v = stored.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
     weight, norm = _tuned(looked, n, v), math.log10(n + v + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in _each(batch):
-                row, q, one, both, often = _levels(r)
+                row, q, one, both, _, often = _levels(r)
                 pair = np.minimum(_MEAN[both] / np.maximum(_MEAN[q], 1), 1)
                 p = weight[q] * pair + (1 - weight[q]) * (_MEAN[one] + 1) / (n + v + 1)
                 m = len(r["ids"])
@@ -360,7 +399,7 @@ def scored(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return looked.drop("types", "total").mapInArrow(run, schema)
+    return looked.mapInArrow(run, schema)
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
