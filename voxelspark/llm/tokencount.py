@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +36,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SETTING = "spark.voxelspark.tokenizer"  # the path, where it is another one
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 250_000  # words
+REMEMBERED = 48 << 20  # bytes of words and counts
+LONG_WORD = 64  # characters; longer words are not remembered
 MOST_PIECES = 1_000_000  # a vocabulary is sent to every worker
 
 
@@ -62,12 +64,14 @@ def read_model(path: str = MODEL) -> Vocabulary:
 
 
 class Counter(dict):
-    """Word (with its marks) -> number of pieces; remembers ``REMEMBERED`` words."""
+    """Word (with its marks) -> number of pieces; remembers words of up to ``LONG_WORD``
+    characters, ``REMEMBERED`` bytes of them."""
 
     def __init__(self, vocabulary: Vocabulary):
         import ahocorasick
 
         super().__init__()
+        self.held = 0
         self.bytes_too = vocabulary.bytes_too
         self.single = {p for p in vocabulary.pieces if len(p) == 1}
         self.unknown = min(vocabulary.pieces.values(), default=0.0) - UNKNOWN_PENALTY
@@ -103,9 +107,13 @@ class Counter(dict):
         return score[n], count[n]
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        count = self[word] = self.best(word)[1]
+        count = self.best(word)[1]
+        if len(word) <= LONG_WORD:
+            if self.held >= REMEMBERED:
+                self.clear()
+                self.held = 0
+            self.held += sys.getsizeof(word) + 100  # the entry
+            self[word] = count
         return count
 
     def count(self, text: str | None) -> int:
