@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxelspark.operators import agglomerate, camera, components, fuzzy, halo, surface
+from voxelspark.operators import agglomerate, boxes, camera, components, fuzzy, halo, surface, workflow
 from voxelspark.sources import precomputed
 from voxelspark.streaming import runs
 
@@ -339,3 +339,31 @@ def test_tour_of_a_table_is_that_of_a_list(spark):
         b = camera.tour(table, 10.0, entry, 3.0, 2.0, 0.35)
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(a.columns).collect()))
     assert camera.tour(table.limit(0), 10.0, None, 3.0, 2.0, 0.35).count() == 0
+
+
+# Boxes and picks --------------------------------------------------------------------------------------
+
+
+def test_boxes_by_broadcast_and_by_cell(spark):
+    pick = random.Random(12)
+    sides = [tuple(v for _ in range(3) for a in [pick.randint(-5, 20)] for v in (a, a + pick.randint(1, 9))) for _ in range(60)]
+    schema = "id int, " + ", ".join(f"{a}{e} int" for a in "zyx" for e in "01")
+    table = spark.createDataFrame([(i, *s) for i, s in enumerate(sides)], schema)
+    left, right = table.filter("id < 30"), table.filter("id >= 30")
+    points = spark.createDataFrame([(z, y, x, z * y) for z in range(-4, 20, 3) for y in range(-4, 20, 5) for x in range(-4, 20, 4)], "z int, y int, x int, v int")
+    touch = lambda a, b: all(a[2 * k] < b[2 * k + 1] and b[2 * k] < a[2 * k + 1] for k in range(3))
+    want = {(i, j) for i in range(30) for j in range(30, 60) if touch(sides[i], sides[j])}
+    held = {(p.z, p.y, p.x, i) for p in points.collect() for i, s in enumerate(sides) if all(s[2 * k] <= p[k] < s[2 * k + 1] for k in range(3))}
+    for few in (10_000, 0):
+        assert sorted(map(tuple, boxes.pairs(left, right, few).collect())) == sorted(want)
+        got = boxes.within(points, table, few)
+        assert got.columns == ["z", "y", "x", "v", *table.columns]
+        assert sorted((r.z, r.y, r.x, r.id) for r in got.collect()) == sorted(held)
+
+
+def test_picked_betas(spark):
+    rows = spark.createDataFrame([(0.1, "a"), (0.1 + 5e-13, "b"), (0.1 + 3e-12, "c"), (0.3, "d"), (-0.2, "e"), (None, "f")], "beta double, name string")
+    picks = spark.createDataFrame([(0.1,), (0.1,), (-0.2 - 9e-13,), (None,)], "beta double")
+    assert sorted(r.name for r in workflow.chosen(rows, picks).collect()) == ["a", "b", "e"]
+    with pytest.raises(ValueError):
+        workflow.sweep(rows, spark.range(workflow.FEW + 1), F.lit("x"), F.lit("y"))

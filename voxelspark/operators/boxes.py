@@ -57,6 +57,37 @@ def meeting(left: DataFrame, right: DataFrame, few: int = BROADCAST_BOXES) -> Da
     return b.join(g, [*same, intersects("b", "g")], "left_semi").select(*_SIDES).distinct()
 
 
+def within(points: DataFrame, boxes: DataFrame, few: int = BROADCAST_BOXES) -> DataFrame:
+    """Points (z, y, x, ...) with the columns of each box that holds them.  At most ``few`` boxes are sent
+    to all tasks; beyond, a box goes to the grid cells that it touches, cells being as long as the longest
+    box, and a point to its own."""
+    inside = F.lit(True)
+    for a in AXES:
+        inside = inside & (F.col(f"p.{a}") >= F.col(f"b.{a}0")) & (F.col(f"p.{a}") < F.col(f"b.{a}1"))
+    if boxes.limit(few + 1).count() <= few:
+        return points.alias("p").join(F.broadcast(boxes).alias("b"), inside).select("p.*", "b.*")
+    longest = boxes.agg(*[F.max(F.col(f"{a}1") - F.col(f"{a}0")).alias(a) for a in AXES]).first()
+    edge = {a: max(1, int(longest[a])) for a in AXES}
+    same = F.lit(True)
+    for a in AXES:
+        same = same & (F.floor(F.col(f"p.{a}") / edge[a]) == F.col(f"b.c{a}"))
+    both = points.alias("p").join(_cells(boxes, edge).alias("b"), same & inside)
+    return both.select("p.*", *[f"b.`{c}`" for c in boxes.columns])
+
+
+def pairs(left: DataFrame, right: DataFrame, few: int = BROADCAST_BOXES) -> DataFrame:
+    """(left, right): the ids of boxes (id, z0 .. x1) of two tables that share a voxel, each pair once; the
+    right ones are sent to all tasks if they are at most ``few``, else both sides meet by grid cell."""
+    l, r = left.select("id", *_SIDES), right.select("id", *_SIDES)
+    if right.limit(few + 1).count() <= few:
+        return l.alias("b").join(F.broadcast(r).alias("g"), intersects("b", "g")).select(F.col("b.id").alias("left"), F.col("g.id").alias("right"))
+    longest = l.agg(*[F.max(F.col(f"{a}1") - F.col(f"{a}0")).alias(a) for a in AXES]).first()
+    edge = {a: max(1, int(longest[a] or 1)) for a in AXES}
+    b, g = _cells(l, edge).alias("b"), _cells(r, edge).alias("g")
+    same = [F.col(f"b.c{a}") == F.col(f"g.c{a}") for a in AXES]
+    return b.join(g, [*same, intersects("b", "g")]).select(F.col("b.id").alias("left"), F.col("g.id").alias("right")).distinct()
+
+
 def without(boxes: DataFrame, guards: DataFrame, few: int = BROADCAST_BOXES) -> DataFrame:
     """Boxes that meet no guard."""
     return boxes.join(meeting(boxes, guards, few), _SIDES, "left_anti")

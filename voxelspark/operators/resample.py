@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from voxelspark.operators.boxes import within
+
 
 def nearest_index(i: Column, source: int, target: int) -> Column:
     """Source index of a target index, without a shift by half a pixel."""
@@ -98,8 +100,7 @@ def restored(voxels: DataFrame, model: Sequence[int], source: Sequence[int], lab
 def tiles_equal_bulk(voxels: DataFrame, tiles: DataFrame, value: str) -> DataFrame:
     """(tile_id, voxels, bulk, same): cells read tile by tile against the same cells counted from the
     whole, by the core boxes."""
-    inside = [c for a in "zyx" for c in (F.col(a) >= F.col(f"{a}0"), F.col(a) < F.col(f"{a}1"))]
-    part = voxels.join(F.broadcast(tiles), inside).groupBy("tile_id").agg(F.count("*").alias("voxels"), F.sum(value).alias("total"))
+    part = within(voxels.select(*"zyx", value), tiles.select("tile_id", *[f"{a}{e}" for a in "zyx" for e in "01"])).groupBy("tile_id").agg(F.count("*").alias("voxels"), F.sum(value).alias("total"))
     whole = voxels.agg(F.count("*").alias("all_voxels"), F.sum(value).alias("all_total"))
     sums = part.agg(F.sum("voxels").alias("sum_voxels"), F.sum("total").alias("sum_total"))
     checked = sums.join(F.broadcast(whole)).select(((F.col("sum_voxels") == F.col("all_voxels")) & (F.col("sum_total") == F.col("all_total"))).alias("same"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from voxelspark.operators.boxes import AXES, intersects
+from voxelspark.operators.boxes import AXES, pairs, within
 
 
 def sample_boxes(spark: SparkSession, shape: Sequence[int], chunk: Sequence[int]) -> DataFrame:
@@ -24,7 +24,7 @@ def sample_boxes(spark: SparkSession, shape: Sequence[int], chunk: Sequence[int]
 def read_back(source: DataFrame, written: DataFrame, boxes: DataFrame, value: str) -> DataFrame:
     """(place, voxels, different, same): each box's voxels in both tables; one that only one table
     has differs."""
-    inside = lambda d: d.join(F.broadcast(boxes), [c for a in AXES for c in (F.col(a) >= F.col(f"{a}0"), F.col(a) < F.col(f"{a}1"))]).select("place", *AXES, F.col(value).alias("v"))
+    inside = lambda d: within(d.select(*AXES, F.col(value).alias("v")), boxes).select("place", *AXES, "v")
     both = inside(source).alias("s").join(inside(written).withColumnRenamed("v", "u").alias("w"), ["place", *AXES], "full_outer")
     out = both.groupBy("place").agg(F.count("*").alias("voxels"), F.count_if(~F.col("v").eqNullSafe(F.col("u"))).alias("different"))
     return out.withColumn("same", F.col("different") == 0)
@@ -39,7 +39,7 @@ def frame_difference(frames: DataFrame) -> DataFrame:
 def frame_shift(frames: DataFrame, height: int, width: int) -> DataFrame:
     """(frame, dy, dx): the shift from the frame before by phase correlation.  A task gets the
     pixels of two frames."""
-    pairs = frames.select("frame", "y", "x", "v", F.lit(1).alias("now")).union(frames.select(F.col("frame") + 1, "y", "x", "v", F.lit(0)))
+    both = frames.select("frame", "y", "x", "v", F.lit(1).alias("now")).union(frames.select(F.col("frame") + 1, "y", "x", "v", F.lit(0)))
 
     def shift(part: pd.DataFrame) -> pd.DataFrame:
         image = np.zeros((2, height, width))
@@ -53,7 +53,7 @@ def frame_shift(frames: DataFrame, height: int, width: int) -> DataFrame:
         wrap = lambda d, n: d - n if d > n // 2 else d
         return pd.DataFrame({"frame": [part.frame.iloc[0]], "dy": [wrap(dy, height)], "dx": [wrap(dx, width)]})
 
-    return pairs.groupBy("frame").applyInPandas(shift, "frame long, dy long, dx long")
+    return both.groupBy("frame").applyInPandas(shift, "frame long, dy long, dx long")
 
 
 def in_order(states: DataFrame, kind: str, after: str, before: str) -> DataFrame:
@@ -66,8 +66,7 @@ def in_order(states: DataFrame, kind: str, after: str, before: str) -> DataFrame
 
 def disjoint(training: DataFrame, validation: DataFrame) -> DataFrame:
     """Pairs of boxes of two sets that share a voxel; none in a proper split."""
-    pairs = training.alias("t").join(F.broadcast(validation).alias("v"), intersects("t", "v"))
-    return pairs.select(F.col("t.id").alias("training"), F.col("v.id").alias("validation"))
+    return pairs(training, validation).toDF("training", "validation")
 
 
 def random_baseline(candidates: DataFrame, seed: str, budget: int) -> DataFrame:

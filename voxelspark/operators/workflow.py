@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+#: Rows that are sent to all tasks at most.
+FEW = 10_000
+
 
 def latest(log: DataFrame, keys: list[str], at: str, *tie: str) -> DataFrame:
     """The last record of each key, by time and then by the tie columns."""
@@ -13,12 +16,19 @@ def latest(log: DataFrame, keys: list[str], at: str, *tie: str) -> DataFrame:
     return log.withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")
 
 
+def _few(rows: DataFrame) -> DataFrame:
+    """Rows to send to all tasks, counted first."""
+    if rows.limit(FEW + 1).count() > FEW:
+        raise ValueError(f"more than {FEW} rows")
+    return F.broadcast(rows)
+
+
 def gate(states: DataFrame, needs: DataFrame, dry_run: bool = False) -> DataFrame:
     """states (project, stage, status), needs (stage, requires) -> (project, stage, open): a stage
     may run once all it requires are completed (or, in a dry run, planned)."""
     done = ["completed", "planned"] if dry_run else ["completed"]
     projects = states.select("project").distinct()
-    asked = projects.join(F.broadcast(needs))
+    asked = projects.join(_few(needs))
     got = states.select("project", F.col("stage").alias("requires"), "status")
     both = asked.join(got, ["project", "requires"], "left")
     return both.groupBy("project", "stage").agg(F.bool_and(F.coalesce(F.col("status").isin(*done), F.lit(False))).alias("open"))
@@ -56,14 +66,18 @@ def required(rules: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def sweep(bases: DataFrame, values: DataFrame, name: Column, output: Column) -> DataFrame:
-    """One job for each base and value of a sweep; the values are few."""
-    return bases.join(F.broadcast(values)).withColumn("job", name).withColumn("output", output)
+    """One job for each base and value of a sweep; more than ``FEW`` values are an error."""
+    return bases.join(_few(values)).withColumn("job", name).withColumn("output", output)
 
 
 def chosen(sweep_results: DataFrame, picks: DataFrame, within: float = 1e-12) -> DataFrame:
-    """Sweep rows whose beta a pick names, within rounding; picks are few."""
-    near = F.abs(F.col("s.beta") - F.col("p.beta")) <= within
-    return sweep_results.alias("s").join(F.broadcast(picks).alias("p"), near, "left_semi")
+    """Sweep rows whose beta a pick names, within rounding: a pick goes to its step of that width and to
+    the ones beside it, a row to its own."""
+    step = lambda b: F.rint(b / within / 4)
+    near = picks.select("beta", F.explode(F.array(*[step(F.col("beta")) + d for d in (-1, 0, 1)])).alias("k"))
+    rows = sweep_results.withColumn("__k", step(F.col("beta"))).alias("s")
+    hit = (F.col("s.__k") == F.col("p.k")) & (F.abs(F.col("s.beta") - F.col("p.beta")) <= within)
+    return rows.join(near.alias("p"), hit, "left_semi").drop("__k")
 
 
 def checks(rows: DataFrame) -> DataFrame:
