@@ -46,16 +46,28 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 def cut(df: DataFrame) -> DataFrame:
     """Writes ``df`` to the shared folder and reads it back, so that a lost executor costs a read
     and not a recomputation.  The shuffle files that made it are removed once it is written."""
+    shared_folder(df.sparkSession)
+    return _without_shuffles(df, lambda d: d.checkpoint(eager=True))
+
+
+def _without_shuffles(df: DataFrame, write):
     spark = df.sparkSession
-    shared_folder(spark)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
-        return df.select("*").checkpoint(eager=True)  # a plan of its own, made under the setting
+        return write(df.select("*"))  # a plan of its own, made under the setting
     finally:
         spark.conf.set(_CLEANUP, before)
 
 
+def written(df: DataFrame, name: str, by: str) -> str:
+    """Writes ``df`` as a table of the shared folder, a folder for each value of ``by``, for the caller to
+    remove; gives its path.  The shuffle files that made it are removed."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    _without_shuffles(df, lambda d: d.write.partitionBy(by).parquet(path))
+    return path
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Deletes a folder of the shared store, whichever it is."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelspark.llm import textscan as ts
-from voxelspark.llm.common import BROADCAST_BYTES, cut, table
+from voxelspark.llm.common import BROADCAST_BYTES, cut, remove, table, written
 
 ENTRY_BITS = 16
 PROBES = 6
@@ -246,8 +246,8 @@ def _read(bits: bytes, grams: np.ndarray) -> np.ndarray:
     return Filter(np.frombuffer(bits, dtype=np.uint8), 1, 0, 0).levels(grams)
 
 
-def _stored(requests: DataFrame, segments: int, entry_bits: int) -> DataFrame:
-    """(seg, block, counts, bits, types, total): the filter's piece of each segment, with its distinct
+def _stored(requests: DataFrame, segments: int, entry_bits: int) -> str:
+    """Writes (seg, block, counts, bits, types, total), pieces and counts apart, and gives the path: the filter's piece of each segment, with its distinct
     training tokens and their sum, and for each request the exact counts of tokens or levels of pairs."""
 
     def run(t: pa.Table) -> pa.Table:
@@ -270,7 +270,8 @@ def _stored(requests: DataFrame, segments: int, entry_bits: int) -> DataFrame:
             }
         )
 
-    return cut(requests.groupBy("seg").applyInArrow(run, "seg long, block long, counts binary, bits binary, types long, total long"))
+    told = requests.groupBy("seg").applyInArrow(run, "seg long, block long, counts binary, bits binary, types long, total long")
+    return written(told.withColumn("kind", F.when(F.col("block").isNull(), "pieces").otherwise("counts")), "filter", "kind")
 
 
 def _probed(requests: DataFrame, pieces: DataFrame, segments: int) -> DataFrame:
@@ -284,19 +285,25 @@ def _probed(requests: DataFrame, pieces: DataFrame, segments: int) -> DataFrame:
     return requests.groupBy("seg").cogroup(pieces.groupBy("seg")).applyInArrow(run, "seg long, block long, levels binary")
 
 
-def _looked_up(docs: DataFrame, segments: int, entry_bits: int, most: int) -> tuple[DataFrame, DataFrame]:
+def _looked_up(docs: DataFrame, segments: int, entry_bits: int, most: int) -> tuple[DataFrame, int, int]:
     """One row a block: its documents with their exact sums, and how often each document has each
     combination of levels of context, token and pair, and of the pair's exact level (seven bits each).
-    And the stored filter."""
+    And the training tokens and types.  What is stored goes as soon as it has been read."""
     blocks = cut(block_table(docs, segments))
-    stored = _stored(_requests(blocks, segments), segments, entry_bits)
-    pieces, counts = stored.filter("block IS NULL").select("seg", "bits"), stored.filter("block IS NOT NULL").select("seg", "block", "counts")
+    spark, path = docs.sparkSession, _stored(_requests(blocks, segments), segments, entry_bits)
+    kinds = "seg long, block long, counts binary, bits binary, types long, total long"
+    stored = spark.read.schema(f"{kinds}, kind string").parquet(path)
+    size, n, v = stored.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (F.octet_length("bits"), "total", "types")]).first()
+    pieces, counts = stored.filter("kind = 'pieces'").select("seg", "bits"), stored.filter("kind = 'counts'").select("seg", "block", "counts")
     sent = None
-    if (pieces.agg(F.sum(F.octet_length("bits"))).first()[0] or 0) <= most:
-        sent = docs.sparkSession.sparkContext.broadcast({r.seg: r.bits for r in pieces.collect()})
+    if size <= most:
+        sent = spark.sparkContext.broadcast({r.seg: r.bits for r in pieces.collect()})
         answers = counts.withColumn("levels", F.lit(None).cast("binary"))
     else:
-        answers = counts.unionByName(_probed(_requests(blocks, segments).drop("own"), pieces, segments), allowMissingColumns=True)
+        probed = cut(_probed(_requests(blocks, segments).drop("own"), pieces, segments))
+        remove(spark, f"{path}/kind=pieces")
+        counts = spark.read.schema(kinds).parquet(f"{path}/kind=counts").select("seg", "block", "counts")
+        answers = counts.unionByName(probed, allowMissingColumns=True)
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         seg = np.asarray(b["seg"])
@@ -336,7 +343,9 @@ def _looked_up(docs: DataFrame, segments: int, entry_bits: int, most: int) -> tu
 
     schema = "ids array<long>, held array<boolean>, n_tokens array<long>, known array<long>, base array<double>, widths binary, levels binary, often binary"
     asked = blocks.drop("own", "both")
-    return cut(asked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)), stored
+    looked = cut(asked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema))
+    remove(spark, path)
+    return looked, n, v
 
 
 def _levels(r: dict) -> tuple[np.ndarray, ...]:
@@ -381,8 +390,7 @@ def scored(docs: DataFrame, entry_bits: int = ENTRY_BITS, most: int = BROADCAST_
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     segments = max(16, math.ceil(size / SEGMENT_BYTES))
-    looked, stored = _looked_up(docs, segments, entry_bits, most)
-    n, v = stored.agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("types"), F.lit(0))).first()
+    looked, n, v = _looked_up(docs, segments, entry_bits, most)
     weight, norm = _tuned(looked, n, v), math.log10(n + v + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
