@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from voxelspark.operators import agglomerate, boxes, camera, components, fuzzy, halo, surface, workflow
+from voxelspark.operators import agglomerate, boxes, camera, components, fuzzy, halo, knn, surface, workflow
 from voxelspark.sources import precomputed
 from voxelspark.streaming import runs
 
@@ -367,3 +367,25 @@ def test_picked_betas(spark):
     assert sorted(r.name for r in workflow.chosen(rows, picks).collect()) == ["a", "b", "e"]
     with pytest.raises(ValueError):
         workflow.sweep(rows, spark.range(workflow.FEW + 1), F.lit("x"), F.lit("y"))
+
+
+# Neighbours by pivots ---------------------------------------------------------------------------------
+
+
+def test_pruned_neighbours(spark):
+    pick = np.random.default_rng(10)
+    clusters = [pick.normal(size=4) * 50 for _ in range(12)]
+    x = np.concatenate([c + pick.normal(size=(25, 4)) for c in clusters])
+    x[40], x[41], x[7] = x[3], x[3], x[299]  # copies, which are ties
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, embedding array<double>")
+    for metric, k, pivots, block in (("euclidean", 6, 12, 10), ("euclidean", 40, 5, 1000), ("cosine", 4, 9, 7), ("euclidean", 300, 3, 50)):
+        got, visits = knn.pruned(table, k, metric, pivots, block)
+        want = knn.neighbours(table, k, metric)
+        rows = lambda d: sorted((r.id, r.place, r.neighbour) for r in d.collect())
+        assert rows(got) == rows(want)
+        share = visits.agg(F.sum("visited") / F.sum("blocks"), F.max("visited"), F.count("*")).first()
+        assert share[1] <= visits.first().blocks and share[2] == 300
+        if (metric, k) == ("euclidean", 6):
+            assert share[0] < 0.5
+    with pytest.raises(ValueError):
+        knn.pruned(table, 301)

@@ -11,9 +11,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from voxelspark.operators.components import checkpointed
+
 BLOCK = 8192  # candidates in a block at most
 LEAST = 256  # and at least, where the table has as many
 QUERIES = 512  # compared at once
+PIVOTS, PIVOT_BYTES = 1024, 16 << 20
 _SPARE = 8  # candidates beyond k that the fast distances hand to the exact ones
 
 
@@ -36,26 +39,9 @@ def _nearest(asks: np.ndarray, cand: np.ndarray, ids: np.ndarray, k: int, metric
         yield q, ids[some][order], exact[order]
 
 
-def neighbours(vectors: DataFrame, k: int, metric: str = "euclidean", block: int = BLOCK) -> DataFrame:
-    """(id, embedding) -> (id, place, neighbour, distance): the k nearest rows of each, itself
-    included, in order of (distance, id); the distance is squared for ``euclidean``.
-
-    Every row is a candidate in one block, dealt by its id, and a query in all of them.  A task reads
-    the candidates of a block first and then meets the queries batch by batch, so it holds one block
-    and one batch; each query gets k rows from each block.  ``k`` beyond the number of rows is an error.
-    """
-    if metric not in ("euclidean", "cosine"):
-        raise ValueError(f"unknown metric {metric}")
-    n = vectors.count()
-    if k > n:
-        raise ValueError("k is larger than the number of rows")
-    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(1, math.ceil(n / block), min(tasks, n // LEAST))
-    own = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
-    places = F.array(F.struct(own.alias("block"), F.lit(0).alias("kind")))
-    every = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda b: F.struct(b.alias("block"), F.lit(1).alias("kind")))
-    dealt = vectors.select(F.explode(F.concat(places, every)).alias("at"), F.col("id").cast("long"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
-    dealt = dealt.select("at.block", "at.kind", "id", "v").repartition(parts, "block").sortWithinPartitions("block", "kind")
+def _searcher(k: int, metric: str):
+    """Rows (block, kind, id, v) in order, a block's candidates (0) before its queries (1) -> the k nearest
+    candidates of each query."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, cand, ids = None, [], None, None
@@ -81,11 +67,107 @@ def neighbours(vectors: DataFrame, k: int, metric: str = "euclidean", block: int
                         kinds = (pa.int64(), pa.int64(), pa.float64())
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["id", "neighbour", "distance"])
 
-    near = dealt.mapInArrow(search, "id long, neighbour long, distance double")
+    return search
+
+
+def neighbours(vectors: DataFrame, k: int, metric: str = "euclidean", block: int = BLOCK) -> DataFrame:
+    """(id, embedding) -> (id, place, neighbour, distance): the k nearest rows of each, itself
+    included, in order of (distance, id); the distance is squared for ``euclidean``.
+
+    Every row is a candidate in one block, dealt by its id, and a query in all of them.  A task reads
+    the candidates of a block first and then meets the queries batch by batch, so it holds one block
+    and one batch; each query gets k rows from each block.  ``k`` beyond the number of rows is an error.
+    """
+    if metric not in ("euclidean", "cosine"):
+        raise ValueError(f"unknown metric {metric}")
+    n = vectors.count()
+    if k > n:
+        raise ValueError("k is larger than the number of rows")
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, math.ceil(n / block), min(tasks, n // LEAST))
+    own = F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")
+    places = F.array(F.struct(own.alias("block"), F.lit(0).alias("kind")))
+    every = F.transform(F.sequence(F.lit(0), F.lit(parts - 1)), lambda b: F.struct(b.alias("block"), F.lit(1).alias("kind")))
+    dealt = vectors.select(F.explode(F.concat(places, every)).alias("at"), F.col("id").cast("long"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    dealt = dealt.select("at.block", "at.kind", "id", "v").repartition(parts, "block").sortWithinPartitions("block", "kind")
+
+    near = dealt.mapInArrow(_searcher(k, metric), "id long, neighbour long, distance double")
     place = F.row_number().over(W.partitionBy("id").orderBy("distance", "neighbour"))
     return near.withColumn("place", place).filter(F.col("place") <= k)
 
 
+def _unit(x: np.ndarray, metric: str) -> np.ndarray:
+    """Vectors among which plain distances order as the metric does."""
+    return x / np.linalg.norm(x, axis=1)[:, None] if metric == "cosine" else x
+
+
+def _apart(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    squares = np.square(x).sum(1)[:, None] + np.square(centres).sum(1)[None] - 2 * (x @ centres.T)
+    return np.sqrt(np.maximum(squares, 0))
+
+
+def pruned(vectors: DataFrame, k: int, metric: str = "euclidean", pivots: int | None = None, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """What ``neighbours`` gives, and (id, visited, blocks): how many of the blocks each query went to.
+
+    Some rows, by hash, are pivots, at most ``PIVOTS`` of them and ``PIVOT_BYTES``; each row belongs to
+    the nearest one, and the rows of a pivot lie in a ball.  A ball of more than ``block`` rows is cut into
+    blocks.  A query first meets its own block, which bounds its k-th distance; then, by the triangle
+    inequality, only the blocks of balls that reach as near.  Distances to pivots are rounded, so a margin
+    beyond their error is left.  Where vectors don't cluster, most balls reach everywhere and all blocks
+    are visited: the answer is the same."""
+    if metric not in ("euclidean", "cosine"):
+        raise ValueError(f"unknown metric {metric}")
+    n, dims = vectors.agg(F.count("*"), F.max(F.size("embedding"))).first()
+    if k > n:
+        raise ValueError("k is larger than the number of rows")
+    rows = vectors.select(F.col("id").cast("long"), F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    tasks = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    many = pivots or max(1, min(PIVOTS, PIVOT_BYTES // (8 * dims), max(math.ceil(n / block), min(tasks, n // LEAST))))
+    picked = rows.orderBy(F.xxhash64("id"), "id").limit(many).select("v").collect()
+    centres = _unit(np.array([r.v for r in picked], dtype=np.float64), metric)
+    grid = lambda batch: np.asarray(batch.column("v").flatten(), dtype=np.float64).reshape(batch.num_rows, -1)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = _unit(grid(batch), metric)
+            far = _apart(x, centres)
+            near = far.argmin(axis=1)
+            columns = [batch.column("id"), batch.column("v"), pa.array(near.astype(np.int32)), pa.array(far[np.arange(len(x)), near]), pa.array(np.linalg.norm(x, axis=1))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "v", "pivot", "far", "norm"])
+
+    placed = checkpointed(rows.mapInArrow(place, "id long, v array<double>, pivot int, far double, norm double"))
+    balls = {r.pivot: (r["count"], r.radius) for r in placed.groupBy("pivot").agg(F.count("*").alias("count"), F.max("far").alias("radius")).collect()}
+    margin = 4e-6 * (1 + (placed.agg(F.max("norm")).first()[0] or 0))
+    subs = [math.ceil(balls.get(i, (0,))[0] / block) for i in range(many)]
+    first, radius = np.cumsum([0, *subs]).tolist(), np.array([balls.get(i, (0, -np.inf))[1] for i in range(many)])
+    at = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col("pivot") + 1)
+    own = (at(first) + F.pmod(F.xxhash64("id"), F.greatest(at(subs), F.lit(1)))).cast("int")
+    placed = placed.withColumn("block", own)
+    found = "id long, neighbour long, distance double"
+
+    def met(asked: DataFrame) -> DataFrame:
+        dealt = placed.select("block", F.lit(0).alias("kind"), "id", "v").union(asked.select("block", F.lit(1), "id", "v"))
+        return dealt.repartition(first[-1], "block").sortWithinPartitions("block", "kind").mapInArrow(_searcher(k, metric), found)
+
+    near = checkpointed(met(placed))
+    # Squared distances, or cosine distances, as plain ones of the vectors above.
+    reach = F.when(F.count("*") < k, F.lit(float("inf"))).otherwise(F.sqrt(F.max("distance") * (2 if metric == "cosine" else 1)))
+    asked = placed.join(near.groupBy("id").agg(reach.alias("reach")), "id").select("id", "v", "block", "reach")
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = _apart(_unit(grid(batch), metric), centres) - radius[None] <= np.asarray(batch.column("reach"))[:, None] + margin
+            home = np.asarray(batch.column("block"))
+            blocks = [[b for i in np.flatnonzero(row) for b in range(first[i], first[i + 1]) if b != h] for row, h in zip(hit, home, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(blocks, pa.list_(pa.int32()))], ["id", "v", "blocks"])
+
+    asked = checkpointed(asked.mapInArrow(choose, "id long, v array<double>, blocks array<int>"))
+    more = met(asked.select("id", "v", F.explode("blocks").alias("block")))
+    order = W.partitionBy("id").orderBy("distance", "neighbour")
+    out = near.union(more).withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k)
+    return out, asked.select("id", (F.size("blocks") + 1).alias("visited"), F.lit(first[-1]).alias("blocks"))
+
+
 def sound(vectors: DataFrame, dims: int) -> DataFrame:
     """One row: rows, rows of another length, rows with values that are not finite."""
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))

@@ -100,6 +100,13 @@ def knn_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _near(spark, sf_dir).select("id", "neighbour", "place")
 
 
+@query(f"SELECT * FROM {_knn_sql('list_distance(q.e, c.e)')}")
+def knn_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by balls around pivots, of which a query visits those that may hold a neighbour."""
+    e = views.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding")
+    return knn.pruned(e, 10)[0].select("id", "neighbour", "place")
+
+
 @query(f"SELECT * FROM {_knn_sql('list_cosine_distance(q.e, c.e)')}")
 def knn_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _near(spark, sf_dir, "cosine").select("id", "neighbour", "place")
