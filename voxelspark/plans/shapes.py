@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxelspark import views
-from voxelspark.operators import agglomerate, components, fuzzy, halo, knn, surface
+from voxelspark.operators import agglomerate, camera, components, display, fuzzy, halo, knn, surface, verify
 from voxelspark.operators.components import checkpointed, shared_folder
 from voxelspark.plans.registry import query
 from voxelspark.sources import precomputed
 from voxelspark.streaming import runs
-from voxelspark.views import VOLUME
+from voxelspark.views import PTS, VOLUME
 
 NM = (30.0, 6.5, 6.5)
 
@@ -251,3 +251,47 @@ def fuzzy_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = knn.neighbours(views.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), "embedding"), 15).withColumn("distance", F.sqrt("distance"))
     graph = fuzzy.fuzzy_union(fuzzy.memberships(near))
     return graph.withColumn("weight", F.round("weight", 4))
+
+
+# Display ----------------------------------------------------------------------------------------------
+
+
+def _channel(n: int) -> str:
+    k = f"(({n}.0::DOUBLE + (label * 0.61803398875::DOUBLE) % 1 * 6) % 6)"
+    return f"(1 - 0.75::DOUBLE * greatest(0, least({k}, 4 - {k}, 1)))"
+
+
+@query(f"""SELECT z, y, x, {', '.join(f"CASE WHEN raw >= 49 THEN 255 WHEN label > 0 THEN CAST(round_even(0.6::DOUBLE * raw + 0.4::DOUBLE * 255 * {_channel(n)}, 0) AS INT) ELSE CAST(raw AS INT) END AS {c}" for c, n in zip("rgb", (5, 3, 1)))} FROM {VOLUME}""")
+def label_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Colours of labels over the intensity, the brightest voxels as white boundary."""
+    out = display.overlay(views.volume(spark, sf_dir).withColumn("edge", F.col("raw") >= 49), "label", "raw", "edge")
+    return out.select("z", "y", "x", "r", "g", "b")
+
+
+@query(f"SELECT min(bx) - 2.5::DOUBLE AS x0, max(bx) + 2.5::DOUBLE AS x1, min(by_) - 2.5::DOUBLE AS y0, max(by_) + 2.5::DOUBLE AS y1 FROM {PTS}")
+def detail_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The window around all points, with a margin."""
+    return display.strip(views.pts(spark, sf_dir).select(F.col("bx").alias("x"), F.col("by_").alias("y")), 2.5)
+
+
+@query("""WITH n AS (SELECT p_partkey AS id, p_size - 25.0::DOUBLE AS nx, p_retailprice / 100 AS ny, p_partkey % 7 - 3.0::DOUBLE AS nz FROM part)
+SELECT id, round(0.25::DOUBLE + 0.75::DOUBLE * abs(nx * 0.3::DOUBLE + ny * 0.4::DOUBLE + nz * 0.866::DOUBLE) / sqrt(nx * nx + ny * ny + nz * nz), 6) AS light FROM n""")
+def lambert_light(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Light on unit normals, either side."""
+    n = views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), (F.col("p_size") - 25.0).alias("x"), (F.col("p_retailprice") / 100).alias("y"), (F.col("p_partkey") % 7 - 3.0).alias("z"))
+    size = F.sqrt(sum(F.col(a) * F.col(a) for a in "xyz"))
+    return n.select("id", F.round(display.shade(*[F.col(a) / size for a in "xyz"]), 6).alias("light"))
+
+
+@query("SELECT p_partkey AS id, CAST((row_number() OVER (ORDER BY p_partkey) - 1) // 6 AS INT) AS row, CAST((row_number() OVER (ORDER BY p_partkey) - 1) % 6 AS INT) AS column FROM part")
+def contact_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of a contact sheet of six columns."""
+    return camera.montage(views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id")), "id", 6)
+
+
+@query("""WITH s AS (SELECT p_partkey AS position, CASE WHEN p_size < 3 THEN 'context' WHEN p_size > 48 THEN 'end' ELSE 'field' END AS kind FROM part)
+SELECT coalesce((SELECT min(position) FROM s WHERE kind = 'field') > (SELECT max(position) FROM s WHERE kind = 'context') AND (SELECT max(position) FROM s WHERE kind = 'field') < (SELECT min(position) FROM s WHERE kind = 'end'), false) AS ok""")
+def story_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether all fields of a story stand between its context and its end."""
+    kind = F.when(F.col("p_size") < 3, "context").when(F.col("p_size") > 48, "end").otherwise("field")
+    return verify.in_order(views.table(spark, sf_dir, "part").select(F.col("p_partkey").alias("position"), kind.alias("kind")), "field", "context", "end")
