@@ -7,17 +7,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxelspark.functions.scalars import ease, smoothstep
+from voxelspark.operators.numbering import numbered, running_totals
 
 
 def timeline(states: DataFrame, fps: float, transition: float = 0.32) -> DataFrame:
     """states (position, name, seconds) -> frames of each hold: (first, last, mid), a transition
     before each state but the first."""
-    w = W.orderBy("position")
-    hold = F.rint(F.col("seconds") * fps).cast("long")
-    gap = F.when(F.row_number().over(w) > 1, F.rint(F.lit(transition * fps))).otherwise(0).cast("long")
-    out = states.withColumn("hold", hold).withColumn("gap", gap)
-    end = F.sum(F.col("hold") + F.col("gap")).over(w.rowsBetween(W.unboundedPreceding, 0))
-    out = out.withColumn("last", end - 1).withColumn("first", F.col("last") - F.col("hold") + 1)
+    gap = F.rint(F.lit(transition * fps)).cast("long")
+    out = states.withColumn("hold", F.rint(F.col("seconds") * fps).cast("long"))
+    out = running_totals(out.withColumn("__each", F.col("hold") + gap), ["position"], {"__end": "__each"})
+    out = out.withColumn("last", F.col("__end") - gap - 1).withColumn("first", F.col("last") - F.col("hold") + 1)
     return out.withColumn("mid", F.floor((F.col("first") + F.col("last")) / 2)).select("position", "name", "hold", "first", "last", "mid")
 
 
@@ -75,8 +74,8 @@ def durations(stamps: DataFrame) -> DataFrame:
 
 def montage(items: DataFrame, order: str, columns: int) -> DataFrame:
     """Row and column of each item of a contact sheet."""
-    i = F.row_number().over(W.orderBy(order)) - 1
-    return items.withColumn("row", F.floor(i / columns).cast("int")).withColumn("column", (i % columns).cast("int"))
+    i = F.col("__place")
+    return numbered(items, [order], "__place").withColumn("row", F.floor(i / columns).cast("int")).withColumn("column", (i % columns).cast("int")).drop("__place")
 
 
 def crossfade(segments: DataFrame, fade: int) -> DataFrame:

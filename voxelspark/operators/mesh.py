@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from voxelspark.operators.numbering import running_totals
+
 
 def corners(face: DataFrame, vertex: DataFrame) -> DataFrame:
     """Faces with the coordinates of their corners, xa .. zc."""
@@ -57,7 +58,7 @@ def merged(meshes: DataFrame, faces: DataFrame) -> tuple[DataFrame, DataFrame]:
     """vertices (mesh, vid, ...), faces (mesh, fid, a, b, c), ids 0.. in each mesh -> one mesh with
     ids shifted by the vertices of the meshes before."""
     n = meshes.groupBy("mesh").agg(F.count("*").alias("n"))
-    shift = n.withColumn("shift", F.coalesce(F.sum("n").over(W.orderBy("mesh").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("mesh", "shift")
+    shift = running_totals(n, ["mesh"], {"end": "n"}).select("mesh", (F.col("end") - F.col("n")).alias("shift"))
     v = meshes.join(shift, "mesh").withColumn("vid", F.col("vid") + F.col("shift")).drop("shift", "mesh")
     f = faces.join(shift, "mesh")
     for c in "abc":

@@ -39,6 +39,22 @@ def numbered(df: DataFrame, order: Sequence[str], name: str, first: int = 0) ->
     return out.select(*df.columns, name)
 
 
+def running_totals(df: DataFrame, order: Sequence[str], sums: dict[str, str]) -> DataFrame:
+    """Adds, for each name: column, the sum of the column over all rows up to this one in the order.
+    One row of sums for each part meets on the driver."""
+    parts = _ordered(df, order)
+    whole = parts.groupBy("__part").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    rows, before = [], [0] * len(sums)
+    for r in sorted(whole.collect(), key=lambda r: r["__part"]):
+        rows.append((r["__part"], *before))
+        before = [b + (r[n] or 0) for b, n in zip(before, sums, strict=True)]
+    starts = df.sparkSession.createDataFrame(rows, whole.schema)
+    here = W.partitionBy("__part").orderBy("__at").rowsBetween(W.unboundedPreceding, 0)
+    inside = parts.withColumns({f"__{n}": F.sum(c).over(here) for n, c in sums.items()})
+    out = inside.join(F.broadcast(starts), "__part")
+    return out.select(*df.columns, *[(F.col(f"__{n}") + F.col(n)).alias(n) for n in sums])
+
+
 def quantiles(values: DataFrame, column: str, at: Sequence[float]) -> list[float | None]:
     """Exact quantiles, linear between neighbours, of the finite values: counts of distinct values
     are ordered in parts, and the few rows that the quantiles fall on come to the driver."""

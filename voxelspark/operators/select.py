@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from voxelspark.operators.components import checkpointed
@@ -67,8 +66,9 @@ def greedy(candidates: DataFrame, members: DataFrame, near: DataFrame, budget: i
 
 def running(picks: DataFrame, budget: int, patches: int) -> DataFrame:
     """Cumulative cost, rest of the budget and coverage rate by rank."""
-    w = W.orderBy("rank").rowsBetween(W.unboundedPreceding, 0)
-    out = picks.withColumn("total_cost", F.sum("cost").over(w)).withColumn("total_gain", F.sum("gain").over(w))
+    from voxelspark.operators.numbering import running_totals
+
+    out = running_totals(picks, ["rank"], {"total_cost": "cost", "total_gain": "gain"})
     return out.withColumn("rest", F.lit(budget) - F.col("total_cost")).withColumn("rate", F.col("total_gain") / patches)
 
 
