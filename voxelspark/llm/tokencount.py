@@ -36,8 +36,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SETTING = "spark.voxelspark.tokenizer"  # the path, where it is another one
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-REMEMBERED = 96 << 20  # bytes of words and counts
-LONG_WORD = 64  # characters; longer words are not remembered
+REMEMBERED = 64 << 20  # bytes of words and counts
+LONG_WORD = 4096  # characters; longer words are not remembered
 MOST_PIECES = 1_000_000  # a vocabulary is sent to every worker
 
 
